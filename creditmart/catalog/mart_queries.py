@@ -89,7 +89,12 @@ def scan_all_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(T.with_views("raw_ledger") + f"SELECT * FROM raw_ledger WHERE snapshot_date = DATE '{DAY}'")
+# A blank cell of a CSV file is a missing value.
+@query(
+    T.with_views("raw_ledger")
+    + f"""SELECT * REPLACE (nullif(installment_num, '') AS installment_num) FROM raw_ledger
+    WHERE snapshot_date = DATE '{DAY}'"""
+)
 def bronze_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     build = _build(spark, sf_dir, "lms")
     build.bronze([DAY], ["lms"])

@@ -100,8 +100,7 @@ def whole(expr: str) -> str:
     return f"CAST(floor({expr}) AS BIGINT)"
 
 
-CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
-MONEY = f"concat(CAST({whole(f'{CENTS} / 100')} AS STRING), '.', lpad(CAST({CENTS} % 100 AS STRING), 2, '0'))"
+MONEY = "CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING)"
 
 FINANCIALS = {
     "Customer_ID": "CAST(o_orderkey AS STRING)",

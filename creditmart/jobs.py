@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from creditmart.functions.dates import month_starts
 from creditmart.plans import silver, training
 from creditmart.plans.datamart_jobs import Build
+from creditmart.session import builder
 from creditmart.sources.datamart import Datamart
 
 
@@ -57,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.stage != "backfill" and not args.snapshotdate:
         parser.error(f"--stage {args.stage} needs --snapshotdate")
 
-    spark = SparkSession.builder.appName(f"creditmart-{args.stage}").getOrCreate()
+    spark = builder(f"creditmart-{args.stage}").getOrCreate()
     build = Build(spark, args.source, Datamart(spark, args.datamart), args.dpd, args.mob, args.end)
     if args.stage == "bronze":
         print(build.bronze([args.snapshotdate], ["lms"]))

@@ -6,7 +6,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType
 
 from creditmart.functions.arrays import split_list
@@ -23,14 +23,28 @@ def array_vocabulary(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.explode(column).alias(column)).distinct()
 
 
+def vocabularies(df: DataFrame, columns: Sequence[str], max_size: int = MAX_VOCABULARY) -> dict[str, list]:
+    """Sorted distinct non-NULL text values (elements, for array columns) of several columns, found
+    in one pass."""
+
+    def tagged(name: str) -> Column:
+        is_array = isinstance(df.schema[name].dataType, ArrayType)
+        values = F.array_distinct(name) if is_array else F.array(F.col(name))
+        return F.transform(values, lambda v: F.struct(F.lit(name).alias("name"), v.alias("value")))
+
+    entries = F.flatten(F.array(*[tagged(name) for name in columns]))
+    pairs = df.select(F.inline(entries)).where("value IS NOT NULL").distinct()
+    found: dict[str, list] = {name: [] for name in columns}
+    for row in pairs.limit(max_size * len(columns) + 1).collect():
+        found[row["name"]].append(row["value"])
+    for name, values in found.items():
+        if len(values) > max_size:
+            raise ValueError(f"{name} has more than {max_size} distinct values; it is not a category")
+    return {name: sorted(values) for name, values in found.items()}
+
+
 def vocabulary(df: DataFrame, column: str, max_size: int = MAX_VOCABULARY) -> list:
-    """Sorted distinct non-NULL values (elements, for an array column)."""
-    is_array = isinstance(df.schema[column].dataType, ArrayType)
-    values = array_vocabulary(df, column) if is_array else distinct_values(df, column)
-    found = values.where(F.col(column).isNotNull()).limit(max_size + 1).collect()
-    if len(found) > max_size:
-        raise ValueError(f"{column} has more than {max_size} distinct values; it is not a category")
-    return sorted(row[0] for row in found)
+    return vocabularies(df, [column], max_size)[column]
 
 
 def flag_name(prefix: str, value: object) -> str:

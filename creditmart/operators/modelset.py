@@ -37,7 +37,7 @@ def train_test_split(
     df: DataFrame, label: str, ids: Sequence[str], train_share: float = 0.8, seed: int = 88
 ) -> DataFrame:
     """Add ``split`` = 'train' or 'test': in each label class exactly round(share * rows) random rows
-    train. ``ids`` must identify a row. The split is a comparison with one cut-off per class, so the
+    train. ``ids`` must identify a row; rows without a label get no split. The split is a comparison with one cut-off per class, so the
     data itself is not shuffled."""
     cutoffs = hash_cutoffs(df, label, ids, seed, train_share)
     position = F.struct(row_hash(ids, seed).alias("h"), *[F.col(c) for c in ids])
@@ -48,7 +48,7 @@ def train_test_split(
             *[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(ids, id_values)],
         )
         trains = trains | ((F.col(label) == F.lit(value)) & (position <= cut))
-    return df.withColumn("split", F.when(trains, "train").otherwise("test"))
+    return df.withColumn("split", F.when(trains, "train").when(F.col(label).isNotNull(), "test"))
 
 
 def assign_folds(df: DataFrame, label: str, ids: Sequence[str], folds: int = 3, seed: int = 42) -> DataFrame:

@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from creditmart.operators.encoding import vocabulary
-
 RANGES = 256
 MAX_STRATA = 20
 HASH_PREFIX = 4
@@ -56,12 +54,12 @@ def hash_rank(df: DataFrame, stratum: str, ids: Sequence[str], seed: int, name:
     """Exact 1-based rank of each row in its stratum, in hash order; ``ids`` identify a row.
 
     Rows are windowed by (stratum, hash prefix), which splits even a stratum that holds most rows
-    into tens of thousands of equal parts.
+    into tens of thousands of equal parts. The parts' starting ranks are joined on the same two
+    keys, so the rows are shuffled once. Rows without a stratum are left out.
     """
-    strata = vocabulary(df, stratum, MAX_STRATA)
     hashed = df.withColumn("_hash", row_hash(ids, seed)).withColumn("_part", F.substring("_hash", 1, HASH_PREFIX))
     in_stratum = Window.partitionBy(stratum).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 16^HASH_PREFIX rows per stratum, and the number of strata was just checked.
+    # At most 16^HASH_PREFIX rows per stratum.
     starts = (
         hashed.groupBy(stratum, "_part")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -69,8 +67,7 @@ def hash_rank(df: DataFrame, stratum: str, ids: Sequence[str], seed: int, name:
     )
     in_part = Window.partitionBy(stratum, "_part").orderBy("_hash", *ids)
     return (
-        hashed.where(F.col(stratum).isin(strata))
-        .join(F.broadcast(starts), [stratum, "_part"])
+        hashed.join(starts, [stratum, "_part"])
         .select(*df.columns, (F.col("_start") + F.row_number().over(in_part)).cast("bigint").alias(name))
     )
 
@@ -81,8 +78,7 @@ def hash_cutoffs(df: DataFrame, stratum: str, ids: Sequence[str], seed: int, sha
     Strata of which no row is wanted are left out. Two passes: count hash prefixes, then rank only
     the rows that share the deciding prefix.
     """
-    strata = vocabulary(df, stratum, MAX_STRATA)
-    hashed = df.select(stratum, *[c for c in ids if c != stratum]).withColumn("_hash", row_hash(ids, seed))
+    hashed = df.where(F.col(stratum).isNotNull()).select(stratum, *[c for c in ids if c != stratum]).withColumn("_hash", row_hash(ids, seed))
     hashed = hashed.withColumn("_part", F.substring("_hash", 1, HASH_PREFIX))
     whole = Window.partitionBy(stratum)
     running = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
@@ -92,9 +88,11 @@ def hash_cutoffs(df: DataFrame, stratum: str, ids: Sequence[str], seed: int, sha
         .withColumn("wanted", F.round(F.lit(share) * F.sum("n").over(whole)).cast("bigint"))
         .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
         .select(stratum, "_part", (F.col("wanted") - F.col("upto") + F.col("n")).alias("place"))
+        .limit(MAX_STRATA + 1)
         .collect()
     )
-    assert len(deciding) <= len(strata)
+    if len(deciding) > MAX_STRATA:
+        raise ValueError(f"{stratum} has more than {MAX_STRATA} strata")
     if not deciding:
         return {}
     place, at_part = F.lit(None).cast("bigint"), F.lit(False)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
+from creditmart.functions.arrays import split_list
 from creditmart.functions.text import (
     DIGITS_S_AND_DOT, HAS_LETTER, parse_months, pattern_flag, payment_size, recode, recode_unmatched,
     spending_level,
@@ -64,6 +65,19 @@ class Vocabularies:
     min_payment: Sequence[str] | None = None
     occupations: Sequence[str] | None = None
 
+    def completed(self, financials: DataFrame) -> Vocabularies:
+        """The financial vocabularies that are not given read from the data, in one pass."""
+        columns = {
+            "loan_types": split_list(F.col("Type_of_Loan")),
+            "credit_mix": F.col("Credit_Mix"),
+            "min_payment": F.col("Payment_of_Min_Amount"),
+        }
+        unknown = {name: c for name, c in columns.items() if getattr(self, name) is None}
+        if not unknown:
+            return self
+        read = financials.select(*[c.alias(name) for name, c in unknown.items()])
+        return replace(self, **encoding.vocabularies(read, list(unknown)))
+
 
 def loan_daily(bronze: DataFrame) -> DataFrame:
     """Typed loan ledger with months on book and days past due."""
@@ -104,6 +118,7 @@ def financial_flags(df: DataFrame, vocab: Vocabularies = Vocabularies()) -> Data
             "Payment_Size": payment_size(F.col("Payment_Behaviour")),
         }
     )
+    vocab = vocab.completed(coded)
     flagged = encoding.multi_hot(coded, "Type_of_Loan", "loan_type", vocab.loan_types)
     flagged = encoding.one_hot(flagged, "Credit_Mix", vocab.credit_mix)
     flagged = encoding.one_hot(flagged, "Payment_of_Min_Amount", vocab.min_payment)
