@@ -76,9 +76,12 @@ def process_customer_features(
     """Customer features from the bronze financials, with the attributes unless declined."""
     bronze, bronze_layer = _at(spark, bronze_feature_directory)
     mart, layer = _at(spark, silver_feature_directory)
+    numbers = silver.financial_numbers(bronze.read(bronze_layer, "financials", schema=FINANCIAL_FILE))
+    mart.write_static(numbers, layer, "financial_numbers")
     features = silver.customer_features(
-        bronze.read(bronze_layer, "financials", schema=FINANCIAL_FILE),
+        mart.read(layer, "financial_numbers"),
         bronze.read(bronze_layer, "attributes", schema=ATTRIBUTE_FILE) if join_attributes else None,
+        parsed=True,
     )
     mart.write_static(features, layer, "financial_attributes")
     return mart.read(layer, "financial_attributes")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANGES = 256
+RANGES = 1_000
 MAX_STRATA = 20
 HASH_PREFIX = 4
 

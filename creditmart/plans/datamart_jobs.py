@@ -70,16 +70,21 @@ class Build:
         return self.mart.read("bronze", name, snapshots, FILE_SCHEMAS[name])
 
     def silver_loans(self, snapshots: Sequence[str | date]) -> int:
-        return self.mart.write(silver.loan_daily(self.bronze_frame("lms", snapshots)), "silver", "loan_daily")
+        loans = silver.loan_daily(self.bronze_frame("lms", snapshots))
+        return self.mart.write(loans, "silver", "loan_daily", gather=False)
 
     def silver_customers(self) -> int:
+        """The parsed numbers are stored first: the caps' and vocabularies' passes then read a typed
+        column each instead of parsing the text again."""
+        self.mart.write_static(silver.financial_numbers(self.bronze_frame("financials")), "silver", "financial_numbers")
         attributes = self.bronze_frame("attributes") if self.join_attributes else None
-        customers = silver.customer_features(self.bronze_frame("financials"), attributes, self.vocab)
+        numbers = self.mart.read("silver", "financial_numbers")
+        customers = silver.customer_features(numbers, attributes, self.vocab, parsed=True)
         return self.mart.write_static(customers, "silver", "financial_attributes")
 
     def silver_clickstream(self, snapshots: Sequence[str | date]) -> int:
         clicks = silver.clickstream(self.bronze_frame("clickstream", snapshots))
-        return self.mart.write(clicks, "silver", "clickstream")
+        return self.mart.write(clicks, "silver", "clickstream", gather=False)
 
     def gold_labels(self, snapshots: Sequence[str | date]) -> int:
         loans = self.mart.read("silver", "loan_daily", snapshots, schemas.LOAN_DAILY_SCHEMA)

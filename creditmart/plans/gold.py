@@ -31,11 +31,17 @@ def feature_store(
     clicks = silver_clickstream if end is None else up_to(silver_clickstream, end)
     if not as_of:
         return lookup_join(clicks, customers.drop("snapshot_date"), ["Customer_ID"], salts=salts)
-    # Each feature row is valid from its date to the customer's next one.
+    # A feature row is valid from its date to the day before the customer's next one. Listing the
+    # months it touches makes this an equi-join in which a row meets its own month's features only.
+    latest = clicks.agg(F.max("snapshot_date")).scalar()
     following = F.lead("snapshot_date").over(Window.partitionBy("Customer_ID").orderBy("snapshot_date"))
-    dated = customers.withColumn("_until", following).withColumnRenamed("snapshot_date", "_since")
-    joined = lookup_join(clicks, dated, ["Customer_ID"], salts=salts)
-    valid = (F.col("_since") <= F.col("snapshot_date")) & (
-        F.col("_until").isNull() | (F.col("snapshot_date") < F.col("_until"))
+    dated = customers.select(
+        F.col("snapshot_date").alias("_since"),
+        F.coalesce(F.date_sub(following, 1), F.greatest(latest, "snapshot_date")).alias("_until"),
+        *[c for c in customers.columns if c != "snapshot_date"],
     )
-    return joined.where(valid).drop("_since", "_until")
+    months = F.sequence(F.trunc("_since", "month"), F.trunc("_until", "month"), F.expr("interval 1 month"))
+    by_month = dated.where("_since <= _until").withColumn("_month", F.explode(months))
+    clicks = clicks.withColumn("_month", F.trunc("snapshot_date", "month"))
+    joined = lookup_join(clicks, by_month, ["Customer_ID", "_month"], salts=salts)
+    return joined.where("snapshot_date BETWEEN _since AND _until").drop("_since", "_until", "_month")

@@ -125,8 +125,9 @@ def financial_flags(df: DataFrame, vocab: Vocabularies = Vocabularies()) -> Data
     return drop_columns(flagged, FINANCIAL_LEFTOVERS)
 
 
-def financials(bronze: DataFrame, vocab: Vocabularies = Vocabularies(), rel_err: float = 0.0) -> DataFrame:
-    return financial_flags(financial_outliers(financial_numbers(bronze), rel_err), vocab)
+def financials(numbers: DataFrame, vocab: Vocabularies = Vocabularies(), rel_err: float = 0.0) -> DataFrame:
+    """Features from financials whose numbers are read."""
+    return financial_flags(financial_outliers(numbers, rel_err), vocab)
 
 
 def attributes(bronze: DataFrame, vocab: Vocabularies = Vocabularies(), rel_err: float = 0.0) -> DataFrame:
@@ -146,9 +147,14 @@ def customer_features(
     bronze_attributes: DataFrame | None,
     vocab: Vocabularies = Vocabularies(),
     rel_err: float = 0.0,
+    parsed: bool = False,
 ) -> DataFrame:
-    """Financial features, joined to the attributes of the same customer and snapshot if given."""
-    money = financials(bronze_financials, vocab, rel_err)
+    """Financial features, joined to the attributes of the same customer and snapshot if given.
+
+    ``parsed`` says that the financials come with their numbers read already.
+    """
+    numbers = bronze_financials if parsed else financial_numbers(bronze_financials)
+    money = financials(numbers, vocab, rel_err)
     if bronze_attributes is None:
         return money
     return equi_join(money, attributes(bronze_attributes, vocab, rel_err), ["Customer_ID", "snapshot_date"])

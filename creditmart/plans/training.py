@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from math import prod
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
@@ -99,9 +100,18 @@ class Trained:
 
 
 def prepare(labels: DataFrame, features: DataFrame, config: TrainConfig) -> DataFrame:
-    """Model data with ``split`` = train, test or oot; rows outside the windows are left out."""
-    data = oot_split(model_dataset(labels, features, config.windows, config.join), config.windows)
-    # Only the train/test window is split at random; the out-of-time rows keep their name.
+    """Model data with ``split`` = train, test or oot; rows outside the windows are left out.
+
+    A left join keeps the labels as they are, so they are split before it, without the features.
+    """
+    if config.join == "left":
+        return model_dataset(_split(labels, config), features, config.windows, "left")
+    return _split(model_dataset(labels, features, config.windows, config.join), config)
+
+
+def _split(df: DataFrame, config: TrainConfig) -> DataFrame:
+    """The train/test window split at random; the out-of-time rows keep their name."""
+    data = oot_split(df, config.windows)
     candidates = data.where("split = 'train_test'").drop("split")
     split = train_test_split(candidates, config.label, config.ids, config.train_share, config.split_seed)
     return split.unionByName(data.where("split = 'oot'"))
@@ -153,7 +163,11 @@ def random_search(vectors: DataFrame, config: TrainConfig):
         parallelism=config.parallelism, seed=config.search_seed,
     )
     folded = assign_folds(vectors, config.label, config.ids, config.folds, config.search_seed)
-    return search.fit(folded.select("features", config.label, "fold"))
+    folded = folded.select("features", config.label, "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return search.fit(folded)
+    finally:
+        folded.unpersist()
 
 
 def search_results(fitted) -> DataFrame:
@@ -196,12 +210,15 @@ def train(data: DataFrame, config: TrainConfig) -> Trained:
 
 
 def evaluate(model: PipelineModel, data: DataFrame, config: TrainConfig) -> dict[str, float]:
-    """Exact AUC per split."""
-    scored = score(model, data)
-    return {
-        name: metrics.roc_auc(scored.where(F.col("split") == name), "score", config.label).first()["auc"]
-        for name in ("train", "test", "oot")
-    }
+    """Exact AUC per split; the rows are scored once."""
+    scored = score(model, data).select("split", config.label, "score").persist(StorageLevel.DISK_ONLY)
+    try:
+        return {
+            name: metrics.roc_auc(scored.where(F.col("split") == name), "score", config.label).first()["auc"]
+            for name in ("train", "test", "oot")
+        }
+    finally:
+        scored.unpersist()
 
 
 def metadata(trained: Trained) -> DataFrame:

@@ -15,6 +15,14 @@ SETTINGS = {
 }
 
 
+def ensure_checkpoint_dir(spark: SparkSession, otherwise: str) -> str:
+    """The folder the cluster names for checkpoints; ``otherwise`` only where it names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(otherwise)
+    return named or spark.sparkContext.getCheckpointDir()
+
+
 def builder(app: str) -> SparkSession.Builder:
     b = SparkSession.builder.appName(app)
     for name, value in SETTINGS.items():

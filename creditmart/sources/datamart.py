@@ -50,16 +50,17 @@ class Datamart:
         df = reader.format(self.file_format).load(self.path(layer, table))
         return df if snapshots is None else at_snapshots(df, snapshots)
 
-    def write(self, df: DataFrame, layer: str, table: str) -> int:
+    def write(self, df: DataFrame, layer: str, table: str, gather: bool = True) -> int:
         """Replace the snapshots present in ``df``, leave the others, and return the rows written.
 
         Rows are gathered by snapshot before writing, so a snapshot gets few large files; a snapshot
-        too large for one task is split again by the rebalancing. The row count is observed while
-        writing.
+        too large for one task is split again by the rebalancing. A frame that is only a projection
+        of a table split by snapshot is gathered already: without ``gather`` it is written as it
+        comes, with no shuffle. The row count is observed while writing.
         """
         seen = Observation()
         (
-            df.hint("rebalance", PARTITION)
+            (df.hint("rebalance", PARTITION) if gather else df)
             .observe(seen, F.count(F.lit(1)).alias("rows"))
             .write.format(self.file_format)
             .mode("overwrite")

@@ -147,7 +147,7 @@ def test_histogram_against_numpy(spark):
     assert [r["n"] for r in rows if r["column"] == "c"] == [1000] + [0] * 7
 
 
-def test_density(spark):
+def test_density(spark, monkeypatch):
     x = np.random.default_rng(3).normal(size=300)
     df = spark.createDataFrame([(float(v),) for v in x], "x double")
     rows = profile.density(df, "x", points=80).orderBy("x").collect()
@@ -157,8 +157,16 @@ def test_density(spark):
         assert r["density"] == pytest.approx(want)
     area = np.trapezoid([r["density"] for r in rows], [r["x"] for r in rows])
     assert area == pytest.approx(1, abs=0.01)
-    binned = profile.density(df, "x", points=80, bins=200).orderBy("x").collect()
-    assert max(abs(a["density"] - b["density"]) for a, b in zip(rows, binned)) < 0.01
+    monkeypatch.setattr(profile, "COUNT_VALUES_BELOW", 0)
+    uncounted = profile.density(df, "x", points=80).orderBy("x").collect()
+    assert [r["density"] for r in uncounted] == pytest.approx([r["density"] for r in rows], rel=1e-9)
+
+
+def test_density_far_from_data(spark):
+    df = spark.createDataFrame([(0.0,)] * 500 + [(1.0,)] * 500 + [(1000.0,)], "x double")
+    rows = profile.density(df, "x", points=50).orderBy("x").collect()
+    assert len(rows) == 50
+    assert rows[25]["density"] == pytest.approx(0, abs=1e-12)
 
 
 def test_correlations(spark):
