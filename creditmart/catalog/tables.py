@@ -8,11 +8,12 @@ blank and unreadable text are put in on purpose.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from creditmart.session import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -255,7 +256,5 @@ def with_views(*names: str) -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A new folder in the shared folder the session names; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="creditmart-")
-    return f"{base}/creditmart-{uuid.uuid4().hex}"
+    """A new folder in the cluster's shared folder, for tables a query writes and reads back."""
+    return f"{shared_folder(spark)}/creditmart-{uuid.uuid4().hex}"

@@ -16,8 +16,7 @@ def as_int(c: Column) -> Column:
 
 
 def cast_or_null(c: Column, target: DataType | str) -> Column:
-    """``try_cast`` with truncation of fractional text for integer targets."""
+    """``try_cast``; text with a fraction is truncated for integer targets (``c`` must be text then)."""
     if isinstance(target, (IntegerType, LongType)) or target in ("int", "integer", "bigint", "long"):
-        exact = c.try_cast(target)
-        return F.coalesce(exact, c.try_cast("string").try_cast("double").try_cast(target))
+        return F.coalesce(c.try_cast(target), c.try_cast("double").try_cast(target))
     return c.try_cast(target)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from creditmart.functions.dates import month_starts
 from creditmart.plans import silver, training
 from creditmart.plans.datamart_jobs import Build
-from creditmart.session import builder, ensure_checkpoint_dir
+from creditmart.session import builder, shared_folder
 from creditmart.sources.datamart import Datamart
 
 
@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> None:
             print(f"{table}: {rows} rows")
     else:
         # Boosting cuts its lineage there every few trees.
-        ensure_checkpoint_dir(spark, f"{args.datamart.rstrip('/')}/_checkpoints")
+        shared_folder(spark, f"{args.datamart.rstrip('/')}/_checkpoints")
         config = training.TrainConfig(args.snapshotdate, n_iter=args.n_iter)
         trained = train_model(build, config, args.model_bank)
         print(trained.version, trained.best_params, trained.auc)

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from creditmart.operators.ranking import running_totals
+from creditmart.session import materialized
 
 
 def _score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
-        F.count(F.when(F.col(label) == 0, 1)).alias("neg"),
+    """Positives and negatives per distinct score, stored: what follows reads them several times,
+    and the rows, which a model may have to score first, only once."""
+    return materialized(
+        df.groupBy(F.col(score).cast("double").alias("score")).agg(
+            F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
+            F.count(F.when(F.col(label) == 0, 1)).alias("neg"),
+        )
     )
 
 

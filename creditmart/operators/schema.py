@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, NumericType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import (
+    DataType, DoubleType, FloatType, IntegerType, NumericType, StringType, StructField,
+)
 
 from creditmart.functions.casting import cast_or_null
 
@@ -13,12 +15,21 @@ from creditmart.functions.casting import cast_or_null
 def enforce_schema(df: DataFrame, types: Mapping[str, DataType | str], only_present: bool = False) -> DataFrame:
     """Cast the named columns, all in one projection; unreadable values become NULL.
 
-    A named column that is missing is an error unless ``only_present``.
+    A named column that is missing is an error unless ``only_present``. Columns that have their type
+    already are passed through untouched, so that filters on them still reach the scan.
     """
     missing = [c for c in types if c not in df.columns]
     if missing and not only_present:
         raise ValueError(f"columns missing from the input: {missing}")
-    return df.select(*[cast_or_null(F.col(c), types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+    def typed(field: StructField) -> Column:
+        c, target = F.col(field.name), types.get(field.name, field.dataType)
+        if target in (field.dataType, field.dataType.simpleString()):
+            return c
+        is_text = isinstance(field.dataType, StringType)
+        return (cast_or_null(c, target) if is_text else c.try_cast(target)).alias(field.name)
+
+    return df.select(*[typed(field) for field in df.schema])
 
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Sizes are only known at run time: join strategy, skew and small partitions are decided then.
@@ -15,12 +17,23 @@ SETTINGS = {
 }
 
 
-def ensure_checkpoint_dir(spark: SparkSession, otherwise: str) -> str:
-    """The folder the cluster names for checkpoints; ``otherwise`` only where it names none."""
+def shared_folder(spark: SparkSession, otherwise: str | None = None) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only where none is named, as in local runs, ``otherwise`` or a new local folder takes its place.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(otherwise)
-    return named or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(otherwise or tempfile.mkdtemp(prefix="creditmart-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """The frame computed once and stored in the shared folder, for plans that read it repeatedly."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
 
 
 def builder(app: str) -> SparkSession.Builder:
