@@ -192,6 +192,13 @@ ATTRIBUTE_STEPS_SQL = f""", person AS (SELECT Customer_ID, snapshot_date, {AGE_S
     AS Age FROM person)"""
 
 
+def _numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed financials as a stored table, like the job has them: later passes read typed columns."""
+    path = f"{T.scratch_root(spark)}/financial_numbers"
+    silver.financial_numbers(T.financials(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query(
     T.with_views("financials", "attributes")
     + FINANCIAL_STEPS_SQL
@@ -199,7 +206,7 @@ ATTRIBUTE_STEPS_SQL = f""", person AS (SELECT Customer_ID, snapshot_date, {AGE_S
     + "SELECT * FROM money JOIN people USING (Customer_ID, snapshot_date)"
 )
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.customer_features(T.financials(spark, sf_dir), T.attributes(spark, sf_dir))
+    return silver.customer_features(_numbers(spark, sf_dir), T.attributes(spark, sf_dir), parsed=True)
 
 
 @query(T.with_views("attributes") + ATTRIBUTE_STEPS_SQL + "SELECT * FROM people")
@@ -215,5 +222,5 @@ def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = silver.Vocabularies(T.KINDS_OF_LOAN, MIXES, MIN_PAYMENTS)
-    customers = silver.customer_features(T.financials(spark, sf_dir), None, vocab)
+    customers = silver.customer_features(_numbers(spark, sf_dir), None, vocab, parsed=True)
     return gold.feature_store(T.clickstream(spark, sf_dir), customers)

@@ -23,11 +23,10 @@ def shared_folder(spark: SparkSession, otherwise: str | None = None) -> str:
     Only where none is named, as in local runs, ``otherwise`` or a new local folder takes its place.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(otherwise or tempfile.mkdtemp(prefix="creditmart-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named or otherwise or tempfile.mkdtemp(prefix="creditmart-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 def materialized(df: DataFrame) -> DataFrame:
