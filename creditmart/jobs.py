@@ -3,6 +3,7 @@
     --stage bronze --snapshotdate 2024-01-01            one snapshot of the loan ledger
     --stage backfill --start 2023-01-01 --end 2025-01-01  every layer for those months
     --stage train --snapshotdate 2024-09-01             train, evaluate and store the model
+        --features feature_store --join inner           on the gold feature store instead of the clickstream
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import argparse
 from pyspark.sql import DataFrame
 
 from creditmart.functions.dates import month_starts
-from creditmart.plans import silver, training
+from creditmart.plans import training
 from creditmart.plans.datamart_jobs import Build
 from creditmart.session import builder, shared_folder
 from creditmart.sources.datamart import Datamart
@@ -22,7 +23,7 @@ def train_model(build: Build, config: training.TrainConfig, bank: str) -> traini
     """Write the model data as a table, train on that, store the model, and check that the stored
     one scores alike."""
     labels = build.mart.read("gold", "label_store")
-    features = model_features(build)
+    features = model_features(build, config)
     mart = build.mart
     mart.write_static(training.prepare(labels, features, config), "gold", f"model_data_{config.version}")
     data = mart.read("gold", f"model_data_{config.version}")
@@ -35,9 +36,12 @@ def train_model(build: Build, config: training.TrainConfig, bank: str) -> traini
     return trained
 
 
-def model_features(build: Build) -> DataFrame:
-    """Clickstream features per customer and snapshot."""
-    return silver.clickstream(build.mart.read("silver", "clickstream"))
+def model_features(build: Build, config: training.TrainConfig) -> DataFrame:
+    """Features per customer and snapshot: the clickstream's, or the whole feature store's when no
+    prefix limits them."""
+    if config.feature_prefix is None:
+        return build.mart.read("gold", "feature_store", merge_schema=True)
+    return build.mart.read("silver", "clickstream")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -52,6 +56,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--dpd", type=int, default=60)
     parser.add_argument("--mob", type=int, default=6)
     parser.add_argument("--n-iter", type=int, default=100)
+    parser.add_argument("--features", choices=["clickstream", "feature_store"], default="clickstream")
+    parser.add_argument("--join", choices=["left", "inner"], default="left")
     args = parser.parse_args(argv)
     if args.stage == "backfill" and not (args.start and args.end):
         parser.error("--stage backfill needs --start and --end")
@@ -68,7 +74,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         # Boosting cuts its lineage there every few trees.
         shared_folder(spark, f"{args.datamart.rstrip('/')}/_checkpoints")
-        config = training.TrainConfig(args.snapshotdate, n_iter=args.n_iter)
+        prefix = "fe_" if args.features == "clickstream" else None
+        config = training.TrainConfig(args.snapshotdate, n_iter=args.n_iter, join=args.join, feature_prefix=prefix)
         trained = train_model(build, config, args.model_bank)
         print(trained.version, trained.best_params, trained.auc)
 

@@ -89,7 +89,10 @@ class _Search:
 
 
 def exact_quantiles(df: DataFrame, quantiles: list[Quantile]) -> dict[str, float | None]:
-    """Exact quantiles as ``{name: value}``; NULLs are ignored, an empty column gives None."""
+    """Exact quantiles as ``{name: value}``; NULLs are ignored, an empty column gives None.
+
+    Values are compared as doubles.
+    """
     columns = list(dict.fromkeys(q.column for q in quantiles))
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     # The first pass covers whole columns, where the relative ranks are known: one sketch a column.

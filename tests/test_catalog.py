@@ -15,7 +15,24 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_matches_sql(spark, duck, name):
-    assert compare(entry.queries()[name](spark, SF), duck, entry.oracle_sql()[name]) == ""
+    df = entry.queries()[name](spark, SF)
+    assert compare(df, duck, entry.oracle_sql()[name]) == ""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("name", ["winsorize_p95", "one_hot", "multi_hot", "clean_numeric", "enforce_schema"])
+def test_applying_a_fit_does_not_shuffle_the_rows(spark, name):
+    df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SinglePartition" not in plan
+
+
+def test_filters_reach_the_scan(spark):
+    plan = entry.queries()["filter_completed"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_shipdate" in plan
+    trimmed = entry.queries()["outlier_trim"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_totalprice), LessThan(o_totalprice," in trimmed
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries().keys() - entry.oracle_sql().keys()))

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from creditmart import api
+from creditmart import api, jobs
 from creditmart.catalog import tables as T
 from creditmart.functions.dates import month_starts
 from creditmart.plans import gold, silver
@@ -145,6 +145,17 @@ def test_csv_columns_may_come_in_any_order(spark, tmp_path):
         build.source("attributes")
 
 
+def test_command_line(spark, sources, tmp_path, built, capsys):
+    build, counts = built
+    monthly = ["--source", sources, "--datamart", str(tmp_path), "--dpd", "30"]
+    jobs.main(["--stage", "bronze", "--snapshotdate", "1997-03-01", *monthly])
+    mart = dm.Datamart(spark, str(tmp_path))
+    assert rows(mart.read("bronze", "lms")) == rows(build.bronze_frame("lms", ["1997-03-01"]))
+    jobs.main(["--stage", "backfill", "--start", "1997-01-01", "--end", "1997-06-01", *monthly])
+    assert rows(mart.read("gold", "label_store")) == rows(build.mart.read("gold", "label_store"))
+    assert f"gold.feature_store: {counts['gold.feature_store']} rows" in capsys.readouterr().out
+
+
 def test_entry_points_per_date(spark, sources, tmp_path, built):
     build, _ = built
     day = "1997-03-01"

@@ -92,6 +92,20 @@ def test_inner_join_drops_unmatched_labels(mart):
     assert left.where("split is null").count() == 0
 
 
+def test_training_on_the_feature_store(spark, mart, tmp_path):
+    store = mart.read("silver", "clickstream").selectExpr(
+        "Customer_ID", "snapshot_date", "fe_1", "cast(fe_1 * 10 as int) as `Num-of-Loan`"
+    )
+    other = Datamart(spark, str(tmp_path / "mart"))
+    other.write(store, "gold", "feature_store")
+    other.write(mart.read("gold", "label_store"), "gold", "label_store")
+    changed = config(feature_prefix=None, join="inner", n_iter=1)
+    model = jobs.train_model(Build(spark, "", other), changed, str(tmp_path / "bank"))
+    assert sorted(model.features) == ["Num-of-Loan", "fe_1"]
+    assert sum(n for n, _ in model.stats.values()) == 1330
+    assert model.auc["oot"] > 0.8
+
+
 def test_hard_label_score(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 0.0), (0, 0.0), (0, 0.0)], "label int, prediction double")
     assert training.HardLabelAuc().evaluate(df) == 0.75
