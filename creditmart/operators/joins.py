@@ -29,13 +29,15 @@ def lookup_join(
     """Join facts to a dimension with one row per key.
 
     With ``salts`` the rows of hot keys are spread over that many tasks, and only those keys'
-    dimension rows are repeated as often.
+    dimension rows are repeated as often. A row's task depends on its content and its partition:
+    equal rows are spread too, and a task that is run again sends its rows where they went before.
     """
     hot = hot_key_hashes(fact, keys) if salts > 1 else []
     if not hot:
         return equi_join(fact, dimension, keys, how)
     is_hot = F.xxhash64(*keys).isin(hot)
-    spread = F.when(is_hot, F.pmod(F.xxhash64(*fact.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    row = F.xxhash64(*fact.columns, F.spark_partition_id())
+    spread = F.when(is_hot, F.pmod(row, F.lit(salts))).otherwise(F.lit(0)).cast("int")
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted = equi_join(
         fact.withColumn("_salt", spread),

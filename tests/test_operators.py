@@ -97,9 +97,9 @@ def test_vocabulary_bound(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_plain(spark, how):
-    # one key holds most rows; another is missing from the dimension
-    fact = spark.range(3000).selectExpr(
-        "case when id % 3 = 0 then 'hot' else cast(id % 400 as string) end as k", "id as v"
+    # copies of one row make up a third of all; other keys are missing from the dimension
+    fact = spark.range(0, 3000, 1, 6).selectExpr(
+        "case when id % 3 = 0 then 'hot' else cast(id % 400 as string) end as k", "if(id % 3 = 0, 0, id) as v"
     )
     dim = spark.range(300).selectExpr("cast(id as string) as k", "id * 2 as d").union(
         spark.createDataFrame([("hot", -1)], "k string, d bigint")
@@ -108,6 +108,7 @@ def test_salted_join_equals_plain(spark, how):
     plain = joins.lookup_join(fact, dim, ["k"], how)
     salted = joins.lookup_join(fact, dim, ["k"], how, salts=8)
     assert salted.columns == plain.columns
+    assert plain.where("k = 'hot'").count() == 1000
     assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
 
 
