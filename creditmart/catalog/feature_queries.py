@@ -152,6 +152,11 @@ def _number(c: str) -> str:
     return f"round(TRY_CAST(regexp_replace({c}, '[^0-9\\.]', '', 'g') AS DOUBLE), 2)"
 
 
+def half_up(c: str) -> str:
+    """Rounding of the decimal value, as Spark does: 19.275 to 19.28, whatever its binary form is."""
+    return f"CAST(round(CAST({c} AS DECIMAL(30, 12)), 2) AS DOUBLE)"
+
+
 CAPS = {
     "Num_Bank_Accounts": "INTEGER",
     "Num_Credit_Card": "INTEGER",
@@ -167,8 +172,8 @@ FINANCIAL_STEPS_SQL = f""", read AS (SELECT * REPLACE (
     CAST(trunc(TRY_CAST(regexp_replace(Num_of_Loan, '[^0-9s\\.]', '', 'g') AS DOUBLE)) AS INTEGER) AS Num_of_Loan,
     CAST(trunc({_number('Num_of_Delayed_Payment')}) AS INTEGER) AS Num_of_Delayed_Payment,
     CAST(Num_Credit_Inquiries AS INTEGER) AS Num_Credit_Inquiries,
-    round(Credit_Utilization_Ratio, 2) AS Credit_Utilization_Ratio,
-    round(Total_EMI_per_month, 2) AS Total_EMI_per_month),
+    {half_up('Credit_Utilization_Ratio')} AS Credit_Utilization_Ratio,
+    {half_up('Total_EMI_per_month')} AS Total_EMI_per_month),
     coalesce(TRY_CAST(nullif(regexp_extract(Credit_History_Age, '([0-9]+) Years?', 1), '') AS DOUBLE), 0) * 12
     + coalesce(TRY_CAST(nullif(regexp_extract(Credit_History_Age, '([0-9]+) Months?', 1), '') AS DOUBLE), 0)
     AS Credit_History_Age_Months FROM financials),
