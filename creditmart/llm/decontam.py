@@ -61,29 +61,34 @@ class Reader:
 
     def __init__(self) -> None:
         self.seen: dict[str, int] = {}
-        self.kinds: list[int] = []
-        self.codes: list[int] = []
         self.values: list[str] = []
-
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Code, kind and number of each token of a text."""
+        self.tables = np.zeros(1024, dtype=np.int8), np.zeros(1024, dtype=np.uint64)
+
+    def learn(self, words: list[str]) -> None:
+        found, n = list(map(token, words)), len(self.values)
+        self.seen.update(zip(words, range(n, n + len(words))))
+        self.values += [f[2] for f in found]
+        while len(self.values) > len(self.tables[0]):
+            self.tables = tuple(np.concatenate([t, np.zeros_like(t)]) for t in self.tables)
+        for table, column in zip(self.tables, (0, 1)):
+            table[n : n + len(words)] = [f[column] for f in found]
+
+    def read(self, text: str, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Code, kind and number of each token of a text. Without names, capitalised words stand as they are."""
         if len(self.values) > REMEMBERED:
             self.__init__()
         words = text.split()
-        for w in set(words).difference(self.seen):
-            kind, code, value = token(w)
-            self.seen[w] = len(self.values)
-            self.kinds.append(kind)
-            self.codes.append(code)
-            self.values.append(value)
-        self.tables = np.array(self.kinds, dtype=np.int8), np.array(self.codes, dtype=np.uint64)
-        at = np.fromiter(map(self.seen.__getitem__, words), dtype=np.int64, count=len(words))
-        return self.coded(at)
-
-    def coded(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        new = set(words).difference(self.seen)
+        if new:
+            self.learn(list(new))
+        return self.coded(np.fromiter(map(self.seen.__getitem__, words), dtype=np.int64, count=len(words)), names)
+
+    def coded(self, at: np.ndarray, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         kind_of, code_of = self.tables
         kinds = kind_of[at]
         at, kinds = at[kinds != SKIP], kinds[kinds != SKIP].copy()
+        if not names:
+            kinds[kinds == NAME] = PLAIN
         unit = kinds == UNIT  # a unit is a slot after a number only
         kinds[unit & ~np.concatenate(([False], kinds[:-1] == NUM))[: len(kinds)]] = PLAIN
         return np.where(kinds == PLAIN, code_of[at], CODES[kinds]), kinds, at
@@ -102,11 +107,21 @@ def window_hashes(codes: np.ndarray, kinds: np.ndarray, width: int) -> tuple[np.
     return h, plain[width:] - plain[:-width]
 
 
+def _forms(reader: Reader, text: str, widths: list[int], of_items: bool) -> Iterator[tuple]:
+    """Template tokens of a text and a width, for each way to cut it into windows."""
+    for names in (True, False) if of_items else (True,):
+        form = reader.read(text, names)
+        if len(form[0]):
+            yield from ((*form, w) for w in ([min(len(form[0]), widths[-1])] if of_items else widths))
+
+
 COLUMNS = "hash long, pos int, slots array<string>"
 
 
-def _windows(batches, widths: list[int], wanted: np.ndarray | None, whole_short: bool) -> Iterator[pa.RecordBatch]:
-    """Windows of (id, text) rows. whole_short: a text shorter than the widest window is one window."""
+def _windows(batches, widths: list[int], wanted: np.ndarray | None, of_items: bool) -> Iterator[pa.RecordBatch]:
+    """Windows of (id, text) rows. Of items: one that is shorter than the widest window is one window, and windows are made both
+    with names as slots and with names as words, for copies in capitals or without any.
+    """
     reader, mask = Reader(), None
     if wanted is not None:
         mask = np.zeros(1 << 22, dtype=bool)
@@ -114,14 +129,14 @@ def _windows(batches, widths: list[int], wanted: np.ndarray | None, whole_short:
     for batch in batches:
         rows: dict[str, list] = {"n": [], "hash": [], "pos": [], "slots": []}
         for n, text in enumerate(batch.column(1).to_pylist()):
-            codes, kinds, at = reader.read(text or "")
-            for width in ([min(len(codes), widths[-1])] if whole_short else widths) if len(codes) else []:
+            for codes, kinds, at, width in _forms(reader, text or "", widths, of_items):
                 h, plain = window_hashes(codes, kinds, width)
                 keep = (plain >= LITERAL) | (width < WIDTH)
                 if mask is not None:
                     keep &= mask[(h & np.uint64((1 << 22) - 1)).astype(np.int64)]
-                    keep[keep] = np.isin(h[keep], wanted)
-                elif whole_short and not keep.any():
+                    some = h[keep]
+                    keep[keep] = wanted[np.minimum(np.searchsorted(wanted, some), len(wanted) - 1)] == some
+                elif of_items and not keep.any():
                     keep[:] = True
                 for p in np.flatnonzero(keep).tolist():
                     rows["n"].append(n)
@@ -151,7 +166,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     # what is sent to the tasks is bounded; a larger benchmark is met by the join alone
     some = hashes.limit(SENT_UP_TO + 1)
     wanted = None
-    if some.count() <= SENT_UP_TO:
+    if 0 < some.count() <= SENT_UP_TO:
         wanted = np.unique(np.array([r.hash for r in some.collect()], dtype=np.int64).view(np.uint64))
     rows = docs.select(F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash")).alias("id"), F.col(text))
     kind = rows.schema["id"].dataType.simpleString()
