@@ -49,17 +49,59 @@ def read_pieces(path: str) -> list[str]:
 
 def runs(text: str) -> list[str]:
     """The runs of letters of text in lower case, long ones cut."""
-    found = RUN.findall(text)
+    found = [text] if text.isalpha() else RUN.findall(text)
     if any(len(r) > LONGEST_RUN for r in found):
         found = [r[i : i + LONGEST_RUN] for r in found for i in range(0, len(r), LONGEST_RUN)]
     return found
 
 
+#: Multiplier of the hash of a run of letters, and the first value of a piece that starts a word.
+BASE, AT_START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x51ED270B27B4F3CF)
+MASK = np.uint64((1 << 22) - 1)
+
+
+def spread(h: np.ndarray) -> np.ndarray:
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+@dataclass
+class Index:
+    """Numbers of pieces by the 64-bit hash of their letters."""
+
+    keys: np.ndarray
+    numbers: np.ndarray
+    present: np.ndarray  # by the hash's low bits: whether a piece may have it
+
+    @classmethod
+    def of(cls, piece_list: list[str]) -> Index:
+        found = {}
+        for n, p in enumerate(piece_list):
+            bare = p.removeprefix(START)
+            h = np.array([AT_START if p.startswith(START) else 0], dtype=np.uint64)
+            for c in bare:
+                h = h * BASE + np.uint64(ord(c))
+            if bare:
+                found[int(spread(h)[0])] = n + 2
+        keys = np.array(sorted(found), dtype=np.uint64)
+        present = np.zeros(1 << 22, dtype=bool)
+        present[(keys & MASK).astype(np.int64)] = True
+        return cls(keys, np.array([found[k] for k in keys.tolist()], dtype=np.int32), present)
+
+    def look_up(self, h: np.ndarray) -> np.ndarray:
+        """Number of the piece of each hash, or 0."""
+        h, out = spread(h), np.zeros(h.shape, dtype=np.int32)
+        maybe = self.present[(h & MASK).astype(np.int64)]
+        some = h[maybe]
+        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        out[maybe] = np.where(self.keys[at] == some, self.numbers[at], 0)
+        return out
+
+
 @dataclass
 class Pieces:
     """Piece probabilities by language: `table[p, g]`, where piece 0 is none and piece 1 an unknown letter."""
 
-    index: dict[str, int]
+    index: Index
     langs: list[str]
     table: np.ndarray
     remembered: dict[str, int] = field(default_factory=dict)
@@ -67,12 +109,15 @@ class Pieces:
 
     def lattice(self, words: list[str]) -> np.ndarray:
         """For words of one length: the piece that ends after letter i and is k letters long, at [word, i, k - 1]."""
-        length, get = len(words[0]), self.index.get
-        spans = [(i, k) for i in range(1, length + 1) for k in range(1, min(i, LONGEST_PIECE) + 1)]
-        flat = [get(START + w[:i] if i == k else w[i - k : i], 0) for w in words for i, k in spans]
+        length = len(words[0])
+        letters = np.array(words, dtype=f"<U{length}").view(np.uint32).reshape(len(words), length).astype(np.uint64)
         out = np.zeros((len(words), length + 1, LONGEST_PIECE), dtype=np.int32)
-        rows, cols = zip(*spans)
-        out[:, rows, [c - 1 for c in cols]] = np.array(flat, dtype=np.int32).reshape(len(words), -1)
+        inner, first = np.zeros((len(words), length + 1), dtype=np.uint64), np.full(len(words), AT_START)
+        for k in range(1, min(length, LONGEST_PIECE) + 1):
+            first = first * BASE + letters[:, k - 1]
+            inner[:, k:] = inner[:, k - 1 : -1] * BASE + letters[:, k - 1 :]
+            out[:, k + 1 :, k - 1] = self.index.look_up(inner[:, k + 1 :])
+            out[:, k, k - 1] = self.index.look_up(first)
         single = out[:, 1:, 0]
         single[single == 0] = 1
         return out
@@ -190,11 +235,11 @@ def fit(docs: DataFrame, piece_list: list[str], text: str = "text", lang: str =
 
     What comes to the driver is one number for each piece and language, whatever the size of the documents.
     """
-    index = {p: n + 2 for n, p in enumerate(piece_list)}
+    index = Index.of(piece_list)
     counts = stored(word_counts(docs, text, lang))
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     number = {g: n for n, g in enumerate(langs)}
-    model = Pieces(index, langs, _normal(np.ones((len(index) + 2, len(langs)))))
+    model = Pieces(index, langs, _normal(np.ones((len(piece_list) + 2, len(langs)))))
     for _ in range(rounds if langs else 0):
 
         def run(batches: Iterator[pa.RecordBatch], model: Pieces = model) -> Iterator[pa.RecordBatch]:
