@@ -34,7 +34,7 @@ LONGEST_PIECE = 8
 FLOOR = 1e-9
 START = "▁"
 BLOCK_CHARS = 4_000_000
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 RUN = re.compile(r"[^\W\d_]+")
 
 
