@@ -6,13 +6,13 @@ it wrote. ``creditmart.plans.datamart_jobs.Build.backfill`` does the same for ma
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditmart.functions.dates import month_starts
 from creditmart.operators import encoding
 from creditmart.plans import gold, silver
 from creditmart.plans.datamart_jobs import STATIC_SOURCES, Build
-from creditmart.sources.datamart import Datamart, at_snapshot, read_csv
+from creditmart.sources.datamart import Datamart, at_snapshot
 from creditmart.sources.schemas import (
     ATTRIBUTE_FILE, CLICKSTREAM_FILE, CLICKSTREAM_SCHEMA, FINANCIAL_FILE, LABEL_SCHEMA, LOAN_DAILY_SCHEMA,
     LOAN_FILE,
@@ -33,7 +33,7 @@ def process_bronze_table(
     """Ingest one snapshot of the loan ledger into ``<directory>/loan_daily``."""
     mart, layer = _at(spark, bronze_lms_directory)
     loans = at_snapshot(Build(spark, source_dir, mart).source("lms"), snapshot_date_str)
-    mart.write(loans, layer, "loan_daily")
+    mart.write(loans, layer, "loan_daily", snapshots=[snapshot_date_str])
     return mart.read(layer, "loan_daily", [snapshot_date_str], LOAN_FILE)
 
 
@@ -47,7 +47,7 @@ def process_bronze_feature_tables(
     for name, schema in zip(STATIC_SOURCES, (FINANCIAL_FILE, ATTRIBUTE_FILE)):
         mart.write_static(build.source(name), layer, name)
         frames[name] = mart.read(layer, name, schema=schema)
-    mart.write(at_snapshot(build.source("clickstream"), date_str), layer, "clickstream")
+    mart.write(at_snapshot(build.source("clickstream"), date_str), layer, "clickstream", snapshots=[date_str])
     frames["clickstream"] = mart.read(layer, "clickstream", [date_str], CLICKSTREAM_FILE)
     return frames
 
@@ -59,14 +59,16 @@ def process_silver_table(
     bronze, bronze_layer = _at(spark, bronze_lms_directory)
     mart, table = _at(spark, silver_loan_daily_directory)
     loans = silver.loan_daily(bronze.read(bronze_layer, "loan_daily", [snapshot_date_str], LOAN_FILE))
-    mart.write(loans, "", table)
+    mart.write(loans, "", table, snapshots=[snapshot_date_str])
     return mart.read("", table, [snapshot_date_str], loans.schema)
 
 
 def process_customer_attributes(attributes_path: str, spark: SparkSession) -> DataFrame:
     """Attributes features from a CSV file, or from a bronze Parquet table."""
     if attributes_path.endswith(".csv"):
-        return silver.attributes(read_csv(spark, attributes_path, None))
+        text = spark.read.option("header", True).option("escape", '"').csv(attributes_path)
+        typed = {f.name: F.col(f.name).cast(f.dataType) for f in ATTRIBUTE_FILE if f.name in text.columns}
+        return silver.attributes(text.withColumns(typed))
     return silver.attributes(spark.read.schema(ATTRIBUTE_FILE).parquet(attributes_path))
 
 
@@ -95,7 +97,7 @@ def process_silver_cs_features(
     mart, layer = _at(spark, silver_feature_directory)
     clicks = bronze.read(bronze_layer, "clickstream", [snapshot_date_str], CLICKSTREAM_FILE)
     typed = silver.clickstream(clicks)
-    mart.write(typed, layer, "clickstream")
+    mart.write(typed, layer, "clickstream", snapshots=[snapshot_date_str])
     return mart.read(layer, "clickstream", [snapshot_date_str], typed.schema)
 
 
@@ -111,7 +113,7 @@ def process_labels_gold_table(
     loans, loan_table = _at(spark, silver_loan_daily_directory)
     mart, table = _at(spark, gold_label_store_directory)
     silver_loans = loans.read("", loan_table, [snapshot_date_str], LOAN_DAILY_SCHEMA)
-    mart.write(gold.label_store(silver_loans, dpd, mob), "", table)
+    mart.write(gold.label_store(silver_loans, dpd, mob), "", table, snapshots=[snapshot_date_str])
     return mart.read("", table, [snapshot_date_str], LABEL_SCHEMA)
 
 
@@ -124,7 +126,7 @@ def process_features_gold_table(
     mart, table = _at(spark, gold_feature_store_directory)
     clicks = features.read(layer, "clickstream", [date_str], CLICKSTREAM_SCHEMA)
     store = gold.feature_store(clicks, features.read(layer, "financial_attributes"), snapshot_date)
-    mart.write(store, "", table)
+    mart.write(store, "", table, snapshots=[date_str])
     return mart.read("", table, [date_str], store.schema)
 
 

@@ -73,8 +73,8 @@ def apply_caps(df: DataFrame, caps: Mapping[str, float | None]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema}
 
     def capped(name: str, cap: float) -> Column:
-        out = F.when(F.col(name) > F.lit(cap), F.lit(cap)).otherwise(F.col(name))
-        return out.cast(types[name]) if isinstance(types[name], IntegralType) else out
+        value = F.lit(int(cap)).cast(types[name]) if isinstance(types[name], IntegralType) else F.lit(cap)
+        return F.when(F.col(name) > value, value).otherwise(F.col(name))
 
     return df.withColumns({name: capped(name, float(cap)) for name, cap in caps.items() if cap is not None})
 

@@ -1,5 +1,5 @@
 """Category encoders. The output schema depends on the vocabulary, which is either given (stable
-across snapshots) or read from the data: sorted, and refused above ``max_size``."""
+across snapshots) or read from the data and sorted. A limit on its size is optional."""
 
 from __future__ import annotations
 
@@ -11,8 +11,6 @@ from pyspark.sql.types import ArrayType
 
 from creditmart.functions.arrays import split_list
 
-MAX_VOCABULARY = 1_000
-
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
@@ -23,9 +21,9 @@ def array_vocabulary(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.explode(column).alias(column)).distinct()
 
 
-def vocabularies(df: DataFrame, columns: Sequence[str], max_size: int = MAX_VOCABULARY) -> dict[str, list]:
+def vocabularies(df: DataFrame, columns: Sequence[str], max_size: int | None = None) -> dict[str, list]:
     """Sorted distinct non-NULL text values (elements, for array columns) of several columns, found
-    in one pass."""
+    in one pass. With ``max_size``, a column with more values is refused."""
 
     def tagged(name: str) -> Column:
         is_array = isinstance(df.schema[name].dataType, ArrayType)
@@ -35,15 +33,17 @@ def vocabularies(df: DataFrame, columns: Sequence[str], max_size: int = MAX_VOCA
     entries = F.flatten(F.array(*[tagged(name) for name in columns]))
     pairs = df.select(F.inline(entries)).where("value IS NOT NULL").distinct()
     found: dict[str, list] = {name: [] for name in columns}
-    for row in pairs.limit(max_size * len(columns) + 1).collect():
+    if max_size is not None:
+        pairs = pairs.limit(max_size * len(columns) + 1)
+    for row in pairs.collect():
         found[row["name"]].append(row["value"])
     for name, values in found.items():
-        if len(values) > max_size:
+        if max_size is not None and len(values) > max_size:
             raise ValueError(f"{name} has more than {max_size} distinct values; it is not a category")
     return {name: sorted(values) for name, values in found.items()}
 
 
-def vocabulary(df: DataFrame, column: str, max_size: int = MAX_VOCABULARY) -> list:
+def vocabulary(df: DataFrame, column: str, max_size: int | None = None) -> list:
     return vocabularies(df, [column], max_size)[column]
 
 

@@ -195,7 +195,6 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
 
 # Beyond this many bandwidths a Gaussian kernel is below the precision of a double.
 KERNEL_REACH = 8.5
-COUNT_VALUES_BELOW = 1_000_000
 
 
 def density(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) -> DataFrame:
@@ -204,12 +203,11 @@ def density(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) ->
 
     A value adds to the grid points within its kernel's reach only. The bandwidth shrinks with the
     number of rows, so on a large table these are few, and they are summed before the shuffle.
-    Columns with few distinct values are counted by value first.
+    Rows are counted by value first; NaN counts as missing.
     """
-    v = F.col(column).cast("double")
+    v = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
     s = df.agg(
         F.count(v).alias("n"), F.stddev(v).alias("std"), F.min(v).alias("lo"), F.max(v).alias("hi"),
-        F.approx_count_distinct(v).alias("distinct"),
     ).first()
     if not s["n"] or not s["std"]:
         return df.sparkSession.createDataFrame([], "x double, density double")
@@ -217,10 +215,7 @@ def density(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) ->
     start, stop = s["lo"] - cut * width, s["hi"] + cut * width
     step = (stop - start) / (points - 1)
     values = df.select(v.alias("v")).where("v is not null")
-    if s["distinct"] <= COUNT_VALUES_BELOW:
-        values = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    else:
-        values = values.withColumn("n", F.lit(1))
+    values = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
 
     def grid_index(x: Column) -> Column:
         return F.least(F.greatest(x, F.lit(0)), F.lit(points - 1)).cast("int")

@@ -67,11 +67,12 @@ class _Search:
         """Use one pass's counts: answer, accept the interval, narrow it, or move it."""
         at_lo = m["below"] + m["at_lo"]
         inside = at_lo + m["inside"]
+        at_hi = m["at_hi"] if self.hi != self.lo else 0  # one value at both ends is counted once
         if self.rank <= m["below"]:
             self.lo, self.hi = None, self.lo
         elif self.rank <= at_lo:
             self.answer, self.settled = self.lo, True
-        elif self.rank > inside + m["at_hi"]:
+        elif self.rank > inside + at_hi:
             self.lo, self.hi = self.hi, None
         elif self.rank > inside:
             self.answer, self.settled = self.hi, True

@@ -12,7 +12,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANGES = 1_000
-MAX_STRATA = 20
 HASH_PREFIX = 4
 
 
@@ -87,23 +86,13 @@ def hash_cutoffs(df: DataFrame, stratum: str, ids: Sequence[str], seed: int, sha
         counts.withColumn("upto", F.sum("n").over(running))
         .withColumn("wanted", F.round(F.lit(share) * F.sum("n").over(whole)).cast("bigint"))
         .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
-        .select(stratum, "_part", (F.col("wanted") - F.col("upto") + F.col("n")).alias("place"))
-        .limit(MAX_STRATA + 1)
-        .collect()
+        .select(stratum, "_part", (F.col("wanted") - F.col("upto") + F.col("n")).alias("_wanted"))
     )
-    if len(deciding) > MAX_STRATA:
-        raise ValueError(f"{stratum} has more than {MAX_STRATA} strata")
-    if not deciding:
-        return {}
-    place, at_part = F.lit(None).cast("bigint"), F.lit(False)
-    for r in deciding:
-        here = (F.col(stratum) == F.lit(r[stratum])) & (F.col("_part") == F.lit(r["_part"]))
-        at_part, place = at_part | here, F.when(here, F.lit(r["place"])).otherwise(place)
     order = Window.partitionBy(stratum).orderBy("_hash", *ids)
     rows = (
-        hashed.where(at_part)
+        hashed.join(deciding, [stratum, "_part"])
         .withColumn("_place", F.row_number().over(order))
-        .where(F.col("_place") == place)
+        .where(F.col("_place") == F.col("_wanted"))
         .collect()
     )
     return {r[stratum]: (r["_hash"], *[r[c] for c in ids]) for r in rows}

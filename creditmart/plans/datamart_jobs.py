@@ -61,7 +61,7 @@ class Build:
         rows = {}
         for name in sources:
             if name in SNAPSHOT_SOURCES:
-                rows[name] = self.mart.write(at_snapshots(self.source(name), snapshots), "bronze", name)
+                rows[name] = self.mart.write(at_snapshots(self.source(name), snapshots), "bronze", name, snapshots=snapshots)
             else:
                 rows[name] = self.mart.write_static(self.source(name), "bronze", name)
         return rows
@@ -71,7 +71,7 @@ class Build:
 
     def silver_loans(self, snapshots: Sequence[str | date]) -> int:
         loans = silver.loan_daily(self.bronze_frame("lms", snapshots))
-        return self.mart.write(loans, "silver", "loan_daily", gather=False)
+        return self.mart.write(loans, "silver", "loan_daily", gather=False, snapshots=snapshots)
 
     def silver_customers(self) -> int:
         """The parsed numbers are stored first: the caps' and vocabularies' passes then read a typed
@@ -84,17 +84,17 @@ class Build:
 
     def silver_clickstream(self, snapshots: Sequence[str | date]) -> int:
         clicks = silver.clickstream(self.bronze_frame("clickstream", snapshots))
-        return self.mart.write(clicks, "silver", "clickstream", gather=False)
+        return self.mart.write(clicks, "silver", "clickstream", gather=False, snapshots=snapshots)
 
     def gold_labels(self, snapshots: Sequence[str | date]) -> int:
         loans = self.mart.read("silver", "loan_daily", snapshots, schemas.LOAN_DAILY_SCHEMA)
-        return self.mart.write(gold.label_store(loans, self.dpd, self.mob), "gold", "label_store")
+        return self.mart.write(gold.label_store(loans, self.dpd, self.mob), "gold", "label_store", snapshots=snapshots)
 
     def gold_features(self, snapshots: Sequence[str | date]) -> int:
         clicks = self.mart.read("silver", "clickstream", snapshots, schemas.CLICKSTREAM_SCHEMA)
         customers = self.mart.read("silver", "financial_attributes")
         features = gold.feature_store(clicks, customers, self.end, salts=self.salts)
-        return self.mart.write(features, "gold", "feature_store")
+        return self.mart.write(features, "gold", "feature_store", snapshots=snapshots)
 
     def backfill(self, snapshots: Sequence[str | date]) -> dict[str, int]:
         """Every stage for all snapshots; returns the rows written per table."""

@@ -20,12 +20,20 @@ SETTINGS = {
 def shared_folder(spark: SparkSession, otherwise: str | None = None) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is named, as in local runs, ``otherwise`` or a new local folder takes its place.
+    Only where none is named and Spark runs in one process, ``otherwise`` or a new local folder, removed when
+    the session ends, takes its place: on a cluster, executors could not see it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or otherwise or tempfile.mkdtemp(prefix="creditmart-"))
+        if not (named or context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = named or otherwise
+        if folder is None:
+            folder = tempfile.mkdtemp(prefix="creditmart-")
+            path = context._jvm.org.apache.hadoop.fs.Path(f"file://{folder}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+        context.setCheckpointDir(folder)
     return (named or context.getCheckpointDir()).rstrip("/")
 
 

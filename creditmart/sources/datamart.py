@@ -50,9 +50,14 @@ class Datamart:
         df = reader.format(self.file_format).load(self.path(layer, table))
         return df if snapshots is None else at_snapshots(df, snapshots)
 
-    def write(self, df: DataFrame, layer: str, table: str, gather: bool = True) -> int:
+    def write(
+        self, df: DataFrame, layer: str, table: str, gather: bool = True, snapshots: Sequence[str | date] | None = None
+    ) -> int:
         """Replace the snapshots present in ``df``, leave the others, and return the rows written.
 
+        Of the named ``snapshots``, those without rows in ``df`` are cleared too: a re-run leaves nothing
+        behind of what an earlier run has written for them.
+
         Rows are gathered by snapshot before writing, so a snapshot gets few large files; a snapshot
         too large for one task is split again by the rebalancing. A frame that is only a projection
         of a table split by snapshot is gathered already: without ``gather`` it is written as it
@@ -61,7 +66,11 @@ class Datamart:
         seen = Observation()
         (
             (df.hint("rebalance", PARTITION) if gather else df)
-            .observe(seen, F.count(F.lit(1)).alias("rows"))
+            .observe(
+                seen,
+                F.count(F.lit(1)).alias("rows"),
+                F.collect_set(F.col(PARTITION).cast("date").cast("string")).alias("present"),
+            )
             .write.format(self.file_format)
             .mode("overwrite")
             .option("header", True)
@@ -69,8 +78,14 @@ class Datamart:
             .partitionBy(PARTITION)
             .save(self.path(layer, table))
         )
+        for snapshot in sorted({str(s) for s in snapshots or ()} - set(seen.get["present"])):
+            self._clear(f"{self.path(layer, table)}/{PARTITION}={snapshot}")
         return seen.get["rows"]
 
+    def _clear(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def write_static(self, df: DataFrame, layer: str, table: str) -> int:
         """Replace a table that is not split by snapshot."""
         seen = Observation()

@@ -76,6 +76,20 @@ def test_rerun_replaces_only_its_months(built):
     assert rows(build.mart.read("gold", "label_store")) == before
 
 
+def test_rerun_with_fewer_months_leaves_nothing_behind(spark, built, tmp_path):
+    build, _ = built
+    mart = dm.Datamart(spark, str(tmp_path))
+    loans = build.mart.read("silver", "loan_daily")
+    labels = gold.label_store(loans, 30, 5)
+    mart.write(labels, "gold", "label_store", snapshots=MONTHS)
+    kept, gone = MONTHS[:2], [m for m in MONTHS[2:4]]
+    outside = rows(mart.read("gold", "label_store", MONTHS[4:], LABEL_SCHEMA))
+    fewer = gold.label_store(dm.at_snapshots(loans, kept), 60, 4)
+    mart.write(fewer, "gold", "label_store", snapshots=[*kept, *gone])
+    assert rows(mart.read("gold", "label_store", [*kept, *gone], LABEL_SCHEMA)) == rows(fewer)
+    assert rows(mart.read("gold", "label_store", MONTHS[4:], LABEL_SCHEMA)) == outside
+
+
 def test_feature_store_rows(spark, built):
     build, _ = built
     store = build.mart.read("gold", "feature_store")

@@ -56,8 +56,9 @@ def test_split_edges(spark, labelled):
     assert {r["id"]: r["split"] for r in modelset.train_test_split(unlabelled, "label", ["id"]).collect()} == {
         1: None, 2: "train",
     }
-    with pytest.raises(ValueError, match="strata"):
-        modelset.train_test_split(spark.range(500).withColumn("label", F.col("id")), "label", ["id"])
+    many = spark.range(500).withColumn("label", F.col("id") % 25)
+    split = modelset.train_test_split(many, "label", ["id"], 0.8).where("split = 'train'").groupBy("label").count().collect()
+    assert len(split) == 25 and {r["count"] for r in split} == {16}
 
 
 def test_folds_are_even(labelled):

@@ -148,7 +148,7 @@ def test_histogram_against_numpy(spark):
     assert [r["n"] for r in rows if r["column"] == "c"] == [1000] + [0] * 7
 
 
-def test_density(spark, monkeypatch):
+def test_density(spark):
     x = np.random.default_rng(3).normal(size=300)
     df = spark.createDataFrame([(float(v),) for v in x], "x double")
     rows = profile.density(df, "x", points=80).orderBy("x").collect()
@@ -158,9 +158,8 @@ def test_density(spark, monkeypatch):
         assert r["density"] == pytest.approx(want)
     area = np.trapezoid([r["density"] for r in rows], [r["x"] for r in rows])
     assert area == pytest.approx(1, abs=0.01)
-    monkeypatch.setattr(profile, "COUNT_VALUES_BELOW", 0)
-    uncounted = profile.density(df, "x", points=80).orderBy("x").collect()
-    assert [r["density"] for r in uncounted] == pytest.approx([r["density"] for r in rows], rel=1e-9)
+    missing = df.union(spark.createDataFrame([(float("nan"),), (None,)], "x double"))
+    assert [r["density"] for r in profile.density(missing, "x", points=80).orderBy("x").collect()] == pytest.approx([r["density"] for r in rows])
 
 
 def test_density_far_from_data(spark):
@@ -191,3 +190,35 @@ def test_value_counts(spark):
     assert [tuple(r) for r in profile.value_counts(df, "k").collect()] == [("b", 2), (None, 1), ("a", 1), ("c", 1)]
     shares = profile.value_counts(df, "k", normalize=True, keep_null=False).collect()
     assert [tuple(r) for r in shares] == [("b", 2, 50.0), ("a", 1, 25.0), ("c", 1, 25.0)]
+
+
+def test_more_categories_than_a_thousand(spark):
+    df = spark.range(1_001).select(F.col("id").cast("string").alias("c"))
+    assert len(encoding.one_hot(df, "c").columns) >= 1_001
+
+
+def test_caps_leave_large_whole_numbers_alone(spark):
+    df = spark.createDataFrame([(9007199254740993,), (5,)], "n bigint")
+    assert [r["n"] for r in cleaning.apply_caps(df, {"n": 1e18}).collect()] == [9007199254740993, 5]
+
+
+def test_shared_folder_needs_a_name_on_a_cluster():
+    from creditmart import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.shared_folder(Session)

@@ -67,3 +67,9 @@ def test_approx_rank_error(spark):
     got = approx_quantiles(df, [Quantile("v", 0.95, "q")], 0.01)["q"]
     assert abs(got / 10_000 - 0.95) <= 0.01
     assert quantile_frame(df, [Quantile("v", 0.5, "m")]).collect()[0]["value"] == 4999.0
+
+
+def test_one_value_at_both_ends_is_counted_once():
+    s = quantiles._Search("x", 60, lo=5.0, hi=5.0)
+    s.take({"below": 10, "at_lo": 40, "inside": 0, "at_hi": 40, "cuts": None}, [0.0, 1.0], 0.01)
+    assert s.answer is None and s.lo == 5.0 and s.hi is None
