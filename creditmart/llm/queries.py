@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditmart.llm import bpe, decontam, langid, licenses, linededup, lm, quality, sharding, simhash, topk
-from creditmart.llm.common import remainder, table
+from creditmart.llm.common import remainder, stored, table
 
 #: Where the vocabulary files lie; read on the driver only.
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -62,7 +62,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prints = simhash.stored(simhash.fingerprints(table(spark, sf_dir, "documents")))
+    prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents")))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return simhash.classes(prints).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
@@ -129,6 +129,7 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", linededup.host_of(F.col("url")).alias("host"), linededup.text_of(F.col("html")).alias("text"))
+    pages = stored(pages)  # three passes read the text, and taking it out of the markup is most of the work
     return linededup.drop_boilerplate(pages, "page_id", "host", "text", LINE_RATIO, LINE_PAGES)
 
 
