@@ -31,7 +31,7 @@ def text_of(html: Column) -> Column:
     out = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, HIDDEN, " "), BLOCKS, "\n"), TAGS, "")
     for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(sign))
-    return F.trim(F.regexp_replace(F.regexp_replace(out, r"[ \t\r\f]+", " "), r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+    return F.trim(F.regexp_replace(F.regexp_replace(out, r"[ \t\r\f]{2,}|[\t\r\f]", " "), r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def _line_key(line: Column) -> Column:

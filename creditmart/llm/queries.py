@@ -115,7 +115,7 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), e AS (
         SELECT page_id, host, replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS t FROM p
     ), x AS (
-        SELECT page_id, host, string_split(trim(regexp_replace(regexp_replace(t, '[ \t\r\f]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)), chr(10)) AS lines FROM e
+        SELECT page_id, host, string_split(trim(regexp_replace(regexp_replace(t, '[ \t\r\f]{{2,}}|[\t\r\f]', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)), chr(10)) AS lines FROM e
     ), l AS (
         SELECT page_id, host, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM x
     ), c AS (
