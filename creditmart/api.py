@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditmart.functions.dates import month_starts
-from creditmart.operators import encoding
+from creditmart.operators import encoding, profile
 from creditmart.plans import gold, silver
 from creditmart.plans.datamart_jobs import STATIC_SOURCES, Build
 from creditmart.sources.datamart import Datamart, at_snapshot
@@ -66,7 +66,7 @@ def process_silver_table(
 def process_customer_attributes(attributes_path: str, spark: SparkSession) -> DataFrame:
     """Attributes features from a CSV file, or from a bronze Parquet table."""
     if attributes_path.endswith(".csv"):
-        text = spark.read.option("header", True).option("escape", '"').csv(attributes_path)
+        text = spark.read.option("header", True).option("escape", '"').csv(attributes_path)  # all text: nothing inferred
         typed = {f.name: F.col(f.name).cast(f.dataType) for f in ATTRIBUTE_FILE if f.name in text.columns}
         return silver.attributes(text.withColumns(typed))
     return silver.attributes(spark.read.schema(ATTRIBUTE_FILE).parquet(attributes_path))
@@ -119,17 +119,24 @@ def process_labels_gold_table(
 
 def process_features_gold_table(
     date_str: str, snapshot_date: str, silver_feature_directory: str, gold_feature_store_directory: str,
-    spark: SparkSession,
+    spark: SparkSession, as_of: bool = False, duplicates: bool = False,
 ) -> DataFrame:
-    """Feature store rows of one snapshot; ``snapshot_date`` is the last date to include."""
+    """Feature store rows of one snapshot; ``snapshot_date`` is the last date to include. ``as_of`` and ``duplicates`` as
+    in ``gold.feature_store``."""
     features, layer = _at(spark, silver_feature_directory)
     mart, table = _at(spark, gold_feature_store_directory)
     clicks = features.read(layer, "clickstream", [date_str], CLICKSTREAM_SCHEMA)
-    store = gold.feature_store(clicks, features.read(layer, "financial_attributes"), snapshot_date)
+    customers = features.read(layer, "financial_attributes")
+    store = gold.feature_store(clicks, customers, snapshot_date, as_of, duplicates=duplicates)
     mart.write(store, "", table, snapshots=[date_str])
     return mart.read("", table, [date_str], store.schema)
 
 
+def plot_distributions(df: DataFrame, columns: list[str] | None = None, bins: int = 30) -> dict[str, DataFrame]:
+    """The tables behind distribution plots of the numeric columns: bins, densities and statistics."""
+    return profile.distributions(df, columns, bins)
+
+
 def generate_first_of_month_dates(start_date_str: str, end_date_str: str) -> list[str]:
     return [d.isoformat() for d in month_starts(start_date_str, end_date_str)]
 

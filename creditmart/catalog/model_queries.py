@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,10 +11,11 @@ from creditmart.catalog.registry import query
 from creditmart.functions.dates import ModelWindows
 from creditmart.operators import metrics, modelset
 from creditmart.plans import gold, silver, training
+from creditmart.sources.schemas import CLICKSTREAM_FEATURES
 
 TRAIN_DATE = "1999-01-01"
 WINDOWS = ModelWindows(TRAIN_DATE)
-FEATURES = ("fe_1", "fe_2", "fe_7", "fe_19")
+FEATURES = tuple(CLICKSTREAM_FEATURES)
 IDS = ("loan_id",)
 
 
@@ -101,16 +100,18 @@ def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Metrics, on the score of every ledger row
 
+KNOWN_SQL = T.with_views("scored") + ", known AS (SELECT * FROM scored WHERE score IS NOT NULL AND NOT isnan(score))"
+UNSCORED_SQL = "(SELECT count(*) FROM scored WHERE score IS NULL OR isnan(score)) AS n_unscored"
 AUC_SQL = (
-    T.with_views("scored")
-    + """, g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY score),
+    KNOWN_SQL
+    + """, g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM known GROUP BY score),
     c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     AS below FROM g), a AS (SELECT CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
     sum(pos * (2 * below + neg)) / 2.0 / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc FROM c) """
 )
 
 
-@query(AUC_SQL + "SELECT n_pos, n_neg, round(CAST(auc AS DOUBLE), 9) AS auc FROM a")
+@query(AUC_SQL + f"SELECT n_pos, n_neg, {UNSCORED_SQL}, round(CAST(auc AS DOUBLE), 9) AS auc FROM a")
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(metrics.roc_auc(T.scored(spark, sf_dir)), 9)
 
@@ -121,8 +122,8 @@ def gini(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    T.with_views("scored")
-    + """, g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY score),
+    KNOWN_SQL
+    + """, g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM known GROUP BY score),
     c AS (SELECT score, pos, neg, sum(neg) OVER w AS fp, sum(pos) OVER w AS tp, row_number() OVER w AS k,
     lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg FROM g WINDOW w AS (ORDER BY score DESC)),
     t AS (SELECT sum(pos) AS p, sum(neg) AS n FROM g)
@@ -136,17 +137,17 @@ def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CONFUSION_SQL = (
-    T.with_views("scored")
+    KNOWN_SQL
     + """, m AS (SELECT count(*) FILTER (label = 1 AND score > 0.5) AS tp, count(*) FILTER (label = 0 AND score > 0.5)
     AS fp, count(*) FILTER (label = 1 AND score <= 0.5) AS fn, count(*) FILTER (label = 0 AND score <= 0.5) AS tn
-    FROM scored) """
+    FROM known) """
 )
 
 
 @query(
     CONFUSION_SQL
-    + """SELECT (tp + tn) / CAST(tp + fp + fn + tn AS DOUBLE) AS accuracy, tp / CAST(tp + fp AS DOUBLE) AS precision,
-    tp / CAST(tp + fn AS DOUBLE) AS recall, 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) AS f1 FROM m"""
+    + f"""SELECT (tp + tn) / CAST(tp + fp + fn + tn AS DOUBLE) AS accuracy, tp / CAST(tp + fp AS DOUBLE) AS precision,
+    tp / CAST(tp + fn AS DOUBLE) AS recall, 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) AS f1, {UNSCORED_SQL} FROM m"""
 )
 def class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.class_metrics(T.scored(spark, sf_dir))
@@ -160,12 +161,18 @@ def balanced_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.balanced_accuracy(T.scored(spark, sf_dir))
 
 
-# Training: tree ensembles have no SQL form, so only the shape of these results is compared.
+# Training: tree ensembles have no SQL form. SQL checks the rows, ids, labels, windows and rates; what only the ensemble
+# determines is checked on its real results (an AUC above chance on the rows it learnt from, scores that are probabilities,
+# importances that sum up to 1, tried points that differ and lie in the space).
 
-CONFIG = training.TrainConfig(
-    TRAIN_DATE, n_iter=2, folds=2, parallelism=2,
-    space={**training.SEARCH_SPACE, "maxIter": [4, 8]},
-)
+CONFIG = training.TrainConfig(TRAIN_DATE, parallelism=8)
+PARTS_SQL = (
+    DATASET_SQL
+    + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat('88:', loan_id)), loan_id)
+    <= round(0.8 * count(*) OVER (PARTITION BY label)) AS trains FROM split WHERE split = 'train_test'),
+    parts AS (SELECT loan_id, snapshot_date, label, CASE WHEN trains THEN 'train' ELSE 'test' END AS part FROM ranked
+    UNION ALL SELECT loan_id, snapshot_date, label, split FROM split WHERE split = 'oot') """
+)
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,49 +182,97 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@cache
 def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], PipelineModel]:
+    """Model data, features, and a pipeline of as many trees as the search tries at most."""
     data = _prepared(spark, sf_dir)
     features = CONFIG.features(data)
     train = data.where("split = 'train'")
     stages = training.feature_stages(train, features)
-    gbt = training.classifier(maxIter=8, maxDepth=3, stepSize=0.1, subsamplingRate=0.8)
+    gbt = training.classifier(maxIter=50, maxDepth=3, stepSize=0.1, subsamplingRate=0.8)
     return data, features, Pipeline(stages=[*stages, gbt]).fit(train)
 
 
-@query()
+@query(
+    PARTS_SQL
+    + """SELECT part AS split, count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg,
+    CAST(0 AS BIGINT) AS n_unscored, true AS auc_plausible FROM parts GROUP BY part"""
+)
 def gbt_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     data, _, model = _fitted(spark, sf_dir)
-    scored = training.score(model, data)
-    parts = [
-        metrics.roc_auc(scored.where(F.col("split") == name)).withColumn("split", F.lit(name))
-        for name in ("train", "test", "oot")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    scored = training.score(model, data).select("split", "label", "score")
+    parts = None
+    for name, least in (("train", 0.5), ("test", 0.0), ("oot", 0.0)):
+        one = metrics.roc_auc(scored.where(F.col("split") == name)).withColumn("split", F.lit(name))
+        plausible = (F.col("auc") > least) & (F.col("auc") <= 1)
+        one = one.select("split", "n_pos", "n_neg", "n_unscored", plausible.alias("auc_plausible"))
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
 
 
-@query()
+@query(PARTS_SQL + "SELECT loan_id, snapshot_date, label, true AS is_probability FROM parts WHERE part = 'oot'")
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     data, _, model = _fitted(spark, sf_dir)
-    return training.score(model, data.where("split = 'oot'")).select("loan_id", "snapshot_date", "label", "score")
+    scored = training.score(model, data.where("split = 'oot'"))
+    return scored.select("loan_id", "snapshot_date", "label", F.col("score").between(0, 1).alias("is_probability"))
 
 
-@query()
+@query(
+    PARTS_SQL
+    + f"""SELECT unnest({list(FEATURES)}) AS feature, 1.0::DOUBLE AS total, true AS is_share, count(*) AS n_train
+    FROM parts WHERE part = 'train'"""
+)
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, features, model = _fitted(spark, sf_dir)
-    return training.feature_importance(model, features)
+    data, features, model = _fitted(spark, sf_dir)
+    found = training.feature_importance(model, features)
+    total = found.agg(F.round(F.sum("importance"), 9)).scalar()
+    share = F.col("importance").between(0, 1)
+    n_train = data.where("split = 'train'").agg(F.count(F.lit(1))).scalar()
+    return found.select("feature", total.alias("total"), share.alias("is_share"), n_train.alias("n_train"))
 
 
-@query()
+@query(
+    PARTS_SQL
+    + """SELECT CAST(10 AS BIGINT) AS n_points, CAST(10 AS BIGINT) AS n_in_space, CAST(10 AS BIGINT) AS n_scored,
+    count(*) AS n_train FROM parts WHERE part = 'train'"""
+)
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data, features, model = _fitted(spark, sf_dir)
+    data = _prepared(spark, sf_dir)
     train = data.where("split = 'train'")
-    vectors = PipelineModel(model.stages[:-1]).transform(train).select("loan_id", "label", "features")
+    head = Pipeline(stages=training.feature_stages(train, CONFIG.features(data))).fit(train)
+    vectors = head.transform(train).select("loan_id", "label", "features")
     found = training.search_results(training.random_search(vectors, CONFIG))
-    return found.select(*[F.col("params")[name].alias(name) for name in CONFIG.space], "score")
+    inside = F.lit(True)
+    for name, values in CONFIG.space.items():
+        inside = inside & F.col("params")[name].isin([str(v) for v in values])
+    n_train = vectors.agg(F.count(F.lit(1))).scalar()
+    return found.agg(
+        F.countDistinct(*[F.col("params")[name] for name in CONFIG.space]).alias("n_points"),
+        F.count(F.when(inside, 1)).alias("n_in_space"),
+        F.count(F.when(F.col("score").between(0, 1), 1)).alias("n_scored"),
+    ).withColumn("n_train", n_train)
 
 
-@query()
+@query(
+    PARTS_SQL
+    + """SELECT 'credit_model_1999_01_01' AS model_version, DATE '1999-01-01' AS model_train_date,
+    DATE '1997-11-01' AS train_test_start_date, DATE '1998-10-31' AS train_test_end_date,
+    DATE '1998-11-01' AS oot_start_date, DATE '1998-12-31' AS oot_end_date, """
+    + ", ".join(
+        f"count(*) FILTER (part = '{p}') AS n_{p}, round(avg(label) FILTER (part = '{p}'), 2) AS bad_rate_{p}"
+        for p in ("train", "test", "oot")
+    )
+    + f", '{','.join(FEATURES)}' AS features, CAST({len(training.SEARCH_SPACE)} AS INTEGER) AS n_params,"
+    + " true AS scores_plausible FROM parts"
+)
 def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = training.metadata(training.train(_prepared(spark, sf_dir), CONFIG))
-    return found.withColumns({"hp_params": F.to_json("hp_params"), "features": F.array_join("features", ",")})
+    plausible = (F.col("auc_train") > 0.5) & F.col("auc_train").between(0, 1)
+    for part in ("train", "test", "oot"):
+        auc = F.col(f"auc_{part}")
+        plausible = plausible & auc.between(0, 1) & (F.col(f"gini_{part}") == F.round(2 * auc - 1, 3))
+    plausible = plausible & F.col("cv_score").between(0, 1)
+    shown = [c for c in found.columns if not c.startswith(("auc_", "gini_", "cv_", "hp_"))]
+    return found.select(
+        *[F.array_join(c, ",").alias(c) if c == "features" else c for c in shown],
+        F.size("hp_params").alias("n_params"), plausible.alias("scores_plausible"),
+    )

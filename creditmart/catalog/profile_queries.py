@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditmart.catalog import tables as T
 from creditmart.catalog.registry import query
 from creditmart.functions.arrays import split_list
 from creditmart.operators import encoding, profile
-from creditmart.operators.quantiles import Quantile, approx_quantile_frame, quantile_frame
+from creditmart.operators.quantiles import Quantile, approx_quantiles, exact_quantiles, quantile_frame
+from creditmart.sources.schemas import CLICKSTREAM_FEATURES
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -36,18 +39,17 @@ def array_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _profile_sql(c: str) -> str:
     return f"""SELECT '{c}' AS "column", count({c}) AS "count", count(*) - count({c}) AS null_count,
     round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
-    round(min(CAST({c} AS DOUBLE)), 6) AS "min", round(max(CAST({c} AS DOUBLE)), 6) AS "max", round(avg(pow({c} - m, 3)) / pow(avg(pow({c} - m, 2)), 1.5), 6) AS skewness,
-    round(avg(pow({c} - m, 4)) / pow(avg(pow({c} - m, 2)), 2) - 3, 6) AS kurtosis,
+    round(min(CAST({c} AS DOUBLE)), 6) AS "min", round(max(CAST({c} AS DOUBLE)), 6) AS "max", round(avg(pow({c} - m, 3)) / nullif(pow(avg(pow({c} - m, 2)), 1.5), 0), 6) AS skewness,
+    round(avg(pow({c} - m, 4)) / nullif(pow(avg(pow({c} - m, 2)), 2), 0) - 3, 6) AS kurtosis,
     round(CAST(quantile_disc({c}, 0.5) AS DOUBLE), 6) AS median FROM src, (SELECT avg({c}) AS m FROM src)"""
 
 
-PROFILED = ("due_amt", "overdue_amt", "installment_num")
+PROFILED = ("tenure", "installment_num", "loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance")
 
 
 @query(
     T.with_views("ledger")
-    + ", src AS (SELECT CAST(due_amt AS DOUBLE) AS due_amt, CAST(overdue_amt AS DOUBLE) AS overdue_amt,"
-    + " installment_num FROM ledger) "
+    + f", src AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in PROFILED)} FROM ledger) "
     + " UNION ALL ".join(_profile_sql(c) for c in PROFILED)
 )
 def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,31 +93,48 @@ def quantile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantile_frame(T.table(spark, sf_dir, "orders"), [Quantile(c, p, f"{c}.{p}") for c, p in WANTED])
 
 
-# A sketch's value is not determined by the data alone, so what is compared is that its rank is
-# within the promised error.
-@query("SELECT true AS p50_in_range, true AS p95_in_range, true AS p997_in_range")
+# A sketch's value is not determined by the data alone: what is compared is that it lies between the exact quantiles at the
+# ends of the promised error, and these quantiles.
+def _range_sql(column: str, table: str, name: str, low: float, high: float) -> str:
+    return f"""SELECT '{name}' AS name, CAST(quantile_disc({column}, {low}) AS DOUBLE) AS low,
+    CAST(quantile_disc({column}, {high}) AS DOUBLE) AS high, true AS in_range FROM {table}"""
+
+
+def _in_range(df: DataFrame, column: str, sketched: DataFrame, ends: dict[str, tuple[float, float]]) -> DataFrame:
+    """Per name: the exact quantiles of both ends, and whether the sketch's value of that name lies between them."""
+    wanted = [Quantile(column, p, f"{n}.{side}") for n, pair in ends.items() for side, p in zip(("low", "high"), pair)]
+    exact = exact_quantiles(df, wanted)
+    entries = [
+        F.struct(
+            F.lit(n).alias("name"), F.lit(exact[f"{n}.low"]).cast("double").alias("low"),
+            F.lit(exact[f"{n}.high"]).cast("double").alias("high"),
+            F.col(n).between(exact[f"{n}.low"], exact[f"{n}.high"]).alias("in_range"),
+        )
+        for n in ends
+    ]
+    return sketched.select(F.inline(F.array(*entries)))
+
+
+PRICE_ENDS = {"p50": (0.49, 0.51), "p95": (0.94, 0.96), "p997": (0.987, 1.0)}
+
+
+@query(" UNION ALL ".join(_range_sql("o_totalprice", "orders", n, *ends) for n, ends in PRICE_ENDS.items()))
 def quantile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = T.table(spark, sf_dir, "orders")
     points = {"p50": 0.5, "p95": 0.95, "p997": 0.997}
-    sketched = approx_quantile_frame(orders, [Quantile("o_totalprice", p, n) for n, p in points.items()], 0.01)
-    found = sketched.select(F.struct("*").alias("q")).scalar()
-    price = F.col("o_totalprice")
-    n = F.count(F.lit(1))
+    sketched = approx_quantiles(orders, [Quantile("o_totalprice", p, n) for n, p in points.items()], 0.01)
+    row = spark.range(1).select(*[F.lit(v).alias(n) for n, v in sketched.items()])
+    return _in_range(orders, "o_totalprice", row, PRICE_ENDS)
 
-    def in_range(name: str, p: float):
-        at_most = F.count(F.when(price <= found[name], 1)) / n
-        below = F.count(F.when(price < found[name], 1)) / n
-        return ((at_most >= p - 0.01) & (below <= p + 0.01)).alias(f"{name}_in_range")
 
-    return orders.agg(*[in_range(name, p) for name, p in points.items()])
+MEDIAN_ENDS = {"median": (0.499, 0.501)}
 
 
-@query("SELECT true AS in_range")
+@query(_range_sql("l_extendedprice", "lineitem", "median", *MEDIAN_ENDS["median"]))
 def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _measures(spark, sf_dir)
-    median = rows.agg(F.percentile_approx("l_extendedprice", 0.5)).scalar()
-    below = F.count(F.when(F.col("l_extendedprice") < median, 1)) / F.count(F.lit(1))
-    return rows.agg(F.abs(below - 0.5) <= 0.001).toDF("in_range")
+    median = rows.agg(F.percentile_approx("l_extendedprice", 0.5).alias("median"))
+    return _in_range(rows, "l_extendedprice", median, MEDIAN_ENDS)
 
 
 @query(
@@ -149,9 +168,17 @@ def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile.correlations(_measures(spark, sf_dir)))
 
 
-@query(_corr_sql("WHERE i < j AND abs(r) > 0.7", "a, b, r"))
+@query(
+    T.with_views("clickstream")
+    + "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r FROM clickstream"
+        for a, b in combinations(CLICKSTREAM_FEATURES, 2)
+    )
+    + ") WHERE abs(r) > 0.7"
+)
 def high_corr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(profile.high_correlations(profile.correlations(_measures(spark, sf_dir)), 0.7))
+    return _rounded(profile.high_correlations(profile.correlations(T.clickstream(spark, sf_dir), CLICKSTREAM_FEATURES), 0.7))
 
 
 @query(_corr_sql("WHERE j < i"))
@@ -180,19 +207,52 @@ def histogram_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile.histogram(_measures(spark, sf_dir), ["l_extendedprice", "l_quantity"], bins=12))
 
 
-@query(
-    """WITH s AS (SELECT count(l_quantity) AS n, stddev_samp(l_quantity) AS sd, min(l_quantity) AS lo,
-    max(l_quantity) AS hi FROM lineitem), w AS (SELECT *, sd * pow(n, -0.2) AS h FROM s),
-    g AS (SELECT lo - 3 * h + k * ((hi - lo + 6 * h) / 99) AS x, n, h
-    FROM w, (SELECT unnest(range(100)) AS k)),
-    v AS (SELECT l_quantity AS v, count(*) AS c FROM lineitem GROUP BY 1)
-    SELECT round(x, 6) AS x, round(sum(c * exp(-0.5 * pow((x - v) / h, 2))) / (n * h * sqrt(2 * pi())), 6) AS density
-    FROM g, v GROUP BY x, n, h"""
-)
+def _density_sql(c: str, points: int) -> str:
+    return f"""WITH s AS (SELECT count({c}) AS n, stddev_samp({c}) AS sd, min({c}) AS lo, max({c}) AS hi FROM lineitem),
+    w AS (SELECT *, sd * pow(n, -0.2) AS h FROM s),
+    g AS (SELECT lo - 3 * h + k * ((hi - lo + 6 * h) / {points - 1}) AS x, n, h
+    FROM w, (SELECT unnest(range({points})) AS k)),
+    v AS (SELECT {c} AS v, count(*) AS c FROM lineitem GROUP BY 1)
+    SELECT '{c}' AS "column", round(x, 6) AS x,
+    round(sum(c * exp(-0.5 * pow((x - v) / h, 2))) / (n * h * sqrt(2 * pi())), 6) AS density FROM g, v GROUP BY x, n, h"""
+
+
+@query(f"SELECT x, density FROM ({_density_sql('l_quantity', 100)})")
 def kde_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile.density(_measures(spark, sf_dir), "l_quantity", points=100))
 
 
+SHAPED = ("l_quantity", "l_discount", "l_tax")
+
+
+@query(
+    "SELECT 'density' AS kind, * FROM ("
+    + " UNION ALL ".join(f"SELECT * FROM ({_density_sql(c, 50)})" for c in SHAPED)
+    + ") UNION ALL SELECT 'bin' AS kind, * FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", round(lo + b.k * ((hi - lo) / 7), 6) AS x, CAST(count(v.bin) AS DOUBLE) AS density
+        FROM (SELECT CAST(unnest(range(7)) AS INTEGER) AS k) b CROSS JOIN
+        (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem) s
+        LEFT JOIN (SELECT least(CAST(floor(({c} - lo) / (hi - lo) * 7) AS INTEGER), 6) AS bin
+        FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem)) v ON v.bin = b.k GROUP BY b.k, lo, hi"""
+        for c in SHAPED
+    )
+    + ") UNION ALL SELECT 'median' AS kind, * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS x, CAST(count({c}) AS DOUBLE) AS density FROM lineitem"
+        for c in SHAPED
+    )
+    + ")"
+)
+def distribution_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three tables in one, long: curves, counts per bin, and medians with counts."""
+    found = profile.distributions(_measures(spark, sf_dir), SHAPED, bins=7, points=50)
+    curves = found["densities"].select(F.lit("density").alias("kind"), "column", "x", "density")
+    counts = found["bins"].select(F.lit("bin"), "column", "lower", F.col("n").cast("double"))
+    medians = found["statistics"].select(F.lit("median"), "column", "median", F.col("count").cast("double"))
+    return _rounded(curves.union(counts).union(medians))
+
+
 @query(
     T.with_views("financials")
     + """SELECT DISTINCT item FROM (

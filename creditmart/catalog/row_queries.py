@@ -11,7 +11,7 @@ from creditmart.functions.delinquency import at_least_flag
 from creditmart.operators import cleaning, encoding, joins, schema
 from creditmart.plans import gold, silver
 from creditmart.sources import datamart as dm
-from creditmart.sources.schemas import CLICKSTREAM_TYPES, LOAN_TYPES
+from creditmart.sources.schemas import CLICKSTREAM_FEATURES, CLICKSTREAM_TYPES, LOAN_TYPES
 
 DAY = "1998-06-01"
 LOAN_KEY = ("loan_id", "installment_num", "snapshot_date")
@@ -145,23 +145,23 @@ def join_inner_2key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Features are known only for customers whose month has at least two rows, so labels go unmatched.
+# Features of the month before: most customers have none, so their rows go unmatched.
 @query(
     T.with_views("ledger", "clickstream")
-    + """SELECT l.loan_id, Customer_ID, snapshot_date, c.fe_1, c.fe_2
-    FROM (SELECT * FROM ledger WHERE installment_num = 6) l
-    LEFT JOIN (SELECT * FROM clickstream WHERE fe_1 >= 2) c USING (Customer_ID, snapshot_date)"""
+    + f"""SELECT l.loan_id, l.installment_num, Customer_ID, snapshot_date, {", ".join(f"c.{f}" for f in CLICKSTREAM_FEATURES)}
+    FROM ledger l LEFT JOIN (SELECT * REPLACE (CAST(snapshot_date + to_months(1) AS DATE) AS snapshot_date) FROM clickstream) c
+    USING (Customer_ID, snapshot_date)"""
 )
 def join_left_2key(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["Customer_ID", "snapshot_date"]
-    loans = T.ledger(spark, sf_dir).where("installment_num = 6").select("loan_id", *keys)
-    clicks = T.clickstream(spark, sf_dir).where("fe_1 >= 2").select(*keys, "fe_1", "fe_2")
+    loans = T.ledger(spark, sf_dir).select("loan_id", "installment_num", *keys)
+    clicks = T.clickstream(spark, sf_dir).withColumn("snapshot_date", F.add_months("snapshot_date", 1))
     return joins.lookup_join(loans, clicks, keys, "left")
 
 
 @query(
     T.with_views("clickstream")
-    + f"""SELECT c.Customer_ID, c.snapshot_date, c.fe_1, c.fe_2, c.fe_7, u.c_acctbal, u.c_mktsegment, u.n_name
+    + f"""SELECT c.*, u.c_acctbal, u.c_mktsegment, u.n_name
     FROM clickstream c JOIN (SELECT CAST(c_custkey AS STRING) AS Customer_ID, c_acctbal, c_mktsegment, n_name
     FROM customer JOIN nation ON c_nationkey = n_nationkey) u ON c.Customer_ID = u.Customer_ID
     WHERE c.snapshot_date <= DATE '{DAY}'"""
@@ -175,8 +175,22 @@ def feature_store_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_mktsegment",
         "n_name",
     )
-    clicks = T.clickstream(spark, sf_dir).select("Customer_ID", "snapshot_date", "fe_1", "fe_2", "fe_7")
-    return gold.feature_store(clicks, customers, DAY)
+    return gold.feature_store(T.clickstream(spark, sf_dir), customers, DAY)
+
+
+@query(
+    T.with_views("clickstream")
+    + """, known AS (SELECT CAST(o_custkey AS STRING) AS Customer_ID, CAST(date_trunc('month', o_orderdate) AS DATE) AS since,
+    count(*) AS n_orders, max(o_totalprice) AS top_price FROM orders GROUP BY ALL),
+    spans AS (SELECT *, lead(since) OVER (PARTITION BY Customer_ID ORDER BY since) AS following FROM known)
+    SELECT c.*, s.n_orders, s.top_price FROM clickstream c JOIN spans s ON c.Customer_ID = s.Customer_ID
+    AND c.snapshot_date >= s.since AND (s.following IS NULL OR c.snapshot_date < s.following)"""
+)
+def feature_store_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    month = F.trunc("o_orderdate", "month").alias("snapshot_date")
+    customers = T.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("Customer_ID"), month)
+    customers = customers.agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("top_price"))
+    return gold.feature_store(T.clickstream(spark, sf_dir), customers, as_of=True)
 
 
 # Sorts and limits
@@ -254,13 +268,12 @@ SPLIT_SQL = "string_split(replace(Type_of_Loan, ' and ', ', '), ',')"
 
 def _loan_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = F.split(F.regexp_replace("Type_of_Loan", " and ", ", "), ",")
-    return T.financials(spark, sf_dir).where("Type_of_Loan IS NOT NULL").select("Customer_ID", listed.alias("items"))
+    return T.financials(spark, sf_dir).select("Customer_ID", listed.alias("items"))
 
 
 @query(
     T.with_views("financials")
-    + f"""SELECT Customer_ID, array_to_string([trim(x) FOR x IN {SPLIT_SQL}], '|') AS items FROM financials
-    WHERE Type_of_Loan IS NOT NULL"""
+    + f"""SELECT Customer_ID, array_to_string([trim(x) FOR x IN {SPLIT_SQL}], '|') AS items FROM financials"""
 )
 def array_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _loan_lists(spark, sf_dir)
@@ -270,7 +283,7 @@ def array_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     T.with_views("financials")
     + f"""SELECT Customer_ID, array_to_string([x FOR x IN {SPLIT_SQL} IF x <> ''], '|') AS items,
-    CAST(len([x FOR x IN {SPLIT_SQL} IF x <> '']) AS INTEGER) AS n FROM financials WHERE Type_of_Loan IS NOT NULL"""
+    CAST(len([x FOR x IN {SPLIT_SQL} IF x <> '']) AS INTEGER) AS n FROM financials"""
 )
 def array_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = arrays.drop_blank(F.col("items"))

@@ -156,8 +156,9 @@ ATTRIBUTES = {
 # A made-up score of each ledger row that is related to its label, with ties.
 SCORED = {
     "label": "CAST(CASE WHEN l_returnflag = 'R' AND l_quantity * l_discount > 1.0 THEN 1 ELSE 0 END AS INT)",
-    "score": "(l_quantity * l_discount + CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END"
-    " + (l_partkey % 50) / 50.0) / 7.0",
+    "score": "CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 89 = 0 THEN CAST('NaN' AS DOUBLE)"
+    " ELSE (l_quantity * l_discount + CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END"
+    " + (l_partkey % 50) / 50.0) / 7.0 END",
 }
 
 

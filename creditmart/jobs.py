@@ -58,6 +58,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--n-iter", type=int, default=100)
     parser.add_argument("--features", choices=["clickstream", "feature_store"], default="clickstream")
     parser.add_argument("--join", choices=["left", "inner"], default="left")
+    parser.add_argument("--as-of", action="store_true", help="feature store: features not dated after the row")
+    parser.add_argument("--duplicates", action="store_true", help="feature store: allow several feature rows per customer")
     args = parser.parse_args(argv)
     if args.stage == "backfill" and not (args.start and args.end):
         parser.error("--stage backfill needs --start and --end")
@@ -65,7 +67,10 @@ def main(argv: list[str] | None = None) -> None:
         parser.error(f"--stage {args.stage} needs --snapshotdate")
 
     spark = builder(f"creditmart-{args.stage}").getOrCreate()
-    build = Build(spark, args.source, Datamart(spark, args.datamart), args.dpd, args.mob, args.end)
+    build = Build(
+        spark, args.source, Datamart(spark, args.datamart), args.dpd, args.mob, args.end,
+        as_of=args.as_of, duplicates=args.duplicates,
+    )
     if args.stage == "bronze":
         print(build.bronze([args.snapshotdate], ["lms"]))
     elif args.stage == "backfill":

@@ -1,4 +1,8 @@
-"""Classification metrics as aggregations, exact on any number of rows."""
+"""Classification metrics as aggregations, exact on any number of rows.
+
+One rule for all: a row whose score is NULL or NaN is not scored. No metric counts it; ``roc_auc`` and ``class_metrics``
+report how many such rows there are.
+"""
 
 from __future__ import annotations
 
@@ -8,11 +12,17 @@ from creditmart.operators.ranking import running_totals
 from creditmart.session import materialized
 
 
+def _known(score: str) -> Column:
+    """The score as double, NaN as NULL."""
+    return F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
+
+
 def _score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Positives and negatives per distinct score, stored: what follows reads them several times,
-    and the rows, which a model may have to score first, only once."""
+    """Positives and negatives per distinct score, and under NULL those of rows without one. Stored: what follows reads them
+    several times, and the rows, which a model may have to score first, only once."""
     return materialized(
-        df.groupBy(F.col(score).cast("double").alias("score")).agg(
+        df.groupBy(_known(score).alias("score")).agg(
+            F.count(F.lit(1)).alias("n"),
             F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
             F.count(F.when(F.col(label) == 0, 1)).alias("neg"),
         )
@@ -20,15 +30,17 @@ def _score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row: n_pos, n_neg and auc, the chance that a positive outscores a negative (ties half)."""
+    """One row: n_pos, n_neg, n_unscored and auc, the chance that a positive outscores a negative (ties half)."""
     wide = "decimal(38,0)"
-    ranked = running_totals(_score_groups(df, score, label), "score", ["neg"])
+    groups = _score_groups(df, score, label)
+    unscored = groups.where("score is null").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    ranked = running_totals(groups, "score", ["neg"])
     twice_wins = F.col("pos").cast("decimal(19,0)") * (2 * F.col("neg_before") + F.col("neg")).cast("decimal(19,0)")
     totals = ranked.agg(
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum(twice_wins.cast(wide)).alias("w")
     )
     pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
-    return totals.select("n_pos", "n_neg", F.try_divide(F.col("w").cast("double") / 2, pairs).alias("auc"))
+    return totals.select("n_pos", "n_neg", unscored.alias("n_unscored"), F.try_divide(F.col("w").cast("double") / 2, pairs).alias("auc"))
 
 
 def gini(df: DataFrame, score: str = "score", label: str = "label", scale: int = 3) -> DataFrame:
@@ -41,7 +53,7 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label", drop_in
     With ``drop_intermediate`` points between two equal steps, which lie on a straight line, are
     left out.
     """
-    groups = _score_groups(df, score, label).withColumn("down", -F.col("score"))
+    groups = _score_groups(df, score, label).where("score is not null").withColumn("down", -F.col("score"))
     steps = running_totals(groups, "down", ["pos", "neg"])
     totals = groups.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).alias("t")).scalar()
     if drop_intermediate:
@@ -74,14 +86,16 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def class_metrics(df: DataFrame, score: str = "score", label: str = "label", threshold: float = 0.5) -> DataFrame:
-    """One row: accuracy, precision, recall and f1 of the classes predicted above the threshold."""
-    predicted = F.when(F.col(score) > threshold, 1).otherwise(0)
+    """One row: accuracy, precision, recall and f1 of the classes predicted above the threshold, and n_unscored."""
+    predicted = (_known(score) > threshold).cast("int")
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return df.agg(*_confusion(F.col(label), predicted)).select(
+    unscored = F.count(F.when(_known(score).isNull(), 1)).alias("n_unscored")
+    return df.agg(*_confusion(F.col(label), predicted), unscored).select(
         _ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
         _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        "n_unscored",
     )
 
 
@@ -89,7 +103,7 @@ def balanced_accuracy(
     df: DataFrame, score: str = "score", label: str = "label", threshold: float = 0.5
 ) -> DataFrame:
     """One row: the mean recall of both classes, which is the AUC of the hard 0/1 predictions."""
-    predicted = F.when(F.col(score) > threshold, 1).otherwise(0)
+    predicted = (_known(score) > threshold).cast("int")
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return df.agg(*_confusion(F.col(label), predicted)).select(
         ((_ratio(tp, tp + fn) + _ratio(tn, tn + fp)) / 2).alias("balanced_accuracy")

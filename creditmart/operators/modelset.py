@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from creditmart.functions.dates import ModelWindows
-from creditmart.operators.joins import lookup_join
+from creditmart.operators.joins import lookup_join, require_unique
 from creditmart.operators.ranking import hash_cutoffs, hash_rank, row_hash
 
 ENTITY = ("Customer_ID", "snapshot_date")
@@ -20,12 +20,15 @@ def model_dataset(
     how: str = "left",
     keys: Sequence[str] = ENTITY,
     snapshot: str = "snapshot_date",
+    duplicates: bool = False,
 ) -> DataFrame:
     """Labels joined to features inside the model windows. Both sides are cut to the windows before
-    the join; 'left' keeps labels without features."""
-    return lookup_join(
-        labels.where(windows.covers(F.col(snapshot))), features.where(windows.covers(F.col(snapshot))), keys, how
-    )
+    the join; 'left' keeps labels without features. Several features of one key are an error, unless
+    ``duplicates`` allows a row per pair."""
+    known = features.where(windows.covers(F.col(snapshot)))
+    if not duplicates:
+        require_unique(known, keys)
+    return lookup_join(labels.where(windows.covers(F.col(snapshot))), known, keys, how)
 
 
 def oot_split(df: DataFrame, windows: ModelWindows, snapshot: str = "snapshot_date") -> DataFrame:

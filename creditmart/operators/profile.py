@@ -101,33 +101,47 @@ def value_counts(df: DataFrame, column: str, normalize: bool = False, keep_null:
     return counts.orderBy(F.desc("count"), column)
 
 
+def _known(column: str) -> Column:
+    """The column as double, NaN as NULL."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson matrix in long form (a, b, r, i, j with 0-based positions), from one aggregation.
+    """Pearson matrix in long form (a, b, r, i, j with 0-based positions).
 
-    Each pair uses the rows where both are known.
+    Each pair uses the rows where both are known; NaN counts as missing. Columns without gaps go through one Gram matrix;
+    only pairs with a gap on either side take an aggregate each.
     """
     columns = list(columns or numeric_columns(df))
-    pairs = list(combinations(range(len(columns)), 2))
-    value = [F.col(c).cast("double") for c in columns]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.corr(value[i], value[j]).alias(f"r{i}_{j}") for i, j in pairs])
+    known = df.select(*[_known(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    counts = known.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in known.columns]).first()
+    whole = [i for i in range(len(columns)) if counts[f"c{i}"] == counts["rows"]]
+    r = {}
+    if len(whole) > 1 and counts["rows"] > 1:
+        matrix = _gram(known, [f"c{i}" for i in whole])
+        r = {(i, j): float(matrix[m][n]) for m, i in enumerate(whole) for n, j in enumerate(whole)}
+    gaps = [(i, j) for i, j in combinations(range(len(columns)), 2) if not (i in whole and j in whole)]
+    if gaps:
+        row = known.agg(*[F.corr(f"c{i}", f"c{j}") for i, j in gaps]).first()
+        r |= {pair: v for (i, j), v in zip(gaps, row) for pair in ((i, j), (j, i))}
+
+    def value(i: int, j: int) -> float | None:
+        v = 1.0 if i == j else r.get((i, j))
+        return None if v is None or math.isnan(v) else v
+
+    rows = [(a, b, value(i, j), i, j) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double, i int, j int")
 
-    def entry(i: int, j: int, r: Column) -> Column:
-        return F.struct(
-            F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), r.alias("r"),
-            F.lit(i).alias("i"), F.lit(j).alias("j"),
-        )
 
-    entries = [entry(i, i, F.lit(1.0)) for i in range(len(columns))]
-    for i, j in pairs:
-        entries += [entry(i, j, F.col(f"r{i}_{j}")), entry(j, i, F.col(f"r{i}_{j}"))]
-    return _long(row, entries)
+def _gram(df: DataFrame, columns: Sequence[str]):
+    assembled = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df).select("features")
+    return Correlation.corr(assembled, "features", "pearson").first()[0].toArray()
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same matrix for many columns and complete rows, through one Gram matrix; rows with a NULL
     are an error."""
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df).select("features")
-    matrix = Correlation.corr(assembled, "features", "pearson").first()[0].toArray()
+    matrix = _gram(df, columns)
     rows = [
         (a, b, float(matrix[i][j]), i, j) for i, a in enumerate(columns) for j, b in enumerate(columns)
     ]
@@ -148,20 +162,22 @@ def lower_triangle(matrix: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Rows per equal-width bin between each column's minimum and maximum; empty bins count 0.
 
-    Bins are closed on the left, the last one also on the right.
+    Bins are closed on the left, the last one also on the right. NaN counts as missing; a column without values has no bins.
     """
     ranges = df.agg(
-        *[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(columns)],
+        *[F.min(_known(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
+        *[F.max(_known(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
     ).first()
     known = [i for i in range(len(columns)) if ranges[f"lo{i}"] is not None]
+    if not known:
+        return df.sparkSession.createDataFrame([], "column string, bin int, lower double, upper double, n bigint")
 
     def bin_of(i: int) -> Column:
         lo, hi = ranges[f"lo{i}"], ranges[f"hi{i}"]
         if lo == hi:
-            return F.when(F.col(columns[i]).isNotNull(), F.lit(0))
-        at = F.floor((F.col(columns[i]).cast("double") - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins)))
-        return F.least(at.cast("int"), F.lit(bins - 1))
+            return F.when(_known(columns[i]).isNotNull(), F.lit(0))
+        at = F.floor((_known(columns[i]) - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins)))
+        return F.when(at.isNotNull(), F.least(at.cast("int"), F.lit(bins - 1)))
 
     def edge(i: int, k: Column) -> Column:
         lo, hi = ranges[f"lo{i}"], ranges[f"hi{i}"]
@@ -198,35 +214,76 @@ KERNEL_REACH = 8.5
 
 
 def density(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) -> DataFrame:
-    """Gaussian kernel density (Scott's bandwidth) on an even grid reaching ``cut`` bandwidths
-    beyond the data: rows (x, density).
+    """``densities`` of one column: rows (x, density)."""
+    return densities(df, [column], points, cut).select("x", "density")
+
+
+def densities(df: DataFrame, columns: Sequence[str], points: int = 200, cut: float = 3.0) -> DataFrame:
+    """Gaussian kernel densities (Scott's bandwidth) of all columns in two passes: rows (column, x, density) on an even grid
+    that reaches ``cut`` bandwidths beyond the data. A column of fewer than two different values has none.
 
     A value adds to the grid points within its kernel's reach only. The bandwidth shrinks with the
     number of rows, so on a large table these are few, and they are summed before the shuffle.
     Rows are counted by value first; NaN counts as missing.
     """
-    v = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
     s = df.agg(
-        F.count(v).alias("n"), F.stddev(v).alias("std"), F.min(v).alias("lo"), F.max(v).alias("hi"),
+        *[
+            a.alias(f"{name}{i}")
+            for i, c in enumerate(columns)
+            for name, a in (
+                ("n", F.count(_known(c))), ("std", F.stddev(_known(c))), ("lo", F.min(_known(c))), ("hi", F.max(_known(c))),
+            )
+        ]
     ).first()
-    if not s["n"] or not s["std"]:
-        return df.sparkSession.createDataFrame([], "x double, density double")
-    width = s["std"] * s["n"] ** -0.2
-    start, stop = s["lo"] - cut * width, s["hi"] + cut * width
-    step = (stop - start) / (points - 1)
-    values = df.select(v.alias("v")).where("v is not null")
-    values = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    grids = []
+    for i, c in enumerate(columns):
+        n, std = s[f"n{i}"], s[f"std{i}"]
+        if n and std:
+            width = std * n ** -0.2
+            start = s[f"lo{i}"] - cut * width
+            step = (s[f"hi{i}"] + cut * width - start) / (points - 1)
+            grids.append((c, n * width * math.sqrt(2 * math.pi), width, start, step))
+    if not grids:
+        return df.sparkSession.createDataFrame([], "column string, x double, density double")
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"), _known(c).alias("v"), F.lit(scale).alias("scale"), F.lit(width).alias("width"),
+            F.lit(start).alias("start"), F.lit(step).alias("step"),
+        )
+        for c, scale, width, start, step in grids
+    ]
+    shape = ("column", "scale", "width", "start", "step")
+    values = df.select(F.inline(F.array(*entries))).where("v is not null")
+    values = values.groupBy(*shape, "v").agg(F.count(F.lit(1)).alias("n"))
 
     def grid_index(x: Column) -> Column:
         return F.least(F.greatest(x, F.lit(0)), F.lit(points - 1)).cast("int")
 
-    reach = KERNEL_REACH * width
-    first = grid_index(F.ceil((F.col("v") - (start + reach)) / step))
-    last = grid_index(F.floor((F.col("v") - (start - reach)) / step))
-    touched = values.where(first <= last).select("v", "n", F.explode(F.sequence(first, last)).alias("k"))
-    x = F.lit(start) + F.col("k") * F.lit(step)
-    kernel = F.exp(-0.5 * F.pow((x - F.col("v")) / width, 2))
-    scale = s["n"] * width * math.sqrt(2 * math.pi)
-    sums = touched.groupBy("k").agg((F.sum(F.col("n") * kernel) / scale).alias("density"))
+    reach = KERNEL_REACH * F.col("width")
+    first = grid_index(F.ceil((F.col("v") - (F.col("start") + reach)) / F.col("step")))
+    last = grid_index(F.floor((F.col("v") - (F.col("start") - reach)) / F.col("step")))
+    touched = values.where(first <= last).select(*shape, "v", "n", F.explode(F.sequence(first, last)).alias("k"))
+    x = F.col("start") + F.col("k") * F.col("step")
+    kernel = F.exp(-0.5 * F.pow((x - F.col("v")) / F.col("width"), 2))
+    sums = touched.groupBy("column", "k").agg(F.sum(F.col("n") * kernel / F.col("scale")).alias("density"))
+    lines = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), (F.lit(start) + F.col("k") * F.lit(step)).alias("x"))
+            for c, _, _, start, step in grids
+        ]
+    )
     grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("k"))
-    return grid.join(sums, "k", "left").select(x.alias("x"), F.coalesce("density", F.lit(0.0)).alias("density"))
+    grid = grid.select("k", F.inline(lines))
+    return grid.join(sums, ["column", "k"], "left").select("column", "x", F.coalesce("density", F.lit(0.0)).alias("density"))
+
+
+def distributions(
+    df: DataFrame, columns: Sequence[str] | None = None, bins: int = 30, points: int = 200
+) -> dict[str, DataFrame]:
+    """What distribution plots of the numeric columns show: ``bins``, ``densities`` and ``statistics``."""
+    columns = list(columns or numeric_columns(df))
+    return {
+        "bins": histogram(df, columns, bins),
+        "densities": densities(df, columns, points),
+        "statistics": numeric_profile(df, columns),
+    }

@@ -11,15 +11,20 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANGES = 1_000
+#: Keys in a range, and the fewest and most ranges: the totals per range go through one task.
+RANGE_ROWS, FEWEST, MOST = 10_000, 8, 100_000
 HASH_PREFIX = 4
 
 
-def running_totals(groups: DataFrame, key: str, sums: Sequence[str], ranges: int = RANGES) -> DataFrame:
+def running_totals(groups: DataFrame, key: str, sums: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Add ``<sum>_before`` (total over smaller keys) and ``<sum>_next`` (value of the next larger
-    key, NULL at the end) to a table with one row per numeric key."""
+    key, NULL at the end) to a table with one row per numeric key, which is read twice or more.
+
+    The number of ranges follows the number of keys unless given."""
+    if ranges is None:
+        ranges = min(max(groups.count() // RANGE_ROWS, FEWEST), MOST)
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = groups.agg(F.percentile_approx(F.col(key).cast("double"), steps)).first()[0] or [0.0]
+    cuts = groups.agg(F.percentile_approx(F.col(key).cast("double"), steps, max(10_000, 4 * ranges))).first()[0] or [0.0]
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     keyed = groups.where(F.col(key).isNotNull()).withColumn("_key", F.col(key).cast("double"))
     ranged = Bucketizer(splits=splits, inputCol="_key", outputCol="_range").transform(keyed).drop("_key")

@@ -43,6 +43,8 @@ class Build:
     join_attributes: bool = True
     vocab: silver.Vocabularies = silver.Vocabularies()
     salts: int = 0
+    as_of: bool = False
+    duplicates: bool = False
 
     def source(self, name: str) -> DataFrame:
         """A source file, in the column order the file has."""
@@ -67,7 +69,11 @@ class Build:
         return rows
 
     def bronze_frame(self, name: str, snapshots: Sequence[str | date] | None = None) -> DataFrame:
-        return self.mart.read("bronze", name, snapshots, FILE_SCHEMAS[name])
+        """A bronze table with its known columns as the file schema says, and the source's other columns as text."""
+        known = FILE_SCHEMAS[name]
+        have = {f.name for f in known}
+        others = [f for f in self.mart.read("bronze", name, merge_schema=name in SNAPSHOT_SOURCES).schema if f.name not in have]
+        return self.mart.read("bronze", name, snapshots, type(known)([*known.fields, *others]))
 
     def silver_loans(self, snapshots: Sequence[str | date]) -> int:
         loans = silver.loan_daily(self.bronze_frame("lms", snapshots))
@@ -93,7 +99,7 @@ class Build:
     def gold_features(self, snapshots: Sequence[str | date]) -> int:
         clicks = self.mart.read("silver", "clickstream", snapshots, schemas.CLICKSTREAM_SCHEMA)
         customers = self.mart.read("silver", "financial_attributes")
-        features = gold.feature_store(clicks, customers, self.end, salts=self.salts)
+        features = gold.feature_store(clicks, customers, self.end, self.as_of, self.salts, self.duplicates)
         return self.mart.write(features, "gold", "feature_store", snapshots=snapshots)
 
     def backfill(self, snapshots: Sequence[str | date]) -> dict[str, int]:

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from creditmart.operators.joins import lookup_join
+from creditmart.operators.joins import lookup_join, require_unique
 from creditmart.operators.labels import default_labels
 from creditmart.sources.datamart import up_to
 
@@ -21,27 +21,36 @@ def feature_store(
     end: str | date | None = None,
     as_of: bool = False,
     salts: int = 0,
+    duplicates: bool = False,
 ) -> DataFrame:
     """Clickstream rows up to ``end`` with their customer's features.
 
     By default the customer features' own date is ignored, so a row may see features dated later
-    than itself. ``as_of`` joins the customer's newest features not dated after the row instead.
-    ``salts`` spreads customers with very many rows over that many tasks.
+    than itself; a customer with several feature rows is then an error, unless ``duplicates`` allows
+    a row per pair. ``as_of`` joins the customer's newest features not dated after the row instead;
+    a customer has one feature row a date then. ``salts`` spreads customers with very many rows over
+    that many tasks.
     """
     clicks = silver_clickstream if end is None else up_to(silver_clickstream, end)
+    if not (as_of or duplicates):
+        require_unique(customers, ["Customer_ID"])
     if not as_of:
         return lookup_join(clicks, customers.drop("snapshot_date"), ["Customer_ID"], salts=salts)
+    require_unique(customers, ["Customer_ID", "snapshot_date"])
     # A feature row is valid from its date to the day before the customer's next one. Listing the
     # months it touches makes this an equi-join in which a row meets its own month's features only.
+    # The list holds dates alone; the features are looked up by their date afterwards.
     latest = clicks.agg(F.max("snapshot_date")).scalar()
     following = F.lead("snapshot_date").over(Window.partitionBy("Customer_ID").orderBy("snapshot_date"))
     dated = customers.select(
+        "Customer_ID",
         F.col("snapshot_date").alias("_since"),
         F.coalesce(F.date_sub(following, 1), F.greatest(latest, "snapshot_date")).alias("_until"),
-        *[c for c in customers.columns if c != "snapshot_date"],
     )
     months = F.sequence(F.trunc("_since", "month"), F.trunc("_until", "month"), F.expr("interval 1 month"))
     by_month = dated.where("_since <= _until").withColumn("_month", F.explode(months))
     clicks = clicks.withColumn("_month", F.trunc("snapshot_date", "month"))
-    joined = lookup_join(clicks, by_month, ["Customer_ID", "_month"], salts=salts)
-    return joined.where("snapshot_date BETWEEN _since AND _until").drop("_since", "_until", "_month")
+    found = lookup_join(clicks, by_month, ["Customer_ID", "_month"], salts=salts)
+    found = found.where("snapshot_date BETWEEN _since AND _until").drop("_until", "_month")
+    features = customers.withColumnRenamed("snapshot_date", "_since")
+    return lookup_join(found, features, ["Customer_ID", "_since"], salts=salts).drop("_since")

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, functions as F
 
 from creditmart.functions.arrays import split_list
+from creditmart.functions.casting import as_double, as_int
 from creditmart.functions.text import (
     DIGITS_S_AND_DOT, HAS_LETTER, parse_months, pattern_flag, payment_size, recode, recode_unmatched,
     spending_level,
@@ -34,6 +35,14 @@ FINANCIAL_NUMBERS = {
     "Total_EMI_per_month": NumberRule(),
 }
 
+# Financial numbers that are read as they stand.
+FINANCIAL_PLAIN = {
+    "Num_Bank_Accounts": as_int,
+    "Num_Credit_Card": as_int,
+    "Interest_Rate": as_double,
+    "Delay_from_due_date": as_int,
+}
+
 # Columns capped at their 95th percentile.
 CAPPED_COUNTS = (
     "Num_Bank_Accounts",
@@ -91,7 +100,10 @@ def clickstream(bronze: DataFrame) -> DataFrame:
 
 def financial_numbers(bronze: DataFrame) -> DataFrame:
     """Dirty numbers read, and the credit history turned into months."""
-    read = cleaning.clean_numeric(bronze, FINANCIAL_NUMBERS)
+    numbers = set(dict(bronze.dtypes)) & set(FINANCIAL_PLAIN)
+    kept = {c: F.regexp_replace(F.col(c), "_", "") if dict(bronze.dtypes)[c] == "string" else F.col(c) for c in numbers}
+    typed = bronze.withColumns({c: FINANCIAL_PLAIN[c](v) for c, v in kept.items()})
+    read = cleaning.clean_numeric(typed, FINANCIAL_NUMBERS)
     return read.withColumn("Credit_History_Age_Months", parse_months(F.col("Credit_History_Age"))).drop(
         "Credit_History_Age"
     )

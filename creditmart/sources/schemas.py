@@ -66,6 +66,7 @@ ATTRIBUTE_TYPES = {
     "snapshot_date": DateType(),
 }
 
+# Columns of the clickstream and of the label store.
 CLICKSTREAM_FEATURES = [f"fe_{i}" for i in range(1, 21)]
 CLICKSTREAM_TYPES = {
     **{name: FloatType() for name in CLICKSTREAM_FEATURES},
@@ -88,7 +89,7 @@ def as_text(types: dict) -> StructType:
 
 
 LOAN_FILE = as_text(LOAN_TYPES)
-FINANCIAL_FILE = _struct(FINANCIAL_TYPES)
+FINANCIAL_FILE = as_text(FINANCIAL_TYPES)
 ATTRIBUTE_FILE = _struct(ATTRIBUTE_TYPES)
 CLICKSTREAM_FILE = as_text(CLICKSTREAM_TYPES)
 LABEL_SCHEMA = _struct(LABEL_TYPES)

@@ -11,7 +11,7 @@ from creditmart.functions.dates import month_starts
 from creditmart.plans import gold, silver
 from creditmart.plans.datamart_jobs import SOURCE_FILES, Build
 from creditmart.sources import datamart as dm
-from creditmart.sources.schemas import LABEL_SCHEMA, LOAN_DAILY_SCHEMA
+from creditmart.sources.schemas import FINANCIAL_TYPES, LABEL_SCHEMA, LOAN_DAILY_SCHEMA
 
 SF = "/root/testdata/sf0.001"
 MONTHS = month_starts("1997-01-15", "1997-06-01")
@@ -129,7 +129,11 @@ def test_feature_store_as_of(spark):
         [("a", date(2024, 2, 1), 10), ("a", date(2024, 3, 1), 20), ("a", date(2024, 4, 1), 30), ("b", date(2023, 1, 1), 40)],
         "Customer_ID string, snapshot_date date, x int",
     )
-    plain = gold.feature_store(clicks, customers, "2024-02-01")
+    with pytest.raises(ValueError, match="occurs 3 times"):
+        gold.feature_store(clicks, customers, "2024-02-01")
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        gold.feature_store(clicks, customers.union(customers.limit(1)), as_of=True)
+    plain = gold.feature_store(clicks, customers, "2024-02-01", duplicates=True)
     assert sorted((r.Customer_ID, r.fe_1, r.x) for r in plain.collect()) == [
         ("a", 1.0, 10), ("a", 1.0, 20), ("a", 1.0, 30), ("b", 3.0, 40),
     ]
@@ -159,6 +163,21 @@ def test_csv_columns_may_come_in_any_order(spark, tmp_path):
         build.source("attributes")
 
 
+def test_bronze_keeps_text_and_unknown_columns(spark, tmp_path):
+    names = [*FINANCIAL_TYPES, "branch"]
+    cells = dict.fromkeys(names, "1") | {"Customer_ID": "007", "snapshot_date": "2024-01-01", "branch": "x"}
+    cells |= {"Num_Bank_Accounts": "3.0", "Num_Credit_Card": "5_", "Interest_Rate": "4.5", "Delay_from_due_date": "-2"}
+    path = tmp_path / SOURCE_FILES["financials"]
+    path.write_text(",".join(names) + "\n" + ",".join(cells[n] for n in names) + "\n")
+    build = Build(spark, str(tmp_path), dm.Datamart(spark, str(tmp_path / "mart")), join_attributes=False)
+    build.bronze([], ["financials"])
+    kept = build.bronze_frame("financials").first()
+    assert (kept["Customer_ID"], kept["Num_Bank_Accounts"], kept["Num_Credit_Card"], kept["branch"]) == ("007", "3.0", "5_", "x")
+    read = silver.financial_numbers(build.bronze_frame("financials")).first()
+    assert [read[c] for c in ("Num_Bank_Accounts", "Num_Credit_Card", "Interest_Rate", "Delay_from_due_date")] == [3, 5, 4.5, -2]
+    assert read["branch"] == "x"
+
+
 def test_command_line(spark, sources, tmp_path, built, capsys):
     build, counts = built
     monthly = ["--source", sources, "--datamart", str(tmp_path), "--dpd", "30"]

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+from datetime import date
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from creditmart.functions.dates import ModelWindows
 from creditmart.operators import metrics, modelset, ranking
 
 
@@ -141,4 +143,25 @@ def test_class_metrics(spark, scores):
     hard = [(float(s > 0.5), y) for s, y in rows]
     assert metrics.balanced_accuracy(df).first()[0] == pytest.approx(brute_auc(hard))
     none = spark.createDataFrame([(0.1, 0)], "score double, label int")
-    assert tuple(metrics.class_metrics(none).first()) == (1.0, 0.0, 0.0, 0.0)
+    assert tuple(metrics.class_metrics(none).first()) == (1.0, 0.0, 0.0, 0.0, 0)
+
+
+def test_rows_without_a_score_are_left_out_everywhere(spark):
+    known = [(0.9, 1), (0.2, 0), (0.7, 0), (0.6, 1)]
+    df = spark.createDataFrame([*known, (None, 1), (float("nan"), 0), (None, 0)], "score double, label int")
+    only = spark.createDataFrame(known, "score double, label int")
+    auc = metrics.roc_auc(df).first()
+    assert (auc["n_pos"], auc["n_neg"], auc["n_unscored"], auc["auc"]) == (2, 2, 3, metrics.roc_auc(only).first()["auc"])
+    assert sorted(map(tuple, metrics.roc_curve(df).collect())) == sorted(map(tuple, metrics.roc_curve(only).collect()))
+    assert tuple(metrics.class_metrics(df).first())[:4] == tuple(metrics.class_metrics(only).first())[:4]
+    assert metrics.class_metrics(df).first()["n_unscored"] == 3
+    assert metrics.balanced_accuracy(df).first() == metrics.balanced_accuracy(only).first()
+
+
+def test_model_data_needs_one_feature_row_per_key(spark):
+    labels = spark.createDataFrame([("a", date(1998, 1, 1), 1)], "Customer_ID string, snapshot_date date, label int")
+    twice = spark.createDataFrame([("a", date(1998, 1, 1), 1.0)] * 2, "Customer_ID string, snapshot_date date, fe_1 double")
+    windows = ModelWindows("1999-01-01")
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        modelset.model_dataset(labels, twice, windows)
+    assert modelset.model_dataset(labels, twice, windows, duplicates=True).count() == 2

@@ -222,3 +222,29 @@ def test_shared_folder_needs_a_name_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="checkpoint.dir"):
         session.shared_folder(Session)
+
+
+def test_nan_is_missing_in_bins_and_densities(spark):
+    rows = [(float(i), None) for i in range(20)] + [(float("nan"), None), (None, None)]
+    df = spark.createDataFrame(rows, "v double, empty double")
+    bins = profile.histogram(df, ["v", "empty"], bins=4).collect()
+    assert sorted((r["bin"], r["lower"], r["n"]) for r in bins) == [(0, 0.0, 5), (1, 4.75, 5), (2, 9.5, 5), (3, 14.25, 5)]
+    clean = df.where("v is not null and not isnan(v)")
+    curve = lambda d: sorted((r["x"], round(r["density"], 12)) for r in profile.density(d, "v", 30).collect())
+    assert curve(df) == curve(clean)
+    tables = profile.distributions(df, bins=4, points=30)
+    assert {r["column"] for r in tables["densities"].collect()} == {"v"}
+    assert {r["column"] for r in tables["statistics"].collect()} == {"v", "empty"}
+
+
+def test_correlations_with_gaps(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=60), rng.normal(size=60)
+    gaps = [None if i % 7 == 0 else float("nan") if i % 7 == 1 else float(x + y) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(list(zip(a.tolist(), b.tolist(), gaps, [1.0] * 60)), "a double, b double, c double, d double")
+    found = {(r["a"], r["b"]): r["r"] for r in profile.correlations(df).collect()}
+    keep = np.array([g is not None and not math.isnan(g) for g in gaps])
+    c = np.array([g for g, k in zip(gaps, keep) if k])
+    assert found["a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1])
+    assert found["c", "a"] == found["a", "c"] == pytest.approx(np.corrcoef(a[keep], c)[0, 1])
+    assert found["a", "d"] is None and found["d", "d"] == 1.0
