@@ -122,7 +122,7 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         r = {(i, j): float(matrix[m][n]) for m, i in enumerate(whole) for n, j in enumerate(whole)}
     gaps = [(i, j) for i, j in combinations(range(len(columns)), 2) if not (i in whole and j in whole)]
     if gaps:
-        row = known.agg(*[F.corr(f"c{i}", f"c{j}") for i, j in gaps]).first()
+        row = known.agg(*[_corr(F.col(f"c{i}"), F.col(f"c{j}")) for i, j in gaps]).first()
         r |= {pair: v for (i, j), v in zip(gaps, row) for pair in ((i, j), (j, i))}
 
     def value(i: int, j: int) -> float | None:
@@ -133,6 +133,12 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double, i int, j int")
 
 
+def _corr(a: Column, b: Column) -> Column:
+    """Pearson's r over the rows where both are known, NULL where either is constant (F.corr fails there in ANSI mode)."""
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def _gram(df: DataFrame, columns: Sequence[str]):
     assembled = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df).select("features")
     return Correlation.corr(assembled, "features", "pearson").first()[0].toArray()
