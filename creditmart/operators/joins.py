@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from creditmart.session import materialized
+
 
 def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equally named keys; any other column name may occur on one side only."""
@@ -17,8 +19,9 @@ def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows: at most 1/share of them."""
-    counts = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    """Hashes of the keys that hold more than ``share`` of the rows: at most 1/share of them. The rows are read once; their
+    counts are stored, for they are needed twice."""
+    counts = materialized(df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).scalar()
     return [r["h"] for r in counts.where(F.col("n") > F.lit(share) * total).select("h").collect()]
 

@@ -162,12 +162,15 @@ def random_search(vectors: DataFrame, config: TrainConfig):
         estimator=gbt, estimatorParamMaps=grid, evaluator=evaluator, numFolds=config.folds, foldCol="fold",
         parallelism=config.parallelism, seed=config.search_seed,
     )
-    folded = assign_folds(vectors, config.label, config.ids, config.folds, config.search_seed)
+    # dealing out the folds reads the rows twice
+    known = vectors.select(*dict.fromkeys([*config.ids, config.label, "features"])).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = assign_folds(known, config.label, config.ids, config.folds, config.search_seed)
     folded = folded.select("features", config.label, "fold").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return search.fit(folded)
     finally:
         folded.unpersist()
+        known.unpersist()
 
 
 def search_results(fitted) -> DataFrame:
