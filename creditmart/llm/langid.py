@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,8 @@ def read_pieces(path: str) -> list[str]:
 def runs(text: str) -> list[str]:
     """The runs of letters of text in lower case, long ones cut."""
     found = [text] if text.isalpha() else RUN.findall(text)
+    if not all(map(str.isalpha, found)):  # fractions and raised digits stand among the pattern's word characters
+        found = ["".join(g) for r in found for letters, g in groupby(r, str.isalpha) if letters]
     if any(len(r) > LONGEST_RUN for r in found):
         found = [r[i : i + LONGEST_RUN] for r in found for i in range(0, len(r), LONGEST_RUN)]
     return found

@@ -75,6 +75,7 @@ def test_language_forward_sums_all_segmentations():
     assert np.exp(model.log_probabilities(["abc"])[0, 0]) == pytest.approx(expected)
     uses = model.expected(["abc"], np.array([0]), np.array([1.0]))
     assert uses[2] == pytest.approx((0.1 * 0.2 * 0.3 + 0.1 * 0.02) / expected)
+    assert langid.runs("ab½c") == ["ab", "c"] and langid.runs("½²") == [] and langid.runs("a_b1é") == ["a", "b", "é"]
 
 
 def test_language_held_out_and_undetermined(docs, odd, empty):
@@ -157,6 +158,16 @@ def test_components_of_a_long_path(spark):
     assert all(roots[i] == 0 for i in range(301)) and roots[1001] == 1000
 
 
+def test_components_of_a_path_in_random_order(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "stored", lambda df, store=components.stored: written.append(1) or store(df))
+    at = np.random.default_rng(8).permutation(2_000)
+    edges = spark.createDataFrame(list(zip(at[:-1].tolist(), at[1:].tolist())), "a long, b long")
+    assert {(r.node, r.root) for r in components.components(edges).collect()} == {(n, 0) for n in range(2_000)}
+    assert len(written) < 2 * 15  # two tables a round
+    assert components.components(edges.limit(0)).count() == 0
+
+
 def test_keep_one_of_each_group(spark, odd):
     rng = np.random.default_rng(4)
     make = lambda: ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(300)]
