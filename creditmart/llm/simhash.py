@@ -112,12 +112,16 @@ def classes(prints: DataFrame) -> DataFrame:
 # Near duplicates by the similarity of five-word shingles, for the pipeline.
 
 #: Short fingerprints of a text's distinct words, and the bits of each. Of two texts whose five-word shingles are alike to
-#: 0.8 by scattered changes of words, one in 15 word bits differs: 6 fingerprints of 40 bits meet in 98 of 100 cases.
-TABLES, BITS = 6, 40
+#: 0.8 by scattered changes of words, one in 15 word bits differs: 8 fingerprints of 40 bits meet in over 99 of 100 cases.
+TABLES, BITS = 8, 40
 #: Words of the long fingerprint of distinct shingles, from which similarity is estimated.
 LONG_WORDS = 16
 #: Texts at one variant that are compared all with all.
 DIRECT = 256
+#: Estimates this near to the asked-for similarity are checked on the shingles themselves: four standard errors.
+UNSURE = 0.1
+#: Most similar texts of a local group that a text is checked against, if none is surely similar.
+CHECKS = 4
 
 
 def sketch(text: bytes, k: int, tables: int, bits: int) -> tuple[list[int], bytes]:
@@ -147,11 +151,21 @@ class Hubs:
     def __init__(self) -> None:
         self.ids, self.longs, self.groups, self.n = [], np.empty((16, LONG_WORDS), dtype=np.uint64), np.empty(16, dtype=np.int64), 0
 
-    def add(self, number: int, long: np.ndarray, at_least: float) -> list[tuple[int, int]]:
-        """Take a text up and return the pairs that connect it to each group that it is like."""
-        alike = np.flatnonzero(similarity(long, self.longs[: self.n]) >= at_least) if self.n else np.empty(0, dtype=np.int64)
-        found, where = np.unique(self.groups[alike], return_index=True)
-        out = [(number, self.ids[alike[j]]) for j in where]
+    def add(self, number: int, long: np.ndarray, at_least: float) -> list[tuple[int, int, bool]]:
+        """Take a text up and return pairs that connect it to each group that it may be like: (text, other, whether surely).
+
+        A group's most similar text is the one to link to; where that is not sure, some of the most similar ones are.
+        """
+        alike_to = similarity(long, self.longs[: self.n]) if self.n else np.empty(0)
+        near = np.flatnonzero(alike_to >= at_least - UNSURE)
+        near = near[np.argsort(-alike_to[near], kind="stable")]
+        out = []
+        for g in np.unique(self.groups[near]).tolist():
+            best = near[self.groups[near] == g][:CHECKS].tolist()
+            sure = alike_to[best[0]] >= at_least + UNSURE
+            out += [(number, self.ids[j], bool(sure)) for j in (best[:1] if sure else best)]
+        alike = near[alike_to[near] >= at_least]
+        found = np.unique(self.groups[alike])
         own = int(found[0]) if len(found) else self.n
         if len(found) > 1:
             self.groups[: self.n][np.isin(self.groups[: self.n], found)] = own
@@ -164,11 +178,29 @@ class Hubs:
         return out
 
 
+def similar_pairs(pairs: DataFrame, docs: DataFrame, text: str, k: int, at_least: float) -> DataFrame:
+    """Those of the pairs (`a`, `b`) of texts, by hash, whose sets of k-word shingles have a Jaccard similarity of `at_least`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(hashes(shingles(t or b"", k))).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["hash", "parts"])
+
+    body = F.coalesce(F.col(text), F.lit(""))
+    asked = pairs.select(F.col("a").alias("hash")).union(pairs.select("b")).distinct()
+    texts = docs.select(F.xxhash64(body).alias("hash"), body.cast("binary").alias("body")).join(asked, "hash", "left_semi")
+    sets = stored(texts.mapInArrow(run, "hash long, parts array<long>").groupBy("hash").agg(F.first("parts").alias("parts")))
+    left, right = sets.select(F.col("hash").alias("a"), F.col("parts").alias("x")), sets.select(F.col("hash").alias("b"), F.col("parts").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
+    return both.filter(F.col("common") >= at_least * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
+
+
 def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: float = 0.8) -> DataFrame:
     """(`hash`, `root`) for every distinct text (by its 64-bit hash) that is like another one; root: the group's smallest.
 
-    Texts are alike if the similarity of their sets of k-word shingles, estimated by SimHash over 1,024 bits, is at least
-    `at_least`. Candidates are texts with a short word fingerprint at most two bits apart.
+    Texts are alike if the Jaccard similarity of their sets of k-word shingles is at least `at_least`. Candidates are texts
+    with a short word fingerprint at most two bits apart; SimHash over 1,024 bits estimates their similarity, and estimates
+    near the threshold are settled on the shingles.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,11 +227,14 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
                 if v != at:
                     at, hubs = v, Hubs()
                 pairs += hubs.add(ids[n], words[n], at_least)
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+            columns = list(zip(*pairs)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], names=["a", "b", "sure"])
 
     ordered = rows.repartition("variant").sortWithinPartitions("variant", F.desc("copies"), "hash").select("variant", "hash", "long")
-    pairs = ordered.mapInArrow(compare, "a long, b long").distinct()
-    return components(pairs).withColumnRenamed("node", "hash")
+    found = ordered.mapInArrow(compare, "a long, b long, sure boolean").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure")
+    pairs = stored(found.groupBy("a", "b").agg(F.max("sure").alias("sure")))
+    checked = similar_pairs(pairs.filter(~F.col("sure")).select("a", "b"), docs, text, k, at_least)
+    return components(pairs.filter("sure").select("a", "b").union(checked)).withColumnRenamed("node", "hash")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, at_least: float = 0.8) -> DataFrame:

@@ -185,6 +185,25 @@ def test_keep_one_of_each_group(spark, odd):
     assert sorted(kept.select(F.coalesce("doc_id", F.lit(-1))).toPandas().iloc[:, 0]) == [-1, 1, 4, 5, 6, 7]
 
 
+def test_similarity_near_the_threshold_is_exact(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 7))
+    rows, jaccard = [], {}
+    for n in range(120):  # pairs of texts on both sides of 0.8
+        one = [word() for _ in range(250)]
+        other = list(one)
+        for at in rng.choice(250, int(rng.integers(3, 12)), replace=False):
+            other[at] = word()
+        texts = [" ".join(t) for t in (one, other)]
+        a, b = (set(simhash.shingles(t.encode(), 5)) for t in texts)
+        jaccard[2 * n + 1] = len(a & b) / len(a | b)
+        rows += [(2 * n, texts[0]), (2 * n + 1, texts[1])]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert kept >= {2 * n for n in range(120)} | {i for i, s in jaccard.items() if s < 0.8}
+    alike = {i for i, s in jaccard.items() if s >= 0.8}
+    assert 20 < len(alike) < 100 and len(alike & kept) <= 0.03 * len(alike)
+
+
 # Decontamination
 
 ITEM = "A farmer named Anders sells 12 kg of apples to Maria and keeps 5 kg for the winter while the rest of the 12 kg harvest goes to the old mill near the river"
