@@ -149,15 +149,20 @@ class Hubs:
     """
 
     def __init__(self) -> None:
-        self.ids, self.longs, self.groups, self.n = [], np.empty((16, LONG_WORDS), dtype=np.uint64), np.empty(16, dtype=np.int64), 0
+        self.ids, self.longs, self.n = [], np.empty((16, LONG_WORDS), dtype=np.uint64), 0
+        self.groups, self.keys = np.empty(16, dtype=np.int64), np.empty(16, dtype=np.int64)
 
-    def add(self, number: int, long: np.ndarray, at_least: float) -> list[tuple[int, int, bool]]:
+    def add(self, number: int, long: np.ndarray, key: int, variant: int, at_least: float) -> list[tuple[int, int, bool]]:
         """Take a text up and return pairs that connect it to each group that it may be like: (text, other, whether surely).
 
-        A group's most similar text is the one to link to; where that is not sure, some of the most similar ones are.
+        A group's most similar text is the one to link to; where that is not sure, some of the most similar ones are. Two
+        texts are compared at one of the variants that they share only: at their key if it is the same, else at the smaller.
         """
-        alike_to = similarity(long, self.longs[: self.n]) if self.n else np.empty(0)
-        near = np.flatnonzero(alike_to >= at_least - UNSURE)
+        differ = self.keys[: self.n] ^ key
+        here = np.flatnonzero(np.where(differ == 0, variant == key, variant < (variant ^ differ)))
+        alike_to = np.zeros(self.n)
+        alike_to[here] = similarity(long, self.longs[here])
+        near = here[alike_to[here] >= at_least - UNSURE]
         near = near[np.argsort(-alike_to[near], kind="stable")]
         out = []
         for g in np.unique(self.groups[near]).tolist():
@@ -171,8 +176,8 @@ class Hubs:
             self.groups[: self.n][np.isin(self.groups[: self.n], found)] = own
         if self.n < DIRECT or len(alike) != 1:
             if self.n == len(self.longs):
-                self.longs, self.groups = np.concatenate([self.longs, self.longs]), np.concatenate([self.groups, self.groups])
-            self.longs[self.n], self.groups[self.n] = long, own
+                self.longs, self.groups, self.keys = (np.concatenate([x, x]) for x in (self.longs, self.groups, self.keys))
+            self.longs[self.n], self.groups[self.n], self.keys[self.n] = long, own, key
             self.ids.append(number)
             self.n += 1
         return out
@@ -213,24 +218,24 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
     sketches = stored(sketches.groupBy("hash").agg(F.first("short").alias("short"), F.first("long").alias("long"), F.count("*").alias("copies")))
     # A table's number goes above its fingerprint's bits.
     keys = F.transform("short", lambda s, i: s.bitwiseOR(F.shiftleft(i.cast("long"), BITS)))
-    flipped = sketches.select("hash", F.explode(keys).alias("key")).select("hash", F.explode(ball(F.col("key"), BITS)).alias("variant"))
-    met = flipped.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).filter("n > 1").select("hash", "variant")
+    flipped = sketches.select("hash", F.explode(keys).alias("key")).select("hash", "key", F.explode(ball(F.col("key"), BITS)).alias("variant"))
+    met = flipped.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).filter("n > 1").select("hash", "key", "variant")
     rows = met.join(sketches.select("hash", "long", "copies"), "hash")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, hubs = None, Hubs()
         for batch in batches:
-            variants, ids, longs = (batch.column(n).to_pylist() for n in ("variant", "hash", "long"))
+            variants, ids, keys, longs = (batch.column(n).to_pylist() for n in ("variant", "hash", "key", "long"))
             words = np.frombuffer(b"".join(longs), dtype=np.uint64).reshape(-1, LONG_WORDS)
             pairs = []
             for n, v in enumerate(variants):
                 if v != at:
                     at, hubs = v, Hubs()
-                pairs += hubs.add(ids[n], words[n], at_least)
+                pairs += hubs.add(ids[n], words[n], keys[n], v, at_least)
             columns = list(zip(*pairs)) or [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], names=["a", "b", "sure"])
 
-    ordered = rows.repartition("variant").sortWithinPartitions("variant", F.desc("copies"), "hash").select("variant", "hash", "long")
+    ordered = rows.repartition("variant").sortWithinPartitions("variant", F.desc("copies"), "hash").select("variant", "hash", "key", "long")
     found = ordered.mapInArrow(compare, "a long, b long, sure boolean").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure")
     pairs = stored(found.groupBy("a", "b").agg(F.max("sure").alias("sure")))
     checked = similar_pairs(pairs.filter(~F.col("sure")).select("a", "b"), docs, text, k, at_least)
