@@ -204,6 +204,29 @@ def test_similarity_near_the_threshold_is_exact(spark):
     assert 20 < len(alike) < 100 and len(alike & kept) <= 0.03 * len(alike)
 
 
+def test_block_edits_are_met(spark):
+    """Passages appended, cut off at the end or exchanged, so that 0.8 to 0.9 of the shingles are shared."""
+    rng = np.random.default_rng(7)
+    some = lambda n: ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+    rows, jaccard, kinds = [], {}, ("appended", "cut", "exchanged")
+    for n in range(240):
+        one, share = some(int(rng.integers(60, 300))), rng.uniform(0.81, 0.9)
+        size = len(one)
+        other = {"appended": one + some(int(size / share) - size), "cut": one[: int(np.ceil(size * share)) + 1]}.get(kinds[n % 3])
+        if other is None:
+            gone = int(size * (1 - share) / (1 + share)) - 3
+            other = one[:20] + some(max(1, gone)) + one[20 + max(1, gone) :]
+        texts = [" ".join(t) for t in (one, other)]
+        a, b = (set(simhash.shingles(t.encode(), 5)) for t in texts)
+        jaccard[2 * n + 1] = len(a & b) / len(a | b)
+        rows += [(2 * n, texts[0]), (2 * n + 1, texts[1])]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert kept >= {2 * n for n in range(240)} | {i for i, s in jaccard.items() if s < 0.8}
+    for k in range(3):
+        alike = {i for i, s in jaccard.items() if s >= 0.8 and i // 2 % 3 == k}
+        assert len(alike) > 50 and len(alike & kept) <= 0.03 * len(alike), kinds[k]
+
+
 # Decontamination
 
 ITEM = "A farmer named Anders sells 12 kg of apples to Maria and keeps 5 kg for the winter while the rest of the 12 kg harvest goes to the old mill near the river"
