@@ -13,6 +13,7 @@ class of their text too.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -121,8 +122,10 @@ LONG_WORDS = 16
 DIRECT = 256
 #: Estimates this near to the asked-for similarity are checked on the shingles themselves: four standard errors.
 UNSURE = 0.1
-#: Most similar texts of a local group that a text is checked against, if none is surely similar.
+#: Most similar texts of a local group that a text is checked against in the first pass, if none is surely similar.
 CHECKS = 4
+#: Texts of one variant that a task holds in the second pass; more are dealt to blocks, and each two blocks to a task.
+BLOCK_TEXTS = 2_048
 
 
 def ring_bits(h: np.ndarray, tables: int, bits: int) -> np.ndarray:
@@ -157,7 +160,7 @@ class Hubs:
     """Texts of one variant that later ones are compared with; each knows the local group it belongs to.
 
     The first DIRECT texts are compared all with all. Beyond them, a text is kept only if it is like none of the hubs before
-    it, or like more than one, and so may connect others to them.
+    it, or like more than one, and so may connect others to them. What this leaves out is for the second pass (`apart`).
     """
 
     def __init__(self) -> None:
@@ -195,6 +198,35 @@ class Hubs:
         return out
 
 
+def apart(ids: np.ndarray, keys: np.ndarray, roots: np.ndarray, longs: np.ndarray, second: np.ndarray, variant: int, at_least: float) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """All pairs of one variant's texts that may be alike and lie in different components so far: (texts, others, whether surely).
+
+    Texts that are surely alike give one pair for each two components. `second` tells the texts of a second block, which are
+    compared with those of the first one only; if there are none, all texts are compared.
+    """
+    roots, two = roots.copy(), bool(second.any())
+    out, unsure = [], []
+    for i in range(len(ids)) if not two else np.flatnonzero(~second).tolist():
+        others = np.flatnonzero(second) if two else np.arange(i + 1, len(ids))
+        others = others[roots[others] != roots[i]]
+        differ = keys[others] ^ keys[i]
+        others = others[np.where(differ == 0, variant == keys[i], variant < (variant ^ differ))]
+        if not len(others):
+            continue
+        alike = similarity(longs[i], longs[others])
+        sure = others[alike >= at_least + UNSURE]
+        for root, at in zip(*np.unique(roots[sure], return_index=True)):
+            out.append((ids[i : i + 1], ids[sure[at : at + 1]], True))
+            roots[roots == root] = roots[i]
+        near = others[(alike >= at_least - UNSURE) & (alike < at_least + UNSURE)]
+        unsure.append((i, near))
+    for i, near in unsure:
+        near = near[roots[near] != roots[i]]
+        if len(near):
+            out.append((np.full(len(near), ids[i]), ids[near], False))
+    return out
+
+
 def similar_pairs(pairs: DataFrame, docs: DataFrame, text: str, k: int, at_least: float) -> DataFrame:
     """Those of the pairs (`a`, `b`) of texts, by hash, whose sets of k-word shingles have a Jaccard similarity of `at_least`."""
 
@@ -217,7 +249,8 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
 
     Texts are alike if the Jaccard similarity of their sets of k-word shingles is at least `at_least`. Candidates are texts
     with a short fingerprint at most two bits apart; SimHash over 1,024 bits estimates their similarity, and estimates
-    near the threshold are settled on the shingles.
+    near the threshold are settled on the shingles. A first pass links each text to few others of its local groups; a second
+    one settles all candidates that the links of the first leave in different components.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +264,7 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
     # A table's number goes above its fingerprint's bits.
     keys = F.transform("short", lambda s, i: s.bitwiseOR(F.shiftleft(i.cast("long"), BITS)))
     flipped = sketches.select("hash", F.explode(keys).alias("key")).select("hash", "key", F.explode(ball(F.col("key"), BITS)).alias("variant"))
-    met = flipped.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).filter("n > 1").select("hash", "key", "variant")
+    met = stored(flipped.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).filter("n > 1").select("hash", "key", "variant"))
     rows = met.join(sketches.select("hash", "long", "copies"), "hash")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +284,39 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
     found = ordered.mapInArrow(compare, "a long, b long, sure boolean").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure")
     pairs = stored(found.groupBy("a", "b").agg(F.max("sure").alias("sure")))
     checked = similar_pairs(pairs.filter(~F.col("sure")).select("a", "b"), docs, text, k, at_least)
-    return components(pairs.filter("sure").select("a", "b").union(checked)).withColumnRenamed("node", "hash")
+    roots = stored(components(pairs.filter("sure").select("a", "b").union(checked)))
+
+    def compare_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+        for batch in itertools.chain(batches, [None]):
+            rows = [] if batch is None else list(zip(*(batch.column(n).to_pylist() for n in ("variant", "low", "high", "block", "hash", "key", "root", "long"))))
+            for row in itertools.chain(rows, [None] if batch is None else []):
+                if held and (row is None or row[:3] != at):
+                    blocks, ids, keys, own, longs = zip(*(r[3:] for r in held))
+                    second = np.array(blocks) != at[1]
+                    if at[1] == at[2] or (second.any() and not second.all()):
+                        numbers = [np.array(x, dtype=np.int64) for x in (ids, keys, own)]
+                        words = np.frombuffer(b"".join(longs), dtype=np.uint64).reshape(-1, LONG_WORDS)
+                        for a, b, sure in apart(*numbers, words, second, at[0], at_least):
+                            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array([sure] * len(a))], names=["a", "b", "sure"])
+                    held = []
+                if row is not None:
+                    held.append(row)
+                    at = row[:3]
+
+    everyone = Window.partitionBy("variant")
+    labelled = met.join(roots.withColumnRenamed("node", "hash"), "hash", "left").withColumn("root", F.coalesce("root", "hash"))
+    still = labelled.withColumns({"least": F.min("root").over(everyone), "most": F.max("root").over(everyone), "n": F.count("*").over(everyone)}).filter("least <> most")
+    still = still.withColumn("blocks", F.ceil(F.col("n") / BLOCK_TEXTS)).withColumn("block", F.pmod(F.xxhash64("hash"), F.col("blocks")))
+    dealt = still.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("variant", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "hash", "key", "root")
+    cell = ["variant", "low", "high"]
+    dealt = dealt.join(sketches.select("hash", "long"), "hash").repartition(*cell).sortWithinPartitions(*cell, "hash")
+    left = dealt.mapInArrow(compare_rest, "a long, b long, sure boolean").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure")
+    left = stored(left.groupBy("a", "b").agg(F.max("sure").alias("sure")).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    settled = similar_pairs(left.filter(~F.col("sure")).select("a", "b"), docs, text, k, at_least)
+    stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(stars.union(left.filter("sure").select("a", "b")).union(settled)).withColumnRenamed("node", "hash")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, at_least: float = 0.8) -> DataFrame:

@@ -227,6 +227,34 @@ def test_block_edits_are_met(spark):
         assert len(alike) > 50 and len(alike & kept) <= 0.03 * len(alike), kinds[k]
 
 
+def test_links_beyond_the_first_checks_are_settled(spark):
+    """A text that is like one member of a group only, while all the others are just below the threshold."""
+    rng = np.random.default_rng(9)
+    some = lambda n: ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+    rows = []
+    for n in range(24):
+        base, block = some(400), some(42)
+        texts = [base[:100] + block[:39] + base[139:]]  # shingles alike to 0.804
+        for i in range(14):  # to 0.792
+            own = list(block)
+            own[3 + i] = some(1)[0]
+            texts.append(base[:100] + own + base[142:])
+        texts.append(base)
+        rows += [(100 * n + i, " ".join(t)) for i, t in enumerate(texts)]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert kept == {100 * n for n in range(24)}
+
+
+def test_second_pass_compares_blocks_all_with_all():
+    rng = np.random.default_rng(10)
+    longs = rng.integers(0, 2**63, (8, simhash.LONG_WORDS), dtype=np.uint64)
+    longs[5:] = longs[:3]  # texts 5, 6, 7 surely like 0, 1, 2
+    ids, keys, roots = np.arange(8), np.full(8, 77), np.array([0, 1, 2, 3, 4, 5, 6, 2])
+    pairs = lambda second: {(int(a[0]), int(b[0]), s) for a, b, s in simhash.apart(ids, keys, roots, longs, second, 77, 0.8)}
+    assert pairs(np.zeros(8, dtype=bool)) == pairs(ids > 4) == {(0, 5, True), (1, 6, True)}
+    assert pairs(ids > 5) == {(1, 6, True)}
+
+
 # Decontamination
 
 ITEM = "A farmer named Anders sells 12 kg of apples to Maria and keeps 5 kg for the winter while the rest of the 12 kg harvest goes to the old mill near the river"
