@@ -4,7 +4,7 @@ A text's words become template tokens: numbers, units after a number and capital
 words stand as they are in lower case without outer punctuation. Windows of template tokens are joined by hash with those of
 the benchmark's items, so a question with other numbers and names still meets its original. Along one alignment, the slots
 must be filled consistently: equal slots of the item by equal values in the document, different ones by different values.
-A document is contaminated by an item if consistent windows cover enough of the item's windows.
+Windows that go against the most frequent filling do not count, the others do. A document is contaminated by an item if consistent windows cover enough of the item's windows.
 
 Null and empty texts have no windows and contaminate nothing. Items of fewer words than a window are one window. Windows
 that are mostly slots say little and are left out, as long as the item has other ones. Repeated documents each count;
@@ -14,6 +14,7 @@ a null doc_id is a document of its own by its text. Ties do not arise: all items
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,16 +175,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     total = items.groupBy("id").agg(F.countDistinct("pos").alias("n_windows")).withColumnRenamed("id", "item_id")
     theirs = items.select(F.col("id").alias("item_id"), "hash", F.col("pos").alias("at"), F.col("slots").alias("theirs"))
     met = found.join(theirs, "hash").withColumn("shift", F.col("pos") - F.col("at"))
-    aligned = met.groupBy("id", "item_id", "shift").agg(
-        F.collect_set("at").alias("at"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("theirs", "slots")))).alias("pairs"),
-    )
-    one_to_one = (F.size("pairs") == F.size(F.array_distinct(F.col("pairs.theirs")))) & (F.size("pairs") == F.size(F.array_distinct(F.col("pairs.slots"))))
-    covered = aligned.filter(one_to_one).select("id", "item_id", F.explode("at").alias("at")).groupBy("id", "item_id").agg(F.countDistinct("at").alias("covered"))
+    aligned = met.groupBy("id", "item_id", "shift").agg(F.collect_set(F.struct("at", "theirs", "slots")).alias("windows"))
+    of_item = aligned.schema["item_id"].dataType.simpleString()
+    agreed = aligned.select("id", "item_id", "windows").mapInArrow(_agreed, f"id {kind}, item_id {of_item}, at array<int>")
+    covered = agreed.select("id", "item_id", F.explode("at").alias("at")).groupBy("id", "item_id").agg(F.countDistinct("at").alias("covered"))
     full = covered.join(total, "item_id").filter(F.col("covered") >= F.col("n_windows") * share)
     return full.select(F.col("id.doc_id").alias("doc_id"), F.col("id.text_hash").alias("text_hash"), "item_id", "n_windows", (F.col("covered") / F.col("n_windows")).alias("covered"))
 
 
+def consistent(windows: list[tuple[int, list[str], list[str]]]) -> list[int]:
+    """Places of an alignment's windows (place, the item's slots, the document's) that agree with one filling of the slots.
+
+    The filling takes pairs of values one to one, the most frequent pairs first; windows with equal slots always count.
+    """
+    counts = Counter(pair for _, theirs, slots in windows for pair in zip(theirs, slots))
+    filled: dict[str, str] = {}
+    used: set[str] = set()
+    for value, other in sorted(counts, key=lambda p: (-counts[p], p[0] != p[1], p)):
+        if value not in filled and other not in used:
+            filled[value] = other
+            used.add(other)
+    return sorted({at for at, theirs, slots in windows if theirs == slots or all(filled.get(v) == w for v, w in zip(theirs, slots))})
+
+
+def _agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places = [consistent([(w["at"], w["theirs"], w["slots"]) for w in ws]) for ws in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32()))], names=["id", "item_id", "at"])
+
+
 def _lengths(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         reader = Reader()

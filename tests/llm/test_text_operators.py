@@ -276,6 +276,19 @@ def test_decontamination_of_copies_and_new_parameters(spark):
     assert decontam.contaminated(docs.limit(0), bench).count() == 0 and decontam.clean(docs, bench.limit(0)).count() == 9
 
 
+def test_decontamination_drops_conflicting_windows_only(spark):
+    altered = ITEM.replace("the 12 kg harvest", "the 99 kg harvest")
+    merged = ITEM.replace("5 kg", "12 kg")
+    rest = " while all of them wait near the old mill for rain and talk about the long road home in autumn"
+    starts = "The farmer sells apples near the mill. The winter is long over there. The river" + rest
+    docs = spark.createDataFrame([(1, altered), (2, merged), (3, starts.replace("The winter", "Every winter")), (4, rest)], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, ITEM), (10, starts)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.covered for r in decontam.contaminated(docs, bench).collect()}
+    assert {(1, 9), (2, 9), (3, 10)} <= found.keys() and all(found[k] < 1 for k in ((1, 9), (2, 9), (3, 10)))
+    windows = [(0, ["a"], ["x"]), (1, ["a"], ["x"]), (2, ["a"], ["y"]), (3, ["b"], ["x"]), (4, ["c"], ["c"]), (5, [], [])]
+    assert decontam.consistent(windows) == [0, 1, 4, 5]
+
+
 def test_decontamination_without_sent_hashes(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     usual = {tuple(r) for r in decontam.contaminated(docs, bench).collect()}
