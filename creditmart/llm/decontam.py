@@ -7,7 +7,8 @@ must be filled consistently: equal slots of the item by equal values in the docu
 Windows that go against the most frequent filling do not count, the others do. A document is contaminated by an item if consistent windows cover enough of the item's windows.
 
 Null and empty texts have no windows and contaminate nothing. Items of fewer words than a window are one window. Windows
-that are mostly slots say little and are left out, as long as the item has other ones. Repeated documents each count;
+that are mostly slots say little and are left out, as long as the item has other ones; else they count if their slots are
+literally equal. Repeated documents each count;
 a null doc_id is a document of its own by its text. Ties do not arise: all items that reach the share are reported.
 """
 
@@ -74,17 +75,21 @@ class Reader:
         for table, column in zip(self.tables, (0, 1)):
             table[n : n + len(words)] = [f[column] for f in found]
 
-    def read(self, text: str, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Code, kind and number of each token of a text. Without names, capitalised words stand as they are."""
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Code, kind and number of each token of a text, names as slots."""
+        return self.coded(self.numbers(text), True)
+
+    def numbers(self, text: str) -> np.ndarray:
         if len(self.values) > REMEMBERED:
             self.__init__()
         words = text.split()
         new = set(words).difference(self.seen)
         if new:
             self.learn(list(new))
-        return self.coded(np.fromiter(map(self.seen.__getitem__, words), dtype=np.int64, count=len(words)), names)
+        return np.fromiter(map(self.seen.__getitem__, words), dtype=np.int64, count=len(words))
 
     def coded(self, at: np.ndarray, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Code, kind and number of each token. Without names, capitalised words stand as they are."""
         kind_of, code_of = self.tables
         kinds = kind_of[at]
         at, kinds = at[kinds != SKIP], kinds[kinds != SKIP].copy()
@@ -108,44 +113,57 @@ def window_hashes(codes: np.ndarray, kinds: np.ndarray, width: int) -> tuple[np.
     return h, plain[width:] - plain[:-width]
 
 
-def _forms(reader: Reader, text: str, widths: list[int], of_items: bool) -> Iterator[tuple]:
-    """Template tokens of a text and a width, for each way to cut it into windows."""
-    for names in (True, False) if of_items else (True,):
-        form = reader.read(text, names)
-        if len(form[0]):
-            yield from ((*form, w) for w in ([min(len(form[0]), widths[-1])] if of_items else widths))
+def _forms(reader: Reader, text: str, widths: list[int], of_items: bool) -> list[tuple]:
+    """Codes, kinds, numbers, width, and which windows to look at, for each way to cut a text into windows.
+
+    Names are slots first and words then. Windows without a name are the same both times and looked at once.
+    """
+    numbers, out = reader.numbers(text), []
+    slots = reader.coded(numbers, True)
+    if not len(slots[0]):
+        return out
+    named = np.concatenate(([0], np.cumsum(slots[1] == NAME)))
+    forms = [slots, reader.coded(numbers, False)] if named[-1] else [slots]
+    for width in [min(len(slots[0]), widths[-1])] if of_items else [w for w in widths if w <= len(slots[0])]:
+        everywhere = np.ones(len(named) - width, dtype=bool)
+        for form, look in zip(forms, (everywhere, named[width:] > named[:-width])):
+            out.append((*form, width, look))
+    return out
 
 
-COLUMNS = "hash long, pos int, slots array<string>"
+COLUMNS = "hash long, pos int, exact boolean, slots array<string>"
 
 
 def _windows(batches, widths: list[int], wanted: np.ndarray | None, of_items: bool) -> Iterator[pa.RecordBatch]:
-    """Windows of (id, text) rows. Of items: one that is shorter than the widest window is one window, and windows are made both
-    with names as slots and with names as words, for copies in capitals or without any.
+    """Windows of (id, text) rows, both with names as slots and with names as words, for copies in capitals or without any. Of
+    items: one that is shorter than the widest window is one window, and windows that are mostly slots are left out unless
+    neither form has any other; these are `exact`, for their slots say what their words do not.
     """
     reader, mask = Reader(), None
     if wanted is not None:
         mask = np.zeros(1 << 22, dtype=bool)
         mask[(wanted & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
     for batch in batches:
-        rows: dict[str, list] = {"n": [], "hash": [], "pos": [], "slots": []}
+        rows: dict[str, list] = {"n": [], "hash": [], "pos": [], "exact": [], "slots": []}
         for n, text in enumerate(batch.column(1).to_pylist()):
-            for codes, kinds, at, width in _forms(reader, text or "", widths, of_items):
-                h, plain = window_hashes(codes, kinds, width)
-                keep = (plain >= LITERAL) | (width < WIDTH)
-                if mask is not None:
-                    keep &= mask[(h & np.uint64((1 << 22) - 1)).astype(np.int64)]
+            forms = [(*form, *window_hashes(*form[:2], form[3])) for form in _forms(reader, text or "", widths, of_items)]
+            literal = any(((plain >= LITERAL) & look).any() for _, _, _, _, look, _, plain in forms)
+            for codes, kinds, at, width, keep, h, plain in forms:
+                few = (plain < LITERAL) & (width == WIDTH)
+                if of_items and literal:
+                    keep = keep & ~few
+                elif mask is not None:
+                    keep = keep & mask[(h & np.uint64((1 << 22) - 1)).astype(np.int64)]
                     some = h[keep]
                     keep[keep] = wanted[np.minimum(np.searchsorted(wanted, some), len(wanted) - 1)] == some
-                elif of_items and not keep.any():
-                    keep[:] = True
                 for p in np.flatnonzero(keep).tolist():
                     rows["n"].append(n)
                     rows["hash"].append(int(h[p].view(np.int64)))
                     rows["pos"].append(p)
+                    rows["exact"].append(bool(few[p]))
                     rows["slots"].append([reader.values[at[p + j]] for j in range(width) if kinds[p + j] != PLAIN])
-        out = [batch.column(0).take(pa.array(rows["n"], pa.int64())), pa.array(rows["hash"], pa.int64()), pa.array(rows["pos"], pa.int32()), pa.array(rows["slots"], pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays(out, names=["id", "hash", "pos", "slots"])
+        out = [batch.column(0).take(pa.array(rows["n"], pa.int64())), pa.array(rows["hash"], pa.int64()), pa.array(rows["pos"], pa.int32()), pa.array(rows["exact"], pa.bool_()), pa.array(rows["slots"], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(out, names=["id", "hash", "pos", "exact", "slots"])
 
 
 def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -173,8 +191,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(lambda b: _windows(b, widths, wanted, False), f"id {kind}, {COLUMNS}")
     total = items.groupBy("id").agg(F.countDistinct("pos").alias("n_windows")).withColumnRenamed("id", "item_id")
-    theirs = items.select(F.col("id").alias("item_id"), "hash", F.col("pos").alias("at"), F.col("slots").alias("theirs"))
-    met = found.join(theirs, "hash").withColumn("shift", F.col("pos") - F.col("at"))
+    theirs = items.select(F.col("id").alias("item_id"), "hash", F.col("pos").alias("at"), "exact", F.col("slots").alias("theirs"))
+    met = found.drop("exact").join(theirs, "hash").filter(~F.col("exact") | (F.col("theirs") == F.col("slots"))).withColumn("shift", F.col("pos") - F.col("at"))
     aligned = met.groupBy("id", "item_id", "shift").agg(F.collect_set(F.struct("at", "theirs", "slots")).alias("windows"))
     of_item = aligned.schema["item_id"].dataType.simpleString()
     agreed = aligned.select("id", "item_id", "windows").mapInArrow(_agreed, f"id {kind}, item_id {of_item}, at array<int>")

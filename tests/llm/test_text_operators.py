@@ -289,6 +289,17 @@ def test_decontamination_drops_conflicting_windows_only(spark):
     assert decontam.consistent(windows) == [0, 1, 4, 5]
 
 
+def test_decontamination_of_items_full_of_slots(spark):
+    title = "The Old Man And The Sea Was Written By Ernest Hemingway In Cuba While He Lived Near Havana With Many Cats"
+    sums = "Add 3 4 15 9 2 6 5 35 8 97 93 23 84 62 64 33 83 27 95 total"
+    names = "Anna Berg met Carl Dorn and Emil Falk with Gerd Hahn near Ines Jung or Karl Lang by Maja Nord"
+    other = "Add 1 2 33 4 5 6 7 88 9 10 11 12 13 14 15 16 17 18 19 total"
+    bench = spark.createDataFrame(list(enumerate((title, sums, names))), "item_id int, text string")
+    docs = spark.createDataFrame(list(enumerate((title, sums, names, other, title.lower()))), "doc_id int, text string")
+    found = {(r.doc_id, r.item_id): r.covered for r in decontam.contaminated(docs, bench).collect()}
+    assert found == {(0, 0): 1.0, (1, 1): 1.0, (2, 2): 1.0, (4, 0): 1.0}
+
+
 def test_decontamination_without_sent_hashes(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     usual = {tuple(r) for r in decontam.contaminated(docs, bench).collect()}
