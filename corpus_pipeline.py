@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditmart.llm import bpe, decontam, langid, linededup, simhash
-from creditmart.llm.common import delete_at_end, table
+from creditmart.llm.common import delete_at_end, free_name, table
 from creditmart.llm.queries import BPE_FILE, PIECE_FILE
 from creditmart.session import shared_folder
 
@@ -26,8 +26,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate of their source. A document that is mostly such lines is a copy and stays whole."""
-    kept = linededup.drop_boilerplate(docs, "doc_id", "source", "text", max_ratio=0.05, min_pages=5, most=0.5)
+    """Documents without the boilerplate of their source, or of it in their language. One of such lines only is a copy and stays whole."""
+    host = free_name(docs, "line_host")
+    named = docs.withColumn(host, F.to_json(F.struct("source", "lang")))
+    kept = linededup.drop_boilerplate(named, "doc_id", ["source", host], "text", max_ratio=0.05, min_pages=5, whole=True)
     sized = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return kept.select(*sized)
 

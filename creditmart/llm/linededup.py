@@ -10,6 +10,8 @@ table has. An empty table gives an empty one. A page may end with empty text.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,23 +62,31 @@ def boilerplate(pages: DataFrame, host: str, text: str, max_ratio: float, min_pa
     return counts.join(totals, "host").filter(F.col("on") > F.col("of") * max_ratio)
 
 
-def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, max_ratio: float = 0.1, min_pages: int = 3, most: float = 1.0) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, page_id: str, host: str | list[str], text: str, max_ratio: float = 0.1, min_pages: int = 3, most: float = 1.0, whole: bool = False) -> DataFrame:
     """The pages with boilerplate lines taken out of `text`, and `n_lines` and `n_dropped` (lines that are not blank).
 
     A page that would lose more than the share `most` of its characters stays whole: it is a copy of others rather than a page
-    in a template.
+    in a template. With `whole`, so does a page that would lose all its lines.
+    Of several columns of hosts, a line goes if it is boilerplate of any.
     """
     key, drops, kept = (free_name(pages, n) for n in ("page_key", "page_drops", "page_kept"))
-    bad = boilerplate(pages, host, text, max_ratio, min_pages).select("host", "line")
-    content = F.xxhash64(F.coalesce(F.col(host), F.lit("")), F.col(text))
-    where = pages.select(F.col(page_id).alias("id"), content.alias("content"), F.coalesce(F.col(host), F.lit("")).alias("host"), F.explode(_keys(F.col(text))).alias("line"))
-    lists = where.join(bad, ["host", "line"]).groupBy("id", "content").agg(F.collect_set("line").alias(drops))
+    hosts = [F.coalesce(F.col(h), F.lit("")) for h in ([host] if isinstance(host, str) else host)]
+    content = F.xxhash64(*hosts, F.col(text))
+    found = []
+    for h in hosts:
+        named = pages.withColumn(key, h)
+        bad = boilerplate(named, key, text, max_ratio, min_pages).select("host", "line")
+        where = named.select(F.col(page_id).alias("id"), content.alias("content"), F.col(key).alias("host"), F.explode(_keys(F.col(text))).alias("line"))
+        found.append(where.join(bad, ["host", "line"]).select("id", "content", "line"))
+    lists = reduce(DataFrame.union, found).groupBy("id", "content").agg(F.collect_set("line").alias(drops))
     lists = lists.select(F.struct("id", "content").alias(key), drops)
     here = F.struct(F.col(page_id).alias("id"), content.alias("content"))
     joined = pages.join(lists, (here["id"].eqNullSafe(F.col(key)["id"])) & (here["content"] == F.col(key)["content"]), "left")
     lines, blank = _lines(F.col(text)), F.xxhash64(F.lit(""))
     left = F.array_join(F.filter(lines, lambda x: ~F.array_contains(F.col(drops), _line_key(x))), "\n")
     enough = F.length(left) >= (1.0 - most) * F.length(F.col(text))
+    if whole:
+        enough &= F.exists(lines, lambda x: (_line_key(x) != blank) & ~F.array_contains(F.col(drops), _line_key(x)))
     cut = joined.withColumn(kept, F.when(F.col(drops).isNotNull() & enough, left))
     filled = F.size(F.filter(lines, lambda x: _line_key(x) != blank))
     gone = F.size(F.filter(lines, lambda x: F.array_contains(F.col(drops), _line_key(x))))

@@ -371,6 +371,14 @@ def test_lines_over_the_ratio_go(spark):
     assert "Python" not in linededup.drop_boilerplate(pages, "id", "host", "text")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pages_of_boilerplate_only_stay_whole(spark):
+    rows = [(i, "h", "menu\nfooter\nown %d" % i) for i in range(9)] + [(9, "h", "menu\n\nfooter")]
+    pages = spark.createDataFrame(rows, "id long, host string, text string")
+    out = {r.id: r for r in linededup.drop_boilerplate(pages, "id", "host", "text", 0.5, 3, whole=True).collect()}
+    assert out[3].text == "own 3" and out[9].text == "menu\n\nfooter" and out[9].n_dropped == 0
+    assert {r.text for r in linededup.drop_boilerplate(pages, "id", "host", "text", 0.5, 3).filter("id = 9").collect()} == {""}
+
+
 # Licences
 
 

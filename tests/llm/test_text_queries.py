@@ -42,6 +42,14 @@ def test_pipeline(spark):
     assert out.columns == [*docs.columns, "n_tokens", "ids"]
 
 
+def test_lines_of_the_pipeline(spark):
+    """A line on a few of a source's documents but on a fifth of a language's goes, from documents that are mostly such lines too."""
+    rows = [(i, f"own words {i}", "en", "s", 1) for i in range(300)]
+    rows += [(300 + i, "mentions très longues de ce site, tous droits et conditions\n" * (i % 5 == 0) + f"texte {i}", "fr", "s", 1) for i in range(50)]
+    out = corpus_pipeline.lines(spark, spark.createDataFrame(rows, spark.read.parquet(f"{SF}/documents.parquet").schema), SF)
+    assert {r.doc_id: r.text for r in out.collect()} == {r[0]: r[1].split("\n")[-1] for r in rows}
+
+
 def test_pipeline_on_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, None, None, 0), (2, "", "en", "s", 0), (3, "hello there", "en", "s", 1), (3, "hello there", "en", "s", 1)], spark.read.parquet(f"{SF}/documents.parquet").schema)
     for _, stage in corpus_pipeline.STAGES:
