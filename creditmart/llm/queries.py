@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import bpe, decontam, langid, licenses, linededup, lm, quality, sharding, simhash, topk
+from creditmart.llm import bpe, decontam, langid, licenses, linededup, lm, merkle, quality, sharding, simhash, topk
 from creditmart.llm.common import remainder, stored, table
 
 #: Where the vocabulary files lie; read on the driver only.
@@ -136,3 +137,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query()
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(remainder(F.col("doc_id"), 3) == 0, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    fields = {**{c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars")}, "text": tampered}
+    return merkle.manifest(docs, fields).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
