@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import bpe, decontam, langid, licenses, linededup, lm, merkle, quality, sharding, simhash, topk
+from creditmart.llm import bpe, decontam, langid, lexical, licenses, linededup, lm, merkle, quality, sharding, simhash, topk
 from creditmart.llm.common import remainder, stored, table
 
 #: Where the vocabulary files lie; read on the driver only.
@@ -145,3 +145,28 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(remainder(F.col("doc_id"), 3) == 0, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
     fields = {**{c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars")}, "text": tampered}
     return merkle.manifest(docs, fields).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query(
+    rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+            regexp_extract_all(translate(text, '{ascii_uppercase}', '{ascii_lowercase}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents WHERE text IS NOT NULL
+    ), t AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d WHERE len(terms) > 0),
+    i AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{ascii_uppercase}', '{ascii_lowercase}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    ), p AS (
+        SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+        WHERE term IN (SELECT term FROM i) GROUP BY ALL
+    ), w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, t GROUP BY term, docs),
+    c AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))) AS part FROM p JOIN w USING (term), t),
+    s AS (SELECT item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM i JOIN c USING (term) GROUP BY ALL HAVING sum(part) > 0),
+    k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s)
+    SELECT * FROM k WHERE rank <= 10
+    """
+)
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return lexical.search(docs, items, 10)
