@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import bpe, decontam, langid, lexical, licenses, linededup, lm, merkle, quality, sharding, simhash, topk
+from creditmart.llm import bpe, decontam, forest, langid, lexical, licenses, linededup, lm, merkle, quality, sharding, simhash, topk
 from creditmart.llm.common import remainder, stored, table
 
 #: Where the vocabulary files lie; read on the driver only.
@@ -139,6 +139,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+@query()
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
 @query()
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
