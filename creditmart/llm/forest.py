@@ -46,6 +46,8 @@ MARGIN = 0.15
 BLOCK_SETS, BLOCK_WEIGHT, BLOCK_SHINGLES = 1_024, 1 << 22, 1 << 14
 #: Shingles whose minima are taken at once.
 SLICE = 1_024
+#: Asked-for sets that are sent to the texts, of 16 bytes each; more are joined to them by a shuffle, with the same result.
+SENT_UP_TO = 2_000_000
 
 _RANDOM = np.random.default_rng(11).integers(0, 1 << 63, (2, TREES * DEPTH), dtype=np.uint64)
 _XOR, _ODD = _RANDOM[0] << np.uint64(1), _RANDOM[1] | np.uint64(1)
@@ -136,7 +138,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(asked: DataFrame, docs: DataFrame, text: str, k: int) -> DataFrame:
-    """(`node`, `parts`): the sorted shingle hashes of the asked-for sets, taken from a text that has them."""
+    """(`node`, `parts`): the sorted shingle hashes of the asked-for sets (`node`, `body`), taken from a text that has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,7 +146,8 @@ def sets_of(asked: DataFrame, docs: DataFrame, text: str, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "parts"])
 
     texts = docs.select(F.xxhash64(text).alias("body"), F.col(text).cast("binary").alias("text"))
-    found = texts.join(asked, "body").groupBy("node").agg(F.first("text").alias("text"))
+    sent = F.broadcast(asked) if asked.count() <= SENT_UP_TO else asked
+    found = texts.join(sent, "body").groupBy("node").agg(F.first("text").alias("text"))
     return found.mapInArrow(run, "node long, parts binary")
 
 
