@@ -29,7 +29,10 @@ FAN_BITS = 3
 FAN = 1 << FAN_BITS
 #: Bits of an id under a word of the bitmap, and under each level of the directory.
 WORD, LEVELS = 6, (16, 26, 36, 46, 56)
-NO_HASH = F.lit(None).cast("string")
+
+
+def no_hash() -> Column:
+    return F.lit(None).cast("string")
 
 
 def field(c: Column) -> Column:
@@ -68,7 +71,7 @@ def leaves(rows: DataFrame, fields: dict[str, Column], doc_id: str, group: str)
         F.col(doc_id).cast("long").alias("id"),
         F.coalesce(F.concat(F.lit("+"), F.col(group).cast("string")), F.lit("")).alias("grp"),
         original.alias("leaf"),
-        F.when(~same, changed).otherwise(NO_HASH).alias("other"),
+        F.when(~same, changed).otherwise(no_hash()).alias("other"),
     )
 
 
@@ -148,7 +151,7 @@ def levels_of(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             return runs, reduce(DataFrame.union, tops)
         runs.append(rest)
         joined = digest(F.array_join("kids.hash", ""))
-        at = rest.select("grp", F.col("parent").alias("pos"), joined.alias("hash"), F.lit(None).cast("long").alias("id"), NO_HASH.alias("other"))
+        at = rest.select("grp", F.col("parent").alias("pos"), joined.alias("hash"), F.lit(None).cast("long").alias("id"), no_hash().alias("other"))
 
 
 def paths(runs: list[DataFrame], above: DataFrame) -> DataFrame:
@@ -185,7 +188,7 @@ def manifest(rows: DataFrame, fields: dict[str, Column], doc_id: str = "doc_id",
     root = top.first()
     # each group's subroot, and its siblings among the subroots
     none = F.array().cast("array<struct<l:string,r:string>>").alias("path")
-    over = paths(up, top.select("grp", "height", NO_HASH.alias("subroot"), none)) if up else top.withColumn("path", none)
+    over = paths(up, top.select("grp", "height", no_hash().alias("subroot"), none)) if up else top.withColumn("path", none)
     over = stored(over.select(F.col("other").alias("grp"), F.col("id").alias("height"), F.col("hash").alias("subroot"), "path"))
     alone = tops.filter("height = 0").join(over.drop("height"), "grp")
     out = alone.select("hash", "id", "other", "grp", "subroot", "path")
