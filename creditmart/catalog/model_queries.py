@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditmart.catalog import tables as T
@@ -10,7 +9,8 @@ from creditmart.catalog.profile_queries import _rounded
 from creditmart.catalog.registry import query
 from creditmart.functions.dates import ModelWindows
 from creditmart.operators import metrics, modelset
-from creditmart.plans import gold, silver, training
+from creditmart.plans import boosting, gold, silver, training
+from creditmart.session import materialized
 from creditmart.sources.schemas import CLICKSTREAM_FEATURES
 
 TRAIN_DATE = "1999-01-01"
@@ -165,7 +165,7 @@ def balanced_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 # determines is checked on its real results (an AUC above chance on the rows it learnt from, scores that are probabilities,
 # importances that sum up to 1, tried points that differ and lie in the space).
 
-CONFIG = training.TrainConfig(TRAIN_DATE, parallelism=8)
+CONFIG = training.TrainConfig(TRAIN_DATE)
 PARTS_SQL = (
     DATASET_SQL
     + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat('88:', loan_id)), loan_id)
@@ -182,14 +182,13 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], PipelineModel]:
-    """Model data, features, and a pipeline of as many trees as the search tries at most."""
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], boosting.Boosted]:
+    """Model data, features, and a model of as many trees as the search tries at most."""
     data = _prepared(spark, sf_dir)
     features = CONFIG.features(data)
     train = data.where("split = 'train'")
-    stages = training.feature_stages(train, features)
-    gbt = training.classifier(maxIter=50, maxDepth=3, stepSize=0.1, subsamplingRate=0.8)
-    return data, features, Pipeline(stages=[*stages, gbt]).fit(train)
+    settings = boosting.Settings(n_estimators=50, max_depth=3, learning_rate=0.1, subsample=0.8)
+    return data, features, training.fit(train, features, CONFIG, settings)
 
 
 @query(
@@ -238,13 +237,11 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _prepared(spark, sf_dir)
     train = data.where("split = 'train'")
-    head = Pipeline(stages=training.feature_stages(train, CONFIG.features(data))).fit(train)
-    vectors = head.transform(train).select("loan_id", "label", "features")
-    found = training.search_results(training.random_search(vectors, CONFIG))
+    found = training.search_results(training.random_search(train, CONFIG.features(data), CONFIG))
     inside = F.lit(True)
     for name, values in CONFIG.space.items():
         inside = inside & F.col("params")[name].isin([str(v) for v in values])
-    n_train = vectors.agg(F.count(F.lit(1))).scalar()
+    n_train = train.agg(F.count(F.lit(1))).scalar()
     return found.agg(
         F.countDistinct(*[F.col("params")[name] for name in CONFIG.space]).alias("n_points"),
         F.count(F.when(inside, 1)).alias("n_in_space"),
@@ -276,3 +273,55 @@ def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.array_join(c, ",").alias(c) if c == "features" else c for c in shown],
         F.size("hp_params").alias("n_params"), plausible.alias("scores_plausible"),
     )
+
+
+# The first tree of the boosting, level by level: bins, gradients, both sides for missing values and regularised gains in SQL.
+LEVELS = boosting.Settings(n_estimators=1, max_depth=2, gamma=0.1, min_child_weight=3, reg_alpha=0.1, reg_lambda=1.5)
+LEVEL_BINS = 16
+
+
+def _strength(g: str, h: str) -> str:
+    return f"power(greatest(abs({g}) - {LEVELS.reg_alpha}, 0), 2) / ({h} + {LEVELS.reg_lambda})"
+
+
+def _level_sql(rows: str, name: str) -> str:
+    """Best split (`node`, `f`, `bin`, `missing_right`, `gain`) of each node of `rows`, as further views."""
+    gain = f"{_strength('gl', 'hl')} + {_strength('g - gl', 'h - hl')} - {_strength('g', 'h')}"
+    return f"""{name}_sums AS (SELECT node, f, bin, sum(gq) / 16777216.0 AS gb, sum(hq) / 16777216.0 AS hb FROM {rows} GROUP BY ALL),
+    {name}_upto AS (SELECT *, sum(gb) OVER c AS g, sum(hb) OVER c AS h, coalesce(sum(gb) FILTER (bin < 0) OVER c, 0) AS gm,
+    coalesce(sum(hb) FILTER (bin < 0) OVER c, 0) AS hm, coalesce(sum(gb) FILTER (bin >= 0) OVER u, 0) AS gr,
+    coalesce(sum(hb) FILTER (bin >= 0) OVER u, 0) AS hr FROM {name}_sums
+    WINDOW c AS (PARTITION BY node, f), u AS (PARTITION BY node, f ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+    {name}_sides AS (SELECT node, f, bin, g, h, missing_right, CASE WHEN missing_right THEN gr ELSE gr + gm END AS gl,
+    CASE WHEN missing_right THEN hr ELSE hr + hm END AS hl FROM {name}_upto, (VALUES (true), (false)) AS s(missing_right) WHERE bin >= 0),
+    {name} AS (SELECT node, f, bin, missing_right, gain FROM (SELECT *, {gain} AS gain FROM {name}_sides)
+    WHERE least(hl, h - hl) >= {LEVELS.min_child_weight} AND gain >= {LEVELS.gamma}
+    QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, bin, missing_right DESC) = 1)"""
+
+
+@query(
+    DATASET_SQL
+    + f""", known AS (SELECT loan_id, label, [{', '.join(f'CAST({f} AS DOUBLE)' for f in FEATURES)}] AS vs FROM data WHERE label IS NOT NULL),
+    cells AS (SELECT loan_id, label, generate_subscripts(vs, 1) - 1 AS f, unnest(vs) AS v FROM known),
+    cuts AS (SELECT f, unnest(list_distinct(quantile_disc(v, {[i / LEVEL_BINS for i in range(1, LEVEL_BINS)]}))) AS cut FROM cells GROUP BY f),
+    b AS (SELECT ln(sum(label) / sum(1 - label)) AS base FROM known),
+    binned AS (SELECT loan_id, label, c.f, CASE WHEN v IS NULL THEN -1 ELSE count(cut) FILTER (cut <= v) END AS bin
+    FROM cells c LEFT JOIN cuts USING (f) GROUP BY loan_id, label, c.f, v),
+    given AS (SELECT loan_id, 0 AS node, f, bin, CAST(round((1 / (1 + exp(-base)) - label) * 16777216) AS BIGINT) AS gq,
+    CAST(round(1 / (1 + exp(-base)) * (1 - 1 / (1 + exp(-base))) * 16777216) AS BIGINT) AS hq FROM binned, b),
+    {_level_sql('given', 'root')},
+    gone AS (SELECT loan_id, CASE WHEN g.bin < 0 THEN CAST(missing_right AS INT) WHEN g.bin > r.bin THEN 1 ELSE 0 END + 1 AS node
+    FROM given g JOIN root r USING (f)),
+    second AS (SELECT loan_id, o.node, f, bin, gq, hq FROM given JOIN gone o USING (loan_id)),
+    {_level_sql('second', 'leaves')},
+    named AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY cut) - 1 AS bin FROM cuts)
+    SELECT CAST(node AS INTEGER) AS node, {list(FEATURES)}[f + 1] AS feature, CAST(s.bin AS INTEGER) AS bin, coalesce(cut, 'infinity'::DOUBLE) AS cut,
+    missing_right, round(gain, 6) AS gain FROM (SELECT * FROM root UNION ALL SELECT * FROM leaves) s LEFT JOIN named USING (f, bin)"""
+)
+def boosted_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The splits of a regularised tree of two levels on the model data: feature, bin, cut, the side of missing values, gain."""
+    data = materialized(_dataset(spark, sf_dir))
+    model = boosting.fit(data, FEATURES, "label", IDS, LEVELS, bins=LEVEL_BINS)
+    splits = [(n, v.feature, v.bin, v.cut, v.missing_right, v.gain) for n, v in model.trees[0].items() if v.feature is not None]
+    found = spark.createDataFrame(splits, "node int, feature string, bin int, cut double, missing_right boolean, gain double")
+    return found.withColumn("gain", F.round("gain", 6))

@@ -73,10 +73,10 @@ def apply_caps(df: DataFrame, caps: Mapping[str, float | None]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema}
 
     def capped(name: str, cap: float) -> Column:
-        value = F.lit(int(cap)).cast(types[name]) if isinstance(types[name], IntegralType) else F.lit(cap)
+        value = F.lit(int(cap)).cast(types[name]) if isinstance(types[name], IntegralType) else F.lit(float(cap))
         return F.when(F.col(name) > value, value).otherwise(F.col(name))
 
-    return df.withColumns({name: capped(name, float(cap)) for name, cap in caps.items() if cap is not None})
+    return df.withColumns({name: capped(name, cap) for name, cap in caps.items() if cap is not None})
 
 
 def winsorize_upper(df: DataFrame, p: Mapping[str, float], rel_err: float = 0.0) -> DataFrame:

@@ -1,26 +1,26 @@
 """Quantiles over columns of any size.
 
-``percentile`` and ``percentile_disc`` keep every distinct value of a column in one aggregation
-buffer, which a large continuous column does not survive. The exact operator narrows instead: each
-pass counts the rows on every side of an interval and sketches the rows inside it, so the interval
-around a wanted rank shrinks some hundredfold per pass until few rows are left to be counted value
-by value. The sketch only proposes the next interval; the counts decide, so the result is exact
-however well the sketch did. Only counts and sketches reach the driver.
+``percentile`` and ``percentile_disc`` keep every distinct value of a column in one aggregation buffer, which a large
+continuous column does not survive. The exact operator selects by digits instead: every value is turned into a whole number
+of 64 bits in the same order, and rows are counted by the number's upper 16 bits, then, under the upper bits that hold a
+wanted rank, by the next 16, and so on. All columns and ranks are found together, in at most four passes; a pass shuffles
+counts only, and only what the wanted ranks need reaches the driver. Few rows left under the wanted bits are counted by the
+whole number at once.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_left, bisect_right
+import struct
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
-SKETCH_ACCURACY = 10_000
-SLACK = 2 / SKETCH_ACCURACY
-COUNT_ALL_BELOW = 100_000
+#: Bits of a digit, and rows that are counted by their whole number.
+DIGIT, COUNT_ALL_BELOW = 16, 100_000
+# The parts of a double.
+FRACTION, BIAS, LEAST_NORMAL = 52, 1023, 2.0**-1022
 
 
 @dataclass(frozen=True)
@@ -32,15 +32,6 @@ class Quantile:
     name: str
     method: str = "disc"
 
-    def ranks(self, n: int) -> list[int]:
-        """1-based ranks of the order statistics this quantile is made of."""
-        if n == 0:
-            return []
-        if self.method == "disc":
-            return [max(1, math.ceil(self.p * n))]
-        at = self.p * (n - 1)
-        return [math.floor(at) + 1, math.ceil(at) + 1]
-
     def combine(self, n: int, values: list[float]) -> float | None:
         if not values:
             return None
@@ -50,138 +41,89 @@ class Quantile:
         return values[0] + (values[1] - values[0]) * (at - math.floor(at))
 
 
-@dataclass
-class _Search:
-    """A wanted rank of a column, and the open interval it is known or proposed to lie in."""
+def order_key(value: Column) -> Column:
+    """A double as a whole number in the same order: its IEEE 754 bits, negative for a negative one. NaN comes last."""
+    size = F.abs(value)
+    power = F.floor(F.log2(size))
+    # the logarithm may be rounded over the next power
+    power = F.when(F.pow(F.lit(2.0), power) > size, power - 1).when(F.pow(F.lit(2.0), power) * 2 <= size, power + 1).otherwise(power)
+    fraction = ((size / F.pow(F.lit(2.0), power) - 1) * 2.0**FRACTION).cast("bigint")
+    bits = (
+        F.when(F.isnan(value) | (size == float("inf")), F.lit(2 * BIAS + 1) * (1 << FRACTION) + F.isnan(value).cast("bigint"))
+        .when(size < LEAST_NORMAL, (size / 2.0**-1074).cast("bigint"))
+        .otherwise((power + BIAS) * (1 << FRACTION) + fraction)
+    )
+    return F.when((value < 0) & ~F.isnan(value), -bits).otherwise(bits)
 
-    column: str
-    rank: int
-    lo: float | None = None
-    hi: float | None = None
-    before: int = 0
-    answer: float | None = None
-    settled: bool = False
-    sketch: bool = True
-
-    def take(self, m: dict, points: list[float], slack: float) -> None:
-        """Use one pass's counts: answer, accept the interval, narrow it, or move it."""
-        at_lo = m["below"] + m["at_lo"]
-        inside = at_lo + m["inside"]
-        at_hi = m["at_hi"] if self.hi != self.lo else 0  # one value at both ends is counted once
-        if self.rank <= m["below"]:
-            self.lo, self.hi = None, self.lo
-        elif self.rank <= at_lo:
-            self.answer, self.settled = self.lo, True
-        elif self.rank > inside + at_hi:
-            self.lo, self.hi = self.hi, None
-        elif self.rank > inside:
-            self.answer, self.settled = self.hi, True
-        elif m["inside"] <= COUNT_ALL_BELOW:
-            self.before, self.settled = at_lo, True
-        elif m["cuts"] is None:
-            self.sketch = True
-        else:
-            at = (self.rank - at_lo) / m["inside"]
-            first = max(bisect_right(points, at - slack) - 1, 0)
-            last = min(bisect_left(points, at + slack), len(points) - 1)
-            self.lo, self.hi = m["cuts"][first], m["cuts"][last]
-            # Sketching again pays only if the next interval will still be too big to count out.
-            self.sketch = m["inside"] * (points[last] - points[first]) * 2 > COUNT_ALL_BELOW
-
-
-def exact_quantiles(df: DataFrame, quantiles: list[Quantile]) -> dict[str, float | None]:
+
+def key_value(key: int) -> float:
+    """The double that has the key."""
+    size = struct.unpack(">d", struct.pack(">Q", abs(key)))[0]
+    return -size if key < 0 else size
+
+
+def exact_quantiles(df: DataFrame, quantiles: list[Quantile]) -> dict[str, float | int | None]:
     """Exact quantiles as ``{name: value}``; NULLs are ignored, an empty column gives None.
 
-    Values are compared as doubles.
+    Values of whole-number columns are compared and returned as whole numbers, others as doubles.
     """
     columns = list(dict.fromkeys(q.column for q in quantiles))
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    # The first pass covers whole columns, where the relative ranks are known: one sketch a column.
-    near = {
-        c: sorted({0.0, 1.0}.union(*[_around(q.p) for q in quantiles if q.column == c])) for c in columns
-    }
-    whole = dict(zip(columns, _measure(data, [_Search(c, 0) for c in columns], list(near.values()))))
-    total = {c: whole[c]["inside"] for c in columns}
-    searches = {
-        (q.column, rank): _Search(q.column, rank) for q in quantiles for rank in q.ranks(total[q.column])
-    }
-    for s in searches.values():
-        s.take(whole[s.column], near[s.column], SLACK / 2)
-    steps = [i / 100 for i in range(101)]
-    while pending := [s for s in searches.values() if not s.settled]:
-        for s, m in zip(pending, _measure(data, pending, [steps] * len(pending))):
-            s.take(m, steps, 0.01)
-    _count_out(data, [s for s in searches.values() if s.answer is None])
+    whole = [isinstance(df.schema[c].dataType, IntegralType) for c in columns]
+    cells = None  # one value a row before the keys are made: their code is there once, not for every column
+    for kind in sorted(set(whole)):
+        own = [(i, c) for i, (c, w) in enumerate(zip(columns, whole)) if w == kind]
+        cell = [F.struct(F.lit(i).alias("c"), F.col(c).cast("bigint" if kind else "double").alias("v")) for i, c in own]
+        some = df.select(F.inline(F.array(*cell))).where(F.col("v").isNotNull())
+        some = some.select("c", (F.col("v") if kind else order_key(F.col("v"))).alias("key"))
+        cells = some if cells is None else cells.unionAll(some)
+    place = {c: i for i, c in enumerate(columns)}
+    total, wanted = _first_digit(cells, [(i, place[q.column], q) for i, q in enumerate(quantiles)])
+    shift = 64 - DIGIT
+    while shift:
+        left = sum({(c, prefix): n for c, prefix, _, n in wanted.values()}.values())
+        after = max(shift - DIGIT, 0) if left > COUNT_ALL_BELOW else 0
+        wanted = _next_digit(cells, wanted, shift, after)
+        shift = after
+    values = {at: prefix if whole[c] else key_value(prefix) for at, (c, prefix, _, _) in wanted.items()}
     return {
-        q.name: q.combine(total[q.column], [searches[q.column, r].answer for r in q.ranks(total[q.column])])
-        for q in quantiles
+        q.name: q.combine(total.get(place[q.column], 0), [values[i, k] for k in range(2) if (i, k) in values])
+        for i, q in enumerate(quantiles)
     }
 
 
-def _around(p: float) -> set[float]:
-    return {max(0.0, p - SLACK), min(1.0, p + SLACK)}
-
-
-def _inside(s: _Search, value: Column) -> Column:
-    cond = value.isNotNull()
-    if s.lo is not None:
-        cond = cond & (value > s.lo)
-    if s.hi is not None:
-        cond = cond & (value < s.hi)
-    return cond
-
-
-def _measure(data: DataFrame, searches: list[_Search], points: list[list[float]]) -> list[dict]:
-    """One pass: per search the rows below, at and between its ends, and cut points between them."""
-
-    def rows(cond: Column) -> Column:
-        return F.count(F.when(cond, 1))
-
-    aggs = []
-    for i, s in enumerate(searches):
-        v = F.col(s.column)
-        inside = _inside(s, v)
-        if s.lo is not None:
-            aggs += [rows(v < s.lo).alias(f"below_{i}"), rows(v == s.lo).alias(f"at_lo_{i}")]
-        if s.hi is not None:
-            aggs.append(rows(v == s.hi).alias(f"at_hi_{i}"))
-        aggs.append(rows(inside).alias(f"inside_{i}"))
-        if s.sketch:
-            cuts = F.percentile_approx(F.when(inside, v), points[i], SKETCH_ACCURACY)
-            aggs.append(cuts.alias(f"cuts_{i}"))
-    row = data.agg(*aggs).first().asDict()
-    parts = ("below", "at_lo", "inside", "at_hi")
-    return [
-        {part: row.get(f"{part}_{i}", 0) for part in parts} | {"cuts": row.get(f"cuts_{i}")}
-        for i in range(len(searches))
-    ]
-
-
-def _count_out(data: DataFrame, searches: list[_Search]) -> None:
-    """Count the values of the settled intervals and read each rank off the running count."""
-    if not searches:
-        return
-    entries = [
-        F.struct(F.lit(i).alias("search"), F.when(_inside(s, F.col(s.column)), F.col(s.column)).alias("v"))
-        for i, s in enumerate(searches)
-    ]
-    anywhere = reduce(or_, [_inside(s, F.col(s.column)) for s in searches])
-    counted = (
-        data.where(anywhere)
-        .select(F.inline(F.array(*entries)))
-        .where(F.col("v").isNotNull())
-        .groupBy("search", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    running = Window.partitionBy("search").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.element_at(F.array(*[F.lit(s.rank - s.before) for s in searches]), F.col("search") + 1)
-    found = (
-        counted.withColumn("upto", F.sum("n").over(running))
-        .where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted))
-        .select("search", "v")
-    )
-    for row in found.collect():
-        searches[row["search"]].answer = row["v"]
+#: By (quantile, which of its ranks): column, upper bits of the value, rank among the rows with these bits, their number.
+_Wanted = dict[tuple[int, int], tuple[int, int, int, int]]
+
+
+def _first_digit(cells: DataFrame, asked: list[tuple[int, int, Quantile]]) -> tuple[dict[int, int], _Wanted]:
+    """Rows of each column, and for every wanted rank the first digit: one pass."""
+    counts = cells.groupBy("c", F.shiftright("key", 64 - DIGIT).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("c")
+    upto = own.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns({"total": F.sum("n").over(own), "before": F.coalesce(F.sum("n").over(upto), F.lit(0))})
+    rows = [(i, c, float(q.p), q.method == "disc") for i, c, q in asked]
+    ask = cells.sparkSession.createDataFrame(rows, "i int, qc int, p double, disc boolean")
+    at = F.col("p") * (F.col("total") - 1)
+    ranks = F.when(F.col("disc"), F.array(F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total"))))).otherwise(F.array(F.floor(at) + 1, F.ceil(at) + 1))
+    met = counts.join(F.broadcast(ask), F.col("c") == F.col("qc")).select("*", F.posexplode(ranks).alias("k", "rank"))
+    met = met.where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
+    found = met.select("i", "k", "c", "prefix", "n", "total", (F.col("rank") - F.col("before")).alias("rank")).collect()
+    return {r["c"]: r["total"] for r in found}, {(r["i"], r["k"]): (r["c"], r["prefix"], r["rank"], r["n"]) for r in found}
+
+
+def _next_digit(cells: DataFrame, wanted: _Wanted, shift: int, after: int) -> _Wanted:
+    """The wanted ranks with the upper bits known down to ``after``: one pass over the rows under the known ones."""
+    spark = cells.sparkSession
+    places = sorted({(c, prefix) for c, prefix, _, _ in wanted.values()})
+    under = F.broadcast(spark.createDataFrame(places, "wc int, known bigint"))
+    on = (F.col("c") == F.col("wc")) & (F.shiftright("key", shift) == F.col("known"))
+    counts = cells.join(under, on).groupBy("c", "known", F.shiftright("key", after).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("c", "known").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    ranks = spark.createDataFrame([(*at, c, prefix, rank) for at, (c, prefix, rank, _) in wanted.items()], "i int, k int, rc int, under bigint, rank bigint")
+    inside = (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n"))
+    met = counts.join(F.broadcast(ranks), (F.col("c") == F.col("rc")) & (F.col("known") == F.col("under")) & inside)
+    return {(r["i"], r["k"]): (r["c"], r["prefix"], r["rank"] - r["before"], r["n"]) for r in met.collect()}
 
 
 def approx_quantiles(df: DataFrame, quantiles: list[Quantile], rel_err: float = 0.01) -> dict[str, float | None]:
@@ -196,7 +138,7 @@ def approx_quantile_frame(df: DataFrame, quantiles: list[Quantile], rel_err: flo
     )
 
 
-def fit_quantiles(df: DataFrame, quantiles: list[Quantile], rel_err: float = 0.0) -> dict[str, float | None]:
+def fit_quantiles(df: DataFrame, quantiles: list[Quantile], rel_err: float = 0.0) -> dict[str, float | int | None]:
     """Exact values, or sketched ones when a rank error is allowed."""
     return exact_quantiles(df, quantiles) if rel_err == 0 else approx_quantiles(df, quantiles, rel_err)
 
@@ -204,5 +146,5 @@ def fit_quantiles(df: DataFrame, quantiles: list[Quantile], rel_err: float = 0.0
 def quantile_frame(df: DataFrame, quantiles: list[Quantile], rel_err: float = 0.0) -> DataFrame:
     """The quantiles as rows ``(column, p, value)``."""
     values = fit_quantiles(df, quantiles, rel_err)
-    rows = [(q.column, float(q.p), values[q.name]) for q in quantiles]
+    rows = [(q.column, float(q.p), None if values[q.name] is None else float(values[q.name])) for q in quantiles]
     return df.sparkSession.createDataFrame(rows, "column string, p double, value double")

@@ -1,4 +1,4 @@
-"""Training, search, evaluation, storage and batch use of the credit model, all in Spark ML."""
+"""Training, search, evaluation, storage and batch use of the credit model."""
 
 from __future__ import annotations
 
@@ -8,12 +8,6 @@ from dataclasses import dataclass, field
 from math import prod
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditmart.functions.dates import ModelWindows
@@ -22,35 +16,26 @@ from creditmart.operators.modelset import (
     assign_folds, fit_scaler, model_dataset, oot_split, split_summary, train_test_split,
 )
 from creditmart.operators.schema import columns_except, columns_with_prefix
+from creditmart.plans import boosting
+from creditmart.plans.boosting import Boosted, Settings
+from creditmart.session import materialized
 
-# The search space, in the terms of Spark's boosted trees.
+# The search space.
 SEARCH_SPACE = {
-    "maxIter": [25, 50],
-    "maxDepth": [2, 3],
-    "stepSize": [0.01, 0.1],
-    "subsamplingRate": [0.6, 0.8],
-    "featureSubsetStrategy": ["0.6", "0.8"],
-    "minInfoGain": [0.0, 0.1],
-    "minInstancesPerNode": [1, 3, 5],
+    "n_estimators": [25, 50],
+    "max_depth": [2, 3],
+    "learning_rate": [0.01, 0.1],
+    "subsample": [0.6, 0.8],
+    "colsample_bytree": [0.6, 0.8],
+    "gamma": [0, 0.1],
+    "min_child_weight": [1, 3, 5],
+    "reg_alpha": [0, 0.1, 1],
+    "reg_lambda": [1, 1.5, 2],
 }
 # Columns of the model data that are not features.
 NOT_FEATURES = ("Customer_ID", "snapshot_date", "label", "loan_id", "label_def", "split", "fold")
 
 
-class HardLabelAuc(Evaluator):
-    """AUC of the 0/1 predictions, i.e. the mean recall of the two classes."""
-
-    def __init__(self, label: str = "label", prediction: str = "prediction"):
-        super().__init__()
-        self.label, self.prediction = label, prediction
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        return metrics.balanced_accuracy(dataset, self.prediction, self.label).first()[0]
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
 @dataclass
 class TrainConfig:
     """Everything a training run depends on besides its data."""
@@ -63,7 +48,7 @@ class TrainConfig:
     search_seed: int = 42
     n_iter: int = 10
     folds: int = 3
-    parallelism: int = 4
+    bins: int = 64
     join: str = "left"
     hard_label: bool = False
     space: dict[str, list] = field(default_factory=lambda: dict(SEARCH_SPACE))
@@ -87,10 +72,10 @@ class TrainConfig:
 
 @dataclass
 class Trained:
-    """A fitted pipeline with what is reported about it."""
+    """A fitted model with what is reported about it."""
 
     version: str
-    model: PipelineModel
+    model: Boosted
     features: list[str]
     best_params: dict
     cv_score: float
@@ -117,25 +102,6 @@ def _split(df: DataFrame, config: TrainConfig) -> DataFrame:
     return split.unionByName(data.where("split = 'oot'"))
 
 
-def feature_stages(train: DataFrame, features: Sequence[str]) -> list:
-    """Scaling fitted on the training rows (mean 0, population deviation 1) and vector assembly.
-
-    A missing value becomes 0, the mean. The fitted numbers are part of the stored pipeline.
-    """
-    scaled = []
-    for name, (mean, std) in fit_scaler(train, features).items():
-        value = f"CAST(`{name}` AS DOUBLE)"
-        known = f"CASE WHEN NOT isnan({value}) THEN ({value} - ({mean!r}D)) / ({std!r}D) END"
-        scaled.append(f"coalesce({known}, 0D) AS `{name}__z`")
-    statement = f"SELECT *, {', '.join(scaled)} FROM __THIS__"
-    assembler = VectorAssembler(inputCols=[f"{name}__z" for name in features], outputCol="features")
-    return [SQLTransformer(statement=statement), assembler]
-
-
-def classifier(label: str = "label", seed: int = 88, **params) -> GBTClassifier:
-    return GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **params)
-
-
 def sample_grid(space: dict[str, list], n_iter: int, seed: int) -> list[dict]:
     """Different random points of the grid: n_iter of them, or all when there are fewer."""
     total = prod(len(v) for v in space.values())
@@ -149,49 +115,38 @@ def sample_grid(space: dict[str, list], n_iter: int, seed: int) -> list[dict]:
     return points
 
 
-def random_search(vectors: DataFrame, config: TrainConfig):
-    """Cross-validated search over sampled grid points on stratified folds; the fitted search model."""
-    gbt = classifier(config.label, config.split_seed)
-    grid = [{gbt.getParam(k): v for k, v in p.items()} for p in sample_grid(config.space, config.n_iter, config.search_seed)]
-    evaluator = (
-        HardLabelAuc(config.label)
-        if config.hard_label
-        else BinaryClassificationEvaluator(labelCol=config.label, rawPredictionCol="probability", numBins=0)
-    )
-    search = CrossValidator(
-        estimator=gbt, estimatorParamMaps=grid, evaluator=evaluator, numFolds=config.folds, foldCol="fold",
-        parallelism=config.parallelism, seed=config.search_seed,
+def random_search(train: DataFrame, features: Sequence[str], config: TrainConfig) -> list[tuple[dict, float]]:
+    """Sampled points of the grid with their mean score over stratified folds, best first. All points and folds grow together."""
+    grid = sample_grid(config.space, config.n_iter, config.search_seed)
+    folded = materialized(assign_folds(train, config.label, config.ids, config.folds, config.search_seed))
+    scores = boosting.search(
+        folded, features, config.label, config.ids, [boosting.changed(Settings(), **p) for p in grid], config.folds,
+        config.hard_label, fold="fold", scaling=fit_scaler(train, features), bins=config.bins, seed=config.split_seed,
     )
-    # dealing out the folds reads the rows twice
-    known = vectors.select(*dict.fromkeys([*config.ids, config.label, "features"])).persist(StorageLevel.MEMORY_AND_DISK)
-    folded = assign_folds(known, config.label, config.ids, config.folds, config.search_seed)
-    folded = folded.select("features", config.label, "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return search.fit(folded)
-    finally:
-        folded.unpersist()
-        known.unpersist()
+    return sorted(zip(grid, scores), key=lambda found: -found[1])
 
 
-def search_results(fitted) -> DataFrame:
+def search_results(found: Sequence[tuple[dict, float]]) -> DataFrame:
     """One row per tried point: its parameters and mean score, best first."""
-    points = [{p.name: str(v) for p, v in m.items()} for m in fitted.getEstimatorParamMaps()]
-    rows = list(zip(points, [float(s) for s in fitted.avgMetrics]))
-    spark = SparkSession.active()
-    return spark.createDataFrame(rows, "params map<string,string>, score double").orderBy(F.desc("score"))
+    rows = [({k: str(v) for k, v in point.items()}, float(score)) for point, score in found]
+    return SparkSession.active().createDataFrame(rows, "params map<string,string>, score double").orderBy(F.desc("score"))
+
 
+def fit(train: DataFrame, features: Sequence[str], config: TrainConfig, settings: Settings) -> Boosted:
+    """One model of the training rows. Scaling (mean 0, population deviation 1) is fitted on them and part of the model."""
+    scaling = fit_scaler(train, features)
+    return boosting.fit(train, features, config.label, config.ids, settings, scaling=scaling, bins=config.bins, seed=config.split_seed)
 
-def score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame:
+
+def score(model: Boosted, df: DataFrame, name: str = "score") -> DataFrame:
     """The input rows with the probability of class 1."""
-    scored = model.transform(df).withColumn(name, vector_to_array("probability")[1])
-    return scored.select(*df.columns, name)
+    return df.withColumn(name, model.probability())
 
 
-def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """Importance per feature, largest first."""
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(f, float(w)) for f, w in zip(features, weights)]
-    frame = SparkSession.active().createDataFrame(rows, "feature string, importance double")
+def feature_importance(model: Boosted, features: Sequence[str]) -> DataFrame:
+    """Importance per feature (mean gain of its splits, as a share), largest first."""
+    found = model.importance()
+    frame = SparkSession.active().createDataFrame([(f, found[f]) for f in features], "feature string, importance double")
     return frame.orderBy(F.desc("importance"), "feature")
 
 
@@ -199,20 +154,14 @@ def train(data: DataFrame, config: TrainConfig) -> Trained:
     """Search on the training rows, refit, and evaluate on train, test and out-of-time rows."""
     features = config.features(data)
     training = data.where("split = 'train'")
-    stages = feature_stages(training, features)
-    head = Pipeline(stages=stages).fit(training)
-    vectors = head.transform(training).select(*config.ids, config.label, "features")
-    fitted = random_search(vectors, config)
-    model = PipelineModel([*head.stages, fitted.bestModel])
-    best = max(range(len(fitted.avgMetrics)), key=fitted.avgMetrics.__getitem__)
-    params = {p.name: v for p, v in fitted.getEstimatorParamMaps()[best].items()}
+    found = random_search(training, features, config)
+    params, cv_score = found[0]
+    model = fit(training, features, config, boosting.changed(Settings(), **params))
     stats = {r["split"]: (r["n_rows"], r["bad_rate"]) for r in split_summary(data, config.label).collect()}
-    return Trained(
-        config.version, model, features, params, fitted.avgMetrics[best], stats, evaluate(model, data, config), config
-    )
+    return Trained(config.version, model, features, params, cv_score, stats, evaluate(model, data, config), config)
 
 
-def evaluate(model: PipelineModel, data: DataFrame, config: TrainConfig) -> dict[str, float]:
+def evaluate(model: Boosted, data: DataFrame, config: TrainConfig) -> dict[str, float]:
     """Exact AUC per split; the rows are scored once."""
     scored = score(model, data).select("split", config.label, "score").persist(StorageLevel.DISK_ONLY)
     try:
@@ -226,6 +175,7 @@ def evaluate(model: PipelineModel, data: DataFrame, config: TrainConfig) -> dict
 
 def metadata(trained: Trained) -> DataFrame:
     """One row about the model: version, windows, rows, bad rates, AUC and Gini per split, parameters."""
+    # The fields' names.
     w = trained.config.windows
     columns = {
         "model_version": F.lit(trained.version),
@@ -251,13 +201,13 @@ def metadata(trained: Trained) -> DataFrame:
 
 
 def save(trained: Trained, bank: str) -> str:
-    """Store the pipeline and its metadata under the model bank; returns the model's path."""
+    """Store the model and its metadata under the model bank; returns the model's path."""
     path = f"{bank.rstrip('/')}/{trained.version}"
-    trained.model.write().overwrite().save(f"{path}/model")
+    trained.model.save(SparkSession.active(), f"{path}/model")
     metadata(trained).write.mode("overwrite").parquet(f"{path}/metadata")
     return path
 
 
-def load(spark: SparkSession, bank: str, version: str) -> tuple[PipelineModel, DataFrame]:
+def load(spark: SparkSession, bank: str, version: str) -> tuple[Boosted, DataFrame]:
     path = f"{bank.rstrip('/')}/{version}"
-    return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/metadata")
+    return Boosted.load(spark, f"{path}/model"), spark.read.parquet(f"{path}/metadata")

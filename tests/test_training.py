@@ -1,5 +1,6 @@
 """The training job on learnable data: search, storage, scoring and the command line."""
 
+import math
 import random
 from datetime import date
 
@@ -7,11 +8,11 @@ import pytest
 
 from creditmart import jobs
 from creditmart.operators import metrics
-from creditmart.plans import training
+from creditmart.plans import boosting, training
 from creditmart.plans.datamart_jobs import Build
 from creditmart.sources.datamart import Datamart
 
-SPACE = {"maxIter": [3, 5], "maxDepth": [2], "stepSize": [0.3], "subsamplingRate": [0.8], "minInstancesPerNode": [1, 2]}
+SPACE = {"n_estimators": [3, 5], "max_depth": [2], "learning_rate": [0.3], "subsample": [0.8], "min_child_weight": [1, 2]}
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +36,7 @@ def mart(spark, tmp_path_factory):
 
 
 def config(**changes):
-    base = dict(train_date="2024-03-01", n_iter=2, folds=2, parallelism=2, space=SPACE)
+    base = dict(train_date="2024-03-01", n_iter=2, folds=2, space=SPACE)
     return training.TrainConfig(**{**base, **changes})
 
 
@@ -106,9 +107,17 @@ def test_training_on_the_feature_store(spark, mart, tmp_path):
     assert model.auc["oot"] > 0.8
 
 
-def test_hard_label_score(spark):
-    df = spark.createDataFrame([(1, 1.0), (1, 0.0), (0, 0.0), (0, 0.0)], "label int, prediction double")
-    assert training.HardLabelAuc().evaluate(df) == 0.75
+def test_scores_by_model(spark):
+    rng = random.Random(2)
+    rows = [(i % 3, rng.randint(0, 1), round(rng.gauss(0, 3), i % 3)) for i in range(900)]
+    df = spark.createDataFrame(rows, "m int, label int, margin double")
+    auc = {r["m"]: r["score"] for r in boosting.auc_by_model(df).collect()}
+    hard = {r["m"]: r["score"] for r in boosting.hard_label_by_model(df).collect()}
+    for m in range(3):
+        own = df.where(df.m == m)
+        assert auc[m] == pytest.approx(metrics.roc_auc(own, "margin").first()["auc"], abs=1e-12)
+        flagged = own.selectExpr("label", "double(margin > 0) AS prediction")
+        assert hard[m] == pytest.approx(metrics.balanced_accuracy(flagged, "prediction").first()[0], abs=1e-12)
 
 
 def test_command_line_checks_its_arguments():
@@ -120,8 +129,105 @@ def test_command_line_checks_its_arguments():
 def test_random_search_results(spark, mart, trained):
     model, _ = trained
     data = mart.read("gold", f"model_data_{model.version}").where("split = 'train'")
-    vectors = training.PipelineModel(model.model.stages[:-1]).transform(data)
-    found = training.random_search(vectors.select("loan_id", "label", "features"), config(hard_label=True))
+    found = training.random_search(data, model.features, config(hard_label=True))
     rows = training.search_results(found).collect()
     assert len(rows) == 2 and rows[0]["score"] >= rows[1]["score"]
     assert 0.5 < rows[0]["score"] <= 1
+
+
+# Boosting against a plain version of it
+
+
+def plain_tree(rows, weights, settings, cuts):
+    """Splits and leaves of one tree from (values, gradient, hessian), rounded as the sums are."""
+
+    def strength(g, h):
+        return max(abs(g) - settings.reg_alpha, 0) ** 2 / (h + settings.reg_lambda)
+
+    def grow(node, own, level):
+        g, h = sum(r[1] for r in own) / boosting.SCALE, sum(r[2] for r in own) / boosting.SCALE
+        best = None
+        if level < settings.max_depth:
+            for f, edges in enumerate(cuts):
+                for b in range(len(edges) + 1):
+                    edge = edges[b] if b < len(edges) else float("inf")
+                    for right in (True, False):
+                        left = [r for r in own if (not right if r[0][f] is None else r[0][f] < edge)]
+                        gl, hl = sum(r[1] for r in left) / boosting.SCALE, sum(r[2] for r in left) / boosting.SCALE
+                        if min(hl, h - hl) < settings.min_child_weight or min(hl, h - hl) <= 0:
+                            continue
+                        gain = strength(gl, hl) + strength(g - gl, h - hl) - strength(g, h)
+                        if gain > boosting.NO_GAIN and gain >= settings.gamma and (best is None or gain > best[0] + 1e-9):
+                            best = (gain, f, edge, right, left)
+        if best is None:
+            pulled = max(abs(g) - settings.reg_alpha, 0)
+            weights[node] = -settings.learning_rate * (pulled if g > 0 else -pulled) / (h + settings.reg_lambda)
+            return {}
+        gain, f, edge, right, left = best
+        rest = [r for r in own if not any(r is x for x in left)]
+        return {node: (f, gain), **grow(2 * node + 1, left, level + 1), **grow(2 * node + 2, rest, level + 1)}
+
+    return grow(0, rows, 0)
+
+
+@pytest.mark.parametrize("changes", [{}, {"reg_alpha": 2.0, "reg_lambda": 3.0}, {"gamma": 4.0, "min_child_weight": 9.0}, {"reg_lambda": 0.0, "min_child_weight": 0.0}])
+def test_trees_equal_a_plain_version(spark, changes):
+    rng = random.Random(5)
+    settings = boosting.Settings(n_estimators=2, max_depth=2, learning_rate=0.4, **changes)
+    rows = []
+    for i in range(240):
+        x, y = rng.randint(0, 5), rng.random()
+        label = int(rng.random() < (0.9 if x > 3 else 0.2 if y > 0.4 else 0.5))
+        rows.append((i, label, float(x) if i % 9 else None, y if i % 4 or label else float("nan"), 1.0, None))
+    df = spark.createDataFrame(rows, "id int, label int, a double, b double, same double, none double").repartition(5)
+    names = ["a", "b", "same", "none"]
+    model = boosting.fit(df, names, "label", ["id"], settings, bins=6)
+    fitted = boosting.fit_cuts(df.select(*[boosting.known(n).alias(n) for n in names]), names, 6)
+    cuts = [fitted[n] for n in names]
+    values = [tuple(None if v is None or v != v else v for v in r[2:]) for r in rows]
+    margins = [model.base] * len(rows)
+    for tree in model.trees:
+        p = [1 / (1 + math.exp(-m)) for m in margins]
+        given = [[v, round((q - r[1]) * boosting.SCALE), round(q * (1 - q) * boosting.SCALE)] for v, q, r in zip(values, p, rows)]
+        weights = {}
+        splits = plain_tree(given, weights, settings, cuts)
+        assert {n: names[f] for n, (f, _) in splits.items()} == {n: v.feature for n, v in tree.items() if v.feature}
+        assert all(tree[n].gain == pytest.approx(g) for n, (_, g) in splits.items())
+        assert {n: v.weight for n, v in tree.items() if not v.feature} == pytest.approx(weights)
+        for i, v in enumerate(values):
+            n = 0
+            while tree[n].feature:
+                x = v[names.index(tree[n].feature)]
+                n = 2 * n + 1 + int(tree[n].missing_right if x is None else x >= tree[n].cut)
+            margins[i] += tree[n].weight
+    got = {r["id"]: r["m"] for r in df.select("id", model.margin().alias("m")).collect()}
+    assert [got[i] for i in range(len(rows))] == pytest.approx(margins)
+
+
+def test_models_together_are_those_alone(spark):
+    """Folds, numbers of trees and depths do not disturb each other, and partitions do not matter."""
+    rng = random.Random(6)
+    rows = [(i, rng.randint(0, 1), rng.random(), rng.random(), i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, label int, a double, b double, fold int")
+    points = [boosting.Settings(n_estimators=3, max_depth=2, subsample=0.7, colsample_bytree=0.5), boosting.Settings(n_estimators=6, max_depth=1, reg_alpha=0.5)]
+    models, scores = boosting.fit_many(df, ["a", "b"], "label", ["id"], points, [1, -1], fold="fold", bins=8)
+    alone = [boosting.fit_many(df.repartition(7), ["a", "b"], "label", ["id"], [p], [h], fold="fold", bins=8)[0][0] for p, h in zip(points, [1, -1])]
+    assert [m.trees for m in models] == [m.trees for m in alone] and [m.base for m in models] == [m.base for m in alone]
+    assert len(models[0].trees) == 3 and len(models[1].trees) == 6
+    got = {(r["m"], round(r["margin"], 9)) for r in scores.collect()}
+    assert got == {(i, round(r[0], 9)) for i, m in enumerate(models) for r in df.select(m.margin()).collect()}
+
+
+def test_stored_boosting_is_the_same(spark, tmp_path):
+    df = spark.createDataFrame([(i, i % 2, float(i % 7), None if i % 3 else 1.0) for i in range(80)], "id int, label int, `a b` double, c double")
+    settings = boosting.Settings(n_estimators=2, max_depth=2, min_child_weight=0.5)
+    model = boosting.fit(df, ["a b", "c"], "label", ["id"], settings, scaling={"a b": (3.0, 2.0)}, bins=4)
+    model.save(spark, str(tmp_path / "m"))
+    assert boosting.Boosted.load(spark, str(tmp_path / "m")) == model
+    assert sum(model.importance().values()) == pytest.approx(1)
+
+
+def test_one_label_and_no_rows(spark):
+    df = spark.createDataFrame([(i, 1, float(i)) for i in range(9)], "id int, label int, a double")
+    assert 0.5 < df.select(boosting.fit(df, ["a"], "label", ["id"], boosting.Settings(n_estimators=2)).probability()).first()[0] < 1
+    assert boosting.fit(df.limit(0), ["a"], "label", ["id"], boosting.Settings(n_estimators=2)).base == 0.0
