@@ -69,7 +69,8 @@ def process_customer_attributes(attributes_path: str, spark: SparkSession) -> Da
         text = spark.read.option("header", True).option("escape", '"').csv(attributes_path)  # all text: nothing inferred
         typed = {f.name: F.col(f.name).cast(f.dataType) for f in ATTRIBUTE_FILE if f.name in text.columns}
         return silver.attributes(text.withColumns(typed))
-    return silver.attributes(spark.read.schema(ATTRIBUTE_FILE).parquet(attributes_path))
+    mart, table = _at(spark, attributes_path)
+    return silver.attributes(mart.read("", table, schema=ATTRIBUTE_FILE))
 
 
 def process_customer_features(

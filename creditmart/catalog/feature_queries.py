@@ -10,6 +10,7 @@ from creditmart.catalog.row_queries import LOAN_LIST_SQL
 from creditmart.functions import text
 from creditmart.operators import cleaning, encoding, labels
 from creditmart.plans import gold, silver
+from creditmart.session import materialized
 
 # Categories in the views of the test tables.
 MIXES = ("Bad", "Good", "Invalid", "Standard")
@@ -228,4 +229,4 @@ def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = silver.Vocabularies(T.KINDS_OF_LOAN, MIXES, MIN_PAYMENTS)
     customers = silver.customer_features(_numbers(spark, sf_dir), None, vocab, parsed=True)
-    return gold.feature_store(T.clickstream(spark, sf_dir), customers)
+    return gold.feature_store(T.clickstream(spark, sf_dir), materialized(customers))

@@ -11,6 +11,7 @@ from creditmart.catalog.registry import query
 from creditmart.functions.arrays import split_list
 from creditmart.operators import encoding, profile
 from creditmart.operators.quantiles import Quantile, approx_quantiles, exact_quantiles, quantile_frame
+from creditmart.session import materialized
 from creditmart.sources.schemas import CLICKSTREAM_FEATURES
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -53,7 +54,7 @@ PROFILED = ("tenure", "installment_num", "loan_amt", "due_amt", "paid_amt", "ove
     + " UNION ALL ".join(_profile_sql(c) for c in PROFILED)
 )
 def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(profile.numeric_profile(T.ledger(spark, sf_dir).select(*PROFILED)))
+    return _rounded(profile.numeric_profile(materialized(T.ledger(spark, sf_dir).select(*PROFILED))))
 
 
 @query(

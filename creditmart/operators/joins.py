@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from creditmart.session import materialized
 
@@ -62,3 +62,30 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     if twice is not None:
         raise ValueError(f"key {tuple(twice[k] for k in keys)} occurs {twice['n']} times")
     return df
+
+
+def as_of_join(fact: DataFrame, dimension: DataFrame, keys: Sequence[str], on: str, salts: int = 0) -> DataFrame:
+    """Each fact row with its key's newest dimension row not dated after it; facts without one are left out.
+
+    Facts and dimension rows go into one frame, sorted by key and date, and a running window carries the last dimension row on
+    to the facts after it: one shuffle, whatever lies between the dates. A key has one dimension row a date. ``salts`` spreads
+    the facts of hot keys over that many tasks, each of which gets those keys' dimension rows. NULL keys and dates meet nothing.
+    """
+    values = [c for c in dimension.columns if c not in (*keys, on)]
+    shared = {c.lower() for c in fact.columns} & {c.lower() for c in values}
+    if shared:
+        raise ValueError(f"columns on both sides that are not keys: {sorted(shared)}")
+    hot = hot_key_hashes(fact, keys) if salts > 1 else []
+    is_hot = F.xxhash64(*keys).isin(hot) if hot else F.lit(False)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*fact.columns, F.spark_partition_id()), F.lit(max(salts, 1)))).otherwise(F.lit(0)).cast("int")
+    found = F.struct(F.col(on).alias("_since"), *values)
+    row = F.struct(*fact.columns)
+    facts = fact.select(*keys, F.col(on).alias("_at"), F.lit(1).alias("_kind"), salt.alias("_salt"), row.alias("_row"), F.lit(None).cast(dimension.select(found.alias("f")).schema[0].dataType).alias("_found"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(max(salts, 1) - 1))).otherwise(F.array(F.lit(0)))
+    dated = dimension.select(*keys, F.col(on).alias("_at"), F.lit(0).alias("_kind"), F.explode(copies).alias("_salt") if hot else F.lit(0).alias("_salt"), F.lit(None).cast(fact.select(row.alias("r")).schema[0].dataType).alias("_row"), found.alias("_found"))
+    both = facts.unionByName(dated)
+    for c in (*keys, "_at"):
+        both = both.where(F.col(c).isNotNull())
+    before = Window.partitionBy(*keys, "_salt").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = both.withColumn("_found", F.last("_found", ignorenulls=True).over(before)).where("_kind = 1 AND _found IS NOT NULL")
+    return carried.select("_row.*", "_found.*").drop("_since")

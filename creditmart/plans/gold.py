@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
-from creditmart.operators.joins import lookup_join, require_unique
+from creditmart.operators.joins import as_of_join, lookup_join, require_unique
 from creditmart.operators.labels import default_labels
 from creditmart.sources.datamart import up_to
 
@@ -37,20 +37,4 @@ def feature_store(
     if not as_of:
         return lookup_join(clicks, customers.drop("snapshot_date"), ["Customer_ID"], salts=salts)
     require_unique(customers, ["Customer_ID", "snapshot_date"])
-    # A feature row is valid from its date to the day before the customer's next one. Listing the
-    # months it touches makes this an equi-join in which a row meets its own month's features only.
-    # The list holds dates alone; the features are looked up by their date afterwards.
-    latest = clicks.agg(F.max("snapshot_date")).scalar()
-    following = F.lead("snapshot_date").over(Window.partitionBy("Customer_ID").orderBy("snapshot_date"))
-    dated = customers.select(
-        "Customer_ID",
-        F.col("snapshot_date").alias("_since"),
-        F.coalesce(F.date_sub(following, 1), F.greatest(latest, "snapshot_date")).alias("_until"),
-    )
-    months = F.sequence(F.trunc("_since", "month"), F.trunc("_until", "month"), F.expr("interval 1 month"))
-    by_month = dated.where("_since <= _until").withColumn("_month", F.explode(months))
-    clicks = clicks.withColumn("_month", F.trunc("snapshot_date", "month"))
-    found = lookup_join(clicks, by_month, ["Customer_ID", "_month"], salts=salts)
-    found = found.where("snapshot_date BETWEEN _since AND _until").drop("_until", "_month")
-    features = customers.withColumnRenamed("snapshot_date", "_since")
-    return lookup_join(found, features, ["Customer_ID", "_since"], salts=salts).drop("_since")
+    return as_of_join(clicks, customers, ["Customer_ID"], "snapshot_date", salts)

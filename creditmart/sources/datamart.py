@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -9,7 +11,11 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from creditmart.sources.manifest import Entry, Manifest
+
 PARTITION = "snapshot_date"
+#: The level of a table's folders that tells its writes apart, and the key of rows without a date.
+WRITE, UNDATED = "_write", "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
@@ -23,7 +29,11 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
 
 @dataclass(frozen=True)
 class Datamart:
-    """Tables under ``root/<layer>/<table>``, partitioned by snapshot date unless static."""
+    """Tables under ``root/<layer>/<table>``, split by snapshot date unless static.
+
+    A write goes to a folder of its own and counts once it is published (see ``manifest``). A folder without a manifest, written
+    by others, is read as it is.
+    """
 
     spark: SparkSession
     root: str
@@ -32,6 +42,9 @@ class Datamart:
     def path(self, layer: str, table: str) -> str:
         return "/".join([self.root.rstrip("/"), *filter(None, (layer, table))])
 
+    def manifest(self, layer: str, table: str) -> Manifest:
+        return Manifest(self.spark, self.path(layer, table))
+
     def read(
         self,
         layer: str,
@@ -42,13 +55,23 @@ class Datamart:
     ) -> DataFrame:
         """All snapshots as one frame, or the named ones only (their directories are all that is
         read). ``merge_schema`` is for tables whose encoded columns differ between snapshots."""
-        reader = self.spark.read.option("mergeSchema", merge_schema)
+        state, base = self.manifest(layer, table).state(), self.path(layer, table)
+        reader = self._reader(schema).option("mergeSchema", merge_schema)
+        if state.number == 0:
+            df = reader.load(base)
+            return df if snapshots is None else at_snapshots(df, snapshots)
+        asked = None if snapshots is None else {str(s) for s in snapshots}
+        folders = [f"{base}/{e.write}{_below(k)}" for k, e in state.entries.items() if asked is None or not k or k in asked]
+        if not folders:
+            return self.spark.createDataFrame([], schema or StructType.fromJson(json.loads(state.schema)))
+        df = reader.option("basePath", base).load(folders).drop(WRITE)
+        return df if snapshots is None or PARTITION not in df.columns else at_snapshots(df, snapshots)
+
+    def _reader(self, schema: StructType | None):
+        reader = self.spark.read.format(self.file_format)
         if self.file_format == "csv":
             reader = reader.option("header", True).option("escape", '"')
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.format(self.file_format).load(self.path(layer, table))
-        return df if snapshots is None else at_snapshots(df, snapshots)
+        return reader if schema is None else reader.schema(schema)
 
     def write(
         self, df: DataFrame, layer: str, table: str, gather: bool = True, snapshots: Sequence[str | date] | None = None
@@ -56,48 +79,58 @@ class Datamart:
         """Replace the snapshots present in ``df``, leave the others, and return the rows written.
 
         Of the named ``snapshots``, those without rows in ``df`` are cleared too: a re-run leaves nothing
-        behind of what an earlier run has written for them.
+        behind of what an earlier run has written for them. All of that is published at once, after the write.
 
         Rows are gathered by snapshot before writing, so a snapshot gets few large files; a snapshot
         too large for one task is split again by the rebalancing. A frame that is only a projection
         of a table split by snapshot is gathered already: without ``gather`` it is written as it
-        comes, with no shuffle. The row count is observed while writing.
+        comes, with no shuffle. Rows are counted while writing, in all and for each named snapshot.
         """
-        seen = Observation()
-        (
-            (df.hint("rebalance", PARTITION) if gather else df)
-            .observe(
-                seen,
-                F.count(F.lit(1)).alias("rows"),
-                F.collect_set(F.col(PARTITION).cast("date").cast("string")).alias("present"),
-            )
-            .write.format(self.file_format)
-            .mode("overwrite")
-            .option("header", True)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PARTITION)
-            .save(self.path(layer, table))
-        )
-        for snapshot in sorted({str(s) for s in snapshots or ()} - set(seen.get["present"])):
-            self._clear(f"{self.path(layer, table)}/{PARTITION}={snapshot}")
-        return seen.get["rows"]
-
-    def _clear(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        seen, day = Observation(), F.col(PARTITION).cast("date").cast("string")
+        named = sorted({str(s) for s in snapshots or ()})
+        counts = [F.count_if(day == s).alias(f"rows_{i}") for i, s in enumerate(named)]
+        write = self._write_to(
+            (df.hint("rebalance", PARTITION) if gather else df).observe(
+                seen, F.count(F.lit(1)).alias("rows"), F.count_if(day.isNull()).alias("undated"), F.collect_set(day).alias("present"), *counts
+            ),
+            layer, table, [PARTITION],
+        )
+        found = seen.get
+        rows = {s: found[f"rows_{i}"] for i, s in enumerate(named)} | ({UNDATED: found["undated"]} if found["undated"] else {})
+        if set(found["present"]) - set(named):  # snapshots that were not named: counts from the written files
+            written = self._reader(None).option("basePath", self.path(layer, table)).load(f"{self.path(layer, table)}/{write}")
+            rows |= {r[0]: r[1] for r in written.where(F.col(PARTITION).isNotNull()).groupBy(day).count().collect()}
+        self.publish(df, layer, table, {s: Entry(write, n) if n else None for s, n in rows.items()})
+        return found["rows"]
+
+    def _write_to(self, df: DataFrame, layer: str, table: str, split: Sequence[str]) -> str:
+        """Write to a new folder of the table; its name."""
+        write = f"{WRITE}=w{uuid.uuid4().hex}"
+        df.write.format(self.file_format).option("header", True).option("escape", '"').partitionBy(*split).save(f"{self.path(layer, table)}/{write}")
+        return write
+
+    def publish(self, df: DataFrame, layer: str, table: str, changes: dict[str, Entry | None]) -> None:
+        self.manifest(layer, table).publish(df.schema.json(), changes)
 
     def write_static(self, df: DataFrame, layer: str, table: str) -> int:
         """Replace a table that is not split by snapshot."""
         seen = Observation()
-        (
-            df.observe(seen, F.count(F.lit(1)).alias("rows"))
-            .write.format(self.file_format)
-            .mode("overwrite")
-            .option("header", True)
-            .save(self.path(layer, table))
-        )
+        write = self._write_to(df.observe(seen, F.count(F.lit(1)).alias("rows")), layer, table, [])
+        self.publish(df, layer, table, {"": Entry(write, seen.get["rows"])})
         return seen.get["rows"]
 
+    def audit(self, tables: dict[str, tuple[str, str]]) -> DataFrame:
+        """(`stage`, `snapshot_date`, `n_rows`) of the tables (layer and name by stage), as counted when they were written."""
+        rows = []
+        for stage, (layer, table) in tables.items():
+            for key, entry in self.manifest(layer, table).state().entries.items():
+                rows.append((stage, date.fromisoformat(key) if key not in ("", UNDATED) else None, entry.rows))
+        return self.spark.createDataFrame(rows, f"stage string, {PARTITION} date, n_rows bigint")
+
+
+def _below(key: str) -> str:
+    return f"/{PARTITION}={key}" if key else ""
+
 
 def at_snapshots(df: DataFrame, snapshots: Sequence[str | date], column: str = PARTITION) -> DataFrame:
     """Rows of the named snapshots; literals, so that partitions and files are skipped."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from creditmart import api, jobs
 from creditmart.catalog import tables as T
 from creditmart.functions.dates import month_starts
+from creditmart.operators import joins
 from creditmart.plans import gold, silver
 from creditmart.plans.datamart_jobs import SOURCE_FILES, Build
 from creditmart.sources import datamart as dm
@@ -214,3 +215,94 @@ def test_entry_points_per_date(spark, sources, tmp_path, built):
     assert "has_SSN" in attributes.columns and "SSN" not in attributes.columns
     flags = api.one_hot_encode_categorical(frames["attributes"].limit(50), "Occupation")
     assert any(c.startswith("occupation_") for c in flags.columns)
+
+
+def test_failure_before_publishing_leaves_the_old_months(spark, built, tmp_path, monkeypatch):
+    build, _ = built
+    mart = dm.Datamart(spark, str(tmp_path))
+    loans = build.mart.read("silver", "loan_daily")
+    mart.write(gold.label_store(loans, 30, 6), "gold", "label_store", snapshots=MONTHS)
+    before, state = rows(mart.read("gold", "label_store")), mart.manifest("gold", "label_store").state()
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(dm.Datamart, "publish", fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            mart.write(gold.label_store(loans, 90, 4), "gold", "label_store", snapshots=MONTHS)
+    assert rows(mart.read("gold", "label_store")) == before
+    with pytest.raises(Exception, match="(?i)divi"):  # and so does one while writing
+        mart.write(loans.withColumn("x", F.expr("1 / (dpd - dpd)")), "gold", "label_store", snapshots=MONTHS)
+    assert mart.manifest("gold", "label_store").state() == state and rows(mart.read("gold", "label_store")) == before
+
+
+def test_manifests_expire_with_their_writes(spark, tmp_path):
+    mart, day = dm.Datamart(spark, str(tmp_path)), date(2024, 1, 1)
+    frame = spark.createDataFrame([(1, day), (2, date(2024, 2, 1)), (3, None)], "x int, snapshot_date date")
+    for _ in range(4):
+        assert mart.write(frame, "a", "t") == 3
+    assert mart.manifest("a", "t").state().number == 4 and mart.manifest("a", "t")._numbers() == [3, 4]
+    assert len(list((tmp_path / "a" / "t").glob("_write=*"))) == 2
+    assert sorted(r.x for r in mart.read("a", "t").collect()) == [1, 2, 3]
+    mart.write(frame.where("x = 9"), "a", "t", snapshots=[day, "2024-02-01"])
+    assert [r.x for r in mart.read("a", "t").collect()] == [3] and mart.read("a", "t", [day]).count() == 0
+    audit = {(r.stage, r.snapshot_date, r.n_rows) for r in mart.audit({"t": ("a", "t")}).collect()}
+    assert audit == {("t", None, 1)}
+
+
+def test_second_writer_keeps_the_snapshots_of_the_first(spark, tmp_path):
+    mart = dm.Datamart(spark, str(tmp_path))
+    frame = spark.createDataFrame([(1, date(2024, 1, 1))], "x int, snapshot_date date")
+    mart.write(frame, "a", "t")
+    late = mart.manifest("a", "t")
+    stale, reads = late.state(), []
+    mart.write(frame.withColumn("snapshot_date", F.lit(date(2024, 2, 1))), "a", "t")
+    plain = late.state
+    late.state = lambda *n: plain(*n) if n or reads else reads.append(1) or stale  # it has read before the first published
+    late.publish(stale.schema, {"2024-03-01": dm.Entry(stale.entries["2024-01-01"].write, 1)})
+    assert sorted(mart.manifest("a", "t").state().entries) == ["2024-01-01", "2024-02-01", "2024-03-01"]
+
+
+def test_folders_without_a_manifest_are_read_as_they_are(spark, tmp_path):
+    frame = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 2, 1))], "x int, snapshot_date date")
+    frame.write.partitionBy("snapshot_date").parquet(str(tmp_path / "a" / "t"))
+    mart = dm.Datamart(spark, str(tmp_path))
+    assert mart.read("a", "t").count() == 2 and mart.read("a", "t", ["2024-02-01"]).first().x == 2
+
+
+def test_static_tables_are_replaced_whole(spark, tmp_path):
+    mart = dm.Datamart(spark, str(tmp_path))
+    frame = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 2, 1))], "x int, snapshot_date date")
+    mart.write_static(frame.union(frame), "a", "s")
+    assert mart.write_static(frame, "a", "s") == 2
+    assert rows(mart.read("a", "s")) == rows(frame) and mart.read("a", "s", ["2024-02-01"]).first().x == 2
+
+
+def test_csv_tables(spark, tmp_path):
+    mart = dm.Datamart(spark, str(tmp_path), "csv")
+    frame = spark.createDataFrame([(1, 'a, "b"', date(2024, 1, 1)), (2, "c", date(2024, 2, 1))], "x int, t string, snapshot_date date")
+    assert mart.write(frame, "a", "t") == 2 and rows(mart.read("a", "t", schema=frame.schema)) == rows(frame)
+    assert mart.read("a", "t", ["2024-02-01"], frame.schema).first().t == "c"
+
+
+def test_as_of_with_salts_and_gaps(spark):
+    rng = __import__("random").Random(3)
+    days = [date(2024, 1 + m, d) for m in range(6) for d in (1, 9, 20)]
+    facts = [(rng.choice("aaaaab"), rng.choice([*days, None]), i) for i in range(300)] + [(None, days[3], 900)]
+    dims = sorted({(k, d) for k in "abc" for d in rng.sample(days, 7)}) + [(None, days[0]), ("a", None)]
+    fact = spark.createDataFrame(facts, "k string, day date, f int")
+    dim = spark.createDataFrame([(k, d, i) for i, (k, d) in enumerate(dims)], "k string, day date, x int")
+    number = {p: i for i, p in enumerate(dims)}
+    want = set()
+    for k, d, f in facts:
+        known = [e for c, e in dims if c == k and k and e and d and e <= d]
+        if known:
+            want.add((k, d, f, number[k, max(known)]))
+    for salts in (0, 5):
+        got = joins.as_of_join(fact, dim, ["k"], "day", salts)
+        assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+    plan = joins.as_of_join(fact, dim, ["k"], "day")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    with pytest.raises(ValueError, match="both sides"):
+        joins.as_of_join(fact, dim.withColumnRenamed("x", "F"), ["k"], "day")
