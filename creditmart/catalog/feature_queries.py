@@ -9,8 +9,9 @@ from creditmart.catalog.registry import query
 from creditmart.catalog.row_queries import LOAN_LIST_SQL
 from creditmart.functions import text
 from creditmart.operators import cleaning, encoding, labels
-from creditmart.plans import gold, silver
+from creditmart.plans import fitted, gold, silver
 from creditmart.session import materialized
+from creditmart.sources.datamart import Datamart
 
 # Categories in the views of the test tables.
 MIXES = ("Bad", "Good", "Invalid", "Standard")
@@ -220,6 +221,48 @@ def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.attributes(T.attributes(spark, sf_dir))
 
 
+def _year(y: int) -> str:
+    return f"snapshot_date BETWEEN DATE '{y}-01-01' AND DATE '{y}-12-31'"
+
+
+FITTED_SQL = (
+    (FINANCIAL_STEPS_SQL + ATTRIBUTE_STEPS_SQL)
+    .replace("0.997) FROM read)", f"0.997) FROM read WHERE {_year(1997)})")
+    .replace("FROM kept),\n    capped", f"FROM kept WHERE {_year(1997)}),\n    capped")
+    .replace("quantile_disc(age, 0.5) FROM person)", f"quantile_disc(age, 0.5) FROM person WHERE {_year(1997)})")
+)
+
+
+@query(
+    T.with_views("financials", "attributes")
+    + FITTED_SQL
+    + f"SELECT * FROM money JOIN people USING (Customer_ID, snapshot_date) WHERE {_year(1998)}"
+)
+def apply_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Caps, median and vocabularies of 1997, stored as a version and read back, applied to the customers of 1998."""
+    mart = Datamart(spark, T.scratch_root(spark))
+    numbers, people = _numbers(spark, sf_dir), T.attributes(spark, sf_dir)
+    fitted.save(mart, silver.fit_customers(numbers.where(_year(1997)), people.where(_year(1997))), "1997-12-01")
+    state = fitted.load(mart)
+    return silver.customer_features(numbers.where(_year(1998)), people.where(_year(1998)), parsed=True, fitted=state)
+
+
+@query(
+    T.with_views("financials", "attributes")
+    + f""", cells AS (SELECT 'Credit_Mix' AS "column", CASE WHEN Credit_Mix = '_' THEN 'Invalid' ELSE Credit_Mix END AS value, snapshot_date FROM financials
+    UNION ALL SELECT 'Payment_of_Min_Amount', Payment_of_Min_Amount, snapshot_date FROM financials
+    UNION ALL SELECT 'Occupation', CASE WHEN regexp_matches(Occupation, '[a-zA-Z]') THEN Occupation ELSE 'Others' END, snapshot_date FROM attributes
+    UNION ALL SELECT 'Type_of_Loan', unnest(list_distinct({LOAN_LIST_SQL})), snapshot_date FROM financials)
+    SELECT "column", value, count(*) AS n_rows FROM cells WHERE {_year(1998)} AND value NOT IN ('No loan', 'Bad', 'Yes', 'Doctor', 'Lawyer', 'Auto Loan')
+    GROUP BY ALL"""
+)
+def unseen_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories of 1998 that a state with few known ones has not seen."""
+    vocab = silver.Vocabularies(["Auto Loan"], ["Bad"], ["Yes"], ["Doctor", "Lawyer"])
+    state = silver.Fitted(None, {}, None, vocab)
+    return silver.unseen_categories(T.financials(spark, sf_dir).where(_year(1998)), T.attributes(spark, sf_dir).where(_year(1998)), state)
+
+
 @query(
     T.with_views("financials", "clickstream")
     + FINANCIAL_STEPS_SQL

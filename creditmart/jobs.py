@@ -60,6 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--join", choices=["left", "inner"], default="left")
     parser.add_argument("--as-of", action="store_true", help="feature store: features not dated after the row")
     parser.add_argument("--duplicates", action="store_true", help="feature store: allow several feature rows per customer")
+    parser.add_argument("--fitted", help="YYYY-MM-DD: customer caps, medians and vocabularies stored under that date; fitted and stored if there are none")
+    parser.add_argument("--score", choices=["auc", "hard_label_auc"], default="auc", help="train: what the search maximises")
     args = parser.parse_args(argv)
     if args.stage == "backfill" and not (args.start and args.end):
         parser.error("--stage backfill needs --start and --end")
@@ -69,7 +71,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = builder(f"creditmart-{args.stage}").getOrCreate()
     build = Build(
         spark, args.source, Datamart(spark, args.datamart), args.dpd, args.mob, args.end,
-        as_of=args.as_of, duplicates=args.duplicates,
+        as_of=args.as_of, duplicates=args.duplicates, fitted=args.fitted,
     )
     if args.stage == "bronze":
         print(build.bronze([args.snapshotdate], ["lms"]))
@@ -80,7 +82,9 @@ def main(argv: list[str] | None = None) -> None:
         # Boosting cuts its lineage there every few trees.
         shared_folder(spark, f"{args.datamart.rstrip('/')}/_checkpoints")
         prefix = "fe_" if args.features == "clickstream" else None
-        config = training.TrainConfig(args.snapshotdate, n_iter=args.n_iter, join=args.join, feature_prefix=prefix)
+        config = training.TrainConfig(
+            args.snapshotdate, n_iter=args.n_iter, join=args.join, feature_prefix=prefix, hard_label=args.score == "hard_label_auc"
+        )
         trained = train_model(build, config, args.model_bank)
         print(trained.version, trained.best_params, trained.auc)
 

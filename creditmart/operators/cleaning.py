@@ -59,7 +59,10 @@ def nonnegative(df: DataFrame, column: str) -> DataFrame:
 
 def trim_upper_tail(df: DataFrame, column: str, p: float = 0.997, rel_err: float = 0.0) -> DataFrame:
     """Keep the rows strictly below the column's p-quantile; rows with NULL there go too."""
-    cut = fit_quantiles(df, [Quantile(column, p, "cut")], rel_err)["cut"]
+    return below(df, column, fit_quantiles(df, [Quantile(column, p, "cut")], rel_err)["cut"])
+
+
+def below(df: DataFrame, column: str, cut: float | None) -> DataFrame:
     return df.where(F.col(column) < F.lit(cut).cast("double"))
 
 
@@ -83,16 +86,24 @@ def winsorize_upper(df: DataFrame, p: Mapping[str, float], rel_err: float = 0.0)
     return apply_caps(df, fit_caps(df, p, rel_err))
 
 
+def read_digits(df: DataFrame, column: str, pattern: str = DIGITS_ONLY) -> DataFrame:
+    """The column's digits as a whole number."""
+    is_text = isinstance(df.schema[column].dataType, StringType)
+    return df.withColumn(column, parse_count(F.col(column), pattern) if is_text else as_int(F.col(column)))
+
+
+def fit_median(df: DataFrame, column: str, rel_err: float = 0.0) -> float | None:
+    return fit_quantiles(df, [Quantile(column, 0.5, "m")], rel_err)["m"]
+
+
 def impute_median(
-    df: DataFrame, column: str, upper: float = 100, pattern: str = DIGITS_ONLY, rel_err: float = 0.0
+    df: DataFrame, column: str, upper: float = 100, pattern: str = DIGITS_ONLY, rel_err: float = 0.0, median: float | None = None
 ) -> DataFrame:
     """Read the column's digits and replace missing or implausibly large values by the median.
 
-    The median is of all values read, the implausible ones included.
+    The median is of all values read, the implausible ones included, unless a fitted one is given.
     """
-    is_text = isinstance(df.schema[column].dataType, StringType)
-    value = parse_count(F.col(column), pattern) if is_text else as_int(F.col(column))
-    parsed = df.withColumn(column, value)
-    median = fit_quantiles(parsed, [Quantile(column, 0.5, "m")], rel_err)["m"]
+    parsed = read_digits(df, column, pattern)
+    median = fit_median(parsed, column, rel_err) if median is None else median
     fixed = F.when((F.col(column) > upper) | F.col(column).isNull(), F.lit(median).cast("double"))
     return parsed.withColumn(column, fixed.otherwise(F.col(column).cast("double")))

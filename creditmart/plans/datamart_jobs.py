@@ -9,7 +9,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.plans import gold, silver
+from creditmart.plans import fitted, gold, silver
 from creditmart.sources import schemas
 from creditmart.sources.datamart import Datamart, at_snapshots, read_csv
 
@@ -45,6 +45,7 @@ class Build:
     salts: int = 0
     as_of: bool = False
     duplicates: bool = False
+    fitted: str | date | None = None
 
     def source(self, name: str) -> DataFrame:
         """A source file, in the column order the file has."""
@@ -81,13 +82,22 @@ class Build:
 
     def silver_customers(self) -> int:
         """The parsed numbers are stored first: the caps' and vocabularies' passes then read a typed
-        column each instead of parsing the text again."""
+        column each instead of parsing the text again.
+
+        With ``fitted``, caps, medians and vocabularies are those stored under that date; if there are none, they are fitted
+        now and stored. Otherwise they are fitted in every run and not kept."""
         self.mart.write_static(silver.financial_numbers(self.bronze_frame("financials")), "silver", "financial_numbers")
         attributes = self.bronze_frame("attributes") if self.join_attributes else None
         numbers = self.mart.read("silver", "financial_numbers")
-        customers = silver.customer_features(numbers, attributes, self.vocab, parsed=True)
+        state = None if self.fitted is None else self._state(numbers, attributes)
+        customers = silver.customer_features(numbers, attributes, self.vocab, parsed=True, fitted=state)
         return self.mart.write_static(customers, "silver", "financial_attributes")
 
+    def _state(self, numbers: DataFrame, attributes: DataFrame | None) -> silver.Fitted:
+        if str(self.fitted) not in fitted.versions(self.mart):
+            fitted.save(self.mart, silver.fit_customers(numbers, attributes, self.vocab), self.fitted)
+        return fitted.load(self.mart, self.fitted)
+
     def silver_clickstream(self, snapshots: Sequence[str | date]) -> int:
         clicks = silver.clickstream(self.bronze_frame("clickstream", snapshots))
         return self.mart.write(clicks, "silver", "clickstream", gather=False, snapshots=snapshots)
