@@ -182,6 +182,24 @@ def high_corr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile.high_correlations(profile.correlations(T.clickstream(spark, sf_dir), CLICKSTREAM_FEATURES), 0.7))
 
 
+GAPPED = ", ".join(
+    f"CASE WHEN CAST(fe_15 AS INT) % {i + 3} = 0 THEN NULL ELSE CAST({c} AS DOUBLE) END AS {c}" for i, c in enumerate(CLICKSTREAM_FEATURES)
+)
+
+
+@query(
+    T.with_views("clickstream")
+    + f", gapped AS (SELECT {GAPPED} FROM clickstream) "
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM gapped" for a, b in combinations(CLICKSTREAM_FEATURES, 2)
+    )
+)
+def corr_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty columns, each with its own gaps: a pair is measured where both are known."""
+    gapped = T.clickstream(spark, sf_dir).selectExpr(*GAPPED.replace(", CASE", "|CASE").split("|"))
+    return _rounded(profile.correlations(gapped).where("i < j").select("a", "b", "r"))
+
+
 @query(_corr_sql("WHERE j < i"))
 def corr_lower_triangle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile.lower_triangle(profile.correlations(_measures(spark, sf_dir))))

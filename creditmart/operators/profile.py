@@ -7,11 +7,11 @@ grid point.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from creditmart.operators.quantiles import Quantile, approx_quantiles, exact_quantiles
@@ -106,31 +106,70 @@ def _known(column: str) -> Column:
     return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
 
+#: Columns whose pairs are measured by an aggregate each; more go through products of blocks of rows.
+FEW = 6
+
+
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson matrix in long form (a, b, r, i, j with 0-based positions).
 
-    Each pair uses the rows where both are known; NaN counts as missing. Columns without gaps go through one Gram matrix;
-    only pairs with a gap on either side take an aggregate each.
+    Each pair uses the rows where both are known; NaN counts as missing. A pair of which one is constant has no correlation.
     """
     columns = list(columns or numeric_columns(df))
+    names = F.expr(f"array({', '.join(repr(c) for c in columns)})")
     known = df.select(*[_known(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    counts = known.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in known.columns]).first()
-    whole = [i for i in range(len(columns)) if counts[f"c{i}"] == counts["rows"]]
-    r = {}
-    if len(whole) > 1 and counts["rows"] > 1:
-        matrix = _gram(known, [f"c{i}" for i in whole])
-        r = {(i, j): float(matrix[m][n]) for m, i in enumerate(whole) for n, j in enumerate(whole)}
-    gaps = [(i, j) for i, j in combinations(range(len(columns)), 2) if not (i in whole and j in whole)]
-    if gaps:
-        row = known.agg(*[_corr(F.col(f"c{i}"), F.col(f"c{j}")) for i, j in gaps]).first()
-        r |= {pair: v for (i, j), v in zip(gaps, row) for pair in ((i, j), (j, i))}
+    if len(columns) <= FEW:
+        pairs = list(combinations(range(len(columns)), 2))
+        entries = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{i}_{j}").alias("r")) for i, j in pairs]
+        entries += [F.struct(F.lit(j).alias("i"), F.lit(i).alias("j"), F.col(f"r{i}_{j}").alias("r")) for i, j in pairs]
+        found = known.agg(F.lit(1), *[_corr(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"r{i}_{j}") for i, j in pairs])
+        found = _long(found, entries + [F.struct(F.lit(i).alias("i"), F.lit(i).alias("j"), F.lit(1.0).alias("r")) for i in range(len(columns))])
+    else:
+        found = _masked_gram(known)
+    return found.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), F.nanvl("r", F.lit(None).cast("double")).alias("r"), "i", "j")
+
+
+#: Variation that is rounding only, as a share of the squares it is left over from.
+NOISE = 1e-13
+
 
-    def value(i: int, j: int) -> float | None:
-        v = 1.0 if i == j else r.get((i, j))
-        return None if v is None or math.isnan(v) else v
+def _masked_gram(known: DataFrame) -> DataFrame:
+    """(i, j, r) of all pairs of columns that may have gaps, in one pass of matrix products.
 
-    rows = [(a, b, value(i, j), i, j) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double, i int, j int")
+    Gaps become 0 and a mask tells them apart: products of values and masks give, for every pair, the rows where both are
+    known, either one's sums and squares there, and the cross products. Values are centred and scaled first, so that little is
+    lost in the differences. Tasks give a row for each pair, which are summed.
+    """
+    columns = known.columns
+    stats = known.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop), ("l", F.min), ("h", F.max))]).first()
+
+    def centred(c: str) -> Column:
+        if stats[f"l_{c}"] == stats[f"h_{c}"]:
+            return F.col(c) * 0
+        return (F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(columns)
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).fill_null(0).to_numpy() for i in range(k)])
+            m = np.column_stack([batch.column(i).is_valid().to_numpy(zero_copy_only=False) for i in range(k)]).astype(np.float64)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = (x.reshape(-1).astype(np.int32) for x in np.indices((k, k)))
+        n, s, q, c = total
+        sums = [x.reshape(-1) for x in (n, s, s.T, q, q.T, c)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (i, j, *sums)], names=["i", "j", "n", "sx", "sy", "qx", "qy", "c"])
+
+    parts = known.select(*[centred(c).alias(c) for c in columns]).mapInArrow(products, "i int, j int, n double, sx double, sy double, qx double, qy double, c double")
+    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "qx", "qy", "c")])
+    spread = {}
+    for v in "xy":
+        own = F.col(f"q{v}") - F.try_divide(F.col(f"s{v}") * F.col(f"s{v}"), F.col("n"))
+        spread[v] = F.when(own > F.col(f"q{v}") * NOISE, own)
+    shared = F.col("c") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    r = F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), shared / F.sqrt(spread["x"] * spread["y"]))))
+    known_spread = spread["x"].isNotNull() & spread["y"].isNotNull()
+    return sums.select("i", "j", F.when((F.col("i") == F.col("j")) | known_spread, r).alias("r"))
 
 
 def _corr(a: Column, b: Column) -> Column:
@@ -139,19 +178,11 @@ def _corr(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), spread)
 
 
-def _gram(df: DataFrame, columns: Sequence[str]):
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df).select("features")
-    return Correlation.corr(assembled, "features", "pearson").first()[0].toArray()
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The same matrix for many columns and complete rows, through one Gram matrix; rows with a NULL
-    are an error."""
-    matrix = _gram(df, columns)
-    rows = [
-        (a, b, float(matrix[i][j]), i, j) for i, a in enumerate(columns) for j, b in enumerate(columns)
-    ]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double, i int, j int")
+    """The same matrix by matrix products, however few the columns are."""
+    known = df.select(*[_known(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    names = F.expr(f"array({', '.join(repr(c) for c in columns)})")
+    return _masked_gram(known).select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), "r", "i", "j")
 
 
 def high_correlations(matrix: DataFrame, threshold: float = 0.7) -> DataFrame:
