@@ -22,12 +22,34 @@ def remainder(doc_id: Column, k: int) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % k).cast("int")
 
 
+#: Spark's setting that drops a query's shuffle files as soon as it has ended.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The frame written to a table in the cluster's shared folder and read again: later plans start from files."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
-    df.write.option("compression", "zstd").parquet(path)
-    delete_at_end(df.sparkSession, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored_at(df)[0]
+
+
+def stored_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """The same, and the table's path. Its shuffle files go when it is written: nothing reads them any more."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}.parquet"
+    before = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    delete_at_end(spark, path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete stored tables that nothing will read again."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def delete_at_end(spark: SparkSession, path: str) -> None:

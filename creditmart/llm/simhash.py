@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -122,8 +123,11 @@ LONG_WORDS = 16
 DIRECT = 256
 #: Estimates this near to the asked-for similarity are checked on the shingles themselves: four standard errors.
 UNSURE = 0.1
-#: Most similar texts of a local group that a text is checked against in the first pass, if none is surely similar.
-CHECKS = 4
+#: Most similar texts of a local group that a text is checked against in the first pass, if none is surely similar, and those
+#: of all its groups and variants: the most similar ones. The second pass settles what they leave apart.
+CHECKS, NEAREST = 4, 3
+#: Tables whose variants are shuffled together.
+TABLES_AT_ONCE = 4
 #: Texts of one variant that a task holds in the second pass; more are dealt to blocks, and each two blocks to a task.
 BLOCK_TEXTS = 2_048
 
@@ -167,8 +171,8 @@ class Hubs:
         self.ids, self.longs, self.n = [], np.empty((16, LONG_WORDS), dtype=np.uint64), 0
         self.groups, self.keys = np.empty(16, dtype=np.int64), np.empty(16, dtype=np.int64)
 
-    def add(self, number: int, long: np.ndarray, key: int, variant: int, at_least: float) -> list[tuple[int, int, bool]]:
-        """Take a text up and return pairs that connect it to each group that it may be like: (text, other, whether surely).
+    def add(self, number: int, long: np.ndarray, key: int, variant: int, at_least: float) -> list[tuple[int, int, float]]:
+        """Take a text up and return pairs that connect it to each group that it may be like: (text, other, estimate).
 
         A group's most similar text is the one to link to; where that is not sure, some of the most similar ones are. Two
         texts are compared at one of the variants that they share only: at their key if it is the same, else at the smaller.
@@ -183,7 +187,7 @@ class Hubs:
         for g in np.unique(self.groups[near]).tolist():
             best = near[self.groups[near] == g][:CHECKS].tolist()
             sure = alike_to[best[0]] >= at_least + UNSURE
-            out += [(number, self.ids[j], bool(sure)) for j in (best[:1] if sure else best)]
+            out += [(number, self.ids[j], float(alike_to[j])) for j in (best[:1] if sure else best)]
         alike = near[alike_to[near] >= at_least]
         found = np.unique(self.groups[alike])
         own = int(found[0]) if len(found) else self.n
@@ -263,8 +267,14 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
     sketches = stored(sketches.groupBy("hash").agg(F.first("short").alias("short"), F.first("long").alias("long"), F.count("*").alias("copies")))
     # A table's number goes above its fingerprint's bits.
     keys = F.transform("short", lambda s, i: s.bitwiseOR(F.shiftleft(i.cast("long"), BITS)))
-    flipped = sketches.select("hash", F.explode(keys).alias("key")).select("hash", "key", F.explode(ball(F.col("key"), BITS)).alias("variant"))
-    met = stored(flipped.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).filter("n > 1").select("hash", "key", "variant"))
+    tables = []
+    for t in range(0, TABLES, TABLES_AT_ONCE):  # each table's variants are its own, so tables can go one after the other
+        some = sketches.select("hash", F.explode(F.slice(keys, t + 1, TABLES_AT_ONCE)).alias("key"))
+        flipped = some.select("hash", F.posexplode(ball(F.col("key"), BITS)).alias("bit", "variant"))
+        shared = flipped.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).filter("n > 1")
+        key = F.when(F.col("bit") == 0, F.col("variant")).otherwise(F.col("variant").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") - 1)))
+        tables.append(stored(shared.select("hash", key.alias("key"), "variant")))
+    met = reduce(DataFrame.union, tables)
     rows = met.join(sketches.select("hash", "long", "copies"), "hash")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,11 +288,13 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
                     at, hubs = v, Hubs()
                 pairs += hubs.add(ids[n], words[n], keys[n], v, at_least)
             columns = list(zip(*pairs)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], names=["a", "b", "sure"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "alike"])
 
     ordered = rows.repartition("variant").sortWithinPartitions("variant", F.desc("copies"), "hash").select("variant", "hash", "key", "long")
-    found = ordered.mapInArrow(compare, "a long, b long, sure boolean").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure")
-    pairs = stored(found.groupBy("a", "b").agg(F.max("sure").alias("sure")))
+    found = ordered.mapInArrow(compare, "a long, b long, alike double").groupBy("a", "b").agg(F.max("alike").alias("alike"))
+    nearest = found.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("alike"), "b"))).filter(F.col("place") <= NEAREST)
+    pairs = nearest.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg((F.max("alike") >= at_least + UNSURE).alias("sure"))
+    pairs = stored(pairs)
     checked = similar_pairs(pairs.filter(~F.col("sure")).select("a", "b"), docs, text, k, at_least)
     roots = stored(components(pairs.filter("sure").select("a", "b").union(checked)))
 

@@ -268,3 +268,48 @@ def test_best_keeps_ties_of_smaller_ids():
         best.add(np.full((1, 2), 7), np.array(ids), np.zeros(2, dtype=np.int64))
         best.merge()
     assert best.held[3].tolist() == [1, 3]
+
+
+# Near duplicates of the pipeline
+
+
+def linked_groups(texts, share):
+    """Groups of different texts whose sets of five-word shingles are alike to the share or more, through an inverted index."""
+    from creditmart.llm.simhash import shingles
+
+    sets, holders, top = [set(shingles(t.encode(), 5)) for t in texts], {}, list(range(len(texts)))
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i, s in enumerate(sets):
+        for j, common in Counter(j for x in s for j in holders.get(x, ())).items():
+            if common >= share * (len(s) + len(sets[j]) - common):
+                top[root(i)] = root(j)
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    return {texts[i]: root(i) for i in range(len(texts))}
+
+
+def same_groups(got, want):
+    """Both put the same texts together."""
+    by = {}
+    for t, g in want.items():
+        by.setdefault(g, set()).add(got.get(t, t))
+    return all(len(s) == 1 for s in by.values()) and len({next(iter(s)) for s in by.values()}) == len(by)
+
+
+@pytest.mark.parametrize("near", [1, 3])
+def test_pipeline_groups_equal_brute_force(spark, monkeypatch, near):
+    """All groups of the 0.1 documents, however little the first pass links."""
+    from creditmart.llm import simhash
+
+    monkeypatch.setattr(simhash, "NEAREST", near)
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text")
+    texts = [r.text for r in rows.distinct().collect()]
+    named = rows.distinct().select("text", F.xxhash64("text").alias("hash"))
+    got = {r.text: r.root for r in named.join(simhash.similar_groups(rows), "hash").collect()}
+    assert same_groups(got, linked_groups(texts, 0.8))
+    assert len(got) > 50

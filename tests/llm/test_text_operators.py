@@ -160,7 +160,7 @@ def test_components_of_a_long_path(spark):
 
 def test_components_of_a_path_in_random_order(spark, monkeypatch):
     written = []
-    monkeypatch.setattr(components, "stored", lambda df, store=components.stored: written.append(1) or store(df))
+    monkeypatch.setattr(components, "stored_at", lambda df, store=components.stored_at: written.append(1) or store(df))
     at = np.random.default_rng(8).permutation(2_000)
     edges = spark.createDataFrame(list(zip(at[:-1].tolist(), at[1:].tolist())), "a long, b long")
     assert {(r.node, r.root) for r in components.components(edges).collect()} == {(n, 0) for n in range(2_000)}
