@@ -273,3 +273,21 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = silver.Vocabularies(T.KINDS_OF_LOAN, MIXES, MIN_PAYMENTS)
     customers = silver.customer_features(_numbers(spark, sf_dir), None, vocab, parsed=True)
     return gold.feature_store(T.clickstream(spark, sf_dir), materialized(customers))
+
+
+@query(
+    """WITH listed AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS buyer, o_orderpriority, [o_orderstatus, o_orderpriority, o_orderstatus] AS marks FROM orders),
+    cells AS (SELECT o_orderkey, 'buyer' AS c, buyer AS v FROM listed UNION ALL SELECT o_orderkey, 'o_orderpriority', o_orderpriority FROM listed
+    UNION ALL SELECT DISTINCT o_orderkey, 'marks', unnest(marks) FROM listed),
+    vocab AS (SELECT c, v, row_number() OVER (ORDER BY c, md5(v), v) - 1 AS place FROM (SELECT DISTINCT c, v FROM cells))
+    SELECT o_orderkey, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS size, array_to_string(list_sort(list(CAST(place AS INTEGER))), ',') AS indices,
+    CAST(sum(1) AS DOUBLE) AS total FROM cells JOIN vocab USING (c, v) GROUP BY o_orderkey"""
+)
+def sparse_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers (a category for every few orders), priorities and a list of marks as one sparse vector an order."""
+    marks = F.array("o_orderstatus", "o_orderpriority", "o_orderstatus").alias("marks")
+    orders = T.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("buyer"), "o_orderpriority", marks)
+    names = ["buyer", "o_orderpriority", "marks"]
+    found = encoding.sparse_features(orders, "o_orderkey", names, encoding.vocabulary_table(orders, names))
+    total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x)
+    return found.select("o_orderkey", "size", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"), total.alias("total"))

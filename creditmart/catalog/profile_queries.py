@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from creditmart.catalog import tables as T
 from creditmart.catalog.registry import query
 from creditmart.functions.arrays import split_list
-from creditmart.operators import encoding, profile
+from creditmart.operators import encoding, profile, states
 from creditmart.operators.quantiles import Quantile, approx_quantiles, exact_quantiles, quantile_frame
 from creditmart.session import materialized
+from creditmart.sources.datamart import Datamart
 from creditmart.sources.schemas import CLICKSTREAM_FEATURES
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -57,6 +58,52 @@ def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile.numeric_profile(materialized(T.ledger(spark, sf_dir).select(*PROFILED))))
 
 
+def _states_sql(c: str) -> str:
+    rows = f"SELECT snapshot_date, CAST({c} AS DOUBLE) AS v FROM ledger UNION ALL SELECT NULL, CAST({c} AS DOUBLE) FROM ledger"
+    return f"""SELECT snapshot_date, '{c}' AS "column", count(v) AS "count", count(*) - count(v) AS null_count, round(avg(v), 4) AS mean,
+    round(stddev_samp(v), 4) AS stddev, round(min(v), 4) AS "min", round(max(v), 4) AS "max",
+    round(avg(pow(v - m, 3)) / nullif(pow(avg(pow(v - m, 2)), 1.5), 0), 4) AS skewness,
+    round(avg(pow(v - m, 4)) / nullif(pow(avg(pow(v - m, 2)), 2), 0) - 3, 4) AS kurtosis
+    FROM (SELECT *, avg(v) OVER (PARTITION BY snapshot_date) AS m FROM ({rows})) GROUP BY snapshot_date"""
+
+
+@query(T.with_views("ledger") + " UNION ALL ".join(_states_sql(c) for c in PROFILED))
+def profile_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of each month, and of all months (no date), from states kept by month: two runs add their months each."""
+    mart, ledger = Datamart(spark, T.scratch_root(spark)), T.ledger(spark, sf_dir)
+    early = F.col("snapshot_date") < F.lit("1995-01-01").cast("date")
+    for part in (early, ~early):
+        mart.write(states.moments(ledger.where(part), PROFILED), "profile", "ledger")
+    kept = mart.read("profile", "ledger")
+    monthly = states.profile_of(kept, ["snapshot_date"])
+    whole = states.profile_of(states.merged(kept)).withColumn("snapshot_date", F.lit(None).cast("date"))
+    return _rounded(monthly.unionByName(whole), 4)
+
+
+@query(
+    T.with_views("ledger")
+    + ", ledger_range AS (SELECT * FROM ledger WHERE snapshot_date BETWEEN DATE '1994-03-01' AND DATE '1996-10-01') "
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{n}' AS name, count({c}) AS n, CAST(quantile_disc({c}, {low}) AS DOUBLE) AS low,
+        CAST(quantile_disc({c}, {high}) AS DOUBLE) AS high, true AS in_range FROM ledger_range"""
+        for c in ("loan_amt", "due_amt", "paid_amt", "balance")
+        for n, (low, high) in {"p50": (0.49, 0.51), "p95": (0.94, 0.96)}.items()
+    )
+)
+def sketch_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of a range of months from a sketch for each month, merged on read; checked between exact ones."""
+    mart, ledger, measures = Datamart(spark, T.scratch_root(spark)), T.ledger(spark, sf_dir), ("loan_amt", "due_amt", "paid_amt", "balance")
+    mart.write(states.sketches(ledger, measures), "sketches", "ledger")
+    months = "snapshot_date BETWEEN DATE '1994-03-01' AND DATE '1996-10-01'"
+    found = states.quantiles_of(states.merged_sketches(mart.read("sketches", "ledger").where(months)), {"p50": 0.5, "p95": 0.95})
+    ends = {"p50": (0.49, 0.51), "p95": (0.94, 0.96)}
+    exact = exact_quantiles(ledger.where(months), [Quantile(c, p, f"{c}.{n}.{i}") for c in measures for n, e in ends.items() for i, p in enumerate(e)])
+    rows = [(c, n, exact[f"{c}.{n}.0"], exact[f"{c}.{n}.1"]) for c in measures for n in ends]
+    limits = spark.createDataFrame(rows, "`column` string, name string, low double, high double")
+    named = found.select("column", "n", F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in ends])))
+    return named.join(F.broadcast(limits), ["column", "name"]).select("column", "name", "n", "low", "high", F.col("value").between(F.col("low"), F.col("high")).alias("in_range"))
+
+
 @query(
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 6) AS mean,

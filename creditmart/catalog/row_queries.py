@@ -10,6 +10,7 @@ from creditmart.functions import arrays, text
 from creditmart.functions.delinquency import at_least_flag
 from creditmart.operators import cleaning, encoding, joins, schema
 from creditmart.plans import gold, silver
+from creditmart.session import materialized
 from creditmart.sources import datamart as dm
 from creditmart.sources.schemas import CLICKSTREAM_FEATURES, CLICKSTREAM_TYPES, LOAN_TYPES
 
@@ -113,6 +114,26 @@ def enforce_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.enforce_schema(T.raw_ledger(spark, sf_dir), LOAN_TYPES)
 
 
+REJECTED = {
+    "loan_start_date": "DATE", "tenure": "DOUBLE", "installment_num": "DOUBLE", "loan_amt": "FLOAT", "due_amt": "FLOAT",
+    "paid_amt": "FLOAT", "overdue_amt": "FLOAT", "balance": "FLOAT",
+}
+
+
+@query(
+    T.with_views("raw_ledger")
+    + " UNION ALL ".join(
+        f"""SELECT loan_id, snapshot_date, '{c}' AS "column", {c} AS text, '{LOAN_TYPES[c].simpleString()}' AS rule FROM raw_ledger
+        WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL"""
+        for c, t in REJECTED.items()
+    )
+)
+def quarantined_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger typed and stored once, with the cells that no cast could read beside each row; those as a table."""
+    typed = materialized(schema.enforce_with_rejects(T.raw_ledger(spark, sf_dir), LOAN_TYPES))
+    return schema.quarantine(typed, ["loan_id", "snapshot_date"])
+
+
 @query(T.with_views("clickstream") + "SELECT * FROM clickstream")
 def typed_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = T.raw_clickstream(spark, sf_dir)

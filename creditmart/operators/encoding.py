@@ -6,10 +6,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType
 
 from creditmart.functions.arrays import split_list
+from creditmart.session import materialized
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -88,3 +89,45 @@ def multi_hot(
     names = _flag_names(prefix, [v for v in values if v not in skipped], df.columns)
     flags = [F.array_contains(listed, F.lit(v)).cast("int").alias(n) for n, v in names.items()]
     return items.select(*df.columns, *flags)
+
+
+# Sparse features: categories as places in one long vector, for vocabularies too large for a column each.
+
+
+def _categories(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(`keep`, column, value): every category of every row once; array columns give their elements."""
+
+    def tagged(name: str) -> Column:
+        values = F.array_distinct(name) if isinstance(df.schema[name].dataType, ArrayType) else F.array(name)
+        return F.transform(values, lambda v: F.struct(F.lit(name).alias("column"), v.cast("string").alias("value")))
+
+    return df.select(*keep, F.inline(F.flatten(F.array(*[tagged(c) for c in columns])))).where("value IS NOT NULL")
+
+
+def vocabulary_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, place, n_rows): all categories with their places in the vector, from 0 without gaps.
+
+    Places go by column and by the hash of the value, so that they are counted in many small windows, and are the same for
+    the same categories on any cluster.
+    """
+    found = _categories(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    digest = F.md5(F.encode("value", "UTF-8"))
+    found = materialized(found.withColumns({"_hash": digest, "_part": F.substring(digest, 1, 2)}))
+    parts = found.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("column", "_part").rowsBetween(Window.unboundedPreceding, -1)  # at most 256 rows a column
+    starts = parts.withColumn("_start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    inside = Window.partitionBy("column", "_part").orderBy("_hash", "value")
+    ranked = found.withColumn("_rank", F.row_number().over(inside)).join(starts, ["column", "_part"])
+    return ranked.select("column", "value", (F.col("_start") + F.col("_rank") - 1).cast("int").alias("place"), "n_rows")
+
+
+def sparse_features(df: DataFrame, key: str, columns: Sequence[str], vocabulary: DataFrame) -> DataFrame:
+    """(`key`, size, indices, values): each row's categories as a sparse 0/1 vector; `key` identifies a row.
+
+    Categories that the vocabulary lacks are left out. The vocabulary is joined, so it may have any number of categories.
+    """
+    size = vocabulary.agg((F.coalesce(F.max("place"), F.lit(-1)) + 1).alias("size")).scalar()
+    met = _categories(df, columns, [key]).join(vocabulary.select("column", "value", "place"), ["column", "value"])
+    lists = met.groupBy(key).agg(F.sort_array(F.collect_set("place")).alias("indices"))
+    whole = df.select(key).join(lists, key, "left").withColumn("indices", F.coalesce("indices", F.array().cast("array<int>")))
+    return whole.select(key, size.cast("int").alias("size"), "indices", F.transform("indices", lambda _: F.lit(1.0)).alias("values"))

@@ -32,6 +32,31 @@ def enforce_schema(df: DataFrame, types: Mapping[str, DataType | str], only_pres
     return df.select(*[typed(field) for field in df.schema])
 
 
+def rejected_cells(df: DataFrame, types: Mapping[str, DataType | str]) -> Column:
+    """An array of the cells (column, text, rule) whose text the cast to the named type cannot read; blank text is such a cell."""
+    cells = []
+    for field in df.schema:
+        target = types.get(field.name, field.dataType)
+        if isinstance(field.dataType, StringType) and target not in (field.dataType, field.dataType.simpleString()):
+            c, rule = F.col(field.name), target if isinstance(target, str) else target.simpleString()
+            cell = F.struct(F.lit(field.name).alias("column"), c.alias("text"), F.lit(rule).alias("rule"))
+            cells.append(F.when(c.isNotNull() & cast_or_null(c, target).isNull(), cell))
+    if not cells:
+        return F.array().cast("array<struct<column:string,text:string,rule:string>>")
+    return F.array_compact(F.array(*cells))
+
+
+def enforce_with_rejects(df: DataFrame, types: Mapping[str, DataType | str], only_present: bool = False, name: str = "_rejected") -> DataFrame:
+    """The typed rows, with the cells of each that no cast could read in one more column: both in one pass."""
+    kept = df.withColumn(name, rejected_cells(df, types))
+    return enforce_schema(kept, types, only_present)
+
+
+def quarantine(typed: DataFrame, keys: Iterable[str], name: str = "_rejected") -> DataFrame:
+    """The unreadable cells, a row each: the row's keys, column, text and rule."""
+    return typed.where(F.size(name) > 0).select(*keys, F.inline(name))
+
+
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Drop by name, ignoring case and names that are absent."""
     unwanted = {n.lower() for n in names}
