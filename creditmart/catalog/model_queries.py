@@ -299,7 +299,7 @@ def _level_sql(rows: str, name: str) -> str:
     QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, bin, missing_right DESC) = 1)"""
 
 
-@query(
+LEVELS_SQL = (
     DATASET_SQL
     + f""", known AS (SELECT loan_id, label, [{', '.join(f'CAST({f} AS DOUBLE)' for f in FEATURES)}] AS vs FROM data WHERE label IS NOT NULL),
     cells AS (SELECT loan_id, label, generate_subscripts(vs, 1) - 1 AS f, unnest(vs) AS v FROM known),
@@ -313,8 +313,13 @@ def _level_sql(rows: str, name: str) -> str:
     gone AS (SELECT loan_id, CASE WHEN g.bin < 0 THEN CAST(missing_right AS INT) WHEN g.bin > r.bin THEN 1 ELSE 0 END + 1 AS node
     FROM given g JOIN root r USING (f)),
     second AS (SELECT loan_id, o.node, f, bin, gq, hq FROM given JOIN gone o USING (loan_id)),
-    {_level_sql('second', 'leaves')},
-    named AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY cut) - 1 AS bin FROM cuts)
+    {_level_sql('second', 'leaves')}, """
+)
+
+
+@query(
+    LEVELS_SQL
+    + f"""named AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY cut) - 1 AS bin FROM cuts)
     SELECT CAST(node AS INTEGER) AS node, {list(FEATURES)}[f + 1] AS feature, CAST(s.bin AS INTEGER) AS bin, coalesce(cut, 'infinity'::DOUBLE) AS cut,
     missing_right, round(gain, 6) AS gain FROM (SELECT * FROM root UNION ALL SELECT * FROM leaves) s LEFT JOIN named USING (f, bin)"""
 )
@@ -325,3 +330,22 @@ def boosted_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     splits = [(n, v.feature, v.bin, v.cut, v.missing_right, v.gain) for n, v in model.trees[0].items() if v.feature is not None]
     found = spark.createDataFrame(splits, "node int, feature string, bin int, cut double, missing_right boolean, gain double")
     return found.withColumn("gain", F.round("gain", 6))
+
+
+@query(
+    LEVELS_SQL
+    + f"""lower AS (SELECT s.loan_id, s.node, CASE WHEN l.f IS NULL THEN s.node ELSE 2 * s.node + 1
+    + CASE WHEN s.bin < 0 THEN CAST(missing_right AS INT) WHEN s.bin > l.bin THEN 1 ELSE 0 END END AS leaf
+    FROM second s LEFT JOIN leaves l ON s.node = l.node WHERE s.f = coalesce(l.f, 0)),
+    weights AS (SELECT leaf, sum(gq) / 16777216.0 AS g, sum(hq) / 16777216.0 AS h FROM lower JOIN (SELECT loan_id, gq, hq FROM given WHERE f = 0) USING (loan_id)
+    GROUP BY leaf),
+    scored AS (SELECT leaf, -sign(g) * greatest(abs(g) - {LEVELS.reg_alpha}, 0) / (h + {LEVELS.reg_lambda}) * {LEVELS.learning_rate} AS w FROM weights)
+    SELECT loan_id, round(1 / (1 + exp(-(base + w))), 6) AS score FROM lower JOIN scored USING (leaf), b"""
+)
+def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every loan's probability by that tree, stored and read back: leaves' weights and the way down to them in SQL."""
+    data = materialized(_dataset(spark, sf_dir))
+    path = f"{T.scratch_root(spark)}/model"
+    boosting.fit(data, FEATURES, "label", IDS, LEVELS, bins=LEVEL_BINS).save(spark, path)
+    scored = training.score(boosting.Boosted.load(spark, path), data.where("label IS NOT NULL"))
+    return scored.select("loan_id", F.round("score", 6).alias("score"))
