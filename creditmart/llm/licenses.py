@@ -6,7 +6,7 @@ are places in the text with the rule's label and rank. A detection that lies ins
 is suppressed. Three base phrases are always reported.
 
 Null text counts as empty: no words, no places, no labels, score 0. Repeated rows are scanned one by one and a text's length
-does not matter. All columns of the input are kept, but for those named like an added one, which are replaced.
+does not matter. Of detections of one place and rank, the first rule's counts. An empty table gives an empty one. All columns of the input are kept, but for those named like an added one, which are replaced.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Licence families: label, a key word that every match holds, names as a regular expression over words, known versions.
 FAMILIES = (
-    ("mit", "mit", r"(?:mit|expat)(?: x11)?", ()),
+    ("mit", "mit", r"mit(?: x11)?", ()),
+    ("mit", "expat", r"expat(?: x11)?", ()),
     ("mit-0", "mit", r"mit (?:no attribution|0)", ()),
-    ("x11", "x11", r"x11(?: mit)?|x consortium", ()),
+    ("x11", "x11", r"x11(?: mit)?", ()),
+    ("x11", "x consortium", r"x consortium", ()),
     ("apache", "apache", r"apache(?: software)?", ("1 0", "1 1", "2 0", "2")),
     ("gpl", "gpl", r"(?:gnu )?gpl", ("1", "2", "2 0", "3", "3 0")),
     ("gpl", "general public", r"(?:gnu )?general public", ("1", "2", "2 0", "3", "3 0")),
@@ -79,7 +81,8 @@ FAMILIES = (
     ("bsl", "business source", r"business source", ("1 1",)),
     ("elastic", "elastic", r"elastic", ("1", "2", "2 0")),
     ("ecl", "educational community", r"educational community", ("1 0", "2 0")),
-    ("qpl", "qpl", r"qpl|q public", ("1 0",)),
+    ("qpl", "qpl", r"qpl", ("1 0",)),
+    ("qpl", "q public", r"q public", ("1 0",)),
     ("sleepycat", "sleepycat", r"sleepycat", ()),
     ("upl", "universal permissive", r"universal permissive", ("1 0",)),
     ("curl", "curl", r"curl", ()),
@@ -102,7 +105,8 @@ COMMONS = (
 COMMONS_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
 # Notices without a licence's name: label, key word, rank, regular expression.
 NOTICES = (
-    ("cc0", "cc0", 0, r"(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?"),
+    ("cc0", "cc0", 0, r"cc0(?: 1 0)?(?: universal)?"),
+    ("cc0", "creative commons zero", 0, r"creative commons zero(?: 1 0)?(?: universal)?"),
     ("cc0", "no rights reserved", 0, r"no rights reserved"),
     ("public-domain", "public domain", 1, r"(?:dedicated|released|placed|contributed)(?: in)?(?: to)? the public domain"),
     ("public-domain", "public domain", 2, r"public domain"),
@@ -181,22 +185,38 @@ def base_places(words: Column, n_words: Column) -> Column:
     return F.array(*found)
 
 
+#: Detections that are put together at a time: appending one by one to a long array would copy it each time.
+RUN = 128
+PLACES = "array<struct<start:int,end:int,rank:int,label:string>>"
+
+
+def _ends(pairs: Column, rule: Column) -> Column:
+    """Places from the lengths before each match and of it, which add up: first those of runs of matches, then inside each."""
+    length = lambda acc, p: acc + p["before"] + p["match"]
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / RUN).cast("int")), lambda k: F.slice(pairs, k * RUN + 1, F.lit(RUN)))
+    whole = F.transform(runs, lambda r: F.aggregate(r, F.lit(0), length))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    starts = F.aggregate(whole, begin, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
+
+    def inside(run: Column, at: Column) -> Column:
+        def step(acc: Column, p: Column) -> Column:
+            start = acc["at"] + p["before"]
+            place = F.struct(start.alias("start"), (start + p["match"]).alias("end"), rule["rank"].alias("rank"), rule["label"].alias("label"))
+            return F.struct((start + p["match"]).alias("at"), F.array_append(acc["out"], place).alias("out"))
+
+        return F.aggregate(run, F.struct(at.alias("at"), F.array().cast(PLACES).alias("out")), step, lambda acc: acc["out"])
+
+    return F.flatten(F.zip_with(runs, starts, inside))
+
+
 def _detections(words: Column) -> Column:
     """All places of all rules whose key word occurs: start, end, rank, label."""
     table = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(bounded(p)).alias("pattern"), F.lit(r).alias("rank"), F.lit(x).alias("label")) for x, k, r, p in rules()])
 
     def places(rule: Column) -> Column:
         between, matched = F.split(words, rule["pattern"], -1), F.regexp_extract_all(words, rule["pattern"], F.lit(0))
-        kind = "array<struct<start:int,end:int,rank:int,label:string>>"
-
-        def step(acc: Column, pair: Column) -> Column:
-            start = acc["at"] + F.length(pair["before"])
-            end = start + F.length(pair["match"])
-            place = F.struct(start.alias("start"), end.alias("end"), rule["rank"].alias("rank"), rule["label"].alias("label"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(place)).alias("out"))
-
-        pairs = F.zip_with(F.slice(between, 1, F.size(matched)), matched, lambda b, m: F.struct(b.alias("before"), m.alias("match")))
-        return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step, lambda acc: acc["out"])
+        pairs = F.zip_with(F.slice(between, 1, F.size(matched)), matched, lambda b, m: F.struct(F.length(b).alias("before"), F.length(m).alias("match")))
+        return F.when(F.size(matched) == 0, F.array().cast(PLACES)).otherwise(_ends(pairs, rule))
 
     return F.flatten(F.transform(F.filter(table, lambda r: F.contains(words, r["key"])), places))
 

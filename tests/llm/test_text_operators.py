@@ -405,6 +405,7 @@ def test_licences_equal_brute_force(spark, docs, odd, empty):
         "GNU General Public License, version 3 or later", "GNU Lesser General Public License v2.1", "Redistribution and use in source and binary forms, with or without modification, are permitted",
         "mit license style, bsd 3 clause license; the artistic license 2.0", "All rights reserved. Copyright (c) 2019 2020", "cc by nc cc by nc cc by nc", "no licence at all", "Creative Commons Attribution-NonCommercial 4.0 International License",
     ]
+    texts += ["released under the Expat License", "X Consortium License", "Q Public License version 1.0", "Creative Commons Zero", "public domain and mit license " * 700]
     extra = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     frame = docs.select("doc_id", "text").union(odd.select("doc_id", "text")).union(extra).withColumn("scan_n", F.lit(1)).withColumn("labels", F.lit("mine"))
     for r in licenses.scan(frame).collect():
@@ -414,6 +415,48 @@ def test_licences_equal_brute_force(spark, docs, odd, empty):
     assert "Python" not in licenses.scan(frame)._jdf.queryExecution().executedPlan().toString()
 
 
+def branches(parsed):
+    """Texts of a parsed expression: each alternative of every choice at least once, with and without what is optional."""
+    from re import _constants as k
+
+    out = [""]
+    for op, arg in parsed:
+        if op is k.LITERAL:
+            one = [chr(arg)]
+        elif op is k.IN:
+            first = arg[0]
+            one = [chr(first[1] if first[0] is k.LITERAL else first[1][0])]
+        elif op is k.BRANCH:
+            one = [t for b in arg[1] for t in branches(b)]
+        elif op is k.SUBPATTERN:
+            one = branches(arg[3])
+        elif op in (k.MAX_REPEAT, k.MIN_REPEAT):
+            low, _, body = arg
+            one = [t * max(low, 1) for t in branches(body)] + [""] * (low == 0)
+        else:
+            raise AssertionError(op)
+        wide = [a + b for a in out[:1] for b in one] + [a + one[0] for a in out[1:]] + [a + one[-1] for a in out]
+        out = list(dict.fromkeys(wide))
+    return out
+
+
+def test_every_alternative_holds_its_key():
+    for label, key, _, rule in licenses.rules():
+        if key == "cc by" or key == "creative commons":
+            continue  # one rule, listed under both of its keys
+        for text in branches(re._parser.parse(rule)):
+            assert re.fullmatch(rule, text) and key in f" {text} ", (label, key, text)
+            assert any(c in f" {text} " for c in licenses.COMMON_KEYS), (label, text)
+    keyless = [t for _, k, _, r in licenses.rules() if k == "cc by" for t in branches(re._parser.parse(r)) if not ("cc by" in t or "creative commons" in t)]
+    assert keyless == []
+
+
+@pytest.mark.parametrize("text, label", [("released under the Expat License", "mit"), ("X Consortium License", "x11"), ("Q Public License version 1.0", "qpl-1.0"), ("Creative Commons Zero", "cc0")])
+def test_alternatives_pass_the_prefilter(spark, text, label):
+    row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert label in row.labels.split(",") and row.score > 0
+
+
 def test_every_rule_is_behind_the_prefilter():
     table = licenses.rules()
     assert len(table) > 200 and {r for _, _, r, _ in table} == {0, 1, 2}
