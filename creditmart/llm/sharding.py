@@ -5,15 +5,19 @@ whole record scatters the shard's records over buckets of about equal size that
 shuffled by Fisher-Yates and written. A record's slot is its bucket's offset, from the counts of what was written, plus its
 place in the bucket.
 
-Adding a shard moves records only into the new one. A null key counts as a key of its own; null text has no bytes. Equal
-records go to different buckets by their place in the input, so no bucket grows with them. Columns named like those added
-(`shard`, `bucket`, `place`) are refused, as the shards' folders are named by them.
+Adding a shard moves records only into the new one. A null key counts as a key of its own; null text has no bytes, and a text of
+any length is one record. Records that are equal in all columns are numbered, and go to different buckets by their numbers, so
+that no bucket grows with them. Nothing depends on the input's order and partitions: the same records get the same shards,
+buckets and slots. Columns named like those added get out of no one's way: the added ones take a free name. An empty table
+gives no records.
 """
 
 from __future__ import annotations
 
 import math
 import uuid
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +26,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditmart.llm.common import delete_at_end
+from creditmart.llm.common import delete_at_end, free_name, with_arrays
 from creditmart.session import shared_folder
 
-#: Fixed bytes of a record besides its text.
-RECORD = 16
+#: Fixed bytes of a record besides its text, and buckets that a task shuffles.
+RECORD, BUCKETS_OF_A_TASK = 16, 4
 
 
 def size_of(text: Column) -> Column:
@@ -40,26 +44,56 @@ def shard_of(key: Column, shards: int, seed: int = 11) -> Column:
     return (F.greatest(*bids) if shards > 1 else bids[0])["shard"]
 
 
+def names(docs: DataFrame) -> tuple[str, str, str]:
+    """What the records' shard, bucket and place are called beside their own columns."""
+    return free_name(docs, "shard"), free_name(docs, "bucket"), free_name(docs, "place")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The records with `_hash`, of all columns, and `_nth`, a number from 0 among those that are equal in all of them.
+
+    Tasks count on their own; where equal records are in several tasks, each task's numbers start after those of the ones before.
+    """
+    hashed = docs.withColumns({"_hash": F.xxhash64(*docs.columns), "_task": F.spark_partition_id()})
+    counts = hashed.groupBy("_hash", "_task").agg(F.count("*").alias("n"))
+    own = Window.partitionBy("_hash")
+    before = own.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).filter("start > 0").select("_hash", "_task", "start")
+    schema = T.StructType([*hashed.schema.fields, T.StructField("_nth", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        order = pa.schema([(f.name, pa.null()) for f in schema.fields])
+        for batch in batches:
+            nth = []
+            for h in batch.column("_hash").to_pylist():
+                nth.append(seen[h])
+                seen[h] += 1
+            yield with_arrays(batch, order, {"_nth": pa.array(nth, pa.int64())})
+
+    found = hashed.mapInArrow(run, schema).join(starts, ["_hash", "_task"], "left")
+    return found.withColumn("_nth", F.col("_nth") + F.coalesce("start", F.lit(0))).drop("_task", "start")
+
+
 def write(docs: DataFrame, path: str, shards: int, key: str = "doc_id", text: str = "text", bucket_bytes: int = 8 << 20, seed: int = 11) -> DataFrame:
-    """Write the records under `path`, in folders by shard and files by bucket; return them with `shard`, `bucket`, `place`."""
-    taken = {"shard", "bucket", "place"} & {c.lower() for c in docs.columns}
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} would clash with the shards' own")
+    """Write the records under `path`, in folders by shard and files by bucket; return them with shard, bucket and place (`names`)."""
+    shard, bucket, place = names(docs)
     total = docs.agg(F.sum(size_of(F.col(text)))).first()[0] or 0
     buckets = max(1, math.ceil(total / shards / bucket_bytes))
-    scatter = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text), F.monotonically_increasing_id()), F.lit(buckets)).cast("int")
-    placed = docs.select(*docs.columns, shard_of(F.col(key), shards, seed).alias("shard"), scatter.alias("bucket"))
-    schema = T.StructType([*placed.schema.fields, T.StructField("place", T.LongType())])
+    scatter = F.pmod(F.xxhash64(F.lit(seed), "_hash", "_nth"), F.lit(buckets)).cast("int")
+    placed = numbered(docs).select(*docs.columns, "_hash", shard_of(F.col(key), shards, seed).alias(shard), scatter.alias(bucket))
+    schema = T.StructType([*[f for f in placed.schema.fields if f.name != "_hash"], T.StructField(place, T.LongType())])
 
     def shuffle(group: pa.Table) -> pa.Table:
-        where = [group.column(c)[0].as_py() for c in ("shard", "bucket")]
-        # from a fixed order, so that a task that runs again gives the same order
-        order = pc.sort_indices(group, sort_keys=[(key, "ascending"), (text, "ascending")]).to_numpy().copy()
+        where = [group.column(c)[0].as_py() for c in (shard, bucket)]
+        # from a fixed order, which the input's has no part in
+        order = pc.sort_indices(group, sort_keys=[("_hash", "ascending"), (key, "ascending"), (text, "ascending")]).to_numpy().copy()
         fisher_yates(order, np.random.default_rng([seed, *where]))
-        return group.take(pa.array(order)).append_column("place", pa.array(np.arange(len(order))))
+        return group.drop_columns(["_hash"]).take(pa.array(order)).append_column(place, pa.array(np.arange(len(order))))
 
-    shuffled = placed.groupBy("shard", "bucket").applyInArrow(shuffle, schema)
-    shuffled.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    tasks = math.ceil(shards * buckets / BUCKETS_OF_A_TASK)
+    shuffled = placed.repartition(tasks, shard, bucket).groupBy(shard, bucket).applyInArrow(shuffle, schema)
+    shuffled.write.option("compression", "zstd").partitionBy(shard).parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -71,12 +105,13 @@ def fisher_yates(items: np.ndarray, rng: np.random.Generator) -> None:
         items[i], items[j] = items[j], items[i]
 
 
-def slots(written: DataFrame) -> DataFrame:
+def slots(written: DataFrame, own: tuple[str, str, str] = ("shard", "bucket", "place"), slot: str = "slot") -> DataFrame:
     """The written records with `slot`, gapless from 0 in each shard: buckets one after another, each in its order."""
-    counts = written.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return written.join(offsets, ["shard", "bucket"]).withColumn("slot", F.col("offset") + F.col("place")).drop("offset", "place")
+    shard, bucket, place = own
+    counts = written.groupBy(shard, bucket).agg(F.count("*").alias("n"))
+    before = Window.partitionBy(shard).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(shard, bucket, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    return written.join(offsets, [shard, bucket]).withColumn(slot, F.col("_offset") + F.col(place)).drop("_offset", place)
 
 
 def in_shared_folder(docs: DataFrame, shards: int, **options) -> DataFrame:
@@ -84,4 +119,4 @@ def in_shared_folder(docs: DataFrame, shards: int, **options) -> DataFrame:
     path = f"{shared_folder(docs.sparkSession)}/shards-{uuid.uuid4().hex}"
     written = write(docs, path, shards, **options)
     delete_at_end(docs.sparkSession, path)
-    return slots(written)
+    return slots(written, names(docs), free_name(docs, "slot"))

@@ -321,8 +321,14 @@ def test_shards_hold_all_records_once(spark, docs, odd, tmp_path):
     assert all(r.a == r.b or r.b == 7 for r in moved) and any(r.b == 7 for r in moved)
     again = sharding.slots(sharding.write(rows, str(tmp_path / "t"), 7, bucket_bytes=20_000)).collect()
     assert sorted(map(str, out)) == sorted(map(str, again))
-    with pytest.raises(ValueError, match="bucket"):
-        sharding.write(rows.withColumn("Bucket", F.lit(1)), str(tmp_path / "u"), 7)
+    for n in (1, 5):  # neither the input's order nor its partitions matter
+        other = rows.orderBy(F.rand(n)).repartition(n)
+        dealt = sharding.slots(sharding.write(other, str(tmp_path / f"n{n}"), 7, bucket_bytes=20_000)).collect()
+        assert Counter((r.shard, r.slot, r.doc_id, r.text) for r in dealt) == Counter((r.shard, r.slot, r.doc_id, r.text) for r in out)
+    clash = rows.withColumns({"shard": F.lit("mine"), "Bucket": F.lit(1), "slot": F.lit(2)})
+    kept = sharding.in_shared_folder(clash, 7, bucket_bytes=20_000)
+    assert set(kept.columns) == {"doc_id", "text", "shard", "Bucket", "slot", "shard_", "bucket_", "slot_"}
+    assert kept.count() == rows.count() and {r.shard for r in kept.collect()} == {"mine"}
     assert sharding.slots(sharding.write(rows.limit(0), str(tmp_path / "v"), 7)).count() == 0
 
 
@@ -490,3 +496,11 @@ def test_lm_gradient():
     # each token's probabilities sum up to one
     total = sum(np.exp(net.log_probabilities(context[:1], np.array([t]))[0]) for t in range(lm.TOKENS))
     assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_quality_learns_from_text_ids(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    plain = quality.learn(docs, labels)
+    named = quality.learn(docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")), labels.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")))
+    a, b = ({r.doc_id: r.score for r in quality.score(docs, m).collect()} for m in (plain, named))
+    assert max(abs(a[i] - b[i]) for i in a) < 0.2
