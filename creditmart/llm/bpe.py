@@ -5,6 +5,7 @@ binary search over the sorted pair keys, finds each word's lowest rank and merge
 word; words without a pair left drop out. Tokenizing is a map over the documents without any shuffle.
 
 Nulls count as empty text and give no ids. Empty text, repeated rows and texts of any length need no special handling.
+Of equal ranks in a word the leftmost pair is merged first. An empty table gives an empty one.
 All columns of the input are kept; an input column named like an output column is replaced.
 """
 

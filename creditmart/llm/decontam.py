@@ -9,7 +9,8 @@ Windows that go against the most frequent filling do not count, the others do. A
 Null and empty texts have no windows and contaminate nothing. Items of fewer words than a window are one window. Windows
 that are mostly slots say little and are left out, as long as the item has other ones; else they count if their slots are
 literally equal. Repeated documents each count;
-a null doc_id is a document of its own by its text. Ties do not arise: all items that reach the share are reported.
+a null doc_id is a document of its own by its text. Texts of any length are read whole. Without documents or items nothing is
+contaminated. Columns other than ids and texts are not read; `clean` keeps all of a document's, whatever their names. Ties do not arise: all items that reach the share are reported.
 """
 
 from __future__ import annotations

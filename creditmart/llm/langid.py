@@ -5,7 +5,9 @@ ways to cut it into pieces, which a forward pass gives; a text's is the product
 fitted by expectation-maximisation on all labelled documents: word counts per language are taken once and stored, and each
 round computes expected piece counts on them in a distributed pass.
 
-Words are runs of letters in lower case. Runs of over 32 letters are cut every 32 letters, so that no product underflows.
+Of the vocabulary, pieces of up to 8 letters are used (all but about one in twelve; the longer ones are left out), so the ways
+to cut a word are those into such pieces. Words are runs of letters in lower case. Runs of over 32 letters are cut every 32
+letters, so that no product underflows. Texts of any length are read whole.
 Text that is null or has no letter is `und` with score 0. Rows with a null language teach nothing. Ties go to the language
 that sorts first. With no labelled row at all, every document is `und`. Rows are mapped one by one, so repeated rows and
 extra columns change nothing; an input column named like an output column is replaced.

@@ -5,7 +5,8 @@ boilerplate and are dropped from all its pages. A line counts once per page; lin
 and blank lines are neither counted nor dropped. Repeated pages count each.
 
 Null text stays null and null hosts are one host. Pages keep all their columns; names used on the way avoid those that the
-table has. An empty table gives an empty one. A page may end with empty text.
+table has. An empty table gives an empty one. A page may end with empty text. Pages of any length are split whole; a line exactly at the
+ratio stays.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ however many documents share them. Links are checked once more by their distance
 
 Null text counts as empty: it has no features and fingerprint zero. Repeated rows are kept, each with its class. Texts of
 any length are hashed whole, in blocks. Classes are named by the smallest non-null doc_id; rows with a null doc_id get the
-class of their text too.
+class of their text too. An empty table gives no rows; columns other than the id and the text are not read by `fingerprints`,
+and `keep_one` keeps all, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ whatever the number of either.
 Vectors that are null or hold null or non-finite components take no part. Vectors of different lengths meet in the terms
 they share. Ties go to the smaller id. Every row but those with the query's own id is a candidate, and repeated candidates
 count each; repeated queries of one id and vector give one result. A query of a null id gives no result; candidates with a
-null id take no part.
+null id take no part. Without candidates or queries there are no rows. Columns other than the two are not read.
 """
 
 from __future__ import annotations
