@@ -120,13 +120,12 @@ def classes(prints: DataFrame) -> DataFrame:
 TABLES, BITS = 12, 32
 #: Words of the long fingerprint of distinct shingles, from which similarity is estimated.
 LONG_WORDS = 16
-#: Texts at one variant that are compared all with all.
+#: Texts at one variant that those with this fingerprint are compared with in the first pass.
 DIRECT = 256
 #: Estimates this near to the asked-for similarity are checked on the shingles themselves: four standard errors.
 UNSURE = 0.1
-#: Most similar texts of a local group that a text is checked against in the first pass, if none is surely similar, and those
-#: of all its groups and variants: the most similar ones. The second pass settles what they leave apart.
-CHECKS, NEAREST = 4, 3
+#: Most similar texts that a text is checked against in the first pass. The second pass settles what they leave apart.
+NEAREST = 3
 #: Tables whose variants are shuffled together.
 TABLES_AT_ONCE = 4
 #: Texts of one variant that a task holds in the second pass; more are dealt to blocks, and each two blocks to a task.
@@ -161,46 +160,11 @@ def similarity(long: np.ndarray, others: np.ndarray) -> np.ndarray:
     return cosine / (2 - cosine)
 
 
-class Hubs:
-    """Texts of one variant that later ones are compared with; each knows the local group it belongs to.
-
-    The first DIRECT texts are compared all with all. Beyond them, a text is kept only if it is like none of the hubs before
-    it, or like more than one, and so may connect others to them. What this leaves out is for the second pass (`apart`).
-    """
-
-    def __init__(self) -> None:
-        self.ids, self.longs, self.n = [], np.empty((16, LONG_WORDS), dtype=np.uint64), 0
-        self.groups, self.keys = np.empty(16, dtype=np.int64), np.empty(16, dtype=np.int64)
-
-    def add(self, number: int, long: np.ndarray, key: int, variant: int, at_least: float) -> list[tuple[int, int, float]]:
-        """Take a text up and return pairs that connect it to each group that it may be like: (text, other, estimate).
-
-        A group's most similar text is the one to link to; where that is not sure, some of the most similar ones are. Two
-        texts are compared at one of the variants that they share only: at their key if it is the same, else at the smaller.
-        """
-        differ = self.keys[: self.n] ^ key
-        here = np.flatnonzero(np.where(differ == 0, variant == key, variant < (variant ^ differ)))
-        alike_to = np.zeros(self.n)
-        alike_to[here] = similarity(long, self.longs[here])
-        near = here[alike_to[here] >= at_least - UNSURE]
-        near = near[np.argsort(-alike_to[near], kind="stable")]
-        out = []
-        for g in np.unique(self.groups[near]).tolist():
-            best = near[self.groups[near] == g][:CHECKS].tolist()
-            sure = alike_to[best[0]] >= at_least + UNSURE
-            out += [(number, self.ids[j], float(alike_to[j])) for j in (best[:1] if sure else best)]
-        alike = near[alike_to[near] >= at_least]
-        found = np.unique(self.groups[alike])
-        own = int(found[0]) if len(found) else self.n
-        if len(found) > 1:
-            self.groups[: self.n][np.isin(self.groups[: self.n], found)] = own
-        if self.n < DIRECT or len(alike) != 1:
-            if self.n == len(self.longs):
-                self.longs, self.groups, self.keys = (np.concatenate([x, x]) for x in (self.longs, self.groups, self.keys))
-            self.longs[self.n], self.groups[self.n], self.keys[self.n] = long, own, key
-            self.ids.append(number)
-            self.n += 1
-        return out
+def nearest(number: int, long: np.ndarray, ids: list[int], longs: np.ndarray, at_least: float) -> list[tuple[int, int, float]]:
+    """The most similar of other texts that a text may be like: (text, other, estimate)."""
+    alike = similarity(long, longs)
+    best = np.argsort(-alike, kind="stable")[:NEAREST]
+    return [(number, ids[j], float(alike[j])) for j in best.tolist() if alike[j] >= at_least - UNSURE]
 
 
 def apart(ids: np.ndarray, keys: np.ndarray, roots: np.ndarray, longs: np.ndarray, second: np.ndarray, variant: int, at_least: float) -> list[tuple[np.ndarray, np.ndarray, bool]]:
@@ -254,8 +218,8 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
 
     Texts are alike if the Jaccard similarity of their sets of k-word shingles is at least `at_least`. Candidates are texts
     with a short fingerprint at most two bits apart; SimHash over 1,024 bits estimates their similarity, and estimates
-    near the threshold are settled on the shingles. A first pass links each text to few others of its local groups; a second
-    one settles all candidates that the links of the first leave in different components.
+    near the threshold are settled on the shingles. A first pass links each text to the nearest of those that it meets at its
+    own fingerprints; a second one settles all candidates that the links of the first leave in different components.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,22 +243,26 @@ def similar_groups(docs: DataFrame, text: str = "text", k: int = 5, at_least: fl
     rows = met.join(sketches.select("hash", "long", "copies"), "hash")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, hubs = None, Hubs()
+        at, ids, longs = None, [], np.empty((DIRECT, LONG_WORDS), dtype=np.uint64)
         for batch in batches:
-            variants, ids, keys, longs = (batch.column(n).to_pylist() for n in ("variant", "hash", "key", "long"))
-            words = np.frombuffer(b"".join(longs), dtype=np.uint64).reshape(-1, LONG_WORDS)
+            variants, hashes_, keys = (batch.column(n).to_pylist() for n in ("variant", "hash", "key"))
+            words = np.frombuffer(b"".join(batch.column("long").to_pylist()), dtype=np.uint64).reshape(-1, LONG_WORDS)
             pairs = []
             for n, v in enumerate(variants):
                 if v != at:
-                    at, hubs = v, Hubs()
-                pairs += hubs.add(ids[n], words[n], keys[n], v, at_least)
+                    at, ids = v, []
+                if ids and v == keys[n]:  # a text asks at its own fingerprints only, but is met at their variants too
+                    pairs += nearest(hashes_[n], words[n], ids, longs[: len(ids)], at_least)
+                if len(ids) < DIRECT:
+                    longs[len(ids)] = words[n]
+                    ids.append(hashes_[n])
             columns = list(zip(*pairs)) or [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "alike"])
 
     ordered = rows.repartition("variant").sortWithinPartitions("variant", F.desc("copies"), "hash").select("variant", "hash", "key", "long")
     found = ordered.mapInArrow(compare, "a long, b long, alike double").groupBy("a", "b").agg(F.max("alike").alias("alike"))
-    nearest = found.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("alike"), "b"))).filter(F.col("place") <= NEAREST)
-    pairs = nearest.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg((F.max("alike") >= at_least + UNSURE).alias("sure"))
+    few = found.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("alike"), "b"))).filter(F.col("place") <= NEAREST)
+    pairs = few.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg((F.max("alike") >= at_least + UNSURE).alias("sure"))
     pairs = stored(pairs)
     checked = similar_pairs(pairs.filter(~F.col("sure")).select("a", "b"), docs, text, k, at_least)
     roots = stored(components(pairs.filter("sure").select("a", "b").union(checked)))
