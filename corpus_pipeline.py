@@ -2,6 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir), where docs are all that the stage before has kept, and returns documents; the last one
 adds the token ids. Null texts leave in the first stage; extra columns go through all stages.
+Empty and blank texts leave there too, texts without any letter as well; texts of any length go through whole. Repeated rows and
+rows of one doc_id are near duplicates of each other, of which one stays; of equal ids, the text's hash decides. An empty table
+gives an empty one with the same columns.
 """
 
 from __future__ import annotations
