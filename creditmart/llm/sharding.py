@@ -26,11 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditmart.llm.common import delete_at_end, free_name, with_arrays
+from creditmart.llm.common import delete_at_end, free_name, stored, with_arrays
 from creditmart.session import shared_folder
 
 #: Fixed bytes of a record besides its text, and buckets that a task shuffles.
 RECORD, BUCKETS_OF_A_TASK = 16, 4
+#: Starts of equal records in several tasks that are sent to all tasks, of 20 bytes each; more are joined by a shuffle.
+SENT_UP_TO = 500_000
 
 
 def size_of(text: Column) -> Column:
@@ -59,6 +61,8 @@ def numbered(docs: DataFrame) -> DataFrame:
     own = Window.partitionBy("_hash")
     before = own.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).filter("start > 0").select("_hash", "_task", "start")
+    starts = stored(starts)
+    sent = F.broadcast(starts) if starts.count() <= SENT_UP_TO else starts
     schema = T.StructType([*hashed.schema.fields, T.StructField("_nth", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +75,7 @@ def numbered(docs: DataFrame) -> DataFrame:
                 seen[h] += 1
             yield with_arrays(batch, order, {"_nth": pa.array(nth, pa.int64())})
 
-    found = hashed.mapInArrow(run, schema).join(starts, ["_hash", "_task"], "left")
+    found = hashed.mapInArrow(run, schema).join(sent, ["_hash", "_task"], "left")
     return found.withColumn("_nth", F.col("_nth") + F.coalesce("start", F.lit(0))).drop("_task", "start")
 
 
