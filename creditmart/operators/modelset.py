@@ -70,7 +70,7 @@ def fit_scaler(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[floa
     """Mean and population standard deviation per column; a constant column gets scale 1."""
     row = train.agg(
         *[F.avg(_known(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(_known(c)).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.when(F.min(_known(c)) < F.max(_known(c)), F.stddev_pop(_known(c))).alias(f"s{i}") for i, c in enumerate(columns)],
     ).first()
     return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
 

@@ -23,6 +23,13 @@ def _long(row: DataFrame, entries: Sequence[Column]) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
+def _spread(part: str, i: int) -> Column:
+    """The measured part of column i. Equal values have exact ones: rounding of merged buffers would show as variation."""
+    same = (F.col(f"min_{i}") == F.col(f"max_{i}")) & ~F.isnan(f"max_{i}")
+    equal = {"mean": F.col(f"min_{i}"), "stddev": F.when(F.col(f"count_{i}") > 1, 0.0)}
+    return F.when(same, equal.get(part, F.lit(None).cast("double"))).otherwise(F.col(f"{part}_{i}"))
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, median: str = "exact") -> DataFrame:
     """Per column: count, nulls, mean, sample stddev, min, max, skewness, excess kurtosis, median.
 
@@ -39,13 +46,14 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, median:
             F.min(v).alias(f"min_{i}"), F.max(v).alias(f"max_{i}"),
             F.skewness(v).alias(f"skewness_{i}"), F.kurtosis(v).alias(f"kurtosis_{i}"),
         ]
-    parts = ("mean", "stddev", "min", "max", "skewness", "kurtosis")
     entries = [
         F.struct(
             F.lit(c).alias("column"),
             F.col(f"count_{i}").alias("count"),
             (F.col("rows") - F.col(f"count_{i}")).alias("null_count"),
-            *[F.col(f"{part}_{i}").alias(part) for part in parts],
+            *[_spread(part, i).alias(part) for part in ("mean", "stddev")],
+            *[F.col(f"{part}_{i}").alias(part) for part in ("min", "max")],
+            *[_spread(part, i).alias(part) for part in ("skewness", "kurtosis")],
             F.lit(medians[c]).cast("double").alias("median"),
         )
         for i, c in enumerate(columns)
@@ -62,13 +70,14 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         aggs += [
-            F.count(v).alias(f"count_{i}"), F.avg(v).alias(f"mean_{i}"), F.stddev(v).alias(f"std_{i}"),
+            F.count(v).alias(f"count_{i}"), F.avg(v).alias(f"mean_{i}"), F.stddev(v).alias(f"stddev_{i}"),
             F.min(v).alias(f"min_{i}"), F.max(v).alias(f"max_{i}"),
         ]
     entries = [
         F.struct(
             F.lit(c).alias("column"),
-            *[F.col(f"{part}_{i}").alias(part) for part in ("count", "mean", "std", "min")],
+            F.col(f"count_{i}").alias("count"), _spread("mean", i).alias("mean"), _spread("stddev", i).alias("std"),
+            F.col(f"min_{i}").alias("min"),
             *[F.lit(q[f"{c}.{n}"]).cast("double").alias(n) for n in quartiles],
             F.col(f"max_{i}").alias("max"),
         )
@@ -174,8 +183,9 @@ def _masked_gram(known: DataFrame) -> DataFrame:
 
 def _corr(a: Column, b: Column) -> Column:
     """Pearson's r over the rows where both are known, NULL where either is constant (F.corr fails there in ANSI mode)."""
-    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
-    return F.try_divide(F.covar_pop(a, b), spread)
+    both = [F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)]
+    vary = [F.min(c) < F.max(c) for c in both]  # deviations of equal values may be rounding
+    return F.when(vary[0] & vary[1], F.try_divide(F.covar_pop(a, b), F.stddev_pop(both[0]) * F.stddev_pop(both[1])))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -275,7 +285,7 @@ def densities(df: DataFrame, columns: Sequence[str], points: int = 200, cut: flo
     grids = []
     for i, c in enumerate(columns):
         n, std = s[f"n{i}"], s[f"std{i}"]
-        if n and std:
+        if n and std and s[f"lo{i}"] < s[f"hi{i}"]:
             width = std * n ** -0.2
             start = s[f"lo{i}"] - cut * width
             step = (s[f"hi{i}"] + cut * width - start) / (points - 1)

@@ -31,7 +31,9 @@ def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("snapsho
         F.coalesce((F.nanvl(F.kurtosis(v), F.lit(-3.0)) + 3) * n * F.pow(m2 / F.nullif(n, F.lit(0)), 2), F.lit(0.0)).alias("m4"),
         F.min(v).alias("least"), F.max(v).alias("most"),
     )
-    return found
+    # equal values do not vary; the rounding of merged buffers would show as variation
+    same = F.col("least") == F.col("most")
+    return found.withColumns({"mean": F.when(same, F.col("least")).otherwise(F.col("mean"))} | {m: F.when(same, 0.0).otherwise(F.col(m)) for m in ("m2", "m3", "m4")})
 
 
 def merged(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -39,6 +41,9 @@ def merged(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     groups = [*by, "column"]
     everyone = Window.partitionBy(*groups)
     mean = F.try_divide(F.sum(F.col("n") * F.col("mean")).over(everyone), F.sum("n").over(everyone))
+    # the mean of equal values is that value, without the rounding of sums that would show as variation
+    least, most = F.min("least").over(everyone), F.max("most").over(everyone)
+    mean = F.when(least == most, least).otherwise(mean)
     n, d = F.col("n"), F.col("mean") - F.col("whole")
     powers = {
         "m2": F.col("m2") + n * d * d,

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from creditmart.operators import encoding, profile, schema, states
+from creditmart.operators import encoding, modelset, profile, schema, states
 from creditmart.plans import fitted, silver
 from creditmart.sources.datamart import Datamart
 
@@ -87,3 +87,17 @@ def test_fitted_state_is_kept_by_version(spark, tmp_path):
     assert fitted.load(mart) == silver.Fitted(None, {}, None, silver.Vocabularies())
     fitted.save(mart, silver.Fitted(9.0, {"r": 1.0}, 1, silver.Vocabularies()), "2024-01-01")
     assert fitted.load(mart, "2024-01-01").balance_cut == 9.0
+
+
+def test_equal_values_do_not_vary(spark):
+    """Merged buffers round the mean of equal values; that is no variation."""
+    names = ["seven", "tenth", "third"]
+    df = spark.range(0, 100_003, 1, 13).selectExpr("date'2024-01-01' + int(id % 11) AS snapshot_date", "7 AS seven", "0.1D AS tenth", "1D / 3 AS third")
+    df = df.where("hash(snapshot_date) % 3 <> 0 OR spark_partition_id() % 3 = 0")
+    kept = states.moments(df, names)
+    frames = [states.profile_of(kept, ["snapshot_date"]), states.profile_of(states.merged(kept)), profile.numeric_profile(df, names)]
+    for r in [r for f in frames for r in f.collect()]:
+        value = {"seven": 7.0, "tenth": 0.1, "third": 1 / 3}[r["column"]]
+        assert (r["mean"], r["stddev"], r["skewness"], r["kurtosis"]) == (value, 0.0, None, None)
+    assert modelset.fit_scaler(df, names) == {c: (pytest.approx(v), 1.0) for c, v in zip(names, (7.0, 0.1, 1 / 3))}
+    assert {r["r"] for r in profile.correlations(df, names).where("i <> j").collect()} == {None}
