@@ -1,7 +1,8 @@
 """Regularised second-order boosting of trees on DataFrames, many models in one pass.
 
 Features are cut at quantiles into bins once. A level of a tree is one aggregation: every row gives its gradient and hessian to
-(model, node, feature, bin), sums are made map-side, and the best split of each node is found from prefix sums over the bins.
+(model, node, feature, bin). Tasks sum them up by numpy, Spark adds the tasks' sums, and the best split of each node is found from
+prefix sums over the bins.
 Only the chosen splits reach the driver. All models of a search, one for each point and fold, grow side by side in the same
 passes over the rows.
 
@@ -16,9 +17,11 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, fields, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -179,11 +182,6 @@ def _array(values: Sequence) -> str:
     return f"array({', '.join(map(text, values))})"
 
 
-def _nested(rows: Sequence[Sequence]) -> str:
-    """SQL of an array of arrays of plain values."""
-    return f"array({', '.join(map(_array, rows))})"
-
-
 def best_splits(histogram: DataFrame, settings: Sequence[Settings]) -> DataFrame:
     """(`m`, `node`, `g`, `h`, `best`) from sums by (`m`, `node`, `feature`, `bin`): each node's gradient, hessian and best split.
 
@@ -252,54 +250,127 @@ class _Growth:
                 ends += [2 * n + 1, 2 * n + 2]
             self.open[m] = ends if level + 1 < s.max_depth else []
 
-    def _table(self, of, otherwise) -> str:
-        """A value for each model and node, as a nested array."""
-        return _nested([[of(t[n]) if n in t else otherwise for n in range(self.size)] for t in self.tree])
-
-    def node(self, levels: int) -> str:
-        """SQL of the node that a row has reached in the tree of model `m`, from its `bins`."""
+    def tables(self) -> dict[str, np.ndarray]:
+        """The tree at hand as arrays by model and node: place of the feature (MISSING for a leaf), bin, side of missing values, weight."""
         place = {f: i for i, f in enumerate(self.features)}
-        feature = self._table(lambda v: MISSING if v.feature is None else place[v.feature], MISSING) + "[m][n]"
-        cut = self._table(lambda v: -1 if v.bin is None else v.bin, -1) + "[m][n]"
-        other = self._table(lambda v: int(bool(v.missing_right)), 0) + "[m][n]"
-        own = f"bins[greatest({feature}, 0)]"
-        right = f"CASE WHEN {own} = {MISSING} THEN {other} ELSE int({own} > {cut}) END"
-        step = f"CASE WHEN {feature} = {MISSING} THEN n ELSE 2 * n + 1 + {right} END"
-        return f"aggregate(sequence(1, {levels}), 0, (n, i) -> {step})" if levels else "0"
-
-    def finish(self) -> Column:
-        """The margins with the tree's leaves added."""
-        leaf = self._table(lambda v: v.weight if v.feature is None else 0.0, 0.0)
-        depth = max(s.max_depth for s in self.settings)
+        shape = (len(self.tree), self.size)
+        found = {"feature": np.full(shape, MISSING), "cut": np.zeros(shape, np.int64), "other": np.zeros(shape, np.int64), "weight": np.zeros(shape)}
+        for m, t in enumerate(self.tree):
+            for n, v in t.items():
+                if v.feature is None:
+                    found["weight"][m, n] = v.weight
+                else:
+                    found["feature"][m, n], found["cut"][m, n], found["other"][m, n] = place[v.feature], v.bin, int(bool(v.missing_right))
+        return found
+
+    def finish(self) -> tuple[dict[str, np.ndarray], int]:
+        """The tree is done: its arrays and depth."""
         for m, t in enumerate(self.tree):
             if t:
                 self.trees[m].append(t)
-        return F.expr(f"transform(margins, (x, m) -> x + {leaf}[m][{self.node(depth)}])")
+        return self.tables(), max(s.max_depth for s in self.settings)
+
+
+def _walker() -> Callable:
+    """What tells the node of a model's tree that rows have reached after some levels."""
+
+    def walk(tree: dict[str, np.ndarray], m: int, bins: np.ndarray, levels: int) -> np.ndarray:
+        feature, cut, other = tree["feature"][m], tree["cut"][m], tree["other"][m]
+        rows, n = np.arange(len(bins)), np.zeros(len(bins), np.int64)
+        for _ in range(levels):
+            f = feature[n]
+            own = bins[rows, np.maximum(f, 0)]
+            right = np.where(own == MISSING, other[n], own > cut[n])
+            n = np.where(f == MISSING, n, 2 * n + 1 + right)
+        return n
+
+    return walk
+
+
+def _reader(width: int, models: int, done: Sequence[tuple[dict[str, np.ndarray], int]]) -> Callable:
+    """What reads a batch's bins, and its margins with the leaves of the finished trees added."""
+    walk = _walker()
+
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        def column(name: str, size: int) -> np.ndarray:
+            return batch.column(batch.schema.get_field_index(name)).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, size)
+
+        bins, margins = column("bins", width), column("margins", models).copy()
+        for tree, depth in done:
+            for m in range(models):
+                margins[:, m] += tree["weight"][m][walk(tree, m, bins, depth)]
+        return bins, margins
+
+    return read
+
+
+HISTOGRAM = "m int, node int, feature int, bin int, g bigint, h bigint"
+
+
+def _histograms(growth: _Growth, level: int, done: Sequence, held_out: Sequence[int]) -> Callable:
+    """A task's sums of gradients and hessians by (`m`, `node`, `feature`, `bin`), for the open nodes of all models."""
+    read, walk, tree = _reader(len(growth.features), len(growth.settings), done), _walker(), growth.tables()
+    width = max(len(c) for c in growth.cuts.values()) + 2
+    going = [(m, list(o), growth.drawn[m], held_out[m], s.subsample) for m, (o, s) in enumerate(zip(growth.open, growth.settings)) if o]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {m: np.zeros((2, len(nodes), len(drawn), width), np.int64) for m, nodes, drawn, _, _ in going}
+        for batch in batches:
+            bins, margins = read(batch)
+            label, fold, u = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("label", "fold", "u"))
+            for m, nodes, drawn, out, share in going:
+                slots = np.full(tree["feature"].shape[1], -1)
+                slots[nodes] = np.arange(len(nodes))
+                slot = slots[walk(tree, m, bins, level)]
+                rows = np.flatnonzero((fold != out) & (u < share) & (slot >= 0))
+                p = 1 / (1 + np.exp(-margins[rows, m]))
+                sums = [np.copysign(np.floor(np.abs(x) * SCALE + 0.5), x) for x in (p - label[rows], p * (1 - p))]
+                at = slot[rows] * width + 1
+                for i, f in enumerate(drawn):
+                    cell = at + bins[rows, f]
+                    for k, x in enumerate(sums):
+                        total[m][k, :, i] += np.bincount(cell, x, len(nodes) * width).astype(np.int64).reshape(-1, width)
+        for m, nodes, drawn, _, _ in going:
+            node, feature, b = np.nonzero(total[m].any(axis=0))
+            g, h = total[m][:, node, feature, b]
+            columns = [np.full(len(b), m), np.array(nodes)[node], np.array(drawn)[feature], b - 1]
+            yield pa.RecordBatch.from_arrays([*[pa.array(x.astype(np.int32)) for x in columns], pa.array(g), pa.array(h)], names=["m", "node", "feature", "bin", "g", "h"])
+
+    return run
+
+
+def _advanced(state: DataFrame, growth: _Growth, done: Sequence) -> DataFrame:
+    """The rows with the leaves of the finished trees added to their margins."""
+    read, models = _reader(len(growth.features), len(growth.settings), done), len(growth.settings)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            margins = read(batch)[1].reshape(-1)
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * models)
+            columns = {"margins": pa.ListArray.from_arrays(offsets, pa.array(margins))}
+            yield pa.RecordBatch.from_arrays([columns.get(n, batch.column(i)) for i, n in enumerate(batch.schema.names)], names=batch.schema.names)
+
+    return state.mapInArrow(run, state.schema)
 
 
-def _grow(state: DataFrame, growth: _Growth, held_out: Sequence[int], label: str, seed: int) -> DataFrame:
+def _grow(state: DataFrame, growth: _Growth, held_out: Sequence[int], seed: int) -> DataFrame:
     """Grow all trees of the models; the rows with the margins of every model, those of held-out rows too."""
-    settings = growth.settings
-    out, share = _array([int(h) for h in held_out]), _array([float(s.subsample) for s in settings])
-    for t in range(max(s.n_estimators for s in settings)):
+    done: list = []  # trees whose leaves the stored margins lack
+    for t in range(max(s.n_estimators for s in growth.settings)):
         growth.start(t, seed)
         drawn = f"pmod(xxhash64(row, {t}, {seed}), {1 << 20}) / {float(1 << 20)}D AS u"
         level = 0
         while any(growth.open):
-            some = state.selectExpr("bins", "label", "fold", drawn, "posexplode(margins) AS (m, margin)")
-            going = _array([bool(o) for o in growth.open])
-            some = some.where(f"{going}[m] AND fold <> {out}[m] AND u < {share}[m]")
-            some = some.selectExpr("bins", "label", "m", f"{growth.node(level)} AS node", "1 / (1 + exp(-margin)) AS p")
-            some = some.where(f"{_nested([[n in o for n in range(growth.size)] for o in growth.open])}[m][node]")
-            sums = [f"bigint(round((p - label) * {SCALE})) AS g", f"bigint(round(p * (1 - p) * {SCALE})) AS h"]
-            given = some.selectExpr("m", "node", *sums, "bins", f"explode({_nested(growth.drawn)}[m]) AS feature")
-            histogram = given.groupBy("m", "node", "feature", F.expr("bins[feature] AS bin")).agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-            growth.take(best_splits(histogram, settings).collect(), level)
+            cells = state.selectExpr("bins", "label", "fold", "margins", drawn).mapInArrow(_histograms(growth, level, done, held_out), HISTOGRAM)
+            # tasks have summed up already; dealt like this, sums and splits need one shuffle
+            cells = cells.repartition("m", "node", "feature")
+            histogram = cells.groupBy("m", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+            growth.take(best_splits(histogram, growth.settings).collect(), level)
             level += 1
-        state = state.withColumn("margins", growth.finish())
+        done.append(growth.finish())
         if (t + 1) % STORE_EVERY == 0:
-            state = materialized(state)
-    return state
+            state, done = materialized(_advanced(state, growth, done)), []
+    return _advanced(state, growth, done) if done else state
 
 
 def fit_many(
@@ -319,14 +390,15 @@ def fit_many(
         *[known(f, scaling.get(f)).alias(f) for f in features],
     )
     cuts = fit_cuts(scaled, features, bins)
-    state = materialized(binned(scaled, features, cuts).select("row", "label", "fold", "bins"))
+    state = binned(scaled, features, cuts).select("row", "label", "fold", "bins")
+    state = materialized(state.coalesce(max(1, state.sparkSession.sparkContext.defaultParallelism)))
     counts = {r["fold"]: (r["n"], r["pos"]) for r in state.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).collect()}
     models, scores = [], None
     for a in range(0, len(settings), TOGETHER):
         some, out = list(settings[a : a + TOGETHER]), held_out[a : a + TOGETHER]
         base = [_log_odds([c for f, c in counts.items() if f != h]) for h in out]
         growth = _Growth(some, features, cuts, [[] for _ in some])
-        grown = _grow(state.withColumn("margins", F.lit(base)), growth, out, label, seed)
+        grown = _grow(state.withColumn("margins", F.array(*[F.lit(b) for b in base])), growth, out, seed)
         models += [Boosted(b, t, s, features, scaling) for b, t, s in zip(base, growth.trees, some)]
         one = grown.select("fold", "label", F.posexplode("margins").alias("m", "margin")).withColumn("m", F.col("m") + a)
         scores = one if scores is None else scores.unionByName(one)

@@ -231,3 +231,26 @@ def test_one_label_and_no_rows(spark):
     df = spark.createDataFrame([(i, 1, float(i)) for i in range(9)], "id int, label int, a double")
     assert 0.5 < df.select(boosting.fit(df, ["a"], "label", ["id"], boosting.Settings(n_estimators=2)).probability()).first()[0] < 1
     assert boosting.fit(df.limit(0), ["a"], "label", ["id"], boosting.Settings(n_estimators=2)).base == 0.0
+
+
+def test_tasks_sum_up_before_the_shuffle(spark):
+    """A task gives a row for each cell that has rows, however many rows, features and models there are; sums are those of plain Python."""
+    n = 3_000
+    df = spark.range(0, n, 1, 2).selectExpr("int(id % 2) AS label", "int(id % 3) AS fold", "id / 3000D AS u", "array(int(id % 4), int(id % 5) - 1) AS bins", "array(0D, id / 1000D) AS margins")
+    settings = [boosting.Settings(max_depth=2), boosting.Settings(max_depth=2, subsample=0.5)]
+    growth = boosting._Growth(settings, ["a", "b"], {"a": [1.0, 2.0, 3.0], "b": [1.0, 2.0, 3.0]}, [[], []])
+    growth.start(0, 1)
+    cells = df.mapInArrow(boosting._histograms(growth, 0, [], [-1, 2]), boosting.HISTOGRAM)
+    assert cells.count() == (2 + 1) * (4 + 5)  # the second model draws rows of the first task only
+    got = {(r[0], r[1], r[2], r[3]): (r[4], r[5]) for r in cells.groupBy("m", "node", "feature", "bin").sum("g", "h").collect()}
+    want = {}
+    for i in range(n):
+        for m, margin in enumerate((0.0, i / 1000)):
+            if m and (i % 3 == 2 or i / 3000 >= 0.5):
+                continue
+            p = 1 / (1 + math.exp(-margin))
+            for f, b in enumerate((i % 4, i % 5 - 1)):
+                g, h = want.get((m, 0, f, b), (0, 0))
+                want[m, 0, f, b] = (g + round((p - i % 2) * boosting.SCALE), h + round(p * (1 - p) * boosting.SCALE))
+    assert got.keys() == want.keys()
+    assert all(abs(a - b) <= n for k in want for a, b in zip(got[k], want[k]))
