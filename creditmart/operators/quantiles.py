@@ -5,20 +5,25 @@ continuous column does not survive. The exact operator selects by digits instead
 of 64 bits in the same order, and rows are counted by the number's upper 16 bits, then, under the upper bits that hold a
 wanted rank, by the next 16, and so on. All columns and ranks are found together, in at most four passes; a pass shuffles
 counts only, and only what the wanted ranks need reaches the driver. Few rows left under the wanted bits are counted by the
-whole number at once.
+whole number at once, and bits under which all rows are equal need no further pass. Tasks count blocks of values by numpy.
 """
 
 from __future__ import annotations
 
 import math
 import struct
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 from pyspark.sql.types import IntegralType
 
 #: Bits of a digit, and rows that are counted by their whole number.
 DIGIT, COUNT_ALL_BELOW = 16, 100_000
+#: Values that a task counts at a time.
+BLOCK = 1 << 20
 # The parts of a double.
 FRACTION, BIAS, LEAST_NORMAL = 52, 1023, 2.0**-1022
 
@@ -42,7 +47,10 @@ class Quantile:
 
 
 def order_key(value: Column) -> Column:
-    """A double as a whole number in the same order: its IEEE 754 bits, negative for a negative one. NaN comes last."""
+    """A double as a whole number in the same order: its IEEE 754 bits, negative for a negative one. NaN comes last.
+
+    The exact quantiles make the same keys from blocks of values.
+    """
     size = F.abs(value)
     power = F.floor(F.log2(size))
     # the logarithm may be rounded over the next power
@@ -69,61 +77,125 @@ def exact_quantiles(df: DataFrame, quantiles: list[Quantile]) -> dict[str, float
     """
     columns = list(dict.fromkeys(q.column for q in quantiles))
     whole = [isinstance(df.schema[c].dataType, IntegralType) for c in columns]
-    cells = None  # one value a row before the keys are made: their code is there once, not for every column
-    for kind in sorted(set(whole)):
-        own = [(i, c) for i, (c, w) in enumerate(zip(columns, whole)) if w == kind]
-        cell = [F.struct(F.lit(i).alias("c"), F.col(c).cast("bigint" if kind else "double").alias("v")) for i, c in own]
-        some = df.select(F.inline(F.array(*cell))).where(F.col("v").isNotNull())
-        some = some.select("c", (F.col("v") if kind else order_key(F.col("v"))).alias("key"))
-        cells = some if cells is None else cells.unionAll(some)
+    values = df.select(*[F.col(c).cast("bigint" if w else "double").alias(f"c{i}") for i, (c, w) in enumerate(zip(columns, whole))])
     place = {c: i for i, c in enumerate(columns)}
-    total, wanted = _first_digit(cells, [(i, place[q.column], q) for i, q in enumerate(quantiles)])
+    total, wanted = _first_digit(values, whole, [(i, place[q.column], q) for i, q in enumerate(quantiles)])
     shift = 64 - DIGIT
     while shift:
-        left = sum({(c, prefix): n for c, prefix, _, n in wanted.values()}.values())
+        open_ = {at: w for at, w in wanted.items() if w.least < w.most}
+        if not open_:
+            break
+        left = sum({(w.c, w.prefix): w.n for w in open_.values()}.values())
         after = max(shift - DIGIT, 0) if left > COUNT_ALL_BELOW else 0
-        wanted = _next_digit(cells, wanted, shift, after)
+        wanted |= _next_digit(values, whole, open_, shift, after)
         shift = after
-    values = {at: prefix if whole[c] else key_value(prefix) for at, (c, prefix, _, _) in wanted.items()}
+    found = {at: w.least if whole[w.c] else key_value(w.least) for at, w in wanted.items()}
     return {
-        q.name: q.combine(total.get(place[q.column], 0), [values[i, k] for k in range(2) if (i, k) in values])
+        q.name: q.combine(total.get(place[q.column], 0), [found[i, k] for k in range(2) if (i, k) in found])
         for i, q in enumerate(quantiles)
     }
 
 
-#: By (quantile, which of its ranks): column, upper bits of the value, rank among the rows with these bits, their number.
-_Wanted = dict[tuple[int, int], tuple[int, int, int, int]]
-
-
-def _first_digit(cells: DataFrame, asked: list[tuple[int, int, Quantile]]) -> tuple[dict[int, int], _Wanted]:
+@dataclass(frozen=True)
+class _Place:
+    """Where a wanted rank is: column, upper bits of the value, rank among the rows with these bits, their number, least and greatest."""
+
+    c: int
+    prefix: int
+    rank: int
+    n: int
+    least: int
+    most: int
+
+
+#: By (quantile, which of its ranks).
+_Wanted = dict[tuple[int, int], _Place]
+_COUNTS = "c int, prefix bigint, n bigint, least bigint, most bigint"
+
+
+def _counter(whole: Sequence[bool], after: int, shift: int = 64, known: dict[int, list[int]] | None = None) -> Callable:
+    """Rows of a task by column and the key's bits down to ``after``, of all columns or of rows under ``known`` bits down to ``shift``."""
+    under = None if known is None else {c: np.array(sorted(p), np.int64) for c, p in known.items()}
+
+    def keys(column: pa.Array, is_whole: bool) -> np.ndarray:
+        v = column.drop_null().to_numpy(zero_copy_only=False)
+        if is_whole:
+            return v.astype(np.int64)
+        bits = np.abs(v).view(np.int64)
+        nan = (2 * BIAS + 1 << FRACTION) + 1
+        return np.where(np.isnan(v), nan, np.where(v < 0, -bits, bits))
+
+    def counted(c: int, blocks: list[np.ndarray]) -> pa.RecordBatch:
+        k = np.sort(np.concatenate(blocks))
+        digit = k >> after
+        first = np.flatnonzero(np.r_[True, digit[1:] != digit[:-1]])
+        last = np.r_[first[1:], len(k)]
+        columns = [np.full(len(first), c, np.int32), digit[first], last - first, k[first], k[last - 1]]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["c", "prefix", "n", "least", "most"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, list[np.ndarray]] = {c: [] for c in (range(len(whole)) if under is None else under)}
+        size = dict.fromkeys(kept, 0)
+        for batch in batches:
+            for c, blocks in kept.items():
+                k = keys(batch.column(c), whole[c])
+                if under is not None:
+                    upper = k >> shift
+                    at = np.minimum(np.searchsorted(under[c], upper), len(under[c]) - 1)
+                    k = k[under[c][at] == upper]
+                if len(k):
+                    blocks.append(k)
+                    size[c] += len(k)
+                if size[c] >= BLOCK:
+                    yield counted(c, blocks)
+                    blocks.clear()
+                    size[c] = 0
+        for c, blocks in kept.items():
+            if blocks:
+                yield counted(c, blocks)
+
+    return run
+
+
+def _summed(values: DataFrame, count: Callable) -> DataFrame:
+    counts = values.mapInArrow(count, _COUNTS).groupBy("c", "prefix")
+    return counts.agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+
+
+def _first_digit(values: DataFrame, whole: Sequence[bool], asked: list[tuple[int, int, Quantile]]) -> tuple[dict[int, int], _Wanted]:
     """Rows of each column, and for every wanted rank the first digit: one pass."""
-    counts = cells.groupBy("c", F.shiftright("key", 64 - DIGIT).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    counts = _summed(values, _counter(whole, 64 - DIGIT))
     own = Window.partitionBy("c")
     upto = own.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumns({"total": F.sum("n").over(own), "before": F.coalesce(F.sum("n").over(upto), F.lit(0))})
     rows = [(i, c, float(q.p), q.method == "disc") for i, c, q in asked]
-    ask = cells.sparkSession.createDataFrame(rows, "i int, qc int, p double, disc boolean")
+    ask = values.sparkSession.createDataFrame(rows, "i int, qc int, p double, disc boolean")
     at = F.col("p") * (F.col("total") - 1)
     ranks = F.when(F.col("disc"), F.array(F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total"))))).otherwise(F.array(F.floor(at) + 1, F.ceil(at) + 1))
     met = counts.join(F.broadcast(ask), F.col("c") == F.col("qc")).select("*", F.posexplode(ranks).alias("k", "rank"))
     met = met.where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
-    found = met.select("i", "k", "c", "prefix", "n", "total", (F.col("rank") - F.col("before")).alias("rank")).collect()
-    return {r["c"]: r["total"] for r in found}, {(r["i"], r["k"]): (r["c"], r["prefix"], r["rank"], r["n"]) for r in found}
+    found = met.withColumn("rank", F.col("rank") - F.col("before")).collect()
+    return {r["c"]: r["total"] for r in found}, {(r["i"], r["k"]): _place(r) for r in found}
+
+
+def _place(r: Row) -> _Place:
+    return _Place(*[r[f] for f in ("c", "prefix", "rank", "n", "least", "most")])
 
 
-def _next_digit(cells: DataFrame, wanted: _Wanted, shift: int, after: int) -> _Wanted:
+def _next_digit(values: DataFrame, whole: Sequence[bool], wanted: _Wanted, shift: int, after: int) -> _Wanted:
     """The wanted ranks with the upper bits known down to ``after``: one pass over the rows under the known ones."""
-    spark = cells.sparkSession
-    places = sorted({(c, prefix) for c, prefix, _, _ in wanted.values()})
-    under = F.broadcast(spark.createDataFrame(places, "wc int, known bigint"))
-    on = (F.col("c") == F.col("wc")) & (F.shiftright("key", shift) == F.col("known"))
-    counts = cells.join(under, on).groupBy("c", "known", F.shiftright("key", after).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    known: dict[int, set[int]] = {}
+    for w in wanted.values():
+        known.setdefault(w.c, set()).add(w.prefix)
+    counts = _summed(values, _counter(whole, after, shift, {c: list(p) for c, p in known.items()}))
+    counts = counts.withColumn("known", F.shiftright("prefix", shift - after))
     upto = Window.partitionBy("c", "known").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-    ranks = spark.createDataFrame([(*at, c, prefix, rank) for at, (c, prefix, rank, _) in wanted.items()], "i int, k int, rc int, under bigint, rank bigint")
+    ask = [(*at, w.c, w.prefix, w.rank) for at, w in wanted.items()]
+    ranks = values.sparkSession.createDataFrame(ask, "i int, k int, rc int, under bigint, rank bigint")
     inside = (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n"))
     met = counts.join(F.broadcast(ranks), (F.col("c") == F.col("rc")) & (F.col("known") == F.col("under")) & inside)
-    return {(r["i"], r["k"]): (r["c"], r["prefix"], r["rank"] - r["before"], r["n"]) for r in met.collect()}
+    return {(r["i"], r["k"]): _place(r) for r in met.withColumn("rank", F.col("rank") - F.col("before")).collect()}
 
 
 def approx_quantiles(df: DataFrame, quantiles: list[Quantile], rel_err: float = 0.01) -> dict[str, float | None]:

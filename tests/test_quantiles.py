@@ -72,3 +72,17 @@ def test_approx_rank_error(spark):
     got = approx_quantiles(df, [Quantile("v", 0.95, "q")], 0.01)["q"]
     assert abs(got / 10_000 - 0.95) <= 0.01
     assert quantile_frame(df, [Quantile("v", 0.5, "m")]).collect()[0]["value"] == 4999.0
+
+
+def test_equal_rows_need_no_further_pass(spark, monkeypatch):
+    """Tasks count in blocks, and a column of few values is done once its values differ in the bits seen."""
+    passes = []
+    one = quantiles._next_digit
+    monkeypatch.setattr(quantiles, "_next_digit", lambda *a: passes.append(a) or one(*a))
+    monkeypatch.setattr(quantiles, "COUNT_ALL_BELOW", 1)
+    monkeypatch.setattr(quantiles, "BLOCK", 100)
+    df = spark.range(0, 4_000, 1, 3).selectExpr("7 AS same", "double(id % 2) AS two", "CASE WHEN id % 5 = 0 THEN double('NaN') ELSE -0.0D END AS odd")
+    wanted = [Quantile(c, p, f"{c}.{p}") for c in ("same", "two", "odd") for p in (0.25, 0.75)]
+    got = exact_quantiles(df, wanted)
+    assert [got[q.name] for q in wanted] == [7, 7, 0.0, 1.0, 0.0, 0.0] and not passes
+    assert exact_quantiles(spark.range(0, 4_000, 1, 3), [Quantile("id", 0.5, "m")]) == {"m": 1999} and passes
