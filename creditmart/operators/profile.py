@@ -12,7 +12,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from creditmart.operators.quantiles import Quantile, approx_quantiles, exact_quantiles
 from creditmart.operators.schema import numeric_columns
@@ -146,39 +146,59 @@ def _masked_gram(known: DataFrame) -> DataFrame:
     """(i, j, r) of all pairs of columns that may have gaps, in one pass of matrix products.
 
     Gaps become 0 and a mask tells them apart: products of values and masks give, for every pair, the rows where both are
-    known, either one's sums and squares there, and the cross products. Values are centred and scaled first, so that little is
-    lost in the differences. Tasks give a row for each pair, which are summed.
+    known, either one's sums and squares there, and the cross products. Each batch is centred on its own means, so that little is
+    lost in the differences, and merged with those before by the distance of the means, which are kept as distances to a value of
+    the column. Tasks give a row for each pair, which are merged alike. The rows are read once.
     """
     columns = known.columns
-    stats = known.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop), ("l", F.min), ("h", F.max))]).first()
-
-    def centred(c: str) -> Column:
-        if stats[f"l_{c}"] == stats[f"h_{c}"]:
-            return F.col(c) * 0
-        return (F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0)
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(columns)
-        total = np.zeros((4, k, k))
+        n, mean, square, cross = np.zeros((4, k, k))
+        origin: list[float | None] = [None] * k
         for batch in batches:
-            x = np.column_stack([batch.column(i).fill_null(0).to_numpy() for i in range(k)])
             m = np.column_stack([batch.column(i).is_valid().to_numpy(zero_copy_only=False) for i in range(k)]).astype(np.float64)
-            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+            centre, values = np.zeros(k), []
+            for i in range(k):
+                v, own = batch.column(i).drop_null().to_numpy(), np.zeros(batch.num_rows)
+                if len(v):
+                    origin[i] = v[0] if origin[i] is None else origin[i]
+                    v = v - origin[i]
+                    centre[i] = v.mean()
+                    own[m[:, i] > 0] = v - centre[i]
+                values.append(own)
+            x = np.column_stack(values)
+            count, s, q = m.T @ m, x.T @ m, (x * x).T @ m
+            some = np.maximum(count, 1)
+            spread = q - s * s / some
+            spread = np.where(spread > q * NOISE, spread, 0 * q)
+            both, d = n + count, centre[:, None] + s / some - mean
+            d = np.where(count > 0, d, 0)
+            weight = n * count / np.maximum(both, 1)
+            square += spread + d * d * weight
+            cross += x.T @ x - s * s.T / some + d * d.T * weight
+            mean += d * count / np.maximum(both, 1)
+            n = both
         i, j = (x.reshape(-1).astype(np.int32) for x in np.indices((k, k)))
-        n, s, q, c = total
-        sums = [x.reshape(-1) for x in (n, s, s.T, q, q.T, c)]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (i, j, *sums)], names=["i", "j", "n", "sx", "sy", "qx", "qy", "c"])
-
-    parts = known.select(*[centred(c).alias(c) for c in columns]).mapInArrow(products, "i int, j int, n double, sx double, sy double, qx double, qy double, c double")
-    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "qx", "qy", "c")])
-    spread = {}
-    for v in "xy":
-        own = F.col(f"q{v}") - F.try_divide(F.col(f"s{v}") * F.col(f"s{v}"), F.col("n"))
-        spread[v] = F.when(own > F.col(f"q{v}") * NOISE, own)
-    shared = F.col("c") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
-    r = F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), shared / F.sqrt(spread["x"] * spread["y"]))))
-    known_spread = spread["x"].isNotNull() & spread["y"].isNotNull()
-    return sums.select("i", "j", F.when((F.col("i") == F.col("j")) | known_spread, r).alias("r"))
+        at = np.repeat(np.array([0.0 if o is None else o for o in origin])[:, None], k, axis=1)
+        sums = [x.reshape(-1) for x in (n, at, at.T, mean, mean.T, square, square.T, cross)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (i, j, *sums)], names=["i", "j", "n", "ox", "oy", "mx", "my", "qx", "qy", "c"])
+
+    parts = known.mapInArrow(products, "i int, j int, n double, ox double, oy double, mx double, my double, qx double, qy double, c double").where("n > 0")
+    pair = Window.partitionBy("i", "j")
+    moved = {v: F.col(f"o{v}") - F.min(f"o{v}").over(pair) for v in "xy"}
+    parts = parts.withColumns({f"m{v}": moved[v] + F.col(f"m{v}") for v in "xy"} | {f"s{v}": F.abs(moved[v]) + F.abs(f"m{v}") for v in "xy"})
+    d = {v: F.col(f"m{v}") - F.col(f"a{v}") for v in "xy"}
+    parts = parts.withColumns({f"a{v}": F.sum(F.col("n") * F.col(f"m{v}")).over(pair) / F.sum("n").over(pair) for v in "xy"})
+    sums = parts.groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.max("sx").alias("sx"), F.max("sy").alias("sy"),
+        *[F.sum(F.col(f"q{v}") + F.col("n") * d[v] * d[v]).alias(f"q{v}") for v in "xy"], F.sum(F.col("c") + F.col("n") * d["x"] * d["y"]).alias("c"),
+    )
+    k = len(columns)
+    sums = known.sparkSession.range(k * k).selectExpr(f"int(id div {k}) AS i", f"int(id % {k}) AS j").join(sums, ["i", "j"], "left")
+    vary = [F.col(f"q{v}") > F.col("n") * F.pow(NOISE * F.col(f"s{v}"), 2) for v in "xy"]
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("c") / F.sqrt("qx") / F.sqrt("qy")))
+    return sums.select("i", "j", F.when(F.col("i") == F.col("j"), 1.0).when(vary[0] & vary[1], r).alias("r"))
 
 
 def _corr(a: Column, b: Column) -> Column:

@@ -248,3 +248,26 @@ def test_correlations_with_gaps(spark):
     assert found["a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1])
     assert found["c", "a"] == found["a", "c"] == pytest.approx(np.corrcoef(a[keep], c)[0, 1])
     assert found["a", "d"] is None and found["d", "d"] == 1.0
+
+
+def test_many_correlations_read_the_rows_once(spark):
+    """No job runs before the result is asked for, and columns far from 0 or equal where the other is known come out right."""
+    df = spark.range(0, 3_000, 1, 5).selectExpr(
+        "id % 7 AS a", "1e9 + id % 7 + (id % 3) / 10D AS b", "IF(id % 2 = 0, NULL, id % 5) AS c", "0.1D AS d",
+        "IF(id % 2 = 1, 0.3D, id) AS e", "double(NULL) AS f", "IF(id % 3 = 0, double('NaN'), id * id) AS g",
+    )
+    seen = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    matrix = profile.correlations(df, df.columns)
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == seen
+    got = {(r["a"], r["b"]): r["r"] for r in matrix.collect()}
+    rows = df.toPandas()
+    assert len(got) == 49
+    for x in rows.columns:
+        for y in rows.columns:
+            pair = rows[[x, y]].astype(float).dropna() if x != y else None
+            if pair is None:
+                assert got[x, y] == 1.0
+            elif len(pair) == 0 or pair[x].nunique() == 1 or pair[y].nunique() == 1:
+                assert got[x, y] is None
+            else:
+                assert got[x, y] == pytest.approx((pair - pair.mean())[x].corr((pair - pair.mean())[y]), abs=1e-9)
