@@ -86,3 +86,15 @@ def test_equal_rows_need_no_further_pass(spark, monkeypatch):
     got = exact_quantiles(df, wanted)
     assert [got[q.name] for q in wanted] == [7, 7, 0.0, 1.0, 0.0, 0.0] and not passes
     assert exact_quantiles(spark.range(0, 4_000, 1, 3), [Quantile("id", 0.5, "m")]) == {"m": 1999} and passes
+
+
+def test_sketch_range_joins_once(spark, monkeypatch):
+    """The passes of the exact limits read a stored table, not the join again."""
+    from creditmart.catalog import profile_queries
+
+    plans = []
+    one = profile_queries.exact_quantiles
+    monkeypatch.setattr(profile_queries, "exact_quantiles", lambda df, q: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or one(df, q))
+    found = profile_queries.sketch_range(spark, "/root/testdata/sf0.001").collect()
+    assert len(found) == 8 and all(r["in_range"] for r in found)
+    assert len(plans) == 1 and "Join" not in plans[0]
