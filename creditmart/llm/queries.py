@@ -41,7 +41,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm.score(docs, lm.fit(docs)).drop("text")
+    return lm.score(docs, lm.fit(docs), keep_text=False)
 
 
 @query()

@@ -484,6 +484,32 @@ def test_lm_learns_and_scores(spark, docs, odd, empty):
     assert lm.score(empty, lm.fit(empty)).count() == 0
 
 
+def test_lm_scores_every_word_by_its_own_share(spark, docs):
+    """Made-up words are less likely than real ones; sent and joined counts give the same scores, those of the formula."""
+    rng = np.random.default_rng(3)
+    made = [(i, " ".join("".join(rng.choice(list("qxzjk"), 7)) for _ in range(60))) for i in range(40)]
+    strings = spark.createDataFrame(made + [(-1, None)], "doc_id long, text string")
+    scores = []
+    for sent in (lm.SENT, 300, 0):
+        network = lm.fit(docs, sent=sent)
+        assert (network.words.more is None) == (sent == lm.SENT)
+        real = {r.doc_id: r for r in lm.score(docs, network).collect()}
+        assert min(r.perplexity for r in lm.score(strings, network).collect() if r.n_tokens) > np.quantile([r.perplexity for r in real.values()], 0.95)
+        scores.append({i: r.log_probability for i, r in real.items()})
+    assert scores[1] == pytest.approx(scores[0], rel=1e-3) and scores[2] == pytest.approx(scores[0], rel=1e-3)
+    texts = {r.doc_id: r.text.lower().split() for r in docs.collect()}
+    n = Counter(w for t in texts.values() for w in t)
+    group = {w: xxhash.xxh64_intdigest(w.encode(), 42) % lm.GROUPS for w in n}
+    total = Counter()
+    for w in set(n) - set(network.words):
+        total[group[w]] += n[w]
+    number = {w: i for i, w in enumerate(network.words)}
+    for i in list(texts)[:20]:
+        tokens = np.array([number.get(w, lm.TOKENS - lm.GROUPS + group[w]) for w in texts[i]], dtype=np.int32)
+        shares = sum(np.log(n[w] / (total[group[w]] + 1)) for w in texts[i] if w not in number)
+        assert scores[2][i] == pytest.approx(network.log_probabilities(*network.windows([tokens])).sum() + shares, rel=1e-5)
+
+
 def test_lm_gradient():
     rng = np.random.default_rng(0)
     net = lm.Network.new(["a", "b"])
