@@ -1,20 +1,25 @@
 """Quality scores by Bradley-Terry ranking.
 
-A document's strength is linear in features of its whole text. Weights are learnt from preference pairs, a document of
-label 1 over one of label 0, by logistic loss on the difference of their features. The threshold is a quantile of the
-strengths of the training documents: the share of them with label 0. Strengths become scores by a logistic curve on
-which the threshold falls on a given score.
-
-Learning takes at most `per_label` documents of each label, those with the smallest hash of their id; scoring maps all
-documents. Features are counts, shares and ratios that are defined for empty text too; null counts as empty text. Texts
-of any length are read whole. Documents of one strength get one score, repeated rows each theirs; labels that contradict each
-other count as both. Without pairs (no label 0 or no label 1, or an empty table) all scores are the threshold's. An input column named like an output column is replaced.
+A document's strength is linear in features of its whole text. Weights are learnt from all pairs of a labelled document of
+label 1 and one of label 0, by logistic loss on the difference of their strengths. The threshold is an exact quantile of the
+strengths of the labelled documents: the share of them with label 0. Strengths become scores by a logistic curve on which the
+threshold falls on a given score.
+
+All labelled documents are learnt from, and no pair is made: what a document's pairs add to the loss and its gradient is a
+smooth function of its strength, given how the other label's strengths are spread. A step counts strengths in narrow ranges in
+one pass over the stored features, and sums the gradient in another; the driver sees counts by range and sums by weight.
+A range counts at its mean strength, so with ranges of 0.02 the loss of a pair is off by some millionths.
+
+Features are counts, shares and ratios that are defined for empty text too; null counts as empty text. Texts of any length are
+read whole. Documents of one strength get one score, repeated rows each theirs; labels that contradict each other count as
+both. Without pairs (no label 0 or no label 1, or an empty table) all scores are the threshold's. An input column named like an
+output column is replaced.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditmart.llm.common import with_arrays
+from creditmart.llm.common import stored, with_arrays
+from creditmart.operators.quantiles import Quantile, exact_quantiles
 
 #: Kinds of bytes: 0 other letters (also all of non-ASCII text), 1 capitals, 2 digits, 3 white space, 4 stops, 5 quotes
 #: and brackets, 6 all other signs.
@@ -37,6 +43,10 @@ KIND[list(b"#$%&*|<>=+@/\\^_`{}~")] = 6
 KIND[:9] = 6
 N_FEATURES = 21
 STEPS = 10
+#: Width of a range of strengths in which pairs are counted, and the number of ranges from which on they get wider.
+RANGE, RANGES = 0.02, 8_192
+#: Steps at most, the gain below which they end, and the steps that the next direction is made from.
+ROUNDS, GAIN, REMEMBERED = 40, 1e-5, 10
 
 
 def features(text: bytes) -> list[float]:
@@ -87,64 +97,143 @@ def _raised(x: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return np.clip((x[:, :, None] - low[None]) / wide[None], 0, 1).reshape(len(x), -1)
 
 
-def rank(x: np.ndarray, label: np.ndarray, at_cut: float, pairs: int = 15_000, penalty: float = 1e-3, seed: int = 17) -> Ranking:
-    """Weights by full-batch gradient steps on the logistic loss of feature differences."""
-    rng = np.random.default_rng(seed)
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    if not len(good) or not len(bad):
-        return Ranking(np.zeros((N_FEATURES, 2)), np.zeros(N_FEATURES), 0.0, 1.0, at_cut)
-    steps = np.quantile(x, np.linspace(0, 1, STEPS + 1), axis=0).T
-    # Features are fitted to both labels alike, so that the rarer label's range is covered too.
-    rare = np.quantile(x[bad if len(bad) < len(good) else good], np.linspace(0, 1, STEPS + 1), axis=0).T
-    steps = np.sort(np.concatenate([steps, rare], axis=1), axis=1)
-    raised = _raised(x, steps)
-    a, b = rng.choice(good, pairs), rng.choice(bad, pairs)
-    difference = (raised[a] - raised[b]).astype(np.float32)
-    weights = np.zeros(raised.shape[1], dtype=np.float32)
-    mean, square = np.zeros_like(weights), np.zeros_like(weights)
-    for t in range(1, 151):  # Adam
-        p = 1 / (1 + np.exp(np.clip(difference @ weights, -30, 30)))
-        gradient = -(p @ difference) / pairs + penalty * weights
-        mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
-        weights -= 0.05 * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-8)
-    weights = weights.astype(np.float64)
-    strength = raised @ weights
-    share = float((label == 0).mean())
-    cut = float(np.quantile(strength, share))
-    return Ranking(steps, weights, cut, max(1e-9, float(strength.std()) / 2), at_cut)
-
-
-def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", per_label: int = 6_000, at_cut: float = 0.3) -> Ranking:
-    """Fit on at most `per_label` labelled documents of each label; only their features reach the driver.
-
-    The share of label 0, which sets the threshold, is counted over all labelled documents.
-    """
-    known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
-    shares = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    order = [F.xxhash64("id"), F.col("id")]
-    chosen = known.filter("label = 0").orderBy(*order).limit(per_label).union(known.filter("label = 1").orderBy(*order).limit(per_label))
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text")).join(F.broadcast(chosen), "id")
+def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column(0).flatten().to_numpy().reshape(-1, N_FEATURES), batch.column(1).to_numpy()
 
+
+@dataclass
+class Pairs:
+    """The loss over all pairs of stored features of label 1 and label 0, and its gradient."""
+
+    labelled: DataFrame
+    steps: np.ndarray
+    penalty: float
+
+    def spread(self, weights: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By label, how many documents are in each range of strengths, and their mean there: one pass."""
+        steps, width = self.steps, max(RANGE, 2 * np.abs(weights).sum() / RANGES)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x, label = _rows(batch)
+                s = _raised(x, steps) @ weights
+                places, at = np.unique(np.stack([label.astype(np.int64), np.floor(s / width).astype(np.int64)]), axis=1, return_inverse=True)
+                at = at.ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(places[0]), pa.array(places[1]), pa.array(np.bincount(at)), pa.array(np.bincount(at, s))], names=["label", "place", "n", "total"])
+
+        counts = self.labelled.mapInArrow(run, "label long, place long, n long, total double").groupBy("label", "place")
+        rows = counts.agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()
+        rows.sort(key=lambda r: (r.label, r.place))
+        found = {}
+        for label in (0, 1):
+            n, total = (np.array([r[f] for r in rows if r.label == label], dtype=np.float64) for f in ("n", "total"))
+            found[label] = n, total / n
+        return found
+
+    def loss(self, weights: np.ndarray, spread: dict) -> float:
+        (bad, below), (good, above) = spread[0], spread[1]
+        total = sum(float(n * (np.logaddexp(0, s - above) @ good)) for n, s in zip(bad, below))
+        return total / (bad.sum() * good.sum()) + self.penalty / 2 * float(weights @ weights)
+
+    def gradient(self, weights: np.ndarray, spread: dict) -> np.ndarray:
+        """One pass. How much a document pulls is found on a grid of strengths, and between its points by a straight line."""
+        steps, size = self.steps, len(weights)
+        (bad, below), (good, above) = spread[0], spread[1]
+        least, most = min(below[0], above[0]) - 2 * RANGE, max(below[-1], above[-1]) + 2 * RANGE
+        grid = np.linspace(least, most, min(RANGES, int((most - least) / RANGE) + 2))
+        up = np.array([_logistic(s - above) @ good for s in grid]) / (bad.sum() * good.sum())
+        down = np.array([_logistic(below - s) @ bad for s in grid]) / (bad.sum() * good.sum())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size)
+            for batch in batches:
+                x, label = _rows(batch)
+                raised = _raised(x, steps)
+                s = raised @ weights
+                total += np.where(label == 0, np.interp(s, grid, up), -np.interp(s, grid, down)) @ raised
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
+
+        sums = [r.sums for r in self.labelled.mapInArrow(run, "sums array<double>").collect()]
+        return np.sum(sums, axis=0) + self.penalty * weights
+
+
+def _logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def least_loss(pairs: Pairs, size: int) -> np.ndarray:
+    """Weights by quasi-Newton steps (limited memory BFGS) with halved steps until the loss falls."""
+    weights, moves = np.zeros(size), []
+    spread = pairs.spread(weights)
+    loss, gradient = pairs.loss(weights, spread), pairs.gradient(weights, spread)
+    for _ in range(ROUNDS):
+        way, used = -gradient, []
+        for move, turn in reversed(moves):
+            part = (move @ way) / (move @ turn)
+            used.append(part)
+            way = way - part * turn
+        way = way * ((moves[-1][0] @ moves[-1][1]) / (moves[-1][1] @ moves[-1][1]) if moves else 1 / max(1e-12, np.linalg.norm(gradient)))
+        for (move, turn), part in zip(moves, reversed(used)):
+            way = way + (part - (turn @ way) / (move @ turn)) * move
+        length, slope = 1.0, float(gradient @ way)
+        while True:
+            tried = weights + length * way
+            spread = pairs.spread(tried)
+            found = pairs.loss(tried, spread)
+            if found <= loss + 1e-4 * length * slope or length < 1e-3:
+                break
+            length /= 2
+        if found >= loss:
+            return weights
+        new = pairs.gradient(tried, spread)
+        if (tried - weights) @ (new - gradient) > 0:
+            moves = [*moves, (tried - weights, new - gradient)][-REMEMBERED:]
+        gain, weights, gradient, loss = loss - found, tried, new, found
+        if gain < GAIN:
+            break
+    return weights
+
+
+def knots(labelled: DataFrame, rare: int) -> np.ndarray:
+    """Exact quantiles of each feature, of all rows and of the rarer label's, so that its range is covered too."""
+    at = np.linspace(0, 1, STEPS + 1)
+    columns = [F.col("x")[i].alias(f"all_{i}") for i in range(N_FEATURES)]
+    columns += [F.when(F.col("label") == rare, F.col("x")[i]).alias(f"rare_{i}") for i in range(N_FEATURES)]
+    wanted = [Quantile(f"{kind}_{i}", float(p), f"{kind}_{i}_{k}", "linear") for kind in ("all", "rare") for i in range(N_FEATURES) for k, p in enumerate(at)]
+    found = exact_quantiles(labelled.select(*columns), wanted)
+    return np.sort([[found[f"{kind}_{i}_{k}"] for kind in ("all", "rare") for k in range(STEPS + 1)] for i in range(N_FEATURES)], axis=1)
+
+
+def mapped_features(id_type: T.DataType) -> tuple[Callable, T.StructType]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64())), batch.column(2)], names=["id", "x", "label"])
-
-    got = rows.select("id", "text", "label").mapInArrow(run, T.StructType([rows.schema["id"], T.StructField("x", T.ArrayType(T.DoubleType())), T.StructField("label", T.IntegerType())])).collect()
-    got.sort(key=lambda r: (r.id, r.label, r.x))
-    x = np.array([r.x for r in got]).reshape(-1, N_FEATURES)
-    label_of = np.array([r.label for r in got])
-    # The sample is balanced by label; weigh the threshold back to the share among all labelled documents.
-    model = rank(x, label_of, at_cut)
-    if len(got) and min(shares.get(0, 0), shares.get(1, 0)):
-        s = model.strength(x)
-        weight = np.where(label_of == 0, shares[0] / max(1, (label_of == 0).sum()), shares[1] / max(1, (label_of == 1).sum()))
-        by = np.argsort(s, kind="stable")
-        reached = np.cumsum(weight[by]) / weight.sum()
-        at = s[by][np.searchsorted(reached, shares[0] / (shares[0] + shares[1]) - 1e-9)]
-        above = s[s > at]  # the threshold lies between this strength and the next one
-        model.cut = float((at + above.min()) / 2) if len(above) else float(at)
-    return model
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["id", "x"])
+
+    return run, T.StructType([T.StructField("id", id_type), T.StructField("x", T.ArrayType(T.DoubleType()))])
+
+
+def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", at_cut: float = 0.3, penalty: float = 1e-3) -> Ranking:
+    """Fit on all labelled documents. Their features are joined to the labels, not their texts, and stored."""
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
+    texts = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text"))
+    labelled = stored(texts.mapInArrow(*mapped_features(texts.schema["id"].dataType)).join(known, "id").select("x", "label"))
+    rows = {r.label: r.n for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(rows) < 2:
+        return Ranking(np.zeros((N_FEATURES, 2)), np.zeros(N_FEATURES), 0.0, 1.0, at_cut)
+    steps = knots(labelled, 0 if rows[0] < rows[1] else 1)
+    weights = least_loss(Pairs(labelled, steps, penalty), N_FEATURES * (steps.shape[1] - 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_raised(_rows(batch)[0], steps) @ weights)], names=["s"])
+
+    strengths = labelled.mapInArrow(run, "s double")
+    # The strength that as many rows reach at most as have label 0; half a row less keeps the rank's rounding out of it.
+    at = exact_quantiles(strengths, [Quantile("s", (rows[0] - 0.5) / (rows[0] + rows[1]), "cut")])["cut"]
+    above, spread = strengths.agg(F.min(F.when(F.col("s") > at, F.col("s"))), F.stddev_pop("s")).first()
+    # The threshold lies between this strength and the next one.
+    return Ranking(steps, weights, float(at if above is None else (at + above) / 2), max(1e-9, float(spread) / 2), at_cut)
 
 
 def score(docs: DataFrame, model: Ranking, text: str = "text") -> DataFrame:

@@ -530,3 +530,33 @@ def test_quality_learns_from_text_ids(spark, docs):
     named = quality.learn(docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")), labels.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")))
     a, b = ({r.doc_id: r.score for r in quality.score(docs, m).collect()} for m in (plain, named))
     assert max(abs(a[i] - b[i]) for i in a) < 0.2
+
+
+def test_quality_learns_from_all_labelled_pairs(spark):
+    """Loss and gradient are those of all pairs made one by one, and the threshold parts as many rows as have label 0."""
+    rng = np.random.default_rng(1)
+    texts = [(i, " ".join(rng.choice(["a", "of", "Word", "42", "!!", "longer"], rng.integers(1, 40)))) for i in range(300)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(len(t) + 40 * rng.normal() > 60)) for i, t in texts], "doc_id long, quality int")
+    model = quality.learn(frame, labels)
+    label = np.array([r.quality for r in labels.collect()])
+    x = quality.matrix([t.encode() for _, t in texts])
+    raised = quality._raised(x, model.steps)
+    of_labels = [x, x[label == (0 if 2 * label.sum() > len(label) else 1)]]
+    cuts = np.concatenate([np.quantile(v, np.linspace(0, 1, quality.STEPS + 1), axis=0).T for v in of_labels], axis=1)
+    assert model.steps == pytest.approx(np.sort(cuts, axis=1))
+    stored = spark.createDataFrame([(v.tolist(), int(n)) for v, n in zip(x, label)], "x array<double>, label int")
+    pairs = quality.Pairs(stored, model.steps, 1e-3)
+
+    def brute(w):
+        difference = (raised[label == 1][:, None] - raised[label == 0][None]).reshape(-1, len(w))
+        z = difference @ w
+        return np.logaddexp(0, -z).mean() + 5e-4 * w @ w, -(difference / (1 + np.exp(z))[:, None]).mean(axis=0) + 1e-3 * w
+
+    for w in (model.weights, rng.normal(0, 0.2, len(model.weights))):
+        spread = pairs.spread(w)
+        loss, gradient = brute(w)
+        assert pairs.loss(w, spread) == pytest.approx(loss, abs=1e-5)
+        assert pairs.gradient(w, spread) == pytest.approx(gradient, abs=1e-5)
+    assert np.linalg.norm(brute(model.weights)[1]) < 0.01
+    assert (model.strength(x) <= model.cut).sum() == (label == 0).sum()
