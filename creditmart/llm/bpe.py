@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 from creditmart.llm.common import pieces, with_arrays
 
 #: Characters of text that a block of documents holds at most, but for single longer documents.
-BLOCK_CHARS = 4_000_000
-#: Strings between white space whose ids a task remembers.
-REMEMBERED = 400_000
+BLOCK_CHARS = 500_000
+#: Strings between white space whose ids a task remembers, but for a block that has more.
+REMEMBERED = 150_000
 NONE = np.iinfo(np.int64).max
 #: Control characters that str.split() takes for white space and the vocabulary's rules do not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -176,10 +176,10 @@ class Vocabulary:
         out = []
         for a, b in pieces(texts, lambda t: len(t or ""), BLOCK_CHARS):
             split = [NO_SPACE.findall(t) if SEPARATORS.search(t) else t.split() for t in (t or "" for t in texts[a:b])]
-            new = set().union(*split).difference(self.remembered) if split else set()
-            if len(self.remembered) + len(new) > REMEMBERED:
-                self.remembered.clear()
-                new = set().union(*split)
+            used = set().union(*split)
+            new = used.difference(self.remembered)
+            if len(self.remembered) + len(new) > REMEMBERED:  # what this block needs again stays
+                self.remembered = {c: self.remembered[c] for c in used.difference(new)}
             if new:
                 collecting = gc.isenabled()
                 gc.disable()  # many small objects and no cycles: collecting garbage meanwhile takes half the time

@@ -1,6 +1,7 @@
 """The text operators against brute force, and on nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -65,6 +66,20 @@ def test_bpe_empty_table_and_clashing_columns(spark, empty):
     assert row.other == 7 and row.decoded == "hi</w>" and len(row.ids) == 4
 
 
+def test_bpe_memory_stays_small_with_many_different_words():
+    library, own = Tokenizer.from_file(BPE_FILE), bpe.Vocabulary.load(BPE_FILE)
+    words = ["".join(w) + str(n) for n, w in enumerate(np.random.default_rng(3).choice(list("abcdefghij"), (200_000, 7)))]
+    texts = [" ".join(words[a : a + 1000]) for a in range(0, len(words), 1000)]
+    texts += texts[:2]  # forgotten by now
+    tracemalloc.start()
+    packed = own.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6 and len(own.remembered) <= bpe.REMEMBERED
+    for t, p in [*zip(texts, packed)][::40] + [*zip(texts, packed)][-2:]:
+        assert np.frombuffer(p, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
 # Language
 
 
