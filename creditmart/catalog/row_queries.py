@@ -176,8 +176,7 @@ def join_inner_2key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_left_2key(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["Customer_ID", "snapshot_date"]
     loans = T.ledger(spark, sf_dir).select("loan_id", "installment_num", *keys)
-    clicks = T.clickstream(spark, sf_dir).withColumn("snapshot_date", F.add_months("snapshot_date", 1))
-    return joins.lookup_join(loans, clicks, keys, "left")
+    return joins.lookup_join(loans, T.clickstream(spark, sf_dir, later=1), keys, "left")
 
 
 @query(

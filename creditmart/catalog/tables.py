@@ -183,16 +183,16 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loan_rows(spark, sf_dir).selectExpr(*_items(RAW_LEDGER))
 
 
-def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer and month; a few values are unreadable text."""
-    keys = loan_rows(spark, sf_dir).selectExpr(
-        "*", f"{LEDGER['Customer_ID']} AS Customer_ID", f"{SNAPSHOT} AS snapshot_date"
-    )
+def raw_clickstream(spark: SparkSession, sf_dir: str, later: int = 0) -> DataFrame:
+    """One row per customer and month; a few values are unreadable text. Rows are dated ``later`` months after theirs: done
+    before the aggregation, its shuffle serves a join on the later dates too."""
+    month = f"add_months({SNAPSHOT}, {later})" if later else SNAPSHOT
+    keys = loan_rows(spark, sf_dir).selectExpr("*", f"{LEDGER['Customer_ID']} AS Customer_ID", f"{month} AS snapshot_date")
     return keys.groupBy("Customer_ID", "snapshot_date").agg(*[F.expr(e).alias(n) for n, e in CLICKSTREAM.items()])
 
 
-def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_clickstream(spark, sf_dir).selectExpr(
+def clickstream(spark: SparkSession, sf_dir: str, later: int = 0) -> DataFrame:
+    return raw_clickstream(spark, sf_dir, later).selectExpr(
         "Customer_ID", "snapshot_date", *[f"CAST({n} AS FLOAT) AS {n}" for n in CLICKSTREAM]
     )
 

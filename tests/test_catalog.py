@@ -35,6 +35,16 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_totalprice), LessThan(o_totalprice," in trimmed
 
 
+def test_the_aggregation_s_shuffle_serves_the_join(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()["join_left_2key"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(Customer_ID") == 2  # loans, and partial sums
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries().keys() - entry.oracle_sql().keys()))
 def test_runs(spark, name):
     assert len(entry.queries()[name](spark, SF).collect()) > 0
