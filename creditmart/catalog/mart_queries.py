@@ -14,10 +14,12 @@ from creditmart.sources.schemas import LOAN_FILE
 
 DAY = "1998-06-01"
 FIRST, LAST = "1997-01-15", "1997-12-01"
+#: Most rows of a source file. A compressed file is read by one task.
+FILE_ROWS = 500_000
 
 
 def _source_files(spark: SparkSession, sf_dir: str, *names: str) -> str:
-    """Write the source views as CSV files of a new folder."""
+    """Write the source views as compressed CSV files of a new folder."""
     views = {
         "lms": T.raw_ledger,
         "financials": T.financials,
@@ -26,9 +28,9 @@ def _source_files(spark: SparkSession, sf_dir: str, *names: str) -> str:
     }
     root = f"{T.scratch_root(spark)}/source"
     for name in names:
-        views[name](spark, sf_dir).write.option("header", True).option("escape", '"').csv(
-            f"{root}/{SOURCE_FILES[name]}"
-        )
+        files = views[name](spark, sf_dir).write.option("header", True).option("escape", '"')
+        files = files.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", FILE_ROWS)
+        files.csv(f"{root}/{SOURCE_FILES[name]}")
     return root
 
 

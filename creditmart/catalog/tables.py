@@ -170,9 +170,12 @@ def select_sql(view: dict[str, str], source: str) -> str:
     return f"SELECT {', '.join(_items(view))} FROM {source}"
 
 
-def loan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loan_rows(spark: SparkSession, sf_dir: str, **narrowed: str) -> DataFrame:
+    """Lines with their order. A line meets it dated by month, and with the ``narrowed`` columns: what the views need of it
+    takes less to shuffle."""
     lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    lines = lineitem.withColumns({c: F.expr(e) for c, e in {"l_shipdate": SNAPSHOT, **narrowed}.items()})
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +190,8 @@ def raw_clickstream(spark: SparkSession, sf_dir: str, later: int = 0) -> DataFra
     """One row per customer and month; a few values are unreadable text. Rows are dated ``later`` months after theirs: done
     before the aggregation, its shuffle serves a join on the later dates too."""
     month = f"add_months({SNAPSHOT}, {later})" if later else SNAPSHOT
-    keys = loan_rows(spark, sf_dir).selectExpr("*", f"{LEDGER['Customer_ID']} AS Customer_ID", f"{month} AS snapshot_date")
+    lines = loan_rows(spark, sf_dir, l_partkey="l_partkey % 100", l_suppkey="l_suppkey % 10")  # all the measures use of them
+    keys = lines.selectExpr("*", f"{LEDGER['Customer_ID']} AS Customer_ID", f"{month} AS snapshot_date")
     return keys.groupBy("Customer_ID", "snapshot_date").agg(*[F.expr(e).alias(n) for n, e in CLICKSTREAM.items()])
 
 

@@ -1,9 +1,14 @@
 """Every registered query runs, and agrees with its SQL, on the smallest tables."""
 
+import glob
+
 import pytest
 from parity import compare, connect
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from creditmart.catalog import mart_queries, tables as T
+from creditmart.plans.datamart_jobs import SOURCE_FILES, Build
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,6 +50,29 @@ def test_the_aggregation_s_shuffle_serves_the_join(spark):
     assert plan.count("Exchange hashpartitioning(Customer_ID") == 2  # loans, and partial sums
 
 
+def test_lines_meet_their_order_with_what_the_measures_need(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = T.clickstream(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan[plan.index("Exchange hashpartitioning(l_orderkey") :]  # what is below, and so before, the join's shuffle
+    assert "% 100" in lines and "% 10)" in lines and "trunc(month" in lines
+
+
+def test_source_files_are_compressed_and_of_limited_rows(spark, monkeypatch):
+    monkeypatch.setattr(mart_queries, "FILE_ROWS", 100)
+    views = {"financials": T.financials, "attributes": T.attributes, "clickstream": T.clickstream, "lms": T.raw_ledger}
+    root = mart_queries._source_files(spark, SF, *views)
+    for name, view in views.items():
+        path = f"{root}/{SOURCE_FILES[name]}"
+        files = glob.glob(f"{path}/part-*")
+        assert all(f.endswith(".csv.gz") for f in files) and len(files) >= view(spark, SF).count() / 100
+        got, want = (df.groupBy("Customer_ID", F.col("snapshot_date").cast("date")).count() for df in (Build(spark, root, None).source(name), view(spark, SF)))
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries().keys() - entry.oracle_sql().keys()))
 def test_runs(spark, name):
     assert len(entry.queries()[name](spark, SF).collect()) > 0
