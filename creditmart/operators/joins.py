@@ -76,16 +76,25 @@ def as_of_join(fact: DataFrame, dimension: DataFrame, keys: Sequence[str], on: s
     if shared:
         raise ValueError(f"columns on both sides that are not keys: {sorted(shared)}")
     hot = hot_key_hashes(fact, keys) if salts > 1 else []
-    is_hot = F.xxhash64(*keys).isin(hot) if hot else F.lit(False)
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*fact.columns, F.spark_partition_id()), F.lit(max(salts, 1)))).otherwise(F.lit(0)).cast("int")
-    found = F.struct(F.col(on).alias("_since"), *values)
-    row = F.struct(*fact.columns)
-    facts = fact.select(*keys, F.col(on).alias("_at"), F.lit(1).alias("_kind"), salt.alias("_salt"), row.alias("_row"), F.lit(None).cast(dimension.select(found.alias("f")).schema[0].dataType).alias("_found"))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(max(salts, 1) - 1))).otherwise(F.array(F.lit(0)))
-    dated = dimension.select(*keys, F.col(on).alias("_at"), F.lit(0).alias("_kind"), F.explode(copies).alias("_salt") if hot else F.lit(0).alias("_salt"), F.lit(None).cast(fact.select(row.alias("r")).schema[0].dataType).alias("_row"), found.alias("_found"))
+    found = F.struct(F.col(on).alias("_since"), *values).alias("_found")
+    # Facts are shuffled as they are: their keys and dates serve as those of the frame, and have columns beside them only where
+    # the dimension's are of other types. A dimension row has NULL in the other columns.
+    types, others = ({f.name.lower(): f.dataType for f in df.schema} for df in (fact, dimension))
+    met = {c.lower(): c if types[c.lower()] == others[c.lower()] else f"_at_{c}" for c in (*keys, on)}
+    beside = [F.col(c).alias(n) for c, n in met.items() if n.lower() != c]
+    lacking = [F.lit(None).cast(types[c.lower()]).alias(c) for c in fact.columns if met.get(c.lower(), "").lower() != c.lower()]
+    facts = fact.select(*fact.columns, *beside, F.lit(1).alias("_kind"), F.lit(None).cast(dimension.select(found).schema[0].dataType).alias("_found"))
+    dated = dimension.select(*[F.col(c).alias(n) for c, n in met.items()], *lacking, F.lit(0).alias("_kind"), found)
+    parts = [met[k.lower()] for k in keys]
+    if hot:
+        is_hot, parts = F.xxhash64(*keys).isin(hot), [*parts, "_salt"]
+        row = F.xxhash64(*fact.columns, F.spark_partition_id())
+        facts = facts.withColumn("_salt", F.when(is_hot, F.pmod(row, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        dated = dated.withColumn("_salt", F.explode(copies))
     both = facts.unionByName(dated)
-    for c in (*keys, "_at"):
+    for c in met.values():
         both = both.where(F.col(c).isNotNull())
-    before = Window.partitionBy(*keys, "_salt").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*parts).orderBy(met[on.lower()], "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = both.withColumn("_found", F.last("_found", ignorenulls=True).over(before)).where("_kind = 1 AND _found IS NOT NULL")
-    return carried.select("_row.*", "_found.*").drop("_since")
+    return carried.select(*fact.columns, "_found.*").drop("_since")

@@ -306,3 +306,15 @@ def test_as_of_with_salts_and_gaps(spark):
     assert "Generate" not in plan and "Join" not in plan
     with pytest.raises(ValueError, match="both sides"):
         joins.as_of_join(fact, dim.withColumnRenamed("x", "F"), ["k"], "day")
+
+
+def test_as_of_shuffles_a_fact_once_and_as_it_is(spark):
+    fact = spark.createDataFrame([(1, date(2024, 2, 1), 7), (1, date(2024, 1, 1), 8)], "K int, day date, f int")
+    dim = spark.createDataFrame([(1, date(2024, 1, 15), "x")], "k int, day date, x string")
+    found = joins.as_of_join(fact, dim, ["k"], "day")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("struct(") == 1 and "_salt" not in plan  # the dimension's values; facts have no copy of their keys
+    assert found.columns == ["K", "day", "f", "x"] and [tuple(r) for r in found.collect()] == [(1, date(2024, 2, 1), 7, "x")]
+    wide = dim.withColumns({"k": F.col("k").cast("double"), "day": F.col("day").cast("timestamp")})
+    other = joins.as_of_join(fact, wide, ["k"], "day")
+    assert other.schema == found.schema and other.collect() == found.collect()
