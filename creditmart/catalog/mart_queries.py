@@ -60,7 +60,7 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ledger_mart(spark: SparkSession, sf_dir: str) -> dm.Datamart:
     mart = dm.Datamart(spark, T.scratch_root(spark))
-    mart.write(T.ledger(spark, sf_dir), "bronze", "lms")
+    mart.write(T.ledger(spark, sf_dir, gather=True), "bronze", "lms", gather=False)
     return mart
 
 

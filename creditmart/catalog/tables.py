@@ -178,8 +178,10 @@ def loan_rows(spark: SparkSession, sf_dir: str, **narrowed: str) -> DataFrame:
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loan_rows(spark, sf_dir).selectExpr(*_items(LEDGER))
+def ledger(spark: SparkSession, sf_dir: str, gather: bool = False) -> DataFrame:
+    """``gather`` brings the rows of a month together, as a write split by month needs them, before their texts are made."""
+    rows = loan_rows(spark, sf_dir)
+    return (rows.hint("rebalance", "l_shipdate") if gather else rows).selectExpr(*_items(LEDGER))
 
 
 def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

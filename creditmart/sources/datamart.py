@@ -16,6 +16,9 @@ from creditmart.sources.manifest import Entry, Manifest
 PARTITION = "snapshot_date"
 #: The level of a table's folders that tells its writes apart, and the key of rows without a date.
 WRITE, UNDATED = "_write", "__HIVE_DEFAULT_PARTITION__"
+#: Layers whose Parquet files are made smaller by zstd. Not bronze: tasks read it by size of file and sort all rows they write
+#: to silver, so that smaller files would mean more rows to sort in a task.
+ZSTD_LAYERS = ("silver", "gold")
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
@@ -106,7 +109,10 @@ class Datamart:
     def _write_to(self, df: DataFrame, layer: str, table: str, split: Sequence[str]) -> str:
         """Write to a new folder of the table; its name."""
         write = f"{WRITE}=w{uuid.uuid4().hex}"
-        df.write.format(self.file_format).option("header", True).option("escape", '"').partitionBy(*split).save(f"{self.path(layer, table)}/{write}")
+        writer = df.write.format(self.file_format).option("header", True).option("escape", '"').partitionBy(*split)
+        if self.file_format == "parquet" and layer in ZSTD_LAYERS:
+            writer = writer.option("compression", "zstd")
+        writer.save(f"{self.path(layer, table)}/{write}")
         return write
 
     def publish(self, df: DataFrame, layer: str, table: str, changes: dict[str, Entry | None]) -> None:

@@ -1,12 +1,14 @@
 """The datamart end to end from CSV files: layers, pruning, re-runs, and the per-date entry points."""
 
+import glob
+import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from creditmart import api, jobs
-from creditmart.catalog import tables as T
+from creditmart.catalog import mart_queries, tables as T
 from creditmart.functions.dates import month_starts
 from creditmart.operators import joins
 from creditmart.plans import gold, silver
@@ -279,6 +281,27 @@ def test_static_tables_are_replaced_whole(spark, tmp_path):
     assert rows(mart.read("a", "s")) == rows(frame) and mart.read("a", "s", ["2024-02-01"]).first().x == 2
 
 
+def test_silver_and_gold_are_compressed_by_zstd(spark, tmp_path):
+    mart, sizes = dm.Datamart(spark, str(tmp_path)), {}
+    for layer in ("bronze", "silver", "gold"):
+        mart.write(T.ledger(spark, SF), layer, "lms")
+        files = glob.glob(f"{tmp_path}/{layer}/lms/_write=*/*/part-*")
+        assert files and all(f.endswith(".zstd.parquet") for f in files) == (layer != "bronze")
+        sizes[layer] = sum(map(os.path.getsize, files))
+        assert rows(mart.read(layer, "lms")) == rows(T.ledger(spark, SF))
+    assert max(sizes["silver"], sizes["gold"]) < sizes["bronze"]
+
+
+def test_gathered_ledger_is_shuffled_before_its_texts_are_made(spark, tmp_path):
+    gathered = T.ledger(spark, SF, gather=True)
+    plan = gathered._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.index("concat(") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert rows(gathered) == rows(T.ledger(spark, SF))
+    mart = mart_queries._ledger_mart(spark, SF)
+    months = glob.glob(f"{mart.root.removeprefix('file:')}/bronze/lms/_write=*/snapshot_date=*")
+    assert len(months) > 80 and all(len(glob.glob(f"{m}/part-*")) == 1 for m in months)
+
+
 def test_csv_tables(spark, tmp_path):
     mart = dm.Datamart(spark, str(tmp_path), "csv")
     frame = spark.createDataFrame([(1, 'a, "b"', date(2024, 1, 1)), (2, "c", date(2024, 2, 1))], "x int, t string, snapshot_date date")
