@@ -57,8 +57,9 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The frame itself, after checking that the keys identify its rows."""
-    twice = duplicate_keys(df, keys).first()
+    """The frame itself, after checking that the keys identify its rows. All tasks look at once, not a few first."""
+    found = duplicate_keys(df, keys)
+    twice = found.agg(F.first(F.struct(*found.columns))).first()[0]
     if twice is not None:
         raise ValueError(f"key {tuple(twice[k] for k in keys)} occurs {twice['n']} times")
     return df

@@ -1,10 +1,10 @@
 """Regularised second-order boosting of trees on DataFrames, many models in one pass.
 
-Features are cut at quantiles into bins once. A level of a tree is one aggregation: every row gives its gradient and hessian to
-(model, node, feature, bin). Tasks sum them up by numpy, Spark adds the tasks' sums, and the best split of each node is found from
-prefix sums over the bins.
-Only the chosen splits reach the driver. All models of a search, one for each point and fold, grow side by side in the same
-passes over the rows.
+Features are cut at quantiles into bins once, and blocks of binned rows are kept by Spark with every model's margins. A level of
+a tree is one aggregation: every row gives its gradient and hessian to (model, node, feature, bin). Tasks sum them up by numpy,
+for several features at once where their bins together are few; the tasks' sums meet by model, and the best split of each node is
+found from prefix sums over the bins. Only the chosen splits reach the driver. All models of a search, one for each point and
+fold, grow side by side in the same passes over the rows.
 
 Splits maximise ``s(left) + s(right) - s(node)`` with ``s = max(|G| - reg_alpha, 0)^2 / (H + reg_lambda)``; a split needs a gain
 of ``gamma`` or more and ``min_child_weight`` hessian on both sides. Missing values (NULL or NaN) go to the side that gains
@@ -22,18 +22,20 @@ from dataclasses import asdict, dataclass, field, fields, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from creditmart.operators.quantiles import Quantile, fit_quantiles
-from creditmart.session import materialized
+from creditmart.session import materialized, shared_folder
 
 #: Gradients are multiplied by this and rounded: 10^11 rows add up within 64 bits.
 SCALE = 1 << 24
 #: Gains up to this are none.
 NO_GAIN = 1e-6
 #: Trees after which the margins are written to the shared folder, and models that grow in one pass.
-STORE_EVERY, TOGETHER = 5, 32
+STORE_EVERY, TOGETHER = 10, 32
+#: Rows of a block, and sums that a task makes at once for each of its rows at most.
+BLOCK, SUMS_A_ROW = 1 << 16, 0.25
 MISSING = -1
 
 
@@ -161,14 +163,52 @@ def fit_cuts(rows: DataFrame, features: Sequence[str], bins: int = 64, rel_err:
     return {f: c or [0.0] for f, c in cuts.items()}
 
 
-def binned(rows: DataFrame, features: Sequence[str], cuts: Mapping[str, list[float]], name: str = "bins") -> DataFrame:
-    """Add an array with each feature's bin: the number of cuts up to the value, or MISSING."""
-    inputs, outputs = [f"_v{i}" for i in range(len(features))], [f"_b{i}" for i in range(len(features))]
-    valued = rows.withColumns({v: F.coalesce(known(f), F.lit(float("nan"))) for v, f in zip(inputs, features)})
-    splits = [[float("-inf"), *cuts[f], float("inf")] for f in features]
-    cut = Bucketizer(splitsArray=splits, inputCols=inputs, outputCols=outputs, handleInvalid="keep").transform(valued)
-    missing = [F.when(F.col(b) > len(cuts[f]), MISSING).otherwise(F.col(b)).cast("int") for b, f in zip(outputs, features)]
-    return cut.withColumn(name, F.array(*missing)).drop(*inputs, *outputs)
+def _binner(features: Sequence[str], cuts: Mapping[str, list[float]]) -> Callable:
+    """What cuts a batch's features into bins: the number of cuts up to the value, or MISSING."""
+    edges = [np.array(cuts[f]) for f in features]
+    kind = np.min_scalar_type(-max((len(e) for e in edges), default=1) - 1)
+
+    def bins(batch: pa.RecordBatch) -> pa.Array:
+        found = np.empty((batch.num_rows, len(edges)), kind)
+        for i, (name, own) in enumerate(zip(names, edges)):
+            v = batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+            found[:, i] = np.where(np.isnan(v), MISSING, np.searchsorted(own, v, "right"))
+        return pa.FixedSizeListArray.from_arrays(pa.array(found.reshape(-1)), len(edges))
+
+    names = [f"_f{i}" for i in range(len(edges))]
+    return bins
+
+
+def binned(rows: DataFrame, features: Sequence[str], cuts: Mapping[str, list[float]]) -> RDD:
+    """Blocks of (`row`, `label`, `fold`, `bins`) as record batches, as many to each task."""
+    cut, most = _binner(features, cuts), BLOCK
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            block = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+            with pa.ipc.new_stream(sink, block.schema) as stream:
+                stream.write_batch(block)
+            return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block"])
+
+        waiting, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                kept = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "label", "fold")]
+                waiting.append(pa.RecordBatch.from_arrays([*kept, cut(batch)], names=["row", "label", "fold", "bins"]))
+                size += batch.num_rows
+            if size >= most:
+                yield packed()
+                waiting, size = [], 0
+        if waiting:
+            yield packed()
+
+    def opened(row) -> pa.RecordBatch:
+        return pa.ipc.open_stream(row[0]).read_next_batch()
+
+    named = rows.select("row", "label", "fold", *[known(f).alias(f"_f{i}") for i, f in enumerate(features)])
+    dealt = named.repartition(max(1, rows.sparkSession.sparkContext.defaultParallelism))
+    return dealt.mapInArrow(blocks, "block binary").rdd.map(opened)
 
 
 def _array(values: Sequence) -> str:
@@ -182,31 +222,47 @@ def _array(values: Sequence) -> str:
     return f"array({', '.join(map(text, values))})"
 
 
-def best_splits(histogram: DataFrame, settings: Sequence[Settings]) -> DataFrame:
-    """(`m`, `node`, `g`, `h`, `best`) from sums by (`m`, `node`, `feature`, `bin`): each node's gradient, hessian and best split.
+def best_splits(settings: Sequence[Settings], features: int, bins: int) -> Callable:
+    """What adds up tasks' sums by (`node`, `feature`, `bin`) that come with their model, and finds each node's best split.
 
-    `best` is NULL where no split is allowed. Of equal gains, the first feature and bin count, and missing goes right.
+    Gives (`m`, `node`, `g`, `h`, `best`); `best` has gain, feature, bin, side of missing values, and gradient and hessian to the
+    left, or is None where no split is allowed. Of equal gains, the first feature and bin count, and missing goes right.
     """
+    own = [(s.reg_alpha, s.reg_lambda, s.min_child_weight, s.gamma) for s in settings]
+    scale, none = float(SCALE), NO_GAIN
+
+    def best(sums: np.ndarray, l1: float, l2: float, least: float, gamma: float) -> tuple:
+        def strength(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+            pulled, held = np.maximum(np.abs(g) - l1, 0.0), h + l2
+            return np.divide(pulled * pulled, held, out=np.zeros_like(held), where=held != 0)
+
+        g, h = sums.sum(axis=2) / scale  # of each feature: all of the node
+        some = np.flatnonzero(sums.any(axis=(0, 2)))[0]
+        low = np.cumsum(sums[:, :, 1:], axis=2)
+        gl, hl = np.stack([low, low + sums[:, :, :1]], axis=3) / scale  # missing to the right, and to the left
+        g, h = g[:, None, None], h[:, None, None]
+        gain = strength(gl, hl) + strength(g - gl, h - hl) - strength(g, h)
+        smaller = np.minimum(hl, h - hl)
+        allowed = (smaller >= least) & (smaller > 0) & (gain > none) & (gain >= gamma) & sums[:, :, 1:].any(axis=0)[:, :, None]
+        gain[~allowed] = -np.inf
+        at = np.unravel_index(np.argmax(gain), gain.shape)
+        found = (float(gain[at]), int(at[0]), int(at[1]), bool(at[2] == 0), float(gl[at]), float(hl[at])) if allowed[at] else None
+        return float(g[some, 0, 0]), float(h[some, 0, 0]), found
+
+    def run(sums: Iterator[tuple[int, pa.RecordBatch]]) -> Iterator[tuple]:
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for m, batch in sums:
+            node, feature, b, g, h = (batch.column(i).to_numpy() for i in range(1, 6))
+            for n in np.unique(node):
+                if (m, int(n)) not in total:
+                    total[m, int(n)] = np.zeros((2, features, bins), np.int64)
+                of = node == n
+                for k, x in enumerate((g, h)):
+                    total[m, int(n)][k, feature[of], b[of] + 1] += x[of]
+        for (m, n), s in total.items():
+            yield m, n, *best(s, *own[m])
 
-    def by_model(name: str) -> str:
-        return f"{_array([float(getattr(s, name)) for s in settings])}[m]"
-
-    def strength(g: str, h: str) -> str:
-        return f"coalesce(try_divide(power(greatest(abs({g}) - l1, 0D), 2), {h} + l2), 0D)"
-
-    column, upto = "OVER (PARTITION BY m, node, feature)", "OVER (PARTITION BY m, node, feature ORDER BY bin)"
-    sums = histogram.selectExpr(
-        "m", "node", "feature", "bin",
-        *[f"sum({s}) {column} / {SCALE}D AS {s}" for s in "gh"],
-        *[f"coalesce(sum(CASE WHEN bin < 0 THEN {s} END) {column}, 0) / {SCALE}D AS {s}_none" for s in "gh"],
-        *[f"coalesce(sum(CASE WHEN bin >= 0 THEN {s} END) {upto}, 0) / {SCALE}D AS {s}_low" for s in "gh"],
-        f"{by_model('reg_alpha')} AS l1", f"{by_model('reg_lambda')} AS l2", f"{by_model('min_child_weight')} AS least", f"{by_model('gamma')} AS gamma",
-    )
-    sides = sums.selectExpr("*", f"{strength('g', 'h')} AS own", "inline(array(struct(true AS missing_right, g_low AS gl, h_low AS hl), struct(false AS missing_right, g_low + g_none AS gl, h_low + h_none AS hl)))")
-    gains = sides.selectExpr("*", f"{strength('gl', 'hl')} + {strength('g - gl', 'h - hl')} - own AS gain")
-    allowed = f"bin >= 0 AND least(hl, h - hl) >= least AND least(hl, h - hl) > 0 AND gain > {NO_GAIN} AND gain >= gamma"
-    split = "struct(gain, -feature AS f, -bin AS b, missing_right, gl AS g_left, hl AS h_left)"
-    return gains.groupBy("m", "node").agg(F.expr("max(g) AS g"), F.expr("max(h) AS h"), F.expr(f"max(CASE WHEN {allowed} THEN {split} END) AS best"))
+    return run
 
 
 @dataclass
@@ -232,73 +288,82 @@ class _Growth:
 
     def take(self, found: list, level: int) -> None:
         """Use the best splits of a level; children of the last one are leaves."""
-        nodes = {(r["m"], r["node"]): r for r in found}
+        nodes = {(m, n): rest for m, n, *rest in found}
         for m, s in enumerate(self.settings):
             ends: list[int] = []
             for n in self.open[m]:
-                r = nodes.get((m, n))
-                best = r and r["best"]
+                g, h, best = nodes.get((m, n), (None, None, None))
                 if best is None:
-                    self.tree[m].setdefault(n, Node(self.weight(m, r["g"], r["h"]) if r else 0.0))
+                    self.tree[m].setdefault(n, Node(0.0 if g is None else self.weight(m, g, h)))
                     continue
-                f, b = -best["f"], -best["b"]
+                gain, f, b, missing_right, g_left, h_left = best
                 name = self.features[f]
                 cut = self.cuts[name][b] if b < len(self.cuts[name]) else float("inf")
-                self.tree[m][n] = Node(self.weight(m, r["g"], r["h"]), name, cut, b, best["missing_right"], best["gain"])
-                self.tree[m][2 * n + 1] = Node(self.weight(m, best["g_left"], best["h_left"]))
-                self.tree[m][2 * n + 2] = Node(self.weight(m, r["g"] - best["g_left"], r["h"] - best["h_left"]))
+                self.tree[m][n] = Node(self.weight(m, g, h), name, cut, b, missing_right, gain)
+                self.tree[m][2 * n + 1] = Node(self.weight(m, g_left, h_left))
+                self.tree[m][2 * n + 2] = Node(self.weight(m, g - g_left, h - h_left))
                 ends += [2 * n + 1, 2 * n + 2]
             self.open[m] = ends if level + 1 < s.max_depth else []
 
-    def tables(self) -> dict[str, np.ndarray]:
-        """The tree at hand as arrays by model and node: place of the feature (MISSING for a leaf), bin, side of missing values, weight."""
+    @property
+    def width(self) -> int:
+        """Bins of the feature that has most, with that of missing values."""
+        return max(len(c) for c in self.cuts.values()) + 2
+
+    def tables(self) -> list[tuple[list[tuple[int, int, int, bool]], np.ndarray]]:
+        """The tree at hand of each model: its splits (node, place of the feature, bin, side of missing values) from the root on, and weights by node."""
         place = {f: i for i, f in enumerate(self.features)}
-        shape = (len(self.tree), self.size)
-        found = {"feature": np.full(shape, MISSING), "cut": np.zeros(shape, np.int64), "other": np.zeros(shape, np.int64), "weight": np.zeros(shape)}
-        for m, t in enumerate(self.tree):
+        found = []
+        for t in self.tree:
+            splits = [(n, place[v.feature], v.bin, bool(v.missing_right)) for n, v in sorted(t.items()) if v.feature is not None]
+            weights = np.zeros(self.size)
             for n, v in t.items():
-                if v.feature is None:
-                    found["weight"][m, n] = v.weight
-                else:
-                    found["feature"][m, n], found["cut"][m, n], found["other"][m, n] = place[v.feature], v.bin, int(bool(v.missing_right))
+                weights[n] = v.weight if v.feature is None else 0.0
+            found.append((splits, weights))
         return found
 
-    def finish(self) -> tuple[dict[str, np.ndarray], int]:
-        """The tree is done: its arrays and depth."""
+    def finish(self) -> list[tuple[list[tuple[int, int, int, bool]], np.ndarray]]:
+        """The tree is done: its tables."""
         for m, t in enumerate(self.tree):
             if t:
                 self.trees[m].append(t)
-        return self.tables(), max(s.max_depth for s in self.settings)
+        return self.tables()
 
 
 def _walker() -> Callable:
-    """What tells the node of a model's tree that rows have reached after some levels."""
-
-    def walk(tree: dict[str, np.ndarray], m: int, bins: np.ndarray, levels: int) -> np.ndarray:
-        feature, cut, other = tree["feature"][m], tree["cut"][m], tree["other"][m]
-        rows, n = np.arange(len(bins)), np.zeros(len(bins), np.int64)
-        for _ in range(levels):
-            f = feature[n]
-            own = bins[rows, np.maximum(f, 0)]
-            right = np.where(own == MISSING, other[n], own > cut[n])
-            n = np.where(f == MISSING, n, 2 * n + 1 + right)
-        return n
+    """What tells the node that rows reach by a tree's splits. Bins are by feature, and the greatest of their type for missing."""
+
+    def walk(splits: Sequence[tuple[int, int, int, bool]], bins: np.ndarray, size: int) -> np.ndarray:
+        reached = np.zeros(bins.shape[1], np.min_scalar_type(size))
+        kind, one = reached.dtype.type, bins.dtype.type(1)
+        for n, feature, cut, missing_right in splits:
+            # one more wraps around: missing becomes the least
+            right = bins[feature] > cut if missing_right else bins[feature] + one > cut + 1
+            reached += (reached == kind(n)) * (right + kind(n + 1))  # from n to 2n + 1, or to 2n + 2
+        return reached
 
     return walk
 
 
-def _reader(width: int, models: int, done: Sequence[tuple[dict[str, np.ndarray], int]]) -> Callable:
-    """What reads a batch's bins, and its margins with the leaves of the finished trees added."""
-    walk = _walker()
+def _reader(width: int, models: int, done: Sequence) -> Callable:
+    """What reads a batch's bins by feature, the greatest of their type for missing, and its margins by model with the leaves of the
+    finished trees added."""
+    walk, lines = _walker(), 1 << 10
 
     def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         def column(name: str, size: int) -> np.ndarray:
-            return batch.column(batch.schema.get_field_index(name)).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, size)
-
-        bins, margins = column("bins", width), column("margins", models).copy()
-        for tree, depth in done:
-            for m in range(models):
-                margins[:, m] += tree["weight"][m][walk(tree, m, bins, depth)]
+            values = batch.column(batch.schema.get_field_index(name)).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, size)
+            turned = np.empty((size, batch.num_rows), values.dtype)
+            for i in range(0, batch.num_rows, lines):
+                turned[:, i : i + lines] = values[i : i + lines].T
+            return turned
+
+        bins, margins = column("bins", width), column("margins", models)
+        bins = bins.view(bins.dtype.str.replace("i", "u"))
+        for tree in done:
+            for m, (splits, weights) in enumerate(tree):
+                if weights.any():
+                    margins[m] += weights.take(walk(splits, bins, len(weights)))
         return bins, margins
 
     return read
@@ -308,103 +373,241 @@ HISTOGRAM = "m int, node int, feature int, bin int, g bigint, h bigint"
 
 
 def _histograms(growth: _Growth, level: int, done: Sequence, held_out: Sequence[int]) -> Callable:
-    """A task's sums of gradients and hessians by (`m`, `node`, `feature`, `bin`), for the open nodes of all models."""
-    read, walk, tree = _reader(len(growth.features), len(growth.settings), done), _walker(), growth.tables()
-    width = max(len(c) for c in growth.cuts.values()) + 2
-    going = [(m, list(o), growth.drawn[m], held_out[m], s.subsample) for m, (o, s) in enumerate(zip(growth.open, growth.settings)) if o]
+    """A task's sums of gradients and hessians by (`m`, `node`, `feature`, `bin`), for the open nodes of all models: a batch a model.
+
+    Features whose bins together are few against the rows are summed up at once, by the bins of all of them; the sums of each
+    follow from these. Models that draw the same rows and columns share what they read.
+    """
+    read, walk, trees = _reader(len(growth.features), len(growth.settings), done), _walker(), growth.tables()
+    width, scale, share_of_rows, size = growth.width, SCALE, SUMS_A_ROW, growth.size
+    above = 2**level - 1  # nodes above the level
+    sizes = [len(growth.cuts[f]) + 2 for f in growth.features]
+    alike: dict[tuple, list[tuple[int, list[int]]]] = {}
+    for m, (o, s) in enumerate(zip(growth.open, growth.settings)):
+        if o:
+            alike.setdefault((tuple(growth.drawn[m]), held_out[m], s.subsample), []).append((m, list(o)))
+
+    def together(drawn: Sequence[int], most: float) -> list[list[int]]:
+        """The drawn features in groups with up to so many bins together."""
+        groups: list[tuple[int, list[int]]] = []
+        for f in sorted(drawn, key=lambda f: -sizes[f]):
+            at = next((i for i, (cells, _) in enumerate(groups) if cells * sizes[f] <= most), None)
+            if at is None:
+                groups.append((sizes[f], [f]))
+            else:
+                groups[at] = (groups[at][0] * sizes[f], [*groups[at][1], f])
+        return [g for _, g in groups]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {m: np.zeros((2, len(nodes), len(drawn), width), np.int64) for m, nodes, drawn, _, _ in going}
+        total = {m: np.zeros((2, len(nodes), len(drawn), width), np.int64) for (drawn, _, _), own in alike.items() for m, nodes in own}
         for batch in batches:
             bins, margins = read(batch)
             label, fold, u = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("label", "fold", "u"))
-            for m, nodes, drawn, out, share in going:
-                slots = np.full(tree["feature"].shape[1], -1)
-                slots[nodes] = np.arange(len(nodes))
-                slot = slots[walk(tree, m, bins, level)]
-                rows = np.flatnonzero((fold != out) & (u < share) & (slot >= 0))
-                p = 1 / (1 + np.exp(-margins[rows, m]))
-                sums = [np.copysign(np.floor(np.abs(x) * SCALE + 0.5), x) for x in (p - label[rows], p * (1 - p))]
-                at = slot[rows] * width + 1
-                for i, f in enumerate(drawn):
-                    cell = at + bins[rows, f]
-                    for k, x in enumerate(sums):
-                        total[m][k, :, i] += np.bincount(cell, x, len(nodes) * width).astype(np.int64).reshape(-1, width)
-        for m, nodes, drawn, _, _ in going:
-            node, feature, b = np.nonzero(total[m].any(axis=0))
-            g, h = total[m][:, node, feature, b]
-            columns = [np.full(len(b), m), np.array(nodes)[node], np.array(drawn)[feature], b - 1]
-            yield pa.RecordBatch.from_arrays([*[pa.array(x.astype(np.int32)) for x in columns], pa.array(g), pa.array(h)], names=["m", "node", "feature", "bin", "g", "h"])
+            label, places = label.astype(np.float64), bins + bins.dtype.type(1)  # from 0 for missing
+            grouped = {}
+            for (drawn, out, share), own in alike.items():
+                rows, most = np.flatnonzero((fold != out) & (u < share)), max(len(nodes) for _, nodes in own)
+                if (drawn, most) not in grouped:
+                    grouped[drawn, most] = cells = []
+                    for group in together(drawn, share_of_rows * batch.num_rows / most):
+                        cell = places[group[0]].astype(np.int64)
+                        for f in group[1:]:
+                            cell *= sizes[f]
+                            cell += places[f]
+                        cells.append((group, cell))
+                y, cells = label.take(rows), [(group, cell.take(rows)) for group, cell in grouped[drawn, most]]
+                for m, nodes in own:
+                    p = margins[m].take(rows)
+                    np.negative(p, out=p)
+                    np.exp(p, out=p)
+                    p += 1
+                    np.divide(1, p, out=p)
+                    x = p - y
+                    g = np.abs(x)
+                    p *= 1 - p
+                    for z in (g, p):
+                        z *= scale
+                        z += 0.5
+                        np.floor(z, out=z)
+                    sums, slot, kept = [np.copysign(g, x, out=g), p], None, None
+                    if level:
+                        slots = np.full(size, -1)
+                        slots[nodes] = np.arange(len(nodes))
+                        slot = slots.take(walk([s for s in trees[m][0] if s[0] < above], bins, size).take(rows))
+                        if (slot < 0).any():
+                            kept = np.flatnonzero(slot >= 0)
+                            slot, sums = slot.take(kept), [z.take(kept) for z in sums]
+                    for group, cell in cells:
+                        shape = [len(nodes), *[sizes[f] for f in group]]
+                        at = cell if kept is None else cell.take(kept)
+                        if len(nodes) > 1:
+                            at = slot * math.prod(shape[1:]) + at
+                        for k, z in enumerate(sums):
+                            found = np.bincount(at, z, math.prod(shape)).reshape(shape)
+                            for i, f in enumerate(group, 1):
+                                of = found.sum(axis=tuple(a for a in range(1, len(shape)) if a != i))
+                                total[m][k, :, drawn.index(f), : sizes[f]] += of.astype(np.int64)
+        for (drawn, _, _), own in alike.items():
+            for m, nodes in own:
+                node, feature, b = np.nonzero(total[m].any(axis=0))
+                g, h = total[m][:, node, feature, b]
+                columns = [np.full(len(b), m), np.array(nodes)[node], np.array(drawn)[feature], b - 1]
+                yield pa.RecordBatch.from_arrays([*[pa.array(x.astype(np.int32)) for x in columns], pa.array(g), pa.array(h)], names=["m", "node", "feature", "bin", "g", "h"])
 
     return run
 
 
-def _advanced(state: DataFrame, growth: _Growth, done: Sequence) -> DataFrame:
-    """The rows with the leaves of the finished trees added to their margins."""
-    read, models = _reader(len(growth.features), len(growth.settings), done), len(growth.settings)
+def _draw(tree: int, seed: int) -> Callable:
+    """What draws rows for a tree: a number from 0 to 1 from ``xxhash64(row, tree, seed)``."""
+    # The primes of xxHash, and Spark's seed.
+    p1, p2, p3, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    start, mask = 42, (1 << 64) - 1
+
+    def turned(x: np.ndarray, by: int) -> np.ndarray:
+        return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+    def mixed(x: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(p2)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(p3)
+        return x ^ (x >> np.uint64(32))
+
+    def long(value: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+        x = seeds + np.uint64(p5 + 8) ^ turned(value * np.uint64(p2), 31) * np.uint64(p1)
+        return mixed(turned(x, 27) * np.uint64(p1) + np.uint64(p4))
+
+    def whole(value: int, seeds: np.ndarray) -> np.ndarray:
+        if not -(1 << 31) <= value < 1 << 31:
+            return long(np.full(len(seeds), value & mask, np.uint64), seeds)
+        x = seeds + np.uint64(p5 + 4) ^ np.uint64((value & 0xFFFFFFFF) * p1 & mask)
+        return mixed(turned(x, 23) * np.uint64(p2) + np.uint64(p3))
+
+    def u(row: np.ndarray) -> np.ndarray:
+        seeds = long(row.view(np.uint64), np.full(len(row), start, np.uint64))
+        return (whole(seed, whole(tree, seeds)) & np.uint64((1 << 20) - 1)) / float(1 << 20)
+
+    return u
+
+
+def _advanced(growth: _Growth, done: Sequence, tree: int, seed: int, base: Sequence[float] | None = None) -> Callable:
+    """Blocks with the leaves of the finished trees added to their margins, which start at ``base``, and rows drawn for the next tree."""
+    models = len(growth.settings)
+    read, draw = _reader(len(growth.features), models, done), _draw(tree, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margins = read(batch)[1].reshape(-1)
-            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * models)
-            columns = {"margins": pa.ListArray.from_arrays(offsets, pa.array(margins))}
-            yield pa.RecordBatch.from_arrays([columns.get(n, batch.column(i)) for i, n in enumerate(batch.schema.names)], names=batch.schema.names)
+            row, label, fold, bins = (batch.column(batch.schema.get_field_index(c)) for c in ("row", "label", "fold", "bins"))
+            margins = np.tile(base, batch.num_rows) if base is not None else read(batch)[1].T.reshape(-1)
+            columns = {"row": row, "label": label, "fold": fold, "bins": bins, "u": pa.array(draw(row.to_numpy())), "margins": pa.FixedSizeListArray.from_arrays(pa.array(margins), models)}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return state.mapInArrow(run, state.schema)
+    return run
 
 
-def _grow(state: DataFrame, growth: _Growth, held_out: Sequence[int], seed: int) -> DataFrame:
+def _grow(blocks: RDD, growth: _Growth, base: Sequence[float], held_out: Sequence[int], seed: int) -> RDD:
     """Grow all trees of the models; the rows with the margins of every model, those of held-out rows too."""
-    done: list = []  # trees whose leaves the stored margins lack
-    for t in range(max(s.n_estimators for s in growth.settings)):
+    tasks = min(len(growth.settings), blocks.getNumPartitions())
+    state, trees = blocks.mapPartitions(_advanced(growth, [], 0, seed, base)).persist(StorageLevel.MEMORY_AND_DISK), max(s.n_estimators for s in growth.settings)
+    before = None
+    for t in range(trees):
         growth.start(t, seed)
-        drawn = f"pmod(xxhash64(row, {t}, {seed}), {1 << 20}) / {float(1 << 20)}D AS u"
         level = 0
         while any(growth.open):
-            cells = state.selectExpr("bins", "label", "fold", "margins", drawn).mapInArrow(_histograms(growth, level, done, held_out), HISTOGRAM)
-            # tasks have summed up already; dealt like this, sums and splits need one shuffle
-            cells = cells.repartition("m", "node", "feature")
-            histogram = cells.groupBy("m", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-            growth.take(best_splits(histogram, growth.settings).collect(), level)
+            cells = state.mapPartitions(_histograms(growth, level, [], held_out)).map(lambda b: (b.column(0)[0].as_py(), b) if b.num_rows else (0, b))
+            split = best_splits(growth.settings, len(growth.features), growth.width)
+            growth.take(cells.partitionBy(tasks, lambda m: m).mapPartitions(split).collect(), level)
             level += 1
-        done.append(growth.finish())
-        if (t + 1) % STORE_EVERY == 0:
-            state, done = materialized(_advanced(state, growth, done)), []
-    return _advanced(state, growth, done) if done else state
+        if before is not None:
+            before.unpersist()
+        before, state = state, state.mapPartitions(_advanced(growth, [growth.finish()], t + 1, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+        if (t + 1) % STORE_EVERY == 0 or t + 1 == trees:
+            state.checkpoint()
+    state.foreachPartition(lambda _: None)
+    if before is not None:
+        before.unpersist()
+    return state.unpersist() if trees else state
+
+
+def _valued(rows: DataFrame, features: Sequence[str], label: str, scaling: Mapping[str, tuple[float, float]] | None, *more: Column) -> DataFrame:
+    """The rows that have a label, with their features as the trees see them."""
+    return rows.where(F.col(label).isNotNull()).select(*more, *[known(f, (scaling or {}).get(f)).alias(f) for f in features])
+
+
+def learnt_cuts(rows: DataFrame, features: Sequence[str], label: str, scaling: Mapping[str, tuple[float, float]] | None = None, bins: int = 64) -> dict[str, list[float]]:
+    """The cuts that models of these rows have; several fits of the same rows can share them."""
+    return fit_cuts(_valued(rows, features, label, scaling), features, bins)
 
 
 def fit_many(
     rows: DataFrame, features: Sequence[str], label: str, ids: Sequence[str], settings: Sequence[Settings],
     held_out: Sequence[int] | None = None, fold: str | None = None, scaling: Mapping[str, tuple[float, float]] | None = None,
-    bins: int = 64, seed: int = 88,
+    bins: int = 64, seed: int = 88, cuts: Mapping[str, list[float]] | None = None,
 ) -> tuple[list[Boosted], DataFrame]:
     """A model for each of the settings, and (`m`, `fold`, `label`, `margin`) of every row and model.
 
     Model i does not learn from rows whose ``fold`` is ``held_out[i]``. Rows without a label are left out. ``ids`` identify a
-    row: with the seed they decide which trees draw it.
+    row: with the seed they decide which trees draw it. ``cuts`` are those of the rows unless given.
     """
     features, held_out = list(features), list(held_out or [-1] * len(settings))
     scaling = dict(scaling or {})
-    scaled = rows.where(F.col(label).isNotNull()).select(
-        F.xxhash64(*ids).alias("row"), F.col(label).cast("int").alias("label"), (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold"),
-        *[known(f, scaling.get(f)).alias(f) for f in features],
-    )
-    cuts = fit_cuts(scaled, features, bins)
-    state = binned(scaled, features, cuts).select("row", "label", "fold", "bins")
-    state = materialized(state.coalesce(max(1, state.sparkSession.sparkContext.defaultParallelism)))
-    counts = {r["fold"]: (r["n"], r["pos"]) for r in state.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).collect()}
+    cuts = learnt_cuts(rows, features, label, scaling, bins) if cuts is None else cuts
+    named = [F.xxhash64(*ids).alias("row"), F.col(label).cast("int").alias("label"), (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold")]
+    scaled = _valued(rows, features, label, scaling, *named)
+    shared_folder(rows.sparkSession)
+    blocks = binned(scaled, features, cuts).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks.checkpoint()
+    counts = _counts(blocks)
     models, scores = [], None
     for a in range(0, len(settings), TOGETHER):
         some, out = list(settings[a : a + TOGETHER]), held_out[a : a + TOGETHER]
         base = [_log_odds([c for f, c in counts.items() if f != h]) for h in out]
         growth = _Growth(some, features, cuts, [[] for _ in some])
-        grown = _grow(state.withColumn("margins", F.array(*[F.lit(b) for b in base])), growth, out, seed)
+        grown = _grow(blocks, growth, base, out, seed)
         models += [Boosted(b, t, s, features, scaling) for b, t, s in zip(base, growth.trees, some)]
-        one = grown.select("fold", "label", F.posexplode("margins").alias("m", "margin")).withColumn("m", F.col("m") + a)
+        one = _margins(rows.sparkSession, grown, a)
         scores = one if scores is None else scores.unionByName(one)
+    blocks.unpersist()
     return models, scores
 
 
+def _counts(blocks: RDD) -> dict[int, tuple[int, int]]:
+    """Rows of each fold, and their labels added up."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple[int, int]]]:
+        for batch in batches:
+            label, fold = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("label", "fold"))
+            for f in np.unique(fold):
+                yield int(f), (int((fold == f).sum()), int(label[fold == f].sum(dtype=np.int64)))
+
+    found: dict[int, tuple[int, int]] = {}
+    for f, (n, pos) in blocks.mapPartitions(count).collect():
+        rows, labels = found.get(f, (0, 0))
+        found[f] = rows + n, labels + pos
+    return found
+
+
+def _margins(spark: SparkSession, state: RDD, first: int) -> DataFrame:
+    """(`m`, `fold`, `label`, `margin`) of the rows in blocks, models counted from ``first``."""
+
+    def packed(batch: pa.RecordBatch) -> tuple[bytes]:
+        sink = pa.BufferOutputStream()
+        block = batch.select(["fold", "label", "margins"])
+        with pa.ipc.new_stream(sink, block.schema) as stream:
+            stream.write_batch(block)
+        return (sink.getvalue().to_pybytes(),)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for packed_blocks in batches:
+            for block in packed_blocks.column(0):
+                batch = pa.ipc.open_stream(block.as_buffer()).read_next_batch()
+                margins = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
+                for m in range(margins.shape[1]):
+                    columns = [pa.array(np.full(batch.num_rows, first + m, np.int32)), batch.column(0), batch.column(1), pa.array(margins[:, m])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["m", "fold", "label", "margin"])
+
+    blocks = spark.createDataFrame(state.map(packed), "block binary", verifySchema=False)
+    return blocks.mapInArrow(run, "m int, fold int, label int, margin double")
+
+
 def _log_odds(counts: list[tuple[int, int]]) -> float:
     """Log-odds of label 1; half a row of each label is added where one is lacking."""
     n, pos = sum(c[0] for c in counts), sum(c[1] for c in counts)

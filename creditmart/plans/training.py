@@ -90,7 +90,8 @@ def prepare(labels: DataFrame, features: DataFrame, config: TrainConfig) -> Data
     A left join keeps the labels as they are, so they are split before it, without the features.
     """
     if config.join == "left":
-        return model_dataset(_split(labels, config), features, config.windows, "left")
+        own = materialized(labels.where(config.windows.covers(F.col("snapshot_date"))))  # read by each pass of the split
+        return model_dataset(_split(own, config), features, config.windows, "left")
     return _split(model_dataset(labels, features, config.windows, config.join), config)
 
 
@@ -115,13 +116,19 @@ def sample_grid(space: dict[str, list], n_iter: int, seed: int) -> list[dict]:
     return points
 
 
-def random_search(train: DataFrame, features: Sequence[str], config: TrainConfig) -> list[tuple[dict, float]]:
+def learnt(train: DataFrame, features: Sequence[str], config: TrainConfig) -> dict:
+    """What models of the training rows share. Scaling (mean 0, population deviation 1) and cuts are fitted on them."""
+    scaling = fit_scaler(train, features)
+    return {"scaling": scaling, "cuts": boosting.learnt_cuts(train, features, config.label, scaling, config.bins)}
+
+
+def random_search(train: DataFrame, features: Sequence[str], config: TrainConfig, shared: dict | None = None) -> list[tuple[dict, float]]:
     """Sampled points of the grid with their mean score over stratified folds, best first. All points and folds grow together."""
     grid = sample_grid(config.space, config.n_iter, config.search_seed)
     folded = materialized(assign_folds(train, config.label, config.ids, config.folds, config.search_seed))
     scores = boosting.search(
         folded, features, config.label, config.ids, [boosting.changed(Settings(), **p) for p in grid], config.folds,
-        config.hard_label, fold="fold", scaling=fit_scaler(train, features), bins=config.bins, seed=config.split_seed,
+        config.hard_label, fold="fold", seed=config.split_seed, **(shared or learnt(train, features, config)),
     )
     return sorted(zip(grid, scores), key=lambda found: -found[1])
 
@@ -132,10 +139,10 @@ def search_results(found: Sequence[tuple[dict, float]]) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, "params map<string,string>, score double").orderBy(F.desc("score"))
 
 
-def fit(train: DataFrame, features: Sequence[str], config: TrainConfig, settings: Settings) -> Boosted:
-    """One model of the training rows. Scaling (mean 0, population deviation 1) is fitted on them and part of the model."""
-    scaling = fit_scaler(train, features)
-    return boosting.fit(train, features, config.label, config.ids, settings, scaling=scaling, bins=config.bins, seed=config.split_seed)
+def fit(train: DataFrame, features: Sequence[str], config: TrainConfig, settings: Settings, shared: dict | None = None) -> Boosted:
+    """One model of the training rows. Their scaling is part of the model."""
+    shared = shared or learnt(train, features, config)
+    return boosting.fit(train, features, config.label, config.ids, settings, seed=config.split_seed, **shared)
 
 
 def score(model: Boosted, df: DataFrame, name: str = "score") -> DataFrame:
@@ -154,9 +161,10 @@ def train(data: DataFrame, config: TrainConfig) -> Trained:
     """Search on the training rows, refit, and evaluate on train, test and out-of-time rows."""
     features = config.features(data)
     training = data.where("split = 'train'")
-    found = random_search(training, features, config)
+    shared = learnt(training, features, config)
+    found = random_search(training, features, config, shared)
     params, cv_score = found[0]
-    model = fit(training, features, config, boosting.changed(Settings(), **params))
+    model = fit(training, features, config, boosting.changed(Settings(), **params), shared)
     stats = {r["split"]: (r["n_rows"], r["bad_rate"]) for r in split_summary(data, config.label).collect()}
     return Trained(config.version, model, features, params, cv_score, stats, evaluate(model, data, config), config)
 

@@ -4,6 +4,8 @@ import math
 import random
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from creditmart import jobs
@@ -254,3 +256,80 @@ def test_tasks_sum_up_before_the_shuffle(spark):
                 want[m, 0, f, b] = (g + round((p - i % 2) * boosting.SCALE), h + round(p * (1 - p) * boosting.SCALE))
     assert got.keys() == want.keys()
     assert all(abs(a - b) <= n for k in want for a, b in zip(got[k], want[k]))
+
+
+def test_rows_are_drawn_by_sparks_hash(spark):
+    """Numpy draws the rows that Spark's hash of row, tree and seed does."""
+    df = spark.range(-500, 500).selectExpr("xxhash64(id) AS row")
+    for tree, seed in ((0, 88), (49, -3), (7, 1 << 40)):
+        want = df.selectExpr("row", f"pmod(xxhash64(row, {tree}, {seed}), {1 << 20}) / {float(1 << 20)}D AS u").collect()
+        rows = np.array([r["row"] for r in want], np.int64)
+        assert boosting._draw(tree, seed)(rows).tolist() == [r["u"] for r in want]
+
+
+def test_blocks_are_dealt_evenly(spark):
+    """Every task has its share of the rows, though one partition has all of them; bins are counts of the cuts up to a value."""
+    values = [None, float("nan"), -1.0, 0.0, 0.5, 2.0, float("inf")]
+    rows = [(i, i % 2, 0, values[i % 7], float(i)) for i in range(1400)]
+    df = spark.createDataFrame(rows, "row bigint, label int, fold int, a double, `b c` double").coalesce(1)
+    blocks = boosting.binned(df, ["a", "b c"], {"a": [0.0, 2.0], "b c": [float(x) for x in range(0, 1400, 10)]})
+    sizes = blocks.mapPartitions(lambda own: [sum(b.num_rows for b in own)]).collect()
+    assert sum(sizes) == 1400 and max(sizes) - min(sizes) <= len(sizes)
+    bins = dict(pair for b in blocks.collect() for pair in zip(b.column(0).to_pylist(), b.column(3).to_pylist()))
+    assert [bins[i][0] for i in range(7)] == [-1, -1, 0, 1, 1, 2, 2]
+    assert all(bins[i][1] == i // 10 + 1 for i in range(1400))
+
+
+def test_features_together_are_those_alone(spark, monkeypatch):
+    """Sums of several features at once are those of each, with open and closed nodes, and with more bins than a byte counts."""
+    rng = random.Random(3)
+    batch = {"label": [rng.randint(0, 1) for _ in range(500)], "fold": [i % 3 for i in range(500)], "u": [rng.random() for _ in range(500)]}
+    batch["bins"] = [[rng.randint(-1, 2), rng.randint(-1, 3), rng.randint(-1, 200)] for _ in range(500)]
+    batch["margins"] = [[rng.gauss(0, 1), rng.gauss(0, 1)] for _ in range(500)]
+    types = [pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.int16()), pa.list_(pa.float64())]
+    block = pa.RecordBatch.from_arrays([pa.array(batch[c], t) for c, t in zip(("label", "fold", "u", "bins", "margins"), types)], names=["label", "fold", "u", "bins", "margins"])
+    settings = [boosting.Settings(max_depth=2, subsample=0.9), boosting.Settings(max_depth=2)]
+    growth = boosting._Growth(settings, ["a", "b", "c"], {"a": [0.0, 1.0], "b": [0.0, 1.0, 2.0], "c": [float(x) for x in range(200)]}, [[], []])
+    growth.start(0, 1)
+    growth.tree = [{0: boosting.Node(0.0, "c", 100.0, 100, False, 1.0)}, {0: boosting.Node(0.0, "a", 1.0, 1, True, 1.0)}]
+    growth.open = [[1, 2], [2]]
+    found = []
+    for share in (0.0, 1e6):
+        monkeypatch.setattr(boosting, "SUMS_A_ROW", share)
+        found.append(sorted(tuple(r.values()) for b in boosting._histograms(growth, 1, [], [-1, 0])(iter([block])) for r in b.to_pylist()))
+    assert found[0] == found[1]
+    want = set()
+    for u, fold, (a, b, c) in zip(batch["u"], batch["fold"], batch["bins"]):
+        if u < 0.9:
+            want |= {(0, 2 if c > 100 else 1, f, x) for f, x in enumerate((a, b, c))}
+        if fold != 0 and (a == -1 or a > 1):
+            want |= {(1, 2, f, x) for f, x in enumerate((a, b, c))}
+    assert {r[:4] for r in found[0]} == want
+
+
+def test_a_level_is_one_job(spark):
+    """More trees take a job for each of their levels: sums, splits and margins need no other."""
+    df = spark.createDataFrame([(i, i * 7 % 5 % 2, float(i % 13), float(i % 8)) for i in range(200)], "id int, label int, a double, b double")
+
+    def jobs_of(trees: int) -> int:
+        spark.sparkContext.setJobGroup(f"trees {trees}", "")
+        model = boosting.fit(df, ["a", "b"], "label", ["id"], boosting.Settings(n_estimators=trees, max_depth=1))
+        assert len(model.trees) == trees
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"trees {trees}"))
+
+    try:
+        assert jobs_of(8) - jobs_of(3) <= 5
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_search_and_fit_share_what_they_learn(mart, trained, monkeypatch):
+    """The cuts of the training rows are fitted once, and a model by them is the one that fits its own."""
+    model, _ = trained
+    data = mart.read("gold", f"model_data_{model.version}")
+    calls, fit_cuts = [], boosting.fit_cuts
+    monkeypatch.setattr(boosting, "fit_cuts", lambda *a: calls.append(1) or fit_cuts(*a))
+    again = training.train(data, config())
+    assert len(calls) == 1 and again.model == model.model
+    settings = boosting.changed(boosting.Settings(), **again.best_params)
+    assert training.fit(data.where("split = 'train'"), model.features, config(), settings) == model.model
